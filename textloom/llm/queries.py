@@ -17,9 +17,72 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out("doc_id", 4)))
+    return langid.predict(docs, model).withColumn("held_out", langid.held_out("doc_id", 4))
+
+
+URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import Rule, judge
+
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return judge(pages, [Rule(*r) for r in URL_RULES]).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import drop_boilerplate
+
+    return drop_boilerplate(_read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file; TEXTLOOM_TOKENIZER overrides the installed one."""
+    import os
+
+    import public_tokenizers
+
+    return os.environ.get("TEXTLOOM_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .pack import pack, tokenise
+
+    pieces = tokenise(_read(spark, sf_dir, "documents"), tokenizer_path())
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import digests, format_conversations
+
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", extra), (-7, 1, "assistant", extra)], turns.schema)
+    return digests(format_conversations(turns.union(extra)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op5_language_id": op5_language_id,
+    "op6_url_filter": op6_url_filter,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_chat_format": op10_chat_format,
 }
 
+
+def _oracles() -> dict[str, str]:
+    from . import chat, line_dedup
+
+    return {"op7_line_dedup": line_dedup.oracle(), "op10_chat_format": chat.ORACLE}
+
+
 #: No SQL where the method is a learnt model or the comparison is too slow on whole tables; tests/llm holds those against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = _oracles()

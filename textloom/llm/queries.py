@@ -17,6 +17,24 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import toxicity
+    from .langid import held_out
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _read(spark, sf_dir, "labels"), allowed=~held_out("doc_id", 4))
+    scored = toxicity.score(docs, model).withColumn("held_out", held_out("doc_id", 4))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import langid
 
@@ -70,6 +88,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_toxicity": op3_toxicity,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,

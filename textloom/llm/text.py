@@ -69,9 +69,9 @@ def slices(column: pa.Array, most: int = 2 * SLICE) -> Iterator[tuple[int, int]]
         i = min(j, n)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each row the index of its first word (one more entry than rows)."""
-    inside = ~_SPACE[data]
+    inside = ~breaks[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.empty(len(data), dtype=bool)
@@ -101,11 +101,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def words(column: pa.Array, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words in row order, and for each row the index of its first."""
     data, offsets = buffers(column)
     data = _LOWER[data]
-    starts, ends, first = word_spans(data, offsets)
+    starts, ends, first = word_spans(data, offsets, breaks)
     return span_hashes(data, starts, ends), first
 
 

@@ -1,25 +1,81 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
-Every round is a join and aggregations with map-side combine; edges never
+Edges are first thinned to spanning forests, slice by slice. Once a counted
+number of at most LOCAL edges is left, one executor task ends the work; above
+that, every round is a join and aggregations with map-side combine. Edges never
 leave the executors, and each round's table is written to the shared folder.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
 
-def connected_components(edges: DataFrame, scratch: Scratch, most_rounds: int = 60) -> DataFrame:
+LOCAL = 1_000_000  #: edges that one task joins up
+SLICE = 200_000  #: edges that are thinned at a time
+
+
+class Forest:
+    """Union-find whose roots are the smallest members."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        p, q = self.root(x), self.root(y)
+        if p != q:
+            self.parent[max(p, q)] = min(p, q)
+        return p != q
+
+
+def _stars(forest: Forest) -> pa.RecordBatch:
+    found = [(x, forest.root(x)) for x in list(forest.parent)]
+    return pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["u", "v"])
+
+
+def _thinned(batches):
+    forest = Forest()
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            forest.join(x, y)
+        if len(forest.parent) > SLICE:
+            stars = _stars(forest)
+            yield stars.filter(pa.array(np.not_equal(stars.column(0), stars.column(1))))
+            forest = Forest()
+    stars = _stars(forest)
+    yield stars.filter(pa.array(np.not_equal(stars.column(0), stars.column(1))))
+
+
+def _joined(batches):
+    forest = Forest()
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            forest.join(x, y)
+    yield _stars(forest)
+
+
+def connected_components(edges: DataFrame, scratch: Scratch, most_rounds: int = 60, local: int = LOCAL) -> DataFrame:
     """(vertex, component) for every vertex of `edges` (a, b longs); component is the smallest vertex reached.
 
     Loops, repeated edges and nulls in either end are ignored. No edges give no rows.
     """
-    edges = scratch.write(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = scratch.write(edges.mapInArrow(_thinned, "u long, v long"), "edges")
+    if edges.count() <= local:
+        return edges.coalesce(1).mapInArrow(_joined, "vertex long, component long")
+    edges = scratch.write(edges.distinct(), "edges")
 
     def digest(t: DataFrame):
         return t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import Forest, connected_components
 from .ngram_join import _groups
 from .scratch import Scratch
 
@@ -146,25 +146,6 @@ def _dealt(quantiser, radius: float):
     return run
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links given."""
-    parent: dict[int, int] = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = root(x), root(y)
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
-
-
 def _linked(quantiser, cosine: float):
     """For each probe, how many vectors link with it; and spanning edges of the links of a block."""
 
@@ -199,7 +180,9 @@ def _linked(quantiser, cosine: float):
                         np.add.at(n, np.searchsorted(probe, a), copies[b])
                         left.append(cls[a])
                         right.append(cls[b])
-                edges = _forest(np.concatenate(left), np.concatenate(right)) if left else []
+                forest = Forest()
+                ends = zip(np.concatenate(left).tolist(), np.concatenate(right).tolist()) if left else ()
+                edges = [(a, b) for a, b in ends if forest.join(a, b)]
                 some = n > 0
                 a = np.concatenate([cls[probe][some], np.array([x for x, _ in edges], np.int64)])
                 b = pa.array([None] * int(some.sum()) + [y for _, y in edges], pa.int64())

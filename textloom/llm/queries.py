@@ -65,6 +65,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(_read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lm
+    from .langid import held_out
+
+    docs = _read(spark, sf_dir, "documents")
+    return lm.score(docs, ~held_out("doc_id", 7)).withColumn("held_out", held_out("doc_id", 7))
+
+
 def tokenizer_path() -> str:
     """The vocabulary file; TEXTLOOM_TOKENIZER overrides the installed one."""
     import os
@@ -100,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_format": op10_chat_format,
 }

@@ -20,6 +20,7 @@ Give Salbutamol 5 mg every 4 hours. Oxygen is started at once.
 
 Join our Telegram for more
 promo line one
+
 ## Gout
 Gout is caused by crystals. Acute attacks are treated with colchicine 0.5 mg twice daily for 3 days.
 # Chapter 2

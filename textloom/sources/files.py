@@ -114,7 +114,7 @@ def write_cards(cards: DataFrame, path: str, mode: str = "errorifexists") -> Non
     """Tab-separated cards whose first column is headed #Card_ID; tabs and line ends in texts become spaces."""
     flat = cards.select(*[F.translate(F.col(c).cast("string"), "\t\r\n", "   ").alias(c) for c in cards.columns])
     flat = flat.withColumnRenamed(cards.columns[0], "#Card_ID")
-    flat.write.mode(mode).option("sep", "\t").option("header", "true").option("quote", "\u0000").csv(path)
+    flat.write.mode(mode).option("sep", "\t").option("header", "true").option("comment", "\u0001").csv(path)
 
 
 def write_json(rows: DataFrame, path: str, dry_run: bool = False, mode: str = "errorifexists") -> int:

@@ -8,9 +8,10 @@ from .. import patterns as P
 from ..fixtures import load, with_sql
 from ..functions import columns as C
 from ..functions import unicode as U
-from ..operators import audit, chunks, fidelity, guard, index, ledger, lines, lint, modalities, retrieval, spans
+from ..operators import audit, chunks, fidelity, guard, index, ledger, lines, lint, modalities, packaging, retrieval, spans
 from ..registry import query
 from ..streaming import state
+from . import jobs
 
 _CASE = lambda rows, default: "case " + " ".join(f"when {t} then '{n}'" for n, t in rows) + f" else {default} end"
 _ANY = lambda c, words: "(" + " or ".join(f"contains({c}, '{w}')" for w in words) + ")"
@@ -505,3 +506,76 @@ def rewind_plan(spark, sf_dir):
 @query("state_drift", "T10 T11 T16", "select * from (values ('p', '1', '2.6'), ('p', '2', '2.6')) t(prefix, stage, recorded)")
 def state_drift(spark, sf_dir):
     return state.drift(state.evolve(state.current(load(spark, "events_log"), load(spark, "log_sources")), {"version": "string"}), "2.7")
+
+
+# ------------------------------------------------------------------ packages and composed jobs
+
+
+@query("pruned_files", "P29 P30 P32 U23", """
+select * from (values ('/r/a.bak', 'pruned'), ('/r/SKILL.md', 'protected'), ('/r/audit.json', 'kept_evidence'), ('/r/x.md', 'kept')) t(path, action)""")
+def pruned_files(spark, sf_dir):
+    rows = spark.createDataFrame([("/r/a.bak",), ("/r/SKILL.md",), ("/r/audit.json",), ("/r/x.md",)], "path string")
+    return packaging.prune(rows, ["*.bak", "*.json", "skill.*"], ["SKILL.md"], ["audit*"])
+
+
+@query("status_table", "A30 S42", with_sql("evidence") + _TRUST + " select chapter, classification from trust")
+def status_table(spark, sf_dir):
+    return packaging.parse_status_table(packaging.status_table(ledger.classify_trust(load(spark, "evidence"))))
+
+
+@query("merged_review", "J27 A57 J36", """
+select * from (values ('a', 'prompt', 'KEEP', null), ('b', 'prompt', 'MERGE', 'decided twice'), ('c', 'prompt', null, null), ('z', null, 'KEEP', 'unknown control')) t(id, kind, decision, problem)""")
+def merged_review(spark, sf_dir):
+    controls = spark.createDataFrame([("a", "prompt"), ("b", "prompt"), ("c", "prompt")], "id string, kind string")
+    said = spark.createDataFrame([("a", "KEEP"), ("b", "MERGE"), ("b", "MERGE"), ("z", "KEEP")], "id string, decision string")
+    return packaging.merge_review(controls, said)
+
+
+@query("span_faults", "W21 W23", "select * from (values ('b', 'gap'), ('b', 'text'), ('c', 'group')) t(entry, fault)")
+def span_faults(spark, sf_dir):
+    rows = [("a", 1, 0, 3, "g", "abc"), ("a", 2, 3, 5, "h", "de"), ("b", 1, 0, 2, "g", "ab"), ("b", 2, 3, 5, "g", "xx"), ("c", 1, 0, 1, "g", "a"), ("c", 2, 1, 2, "h", "b"), ("c", 3, 2, 5, "g", "cde")]
+    texts = spark.createDataFrame([(e, "abcde") for e in "abc"], "entry string, source string")
+    return packaging.span_faults(spark.createDataFrame(rows, "entry string, idx int, start int, end int, grp string, text string"), texts)
+
+
+@query("json_checks", "F09 F37 F53 F63 F66", "select * from (values (1, 1, 0, '/home/me/x'), (2, 0, 3, null), (3, 0, 2, null)) t(id, verdicts, problems, private)")
+def json_checks(spark, sf_dir):
+    raw = [(1, 'Here: [{"chunk_id": "a", "semantic_type": "drug_info"}, {"chunk_id": "b", "semantic_type": "odd"}] /home/me/x', '{"id": "t", "status": "PASS", "steps": ["a"]}'), (2, "no array", '{"status": "BAD", "steps": ["a", "a"]}'), (3, "[]", "not json")]
+    rows = spark.createDataFrame(raw, "id int, response string, trace string")
+    return rows.select("id", F.size(packaging.parse_verdicts(F.col("response"), ["drug_info"])).alias("verdicts"), F.size(packaging.trace_problems(F.col("trace"))).alias("problems"), packaging.private_path(F.col("response")).alias("private"))
+
+
+@query("header_fields", "F51 F52 F61 F65 F67", "select * from (values ('x', '1.2.3', 'd', '2.0.0'), ('y', 'UNKNOWN', null, 'UNKNOWN')) t(name, version, description, rewritten)")
+def header_fields(spark, sf_dir):
+    rows = spark.createDataFrame([('name: "x"\nversion: 1.2.3\ndescription: d',), ("name: y",)], "t string")
+    new = packaging.package_header(packaging.rewrite_version(F.col("t"), "2.0.0"))["version"].alias("rewritten")
+    return rows.select(packaging.package_header(F.col("t")).alias("h"), new).select("h.*", "rewritten")
+
+
+@query("inlined_tables", "J01 J02 J18 S01 S03 S04", "select * from (values ('table', '2', 'INLINED'), ('table', '3', 'MISSING'), ('fig_01.jpeg', '4', 'OK'), ('fig_01_sub01.jpeg', '6', 'MISSING'), ('fig_02.jpeg', '9', 'OK')) t(what, ln, status)")
+def inlined_tables(spark, sf_dir):
+    docs = spark.createDataFrame([("d", "a\n[tbl-1.md](tbl-1.md)\n[tbl-2.md](tbl-2.md)\n![x](img-1.jpeg)\nFig. 2.1 first\n![y](img-2.jpeg)\nFig. 2.1 again\n\n![z](img-3.jpeg)")], "doc string, text string")
+    _, found = packaging.inline_tables(docs, spark.createDataFrame([("d", "tbl-1.md", "| a |")], "doc string, name string, body string"), "doc", "text")
+    images = packaging.normalise_images(lines.explode_lines(docs, "doc", "text"), spark.createDataFrame([("d", "img-1.jpeg"), ("d", "img-3.jpeg")], "doc string, file string"))
+    out = found.select(F.lit("table").alias("what"), F.col("ln").cast("string").alias("ln"), "status")
+    return out.union(images.select("asset", F.col("ln").cast("string"), "status"))
+
+
+@query("constant_rows", "X15 P42 P43 P44 Q07")
+def constant_rows(spark, sf_dir):
+    return packaging.safety_matrix(spark)
+
+
+@query("chapter_states", "U12 U19 A27 A42 T20 T21")
+def chapter_states(spark, sf_dir):
+    return jobs.chapter_states(jobs.run_chapters(load(spark, "chapters"), load(spark, "chunk_files")))
+
+
+@query("compiled_index", "U21 X16 X19 Q06")
+def compiled_index(spark, sf_dir):
+    got = jobs.compile_index(load(spark, "chunk_files"), load(spark, "index_lines"))
+    sizes = [getattr(got, n).agg(F.lit(n).alias("asset"), F.count("*").alias("rows")) for n in ("catalogue", "postings", "terms", "anchors", "graph", "subtrees", "polysemy", "trial_map", "acronym_map", "early_exit", "cache")]
+    out = sizes[0]
+    for s in sizes[1:]:
+        out = out.union(s)
+    return out

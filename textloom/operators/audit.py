@@ -205,3 +205,15 @@ def scorecard(rows: DataFrame) -> DataFrame:
 def distribution(rows: DataFrame, col: str) -> DataFrame:
     """Counts of a column's values, the most frequent first, ties by value."""
     return rows.groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), col)
+
+
+def reported_count(report: Column, label: str) -> Column:
+    """The number after a label in a report, null where it is missing or malformed."""
+    return F.regexp_extract(report, rf"(?m)^{label}:\s*(\S+)\s*$", 1).try_cast("int")
+
+
+def census(rows: DataFrame, expected: dict[str, int]) -> DataFrame:
+    """Counts of a document's block kinds (doc, kind) and the kinds whose count is not the expected one."""
+    counts = rows.groupBy("doc").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in expected])
+    wrong = F.array(*[F.when(F.col(k) != n, F.lit(k)) for k, n in expected.items()])
+    return counts.withColumn("wrong", F.array_join(F.filter(wrong, lambda x: x.isNotNull()), ","))

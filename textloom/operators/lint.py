@@ -176,3 +176,55 @@ def chapter_info(path: Column) -> Column:
     slug = F.lower(F.regexp_replace(F.regexp_replace(name, r"^[0-9]+[ _-]*|\.[A-Za-z0-9]+$", ""), r"[^A-Za-z0-9]+", "_"))
     kind = F.when(F.lower(path).rlike("guideline|consensus|standards of care"), "GUIDELINE").otherwise("TEXTBOOK")
     return F.struct(chapter.alias("chapter"), slug.alias("slug"), kind.alias("archetype"))
+
+
+CONTROL_WORDS = ["agent", "instruction", "memory", "prompt", "rule", "skill", "hook", "policy", "guardrail", "permission", "approval"]
+TEXT_SUFFIXES = r"\.(?:md|txt|json|toml|ya?ml)$"
+
+
+def is_candidate(path: Column, include_documents: bool = False) -> Column:
+    """Paths that a setup scan reads: control names and folders, and documents if asked for."""
+    p = F.lower(path)
+    name = F.element_at(F.split(p, "/"), -1)
+    hinted = any_word(name, CONTROL_WORDS) | F.exists(F.slice(F.split(p, "/"), 1, F.size(F.split(p, "/")) - 1), lambda d: any_word(d, CONTROL_WORDS))
+    documents = name.rlike(r"\.(?:md|txt|pdf|docx|pptx|csv)$") if include_documents else F.lit(False)
+    return (name.rlike(TEXT_SUFFIXES) & hinted) | (name.rlike(r"\.(?:py|sh)$") & any_word(p, ["hook", "validator", "guardrail"])) | documents
+
+
+JOBS = {
+    "project-instructions": "Standing project rules and context", "memory-or-standing-context": "Saved context or preferences", "skill-or-reference": "Specialist procedure, route, or reference",
+    "authority-config": "Permission or approval boundary", "deterministic-control": "Machine-checkable guardrail or finish check", "prompt": "Task or reusable prompt context",
+    "configuration": "Product or runtime configuration", "supplied-document": "Supplied project or task context", "instruction-or-reference": "Instruction or supporting reference",
+}
+
+
+def job(kind: Column) -> Column:
+    """The job of a control kind."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in JOBS.items() for x in kv])[kind], F.lit("Visible setup material"))
+
+
+def book_of_path(path: Column, aliases: dict[str, str]) -> Column:
+    """The book of the first part of a path that names one."""
+    from .guard import normalise_book
+
+    return F.get(F.filter(F.transform(F.split(path, "/"), lambda p: normalise_book(p, aliases)), lambda b: b.isNotNull()), F.lit(0))
+
+
+def unique_slugs(rows: DataFrame, text_col: str, order: str) -> DataFrame:
+    """adds `slug`, equal ones numbered -2, -3 in order."""
+    from ..functions.columns import slugify
+
+    rows = rows.withColumn("__base", slugify(F.col(text_col)))
+    n = F.row_number().over(W.partitionBy("__base").orderBy(order))
+    return rows.withColumn("slug", F.when(n > 1, F.concat("__base", F.lit("-"), n)).otherwise(F.col("__base"))).drop("__base")
+
+
+def renderings(ledgers: DataFrame) -> DataFrame:
+    """(id, version, text): four renderings of a ledger (id, title, one_sentence, ward_limit, claims); each must keep the ward limit."""
+    join = lambda sep: F.array_join("claims", sep)
+    forms = {
+        1: F.concat_ws("\n", "title", "one_sentence", "ward_limit", join("\n")), 2: F.concat_ws("\n", "one_sentence", join("; "), "ward_limit"),
+        3: F.concat_ws("\n", "title", "ward_limit", F.array_join(F.transform("claims", lambda c: F.concat(F.lit("- "), c)), "\n")), 4: F.concat_ws(" / ", "title", "one_sentence", "ward_limit"),
+    }
+    rows = ledgers.select("id", "ward_limit", F.explode(F.array(*[F.struct(F.lit(k).alias("version"), t.alias("text")) for k, t in forms.items()])).alias("f"))
+    return rows.select("id", "f.version", "f.text", F.contains("f.text", F.col("ward_limit")).alias("kept"))

@@ -101,3 +101,24 @@ def contains_any(rows: DataFrame, cols: list[str], query: str, k: int, order: st
 def budget(c, n: int):
     """A text held to n words, with whether it was cut."""
     return F.struct(first_words(c, n).alias("text"), (F.size(words_of(c)) > n).alias("cut"))
+
+
+def first_or_random(rows: DataFrame, test, order: str, seed: int = 7) -> DataFrame:
+    """The first row that passes, else one drawn by a seeded hash of its order, the same in every run."""
+    kept = rows.withColumn("__rank", F.when(test, F.struct(F.lit(0).alias("k"), F.lit(0).cast("bigint").alias("h"))).otherwise(F.struct(F.lit(1).alias("k"), F.xxhash64(F.lit(seed), F.col(order)).alias("h"))))
+    return kept.orderBy("__rank", order).limit(1).drop("__rank")
+
+
+def first_bridge(rows: DataFrame, terms: list[str], cols: list[str], order: str) -> DataFrame:
+    """The first row one of whose columns contains any term, else the first row of all."""
+    hit = any_word(F.lower(F.concat_ws(" ", *cols)), [t.lower() for t in terms])
+    return rows.orderBy(F.when(hit, 0).otherwise(1), order).limit(1)
+
+
+def fan_out(sources: dict[str, DataFrame]) -> DataFrame:
+    """The results of several sources under their names, never merged; a source without rows gives none."""
+    out = None
+    for name, rows in sources.items():
+        part = rows.withColumn("source", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out

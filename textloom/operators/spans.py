@@ -120,3 +120,20 @@ def precision(declared: DataFrame, located: DataFrame, tolerance: int = 1, floor
 def suggested(located: DataFrame, tolerance: int = 1) -> DataFrame:
     """W06 over located lines: (chunk, lo, hi, n) segments that would fit."""
     return islands(located.where("ln is not null"), "chunk", "ln", tolerance)
+
+
+def precision_summary(verdicts: DataFrame, adjudicated: DataFrame) -> DataFrame:
+    """One row of counts by verdict and of findings that are neither precise nor adjudicated false positives (doc, chunk, decision)."""
+    rows = verdicts.join(adjudicated, ["doc", "chunk"], "left")
+    open_ = (F.col("verdict") != "PRECISE") & ~F.coalesce(F.col("decision") == "CHECKER_FALSE_POSITIVE", F.lit(False))
+    names = ("PRECISE", "UNDER_INCLUSIVE", "OVER_INCLUSIVE", "UNRESOLVED")
+    return rows.agg(*[F.count_if(F.col("verdict") == v).alias(v.lower()) for v in names], F.count_if(open_).alias("open"))
+
+
+def bullet_gaps(gaps: DataFrame, lines: DataFrame) -> DataFrame:
+    """Gaps (doc, lo, hi), bounds exclusive, with whether all their lines are blank or short bullets."""
+    s = F.trim("line")
+    fine = (s == "") | s.rlike(r"^[-*]\s+\S.{0,38}$")
+    own = gaps.withColumn("ln", F.explode(F.sequence(F.col("lo"), F.col("hi")))).where("ln > lo and ln < hi")
+    got = own.join(lines.withColumn("fine", fine), ["doc", "ln"]).groupBy("doc", "lo", "hi").agg(F.every("fine").alias("bullets_only"))
+    return gaps.join(got, ["doc", "lo", "hi"], "left").withColumn("bullets_only", F.coalesce("bullets_only", F.lit(True)))

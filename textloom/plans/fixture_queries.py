@@ -180,7 +180,7 @@ def parsed_spans(spark, sf_dir):
     return raw.select("raw", spans.serialise(F.col("p.segments")).alias("text"), F.size("p.errors").alias("errors"), spans.envelope(F.col("p.segments"))["lo"].alias("lo"), spans.envelope(F.col("p.segments"))["hi"].alias("hi"))
 
 
-@query("span_precision", "W08 U18 U19 A11 A12 W09 J08")
+@query("span_precision", "W08 U18 A11 A12 J08")
 def span_precision(spark, sf_dir):
     source = lines.explode_lines(load(spark, "chapters"), "chapter", "text")
     rows = chunks.parse_chunks(load(spark, "chunk_files")).where("level = 2").withColumn("segments", spans.merge(spans.parse(F.col("source_lines"))["segments"]))
@@ -400,7 +400,8 @@ def grounded_notes(spark, sf_dir):
 
 @query("setup_inventory", "S30 P19 P20 P21 P22 P23 W22 A38 A58")
 def setup_inventory(spark, sf_dir):
-    return lint.inventory(load(spark, "paths"), 6, 4)
+    rows = lint.inventory(load(spark, "paths"), 6, 4)
+    return rows.withColumn("job", lint.job(F.col("kind"))).withColumn("candidate", lint.is_candidate(F.col("path")))
 
 
 @query("section_matches", "J13 S31 F50", "select * from (values ('Cardiovascular_Disease', 'Cardiovascular Disease.pdf'), ('01 Respiratory Medicine final', 'Respiratory Medicine.pdf'), ('Unknown thing', null), ('Heart', null)) t(folder, section)")
@@ -408,7 +409,7 @@ def section_matches(spark, sf_dir):
     return lint.match_sections(load(spark, "folders"), load(spark, "sections"))
 
 
-@query("section_states", "A39 A53 P33", with_sql("section_files") + """
+@query("section_states", "A39 A53", with_sql("section_files") + """
 select section, case when bool_or(regexp_matches(name, '_RAG_Optimised\\.md$')) then 'indexed' when bool_or(regexp_matches(name, '_chunks\\.md$')) then 'chunked' when bool_or(name = 'markdown.md') then 'ocr' when bool_or(regexp_matches(name, '(?i)\\.pdf$')) then 'split' else 'empty' end as status from section_files group by section""")
 def section_states(spark, sf_dir):
     return lint.section_status(load(spark, "section_files"))
@@ -447,18 +448,18 @@ def claim_cards(spark, sf_dir):
 ORDER_RULES = [("WARFARIN_ASPIRIN", ["warfarin", "aspirin"]), ("METFORMIN_RENAL", ["metformin", "egfr"])]
 
 
-@query("order_rules", "O19 P38", with_sql("orders") + """
+@query("order_rules", "O19", with_sql("orders") + """
 select id, text, case when contains(lower(text), 'warfarin') and contains(lower(text), 'aspirin') then 'WARFARIN_ASPIRIN' when contains(lower(text), 'metformin') and contains(lower(text), 'egfr') then 'METFORMIN_RENAL' else 'PERMITTED' end as rule from orders""")
 def order_rules(spark, sf_dir):
     return modalities.first_rule(load(spark, "orders"), ORDER_RULES, "text")
 
 
-@query("slide_roles", "P16 P18 P46")
+@query("slide_roles", "P16 P18")
 def slide_roles(spark, sf_dir):
     return load(spark, "titles").select("id", lint.slide_role(F.col("title"), F.col("body")).alias("role"), lint.slide_title(F.col("body")).alias("first"))
 
 
-@query("duplicate_slides", "J33 F31 F32")
+@query("duplicate_slides", "J33 F32")
 def duplicate_slides(spark, sf_dir):
     rows = [("d", 1, "same text here", "00ff00ff00ff00ff"), ("d", 2, "same text here", "ffffffffffffffff"), ("d", 3, "a long enough line of words to compare.", "00000000000000f0"), ("d", 4, "a long enough line of words to compare!", "00000000000000f1"), ("d", 5, "other", "123456789abcdef0")]
     return lint.duplicate_slides(spark.createDataFrame(rows, "deck string, slide int, text string, image string"))
@@ -477,7 +478,7 @@ def project_issues(spark, sf_dir):
     return lint.project_issues(load(spark, "slides"), load(spark, "scripts"))
 
 
-@query("record_search", "O01 O12 O14 O15 O18 J20", with_sql("records") + """
+@query("record_search", "O01 O12 O14 O15", with_sql("records") + """
 select record_id, 2 * (contains(lower(title), 'dengue')::int + contains(lower(title), 'gout')::int) as score from records where contains(lower(title), 'dengue') or contains(lower(title), 'gout')""")
 def record_search(spark, sf_dir):
     return retrieval.term_search(load(spark, "records"), "Dengue or gout", "title", 2, 3, "record_id").select("record_id", "score")
@@ -579,3 +580,25 @@ def compiled_index(spark, sf_dir):
     for s in sizes[1:]:
         out = out.union(s)
     return out
+
+
+@query("small_lookups", "F46 J20 O13 O18 P33 P38 A59", """
+select * from (values ('slug', 'gout'), ('slug', 'gout-2'), ('bridge', '13'), ('bridge0', '6'), ('book', 'alpha'), ('kept', '4'), ('count', '7')) t(what, value)""")
+def small_lookups(spark, sf_dir):
+    bridge = load(spark, "bridge")
+    out = lint.unique_slugs(spark.createDataFrame([(1, "Gout"), (2, "gout!")], "id int, t string"), "t", "id").select(F.lit("slug").alias("what"), F.col("slug").alias("value"))
+    out = out.union(retrieval.first_bridge(bridge, ["tropics"], ["chapter_title"], "ord").select(F.lit("bridge"), "chapter"))
+    out = out.union(retrieval.first_bridge(bridge, ["none"], ["chapter_title"], "ord").select(F.lit("bridge0"), "chapter"))
+    one = spark.range(1)
+    out = out.union(one.select(F.lit("book"), lint.book_of_path(F.lit("/x/Alpha 25th/ch"), ALIASES)))
+    ledgers = spark.createDataFrame([(1, "T", "S", "limit", ["a", "b"])], "id int, title string, one_sentence string, ward_limit string, claims array<string>")
+    out = out.union(lint.renderings(ledgers).agg(F.count_if("kept").cast("string").alias("value")).select(F.lit("kept"), "value"))
+    return out.union(one.select(F.lit("count"), audit.reported_count(F.lit("Chunks checked: 7\nx"), "Chunks checked").cast("string")))
+
+
+@query("precision_summary", "A11 A12 W09", "select * from (values (1::bigint, 1::bigint, 0::bigint, 0::bigint, 1::bigint, true)) t(precise, under_inclusive, over_inclusive, unresolved, open, bullets_only)")
+def precision_summary(spark, sf_dir):
+    verdicts = spark.createDataFrame([("d", "a", "PRECISE"), ("d", "b", "UNDER_INCLUSIVE")], "doc string, chunk string, verdict string")
+    said = spark.createDataFrame([("d", "a", "CHECKER_FALSE_POSITIVE")], "doc string, chunk string, decision string")
+    gaps = spans.bullet_gaps(spark.createDataFrame([("c1", 8, 10)], "doc string, lo int, hi int"), lines.explode_lines(load(spark, "chapters"), "chapter", "text"))
+    return spans.precision_summary(verdicts, said).withColumn("bullets_only", F.lit(gaps.first()["bullets_only"]))

@@ -130,7 +130,7 @@ def near_line_ratios(spark, sf_dir):
 
 
 @query("event_islands", "W06 W08", """
-with p as (select distinct user_id, (epoch(ts)::bigint // 3600) as hour from events),
+with p as (select distinct user_id, (epoch_us(ts) // 3600000000) as hour from events),
 o as (select *, coalesce((hour - lag(hour) over (partition by user_id order by hour) > 25)::int, 1) as opens from p),
 g as (select *, sum(opens) over (partition by user_id order by hour) as island from o)
 select user_id, min(hour) as lo, max(hour) as hi, count(*) as n from g group by user_id, island""")

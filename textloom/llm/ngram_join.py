@@ -1,12 +1,17 @@
 """Exact Jaccard self-join on word shingles by a grouped prefix filter.
 
-Documents with the same shingle set form one class. Each class posts the
-prefix of its set under a global order in which frequent shingles come last;
-two sets of similarity t or more always share a shingle of their prefixes.
-Links are wanted only as components, so a block (one shingle's postings) is
-first tied together through leaders, verified exactly; only pairs of different
-components are then looked at, all of them, so no link is lost. A block larger
-than BLOCK is dealt out in pairs of parts.
+Documents with the same shingle set form one class. Each class posts a prefix
+of its set under a global order in which frequent shingles come last, longer
+than the usual one: two similar sets then share several shingles of their
+prefixes. That allows a second cut. Among its posted shingles each class keeps
+those that the fewest classes posted, as many as a similar pair cannot both
+miss; a class that shares too little with any other keeps none.
+
+Links are wanted only as components, so blocks (the postings of one shingle)
+are first tied together through leaders, one for each block and size band, each
+link verified exactly. Only pairs of different components are then looked at,
+all of them, so no link is lost. A block larger than BLOCK is dealt out in
+pairs of parts.
 
 Sets are compared as 64-bit hashes of shingles and classes are named by a
 64-bit hash of the set with its size.
@@ -16,7 +21,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -24,8 +30,8 @@ from .components import connected_components
 from .scratch import Scratch
 
 WIDTH, NUM, DEN = 5, 75, 100
-BLOCK = 1024  #: postings of one shingle that are paired in one go
-LOCAL_COUNT = 4  #: copies of a shingle in one slice of sets that mark it as frequent
+BLOCK = 512  #: postings of one shingle that are paired in one go
+LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once that mark it as frequent
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
 FILTER_BITS = 1 << 20
 
@@ -52,31 +58,55 @@ def _take(flat: np.ndarray, begin: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _signatures(width: int):
+    """(id, size, class) of every row with kind 0; (null, copies, shingle) of locally frequent shingles with kind 1."""
+
+    def often(held):
+        own = np.sort(np.concatenate(held))
+        edge = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]]))
+        count = np.diff(edge)
+        at = np.flatnonzero(count >= LOCAL_COUNT)
+        return pa.record_batch(
+            [pa.nulls(len(at), pa.int64()), pa.array(count[at], pa.int64()), pa.array(own[edge[at]].view(np.int64)), pa.array(np.ones(len(at), np.int32))], names=["id", "n", "cls", "kind"]
+        )
+
     def run(batches):
+        held, n_held = [], 0
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
             for rows, flat, begin, cls in _sets(batch, width):
                 n = np.diff(begin)
                 yield pa.record_batch(
-                    [ids.slice(rows[0], len(rows)), pa.array(n, pa.int64()), pa.array(cls.view(np.int64)), pa.array(np.zeros(len(n), np.int32))],
-                    names=["id", "n", "cls", "kind"],
+                    [ids.slice(rows[0], len(rows)), pa.array(n, pa.int64()), pa.array(cls.view(np.int64)), pa.array(np.zeros(len(n), np.int32))], names=["id", "n", "cls", "kind"]
                 )
-                own = np.sort(_take(flat, begin, _first_rows(cls, n)))
-                edge = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])) if len(own) else np.zeros(1, np.int64)
-                count = np.diff(edge)
-                often = np.flatnonzero(count >= LOCAL_COUNT)
-                if len(often):
-                    yield pa.record_batch(
-                        [pa.nulls(len(often), pa.int64()), pa.array(count[often], pa.int64()), pa.array(own[edge[often]].view(np.int64)), pa.array(np.ones(len(often), np.int32))],
-                        names=["id", "n", "cls", "kind"],
-                    )
+                held.append(_take(flat, begin, _first_rows(cls, n)))
+                n_held += len(held[-1])
+                if n_held > LOCAL:
+                    yield often(held)
+                    held, n_held = [], 0
+        if n_held:
+            yield often(held)
 
     return run
 
 
+def spare(n):
+    """Shingles that the prefixes of two similar sets, the smaller of size n, share at least."""
+    return 1 + n // 12
+
+
+def need(n, num: int, den: int):
+    """Shingles that a set of n shares with any similar one at least; also the least size of one."""
+    return (n * num + den - 1) // den
+
+
 def prefix_length(n, num: int, den: int):
-    """Shingles of a set of n that two sets of the similarity cannot both miss."""
-    return n - (n * num + den - 1) // den + 1
+    return np.minimum(n, n - need(n, num, den) + spare(n))
+
+
+def _sql(num: int, den: int, n: str = "n") -> tuple[str, str]:
+    """SQL of a size's prefix length, and of the shingles that prefixes share whatever the other's size."""
+    least = f"(({n} * {num} + {den - 1}) div {den})"
+    return f"least({n}, {n} - {least} + 1 + {n} div 12)", f"(1 + {least} div 12)"
 
 
 def _postings(width: int, num: int, den: int, frequent):
@@ -138,61 +168,47 @@ def _groups(batches, keys: int):
         yield kept, np.array([0, len(kept[0])])
 
 
-def _leaders(num: int, den: int):
-    """Postings that are not alone in their block, each with the leader that its size allows."""
-
-    def run(batches):
-        for (s, salt, n, cls), starts in _groups(batches, 2):
-            same = np.zeros(len(s), dtype=bool)
-            same[1:] = (cls[1:] == cls[:-1]) & (n[1:] == n[:-1])
-            same[starts[:-1]] = False
-            group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[~same]
-            s, salt, n, cls = s[~same], salt[~same], n[~same], cls[~same]
-            count = np.bincount(group, minlength=len(starts) - 1)
-            keep = (count[group] > 1) | (salt > 0)
-            if not keep.any():
-                continue
-            s, n, cls, group = s[keep], n[keep].astype(np.int64), cls[keep], group[keep]
-            starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-            size = np.diff(np.concatenate([starts, [len(s)]]))
-            lead = np.repeat(starts, size)
-            for g in np.flatnonzero(n[starts + size - 1] * num > n[starts] * den):
-                a, b = starts[g], starts[g] + size[g]
-                while True:
-                    a2 = a + int(np.searchsorted(n[a:b] * num, n[a] * den, "right"))
-                    lead[a:a2] = a
-                    if a2 >= b:
-                        break
-                    a = a2
-            yield pa.record_batch(
-                [pa.array(s), pa.array(cls), pa.array(n), pa.array(cls[lead]), pa.array(n[lead])], names=["s", "cls", "n", "lead", "lead_n"]
-            )
-
-    return run
+def _shared(batches):
+    """Postings that are not alone in their block."""
+    for (s, salt, n, cls), starts in _groups(batches, 2):
+        same = np.zeros(len(s), dtype=bool)
+        same[1:] = (cls[1:] == cls[:-1]) & (n[1:] == n[:-1])
+        same[starts[:-1]] = False
+        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[~same]
+        count = np.bincount(group, minlength=len(starts) - 1)
+        keep = np.flatnonzero(~same)[(count[group] > 1) | (salt[~same] > 0)]
+        if len(keep):
+            yield pa.record_batch([pa.array(s[keep]), pa.array(n[keep].astype(np.int64)), pa.array(cls[keep])], names=["s", "n", "cls"])
 
 
 def _cross(num: int, den: int):
-    """Pairs of one block that lie in different components and whose sizes allow a link."""
+    """Distinct pairs of a task's blocks that lie in different components and that sizes and ranks allow to link.
 
-    def flush(found):
-        a, b, na, nb = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((b, a))
-        a, b, na, nb = a[order], b[order], na[order], nb[order]
-        edge = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        c = np.diff(np.concatenate([edge, [len(a)]]))
-        return pa.record_batch([pa.array(x[edge]) for x in (a, b, na, nb)] + [pa.array(c)], names=["a", "b", "na", "nb", "c"])
+    Two similar sets share so many shingles of their prefixes; the first of them in the order has the
+    others behind it, so its rank in either prefix is bounded.
+    """
+
+    def allowed(n, m, r, q):
+        n, m, r, q = n[:, None], m[None, :], r[:, None], q[None, :]
+        p, t = prefix_length(n, num, den), prefix_length(m, num, den)
+        alpha = ((n + m) * num + num + den - 1) // (num + den)
+        both = np.maximum(spare(np.minimum(n, m)), alpha - np.maximum(n - p, m - t))
+        return (np.minimum(n, m) * den >= np.maximum(n, m) * num) & (r <= p - both) & (q <= t - both)
 
     def run(batches):
         found, held = [], 0
+
+        def flush():
+            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)], 1), axis=0)
+            return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
         for cols, starts in _groups(batches, 3):
             for x, y in zip(starts[:-1], starts[1:]):
-                _, i, j, cls, n, comp, part = (c[x:y] for c in cols)
+                _, i, j, cls, n, comp, part, rank = (c[x:y] for c in cols)
                 one = i[0] == j[0]
                 left = np.arange(len(cls)) if one else np.flatnonzero(part == i[0])
                 right = left if one else np.flatnonzero(part == j[0])
-                ok = (comp[left][:, None] != comp[right][None, :]) & (
-                    np.minimum(n[left][:, None], n[right][None, :]) * den >= np.maximum(n[left][:, None], n[right][None, :]) * num
-                )
+                ok = (comp[left][:, None] != comp[right][None, :]) & allowed(n[left], n[right], rank[left], rank[right])
                 p, q = np.nonzero(ok)
                 p, q = left[p], right[q]
                 if one:
@@ -200,14 +216,13 @@ def _cross(num: int, den: int):
                 if not len(p):
                     continue
                 swap = cls[p] > cls[q]
-                p, q = np.where(swap, q, p), np.where(swap, p, q)
-                found.append((cls[p], cls[q], n[p], n[q]))
+                found.append((cls[np.where(swap, q, p)], cls[np.where(swap, p, q)]))
                 held += len(p)
-                if held > 2_000_000:
-                    yield flush(found)
+                if held > 1_000_000:
+                    yield flush()
                     found, held = [], 0
         if found:
-            yield flush(found)
+            yield flush()
 
     return run
 
@@ -252,23 +267,21 @@ def _similar(num: int, den: int):
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of classes that link, their sets made anew from the text of one document each."""
-    spark = docs.sparkSession
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    ids = ends.join(classes, "cls").select("id")
+def _class_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(cls, items) of the classes wanted, made anew from the text of one document each."""
+    ids = wanted.join(classes, "cls").select("id")
     buckets = ids.mapInArrow(_buckets, "bucket long").distinct().toArrow().column(0).to_numpy()  # at most FILTER_BITS
     bits = np.zeros(FILTER_BITS, dtype=bool)
     bits[buckets] = True
-    sets = docs.mapInArrow(_wanted_sets(width, spark.sparkContext.broadcast(bits)), "cls long, items binary")
-    sets = scratch.write(sets.join(ends, "cls", "left_semi"), "sets")
-    left = sets.select(F.col("cls").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("cls").alias("b"), F.col("items").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar(num, den), "a long, b long").distinct()
+    sets = docs.mapInArrow(_wanted_sets(width, docs.sparkSession.sparkContext.broadcast(bits)), "cls long, items binary")
+    return sets.join(wanted, "cls", "left_semi")
 
 
-def _alpha(a: Column, b: Column, num: int, den: int) -> Column:
-    return F.ceil((a + b) * F.lit(num) / F.lit(num + den) - F.lit(1e-9))
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of classes that link."""
+    left = sets.select(F.col("cls").alias("a"), F.col("items").alias("x"))
+    right = sets.select(F.col("cls").alias("b"), F.col("items").alias("y"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar(num, den), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -292,32 +305,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = np.argsort(keys.view(np.uint64))
     frequent = spark.sparkContext.broadcast((keys.view(np.uint64)[order], counts[order]))
 
+    prefix, common = _sql(num, den)
     posts = with_id.mapInArrow(_postings(width, num, den, frequent), "s long, salt int, n int, cls long")
     posts = posts.repartition("s", "salt").sortWithinPartitions("s", "salt", "n", "cls")
-    posts = scratch.write(posts.mapInArrow(_leaders(num, den), "s long, cls long, n long, lead long, lead_n long"), "postings")
-
-    p = F.col("n") - F.ceil(F.col("n") * num / den) + 1
-    stars = posts.where("cls <> lead").groupBy("cls", "lead").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(F.col("c") * 4 >= p)
-    stars = scratch.write(stars.select(F.col("cls").alias("a"), F.col("lead").alias("b")), "stars")
-    links = scratch.write(_verified(stars, with_id, classes, scratch, width, num, den), "links")
-    comps = scratch.write(connected_components(links, scratch), "components")
-
-    labelled = posts.select("s", "cls", "n").join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
-    labelled = scratch.write(labelled.select("s", "cls", "n", "comp"), "labelled")
+    posts = scratch.write(posts.mapInArrow(_shared, "s long, n long, cls long"), "shared")
+    df = posts.groupBy("s").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(W.partitionBy("cls", "n").orderBy("df", "s"))
+    own = F.count("*").over(W.partitionBy("cls", "n"))  # all other shingles of the prefix are the class' alone
+    kept = posts.join(df, "s").where("df > 1").withColumn("rank", rank).withColumn("own", own)
+    kept = kept.where(F.expr(f"rank <= own - {common} + 1")).select("s", "cls", "n", F.expr(f"{prefix} - own + rank - 1").alias("rank"), F.expr(f"own / {prefix}").alias("common"))
+    kept = scratch.write(kept, "kept")
+    scratch.drop(posts)
+    sets = scratch.write(_class_sets(kept.select("cls").distinct(), with_id, classes, width), "sets")
+
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    comps = docs.sparkSession.createDataFrame([], "vertex long, component long")
+    band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num)))).cast("int")
+    for leaders in (2, 4):
+        labelled = kept.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).withColumn("band", band)
+        labelled = labelled.select("s", "cls", "n", "comp", "band", "common")
+        # the class with most in common with others leads, then some at random
+        heads = [F.max_by("cls", F.struct("common", F.xxhash64("cls", F.lit(leaders)))).alias("lead0")]
+        heads += [F.min_by("cls", F.xxhash64("cls", F.lit(10 * leaders + r))).alias(f"lead{r}") for r in range(1, leaders)]
+        blocks = labelled.groupBy("s", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *heads).where("lo <> hi").drop("lo", "hi")
+        tied = labelled.join(blocks, ["s", "band"]).select("cls", "n", F.explode(F.array(*[f"lead{r}" for r in range(leaders)])).alias("lead"))
+        stars = tied.where("cls <> lead").groupBy("cls", "lead", "n").agg(F.count("*").alias("c")).where(F.expr(f"c * 8 >= {prefix}"))
+        more = scratch.write(_verified(stars.select(F.col("cls").alias("a"), F.col("lead").alias("b")), sets, num, den), "links")
+        links = links.union(more)
+        comps = scratch.write(connected_components(links, scratch), "components")
+        if more.isEmpty():
+            break
+
+    labelled = kept.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
+    labelled = labelled.select("s", "cls", "n", "comp", "rank")
     blocks = labelled.groupBy("s").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     parts = F.ceil(F.col("df") / BLOCK).cast("int")
     dealt = (
         labelled.join(blocks.select("s", parts.alias("parts")), "s")
         .withColumn("part", F.pmod("cls", "parts").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("s", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", "n", "comp", "part")
+        .select("s", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", "n", "comp", "part", "rank")
     )
     dealt = dealt.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j")
-    cross = dealt.mapInArrow(_cross(num, den), "a long, b long, na long, nb long, c long").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-    rest = lambda n: F.ceil(F.col(n) * num / den) - 1
-    cross = scratch.write(cross.where(F.col("c") + F.greatest(rest("na"), rest("nb")) >= _alpha(F.col("na"), F.col("nb"), num, den)).select("a", "b"), "cross")
-    more = _verified(cross, with_id, classes, scratch, width, num, den)
-    comps = connected_components(links.union(more), scratch)
+    cross = scratch.write(dealt.mapInArrow(_cross(num, den), "a long, b long").distinct(), "cross")
+    comps = connected_components(links.union(_verified(cross, sets, num, den)), scratch)
 
     named = classes.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     lowest = named.groupBy("comp").agg(F.min("id").alias("component_id"))

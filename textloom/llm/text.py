@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 2_000_000  #: bytes hashed at a time
+SLICE = 1 << 18  #: bytes hashed at a time
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -59,7 +59,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(column: pa.Array, most: int = 2 * SLICE) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 4 * SLICE) -> Iterator[tuple[int, int]]:
     """Row ranges of about `most` bytes of text, one row at least."""
     _, offsets = buffers(column)
     i, n = 0, len(column)

@@ -114,10 +114,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+NGRAM_ORACLE = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as t from documents),
+s as (select doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(t) - 3, 2)), lambda i: array_to_string(t[i:i + 4], ' ')))) as g from w where len(t) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (select c.a, c.b from c join n x on x.doc_id = c.a join n y on y.doc_id = c.b where 100 * k >= 75 * (x.n + y.n - k)),
+r(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from r join l on l.a = r.b),
+m as (select a, min(b) as component_id from r group by a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id, m.component_id = d.doc_id as kept from documents d left join n on n.doc_id = d.doc_id join m on m.a = d.doc_id"""
+
+EMBEDDING_ORACLE = """
+with recursive v as (select vec_id, label, cast(embedding as double[]) as e from embeddings where label is not null),
+u as (select *, sqrt(list_dot_product(e, e)) as z from v),
+l as (select a.vec_id as a, b.vec_id as b from u a join u b on a.label = b.label and a.vec_id <> b.vec_id where list_dot_product(a.e, b.e) / (a.z * b.z) >= 0.98),
+r(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from r join l on l.a = r.b),
+m as (select a, min(b) as component_id from r group by a), n as (select a, count(*) as n from l group by a)
+select x.vec_id, coalesce(n.n, 0) as n_links, m.component_id, m.component_id = x.vec_id as kept from embeddings x left join n on n.a = x.vec_id join m on m.a = x.vec_id"""
+
+
 def _oracles() -> dict[str, str]:
     from . import chat, line_dedup
 
-    return {"op7_line_dedup": line_dedup.oracle(), "op10_chat_format": chat.ORACLE}
+    return {"op2_ngram_jaccard": NGRAM_ORACLE, "op4_embedding_near_dedup": EMBEDDING_ORACLE, "op7_line_dedup": line_dedup.oracle(), "op10_chat_format": chat.ORACLE}
 
 
 #: No SQL where the method is a learnt model or the comparison is too slow on whole tables; tests/llm holds those against brute force.

@@ -166,6 +166,7 @@ def _groups(batches, keys: int):
             yield [c[:last] for c in cols], starts
     if kept is not None and len(kept[0]):
         yield kept, np.array([0, len(kept[0])])
+    tx.give_back()
 
 
 def _shared(batches):

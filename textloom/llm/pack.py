@@ -21,7 +21,7 @@ from .scratch import Scratch
 
 CAPACITY, END_ID = 2048, 0
 GROUP = 1 << 16  #: pieces of a packing group, about
-CACHE_BITS, POOL = 20, 8_000_000  #: pretokens and ids that a worker remembers
+CACHE_BITS, POOL = 19, 3_000_000  #: pretokens and ids that a worker remembers
 
 
 @functools.cache

@@ -7,11 +7,13 @@ of bounded size, so memory does not follow the length of a text or a batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 SLICE = 1 << 18  #: bytes hashed at a time
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -67,6 +69,14 @@ def slices(column: pa.Array, most: int = 4 * SLICE) -> Iterator[tuple[int, int]]
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on between tasks and share their executor's limit."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,10 +1,14 @@
 """Learnt operators: held-out quality on the synthetic tables, and defined results for odd rows."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from textloom.llm import decontam, langid, lm, toxicity
 from textloom.llm.queries import QUERIES
@@ -96,6 +100,35 @@ def test_language_model_without_frequent_table(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_known, round(r.score, 3), round(r.base_score, 6)) for r in lm.score(docs, learn).collect()) == one
 
 
+def test_language_model_reads_in_order(spark):
+    verse = "one small step for a man one giant leap for mankind".split()
+    turned = [verse[k:] + verse[:k] for k in range(len(verse))]
+    rows = [(i, " ".join(turned[i % len(turned)] * 3), "en") for i in range(60)]
+    rows += [(-1, " ".join(verse), "en"), (-2, " ".join(sorted(verse)), "en"), (-3, " ".join(verse[::-1]), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.score for r in lm.score(docs, F.col("doc_id") >= 0).collect()}
+    assert got[-1] > got[-2] + 3 and got[-1] > got[-3] + 3
+
+
+def parts(texts, block, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", block)
+    shape = lm.Groups(np.zeros((lm.GROUPED, 1), np.float32), np.zeros(1), np.zeros(1), np.zeros(1))
+    return list(lm._texts(pa.array(texts), shape)[-1])
+
+
+def test_language_model_contexts_do_not_depend_on_blocks(monkeypatch):
+    texts = ["Aa b  c", None, "", "one two" * 9, "\n a " + "q" * 70 + " end"]
+    whole, cut = parts(texts, 1 << 12, monkeypatch), parts(texts, 7, monkeypatch)
+    assert len(whole) == 1 and len(cut) > 9
+    assert bytes(whole[0].byte) == b"".join(w + b" " for t in texts for w in (t or "").lower().encode().split())
+    assert (whole[0].row == np.concatenate([b.row for b in cut])).all()
+    for k, c in enumerate(whole[0].contexts):
+        assert (c == np.concatenate([b.contexts[k] for b in cut])).all()
+    alone = parts(texts[3:4], 1 << 12, monkeypatch)[0]
+    assert all((c[whole[0].row == 3] == d).all() for c, d in zip(whole[0].contexts, alone.contexts))
+    assert (whole[0].match[whole[0].row == 3] == alone.match).all()
+
+
 def test_decontamination(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")

@@ -1,16 +1,17 @@
 """Language-model scores by online logistic context mixing.
 
-A text is its lower-cased words and one end. A word is coded bit by bit, its
-bytes and a closing space. Six predictors give each bit: the last one to five
-bytes (hashed slots), and the whole word so far within one group of documents
-and over all. A gate, set by how often the word so far was seen, picks the
-mixing weights, which are learnt online on words sampled from every part of the
-vocabulary with their own count left out; an adaptive map refines the mix. A
-text's probability is a mixture over the groups, so no group is given.
+A text is its lower-cased words, a space after each, and one end; it is coded in
+order, bit by bit, every byte of every word. Hashed contexts give each bit: the
+last one to five bytes, over word borders; the word so far, alone, with the
+group of documents that the words before speak for, with the previous word and
+with the previous two. A match with the last place of the same bytes in the same
+text adapts along the text. A gate, set by how sure the contexts are, picks the
+mixing weights, which are learnt online on all training rows with their own
+count left out; an adaptive map refines the mix.
 
 Counts of words, contexts and weights are gathered from all training rows on
-the executors. Frequent words' scores are broadcast, in a number that is bound;
-all others meet their documents in a join.
+the executors. For the base score frequent words' counts are broadcast, in a
+number that is bound; all others meet their documents in a join.
 """
 
 from __future__ import annotations
@@ -27,319 +28,295 @@ from . import text as tx
 from .scratch import Scratch
 
 MOST_GROUPS = 8
-DEPTH = 32  #: bytes of a word that are mixed; further ones cost 8 bits
-ORDERS = ((1, 1 << 16), (2, 1 << 18), (3, 1 << 19), (5, 1 << 20))  #: bytes of context and slots
-HEAD = 3  #: bytes by which the vocabulary is dealt out
-CHUNK = 100_000  #: words mixed at a time
-SAMPLED = 4_000  #: words of a chunk that the weights learn from
-FREQUENT = 1 << 20  #: words whose scores are broadcast
+ORDERS = (1, 2, 3, 5)  #: bytes of context
+BITS = (17, 18, 19, 19, 19, 19, 20, 20)  #: logs of the slots of each context: the orders, then four of the word so far
+FIRST = np.concatenate([[0], np.cumsum([1 << b for b in BITS])]).tolist()
+SLOTS = FIRST[-1]
+WORD, PAIR = len(ORDERS), len(ORDERS) + 2  #: the contexts whose sureness sets the gate
+GROUPED = 1 << 16  #: hashed words by which groups are told apart
+BLOCK = 1 << 17  #: bytes whose contexts are made at a time, and over which a match reaches back
+STEP = 1 << 13  #: bytes mixed at a time
+MATCH = 6  #: bytes that match
+FREQUENT = 1 << 20  #: words whose counts are broadcast
 RATE, MAP_RATE, DELTA = 0.15, 0.02, 0.05
-LEVELS, BUCKETS = 6, 24
-GATES = LEVELS * LEVELS + HEAD
-INPUTS = len(ORDERS) + 3
-SLOTS = sum(n for _, n in ORDERS)
+LEVELS, BUCKETS = 4, 24
+GATES = 2 * LEVELS * LEVELS
+INPUTS = len(BITS) + 2
 LEAST = 1e-5
 
 
 @dataclass
 class Mixer:
-    n0: np.ndarray  #: counts of zeros and ones of each slot
-    n1: np.ndarray
-    weights: np.ndarray  #: gates x inputs
+    n0: np.ndarray | None  #: counts of zeros and ones of each slot
+    n1: np.ndarray | None
+    weights: np.ndarray  #: inputs x gates
     map: np.ndarray  #: gates x buckets
     odds: np.ndarray | None = None  #: stretched prediction of each slot
 
     def settled(self) -> "Mixer":
         """The same in single precision, for scoring."""
-        odds = np.log((self.n1 + DELTA) / (self.n0 + DELTA)).astype(np.float32)
-        return Mixer(self.n0, self.n1, self.weights.astype(np.float32), self.map.astype(np.float32), odds)
+        odds = np.log((self.n1 + np.float32(DELTA)) / (self.n0 + np.float32(DELTA)))
+        return Mixer(None, None, self.weights.astype(np.float32), self.map.astype(np.float32), odds)
 
 
 def fresh(n0: np.ndarray, n1: np.ndarray) -> Mixer:
-    weights = np.full((GATES, INPUTS), 0.2)
-    weights[:, -1] = 0
+    weights = np.full((INPUTS, GATES), 0.15)
+    weights[-1] = 0
     return Mixer(n0, n1, weights, np.tile(1 / (1 + np.exp(-((np.arange(BUCKETS) + 0.5) / 1.5 - 8))), (GATES, 1)))
 
 
+@dataclass
+class Groups:
+    """What tells groups apart, and how often their texts end."""
+
+    logs: np.ndarray  #: hashed words x groups
+    prior: np.ndarray
+    go_on: np.ndarray
+    close: np.ndarray
+
+    def told(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The group that the words before speak for, at each word and at each row's end."""
+        n = np.diff(first)
+        word, row = np.zeros(len(h), np.int8), np.zeros(len(n), np.int8)
+        most, most_row = np.full(len(h), -np.inf), np.full(len(n), -np.inf)
+        slot = (h & np.uint64(GROUPED - 1)).astype(np.int64)
+        for g in range(len(self.prior)):
+            sums = np.concatenate([[0.0], np.cumsum(self.logs[slot, g], dtype=np.float64)])
+            here = self.prior[g] + sums[:-1] - np.repeat(sums[first[:-1]], n)
+            better = here > most + 1e-6
+            most[better], word[better] = here[better], g
+            here = self.prior[g] + sums[first[1:]] - sums[first[:-1]]
+            better = here > most_row + 1e-6
+            most_row[better], row[better] = here[better], g
+        return word, row
+
+
 def _words_with_counts(groups: int):
     """Distinct words of slices with their training counts by group."""
 
     def run(batches):
         for batch in batches:
             for i, j in tx.slices(batch.column(0), 8 << 20):
-                data, offsets = tx.buffers(batch.column(0).slice(i, j - i))
-                data = tx._LOWER[data]
-                starts, ends, first = tx.word_spans(data, offsets)
-                h = tx.span_hashes(data, starts, ends)
-                own, at, back = np.unique(h, return_index=True, return_inverse=True)
+                h, first = tx.words(batch.column(0).slice(i, j - i))
+                own, back = np.unique(h, return_inverse=True)
                 group = np.repeat(batch.column(1).slice(i, j - i).to_numpy(zero_copy_only=False), np.diff(first))
-                blob = data.tobytes()
-                words = [blob[a:b] + b" " for a, b in zip(starts[at].tolist(), ends[at].tolist())]
                 counts = [pa.array(np.bincount(back[group == g], minlength=len(own)).astype(np.int64)) for g in range(groups)]
-                yield pa.record_batch([pa.array(own.view(np.int64)), pa.array(words, pa.binary()), *counts], names=["h", "w", *[f"c{g}" for g in range(groups)]])
+                yield pa.record_batch([pa.array(own.view(np.int64)), *counts], names=["h", *[f"c{g}" for g in range(groups)]])
 
     return run
 
 
-class Chunk:
-    """Sorted words as a matrix of bytes, with their counts."""
-
-    def __init__(self, words: list[bytes], counts: np.ndarray):
-        size = np.array([len(w) for w in words])
-        self.size = np.minimum(size, DEPTH)
-        self.over = np.maximum(size - DEPTH, 0)
-        self.bytes = np.frombuffer(b"".join(w[:DEPTH].ljust(DEPTH, b"\0") for w in words), np.uint8).reshape(len(words), DEPTH)
-        self.counts = np.concatenate([counts, counts.sum(1, keepdims=True)], 1).astype(np.float32)
-        x = self.bytes[1:] ^ self.bytes[:-1]
-        at = (x != 0).argmax(1)
-        value = x[np.arange(len(x)), at]
-        lead = 8 - np.ceil(np.log2(np.maximum(value, 1).astype(float) + 0.5)).astype(np.int64)
-        self.common = np.concatenate([[-1], np.where(value == 0, 8 * DEPTH, 8 * at + np.clip(lead, 0, 7))])
-
-    def history(self, lanes: np.ndarray, d: int) -> np.ndarray:
-        """The last bytes before byte d, spaces before the word."""
-        h = np.zeros(len(lanes), np.uint64)
-        for k in range(ORDERS[-1][0], 0, -1):
-            h = h << np.uint64(8) | (self.bytes[lanes, d - k].astype(np.uint64) if d >= k else np.uint64(0x20))
-        return h
-
-
-def _slots(history: np.ndarray, group: np.ndarray | int, node: np.ndarray) -> list[np.ndarray]:
-    """The slot of each order for a partial byte (node, led by a one)."""
-    out, base = [], 0
-    own = (np.asarray(node, np.uint64) | np.asarray(group, np.uint64) << np.uint64(9)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    for k, size in ORDERS:
-        key = ((history & np.uint64((1 << 8 * k) - 1)) + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
-        key = (key ^ key >> np.uint64(29) ^ own) * np.uint64(0xBF58476D1CE4E5B9)
-        out.append((key >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64) + base)
-        base += size
-    return out
-
-
-def _chunks(batches, groups: int):
-    """Chunks of sorted words (h, w, counts...), cut only where the first HEAD bytes change."""
-    held, n = [], 0
-    for batch in batches:
-        if not len(batch):
-            continue
-        held.append(batch)
-        n += len(batch)
-        if n >= CHUNK:
-            table = pa.Table.from_batches(held).combine_chunks()
-            w = table.column(1).to_pylist()
-            cut = n - 1
-            while cut > 0 and w[cut][:HEAD] == w[n - 1][:HEAD]:
-                cut -= 1
-            if cut:
-                yield table.column(0).to_numpy()[: cut + 1], w[: cut + 1], np.stack([table.column(2 + g).to_numpy()[: cut + 1] for g in range(groups)], 1)
-                held, n = table.slice(cut + 1).to_batches(), n - cut - 1
-    if held:
-        table = pa.Table.from_batches(held).combine_chunks()
-        yield table.column(0).to_numpy(), table.column(1).to_pylist(), np.stack([table.column(2 + g).to_numpy() for g in range(groups)], 1)
-
-
-def _contexts(groups: int):
-    """Zeros and ones seen in each slot by the words of a task."""
+@dataclass
+class Block:
+    row: np.ndarray  #: of each byte
+    byte: np.ndarray
+    match: np.ndarray  #: 256 and the byte that a match expects, or 0
+    contexts: list[np.ndarray]
+
+    def steps(self, size: int = STEP):
+        """For each bit of some bytes at a time: the bytes' range, bit, slots and expected bit (1, -1 or 0 for none)."""
+        for i in range(0, len(self.byte), size):
+            j = min(i + size, len(self.byte))
+            byte, match = self.byte[i:j].astype(np.int64), self.match[i:j]
+            for b in range(8):
+                bit, node = byte >> (7 - b) & 1, 1 << b | byte >> (8 - b)
+                own = node.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+                slots = [((c[i:j] + own) >> np.uint64(64 - n)).astype(np.int64) + f for c, n, f in zip(self.contexts, BITS, FIRST)]
+                yield i, j, bit, slots, np.where(match >> (8 - b) == node, 2 * (match >> (7 - b) & 1) - 1, 0)
+
+
+def _blocks(data: np.ndarray, offsets: np.ndarray, spans, h: np.ndarray, group: np.ndarray):
+    """Blocks of the texts of a slice, in order. Bytes before a row read as spaces."""
+    starts, ends, first = spans
+    if not len(starts):
+        return
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    same = row[1:] == row[:-1]
+    before = np.concatenate([np.zeros(1, np.uint64), np.where(same, h[:-1], np.uint64(0))])
+    older = np.concatenate([np.zeros(1, np.uint64), np.where(same, before[:-1], np.uint64(0))])
+    both = tx.mix(before * np.uint64(3) + tx.mix(older + np.uint64(1)))
+    size = ends - starts + 1
+    at = np.concatenate([[0], np.cumsum(size)])
+    begin = at[first[:-1]]
+    power, inverse = tx._powers(BLOCK + 1)
+    tail, held = np.full(8, 0x20, np.uint8), np.zeros(1, np.uint64)  # the bytes before the block; the sum of the word so far
+    for lo in range(0, int(at[-1]), BLOCK):
+        hi = min(lo + BLOCK, int(at[-1]))
+        n, w0, w1 = hi - lo, int(np.searchsorted(at, lo, "right")) - 1, int(np.searchsorted(at, hi))
+        edges = np.clip(at[w0 : w1 + 1], lo, hi)
+        w = np.repeat(np.arange(w0, w1), np.diff(edges))
+        off = np.arange(lo, hi) - at[w]
+        byte = np.where(off == size[w] - 1, 0x20, data[np.minimum(starts[w] + off, len(data) - 1)]).astype(np.uint8)
+        deep = np.arange(lo, hi) - begin[row[w]]
+        run = np.concatenate([tail, byte])
+        history = np.zeros(n, np.uint64)
+        for k in range(8, 0, -1):
+            history = history << np.uint64(8) | np.where(deep >= k, run[8 - k : 8 - k + n], 0x20).astype(np.uint64)
+        tail = run[n:]
+
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tx._TABLE[byte] * power[:n], dtype=np.uint64)])
+        s = np.maximum(at[w] - lo, 0)
+        so_far = (sums[:-1] - sums[s]) * inverse[s]
+        part = at[w0] - lo < 0  # the first word began in an earlier block
+        more = int(edges[1] - lo) if part else 0
+        shift = np.uint64(pow(int(tx._BASE), int(lo - at[w0]), 1 << 64)) if part else np.uint64(1)
+        so_far[:more] = held + so_far[:more] * shift
+        last = max(int(at[w1 - 1]) - lo, 0)
+        ahead = (sums[n:] - sums[last]) * inverse[last]
+        held = held + ahead * shift if part and w1 - 1 == w0 else ahead
+
+        contexts = [tx.mix((history & np.uint64((1 << 8 * k) - 1)) + np.uint64(k << 56)) for k in ORDERS]
+        so_far = tx.mix(so_far + off.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        contexts += [so_far, tx.mix(so_far + group[w].astype(np.uint64) + np.uint64(1)), tx.mix(so_far ^ before[w] * np.uint64(5)), tx.mix(so_far + both[w])]
+        key = tx.mix((history & np.uint64((1 << 8 * MATCH) - 1)) + (row[w].astype(np.uint64) << np.uint64(48)))
+        order = np.argsort(key, kind="stable")
+        again = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+        match = np.zeros(n, np.int64)
+        match[order[again + 1]] = 256 + byte[order[again]].astype(np.int64)
+        match[deep < MATCH] = 0
+        yield Block(row[w], byte, match, contexts)
+
+
+def _texts(column: pa.Array, shape: Groups):
+    """Words' hashes and rows of a slice, groups told at words and row ends, and the blocks."""
+    data, offsets = tx.buffers(column)
+    data = tx._LOWER[data]
+    spans = tx.word_spans(data, offsets)
+    h = tx.span_hashes(data, spans[0], spans[1])
+    word, row = shape.told(h, spans[2])
+    return h, spans[2], word, row, _blocks(data, offsets, spans, h, word)
+
+
+def _contexts(shared):
+    """Zeros and ones seen in each slot by the texts of a task."""
+
+    def seen(total):
+        at = np.flatnonzero((total[::2] > 0) | (total[1::2] > 0))
+        for k in range(0, len(at), 1 << 18):
+            some = at[k : k + (1 << 18)]
+            yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[2 * some].astype(np.int64)), pa.array(total[2 * some + 1].astype(np.int64))], names=["slot", "n0", "n1"])
 
     def run(batches):
-        total = np.zeros(2 * SLOTS)
-        for _, words, counts in _chunks(batches, groups):
-            c = Chunk(words, counts)
-            for g in range(groups):
-                seen = np.flatnonzero(c.counts[:, g] > 0)
-                for d in range(DEPTH):
-                    lanes = seen[c.size[seen] > d]
-                    if not len(lanes):
-                        break
-                    history, byte = c.history(lanes, d), c.bytes[lanes, d].astype(np.int64)
-                    keys, node = [], np.ones(len(lanes), np.int64)
-                    for b in range(8):
-                        bit = byte >> (7 - b) & 1
-                        keys += [2 * s + bit for s in _slots(history, g, node)]
-                        node = node << 1 | bit
-                    weight = np.tile(c.counts[lanes, g], len(keys))
-                    if len(weight) > 200_000:
-                        total += np.bincount(np.concatenate(keys), weights=weight, minlength=len(total))
-                    else:
-                        np.add.at(total, np.concatenate(keys), weight)
-        at = np.flatnonzero((total[::2] > 0) | (total[1::2] > 0))
-        yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[2 * at].astype(np.int64)), pa.array(total[2 * at + 1].astype(np.int64))], names=["slot", "n0", "n1"])
+        total, n = np.zeros(2 * SLOTS, np.uint32), 0
+        one = np.uint32(1)
+        for batch in batches:
+            for i, j in tx.slices(batch.column(0)):
+                for block in _texts(batch.column(0).slice(i, j - i), shared.value)[-1]:
+                    for _, _, bit, slots, _ in block.steps():
+                        for s in slots:
+                            np.add.at(total, 2 * s + bit, one)
+                    n += len(block.byte)
+                    if n > 1 << 28:  # before a count can run over
+                        yield from seen(total)
+                        total[:], n = 0, 0
+        yield from seen(total)
 
     return run
 
 
-_LEVELS = (2.0 ** np.arange(1, LEVELS) - 1).astype(np.float32)  #: 1, 3, 7, ... words
-
-
-def _level(n: np.ndarray) -> np.ndarray:
-    return np.searchsorted(_LEVELS, n, "right")
-
-
-def _steps(c: Chunk):
-    """For each bit: byte number, words that have it, bit, partial byte, last bytes, counts of their word so far, those followed by a one, and whether a word's bits so far differ from the word before."""
-    total = c.counts.copy()
-    for d in range(DEPTH):
-        lanes = np.flatnonzero(c.size > d)
-        if not len(lanes):
-            return
-        byte = c.bytes[lanes, d].astype(np.int64)
-        node = np.ones(len(lanes), np.int64)
-        history = c.history(lanes, d)
-        if d == HEAD:  # before, a word so far has words of other tasks; from here on its words are all here
-            starts = np.flatnonzero(c.common[lanes] < 8 * d)
-            group = np.cumsum(c.common[lanes] < 8 * d) - 1
-            total[lanes] = np.add.reduceat(c.counts[lanes], starts, axis=0)[group]
-        for b in range(8):
-            bit = byte >> (7 - b) & 1
-            new = c.common[lanes] < 8 * d + b
-            if d >= HEAD:
-                own = c.counts[lanes]
-                ones = np.add.reduceat(own * bit[:, None], np.flatnonzero(new), axis=0)[np.cumsum(new) - 1]
-                now = total[lanes]
-                yield d, lanes, bit, node, history, now, ones, new
-                total[lanes] = np.where(bit[:, None] > 0, ones, now - ones)
-            else:
-                yield d, lanes, bit, node, history, None, None, new
-            node = node << 1 | bit
-
-
-def _stretch(ones: np.ndarray, n: np.ndarray) -> np.ndarray:
-    delta = np.float32(DELTA)
-    return np.log((ones + delta) / (np.maximum(n - ones, 0) + delta))
+_SURE = np.array([0.01, 2.5, 5], np.float32)
 
 
-def _inputs(m: Mixer, d: int, group, history, node, words, leave: np.ndarray | None):
-    """Gate and stretched predictions. words: (level, stretched) of the word so far in its group and over all, from HEAD on.
-
-    `leave`, if given, is each lane's own bit, which is taken out of the slots' counts.
-    """
-    x = np.empty((len(history), INPUTS), np.float32)
-    for k, s in enumerate(_slots(history, group, node)):
-        if leave is None and m.odds is not None:
-            x[:, k] = m.odds[s]
+def _inputs(m: Mixer, slots, expected: np.ndarray, leave: np.ndarray | None):
+    """Gate and stretched predictions. `leave`, if given, is each lane's own bit, which is taken out of the slots' counts."""
+    x = np.empty((INPUTS, len(expected)), np.float32)
+    delta = np.float32(DELTA)
+    for k, s in enumerate(slots):
+        if leave is None:
+            np.take(m.odds, s, out=x[k], mode="clip")
         else:
-            n0, n1 = m.n0[s], m.n1[s]
-            if leave is not None:
-                n0, n1 = np.maximum(n0 - (1 - leave), 0), np.maximum(n1 - leave, 0)
-            x[:, k] = np.log((n1 + DELTA) / (n0 + DELTA))
-    if d < HEAD:
-        x[:, len(ORDERS) : -1] = 0
-        gate = np.full(len(history), LEVELS * LEVELS + d, np.int64)
-    else:
-        gate = words[0][0] * LEVELS + words[1][0]
-        x[:, len(ORDERS)], x[:, len(ORDERS) + 1] = words[0][1], words[1][1]
-    x[:, -1] = 0.3
-    return gate, x
+            n1 = m.n1[s] - leave
+            x[k] = np.log((np.maximum(n1, 0) + delta) / (np.maximum(m.n0[s] - (1 - leave), 0) + delta))
+    x[-2], x[-1] = 2 * expected, 0.3
+    sure = [sum((np.abs(x[k]) > v).astype(np.int64) for v in _SURE) for k in (WORD, PAIR)]
+    return (sure[0] * LEVELS + sure[1]) * 2 + (expected != 0), x
 
 
 def _predict(m: Mixer, gate: np.ndarray, x: np.ndarray):
-    dot = np.clip(np.einsum("ij,ij->i", m.weights[gate].astype(np.float32, copy=False), x), -15, 15)
+    dot = np.zeros(len(gate), np.float32)
+    for k in range(INPUTS):
+        dot += m.weights[k].astype(np.float32, copy=False)[gate] * x[k]
+    dot = np.clip(dot, -15, 15)
     mixed = 1 / (1 + np.exp(-dot))
     bucket = np.minimum(np.maximum((dot * 1.5 + 12).astype(np.int32), 0), BUCKETS - 1)
     return np.clip(0.5 * mixed + 0.5 * m.map.ravel()[gate * BUCKETS + bucket], LEAST, 1 - LEAST), mixed, bucket
 
 
-def _learnt(groups: int, shared):
-    """Mixing weights and maps learnt online on a task's words, with the number of bits behind each."""
+def _learnt(shared):
+    """Mixing weights and maps learnt online on a task's texts, with the number of bits behind each."""
 
     def run(batches):
-        n0, n1 = shared.value
-        m, power, used = fresh(n0, n1), np.full((GATES, INPUTS), 1e-4), np.zeros(GATES)
-        rng = np.random.default_rng(5)
-        for _, words, counts in _chunks(batches, groups):
-            c = Chunk(words, counts)
-            if c.counts[:, -1].sum() == 0:
-                continue
-            odds = np.cumsum(counts.ravel())
-            pick = np.searchsorted(odds, rng.integers(0, odds[-1], min(SAMPLED, int(odds[-1]))), "right")
-            lane, group = np.sort(pick) // groups, np.sort(pick) % groups
-            for d, lanes, bit, node, history, now, ones, _ in _steps(c):
-                here = np.minimum(np.searchsorted(lanes, lane), len(lanes) - 1)
-                ok = lanes[here] == lane
-                if not ok.any():
-                    break
-                here, g = here[ok], group[ok]
-                own = bit[here]
-                counts_of = [(now[here, c] - 1, ones[here, c] - own) for c in (g, -1)] if d >= HEAD else ()
-                gate, x = _inputs(m, d, g, history[here], node[here], [(_level(np.maximum(n, 0)), _stretch(o, n)) for n, o in counts_of], own)
-                _, mixed, bucket = _predict(m, gate, x)
-                n = np.bincount(gate, minlength=GATES)
-                slope = np.zeros((GATES, INPUTS))
-                for k in range(INPUTS):
-                    slope[:, k] = np.bincount(gate, weights=(own - mixed) * x[:, k], minlength=GATES)
-                slope /= np.maximum(n, 1)[:, None]
-                power += slope**2
-                m.weights += RATE * slope / np.sqrt(power) * (n > 0)[:, None]
-                cell = gate * BUCKETS + bucket
-                hits = np.bincount(cell, minlength=GATES * BUCKETS)
-                ones_there = np.bincount(cell, weights=own, minlength=GATES * BUCKETS)
-                step = 1 - (1 - MAP_RATE) ** hits
-                flat = m.map.ravel()
-                m.map = (flat + step * (ones_there / np.maximum(hits, 1) - flat) * (hits > 0)).reshape(GATES, BUCKETS)
-                used += n
+        n0, n1, shape = shared.value
+        m, power, used = fresh(n0, n1), np.full((INPUTS, GATES), 1e-4), np.zeros(GATES)
+        for batch in batches:
+            for i, j in tx.slices(batch.column(0)):
+                for block in _texts(batch.column(0).slice(i, j - i), shape)[-1]:
+                    for _, _, bit, slots, expected in block.steps():
+                        own = bit.astype(np.float32)
+                        gate, x = _inputs(m, slots, expected, own)
+                        _, mixed, bucket = _predict(m, gate, x)
+                        n = np.bincount(gate, minlength=GATES)
+                        error = own - mixed
+                        slope = np.stack([np.bincount(gate, weights=error * x[k], minlength=GATES) for k in range(INPUTS)]) / np.maximum(n, 1)
+                        power += slope**2
+                        m.weights += RATE * slope / np.sqrt(power) * (n > 0)
+                        cell = gate * BUCKETS + bucket
+                        hits = np.bincount(cell, minlength=GATES * BUCKETS)
+                        ones = np.bincount(cell, weights=own, minlength=GATES * BUCKETS)
+                        flat = m.map.ravel()
+                        m.map = (flat + (1 - (1 - MAP_RATE) ** hits) * (ones / np.maximum(hits, 1) - flat) * (hits > 0)).reshape(GATES, BUCKETS)
+                        used += n
         some = np.flatnonzero(used)
         yield pa.record_batch(
-            [pa.array(some.astype(np.int32)), pa.array(used[some]), pa.array(m.weights[some].tolist(), pa.list_(pa.float64())), pa.array(m.map[some].tolist(), pa.list_(pa.float64()))],
+            [pa.array(some.astype(np.int32)), pa.array(used[some]), pa.array(m.weights.T[some].tolist(), pa.list_(pa.float64())), pa.array(m.map[some].tolist(), pa.list_(pa.float64()))],
             names=["gate", "n", "weights", "map"],
         )
 
     return run
 
 
-def _word_costs(groups: int, shared):
-    """Count and log10 probability in each group of every word."""
-
-    def run(batches):
-        m: Mixer = shared.value
-        for hashes, words, counts in _chunks(batches, groups):
-            c = Chunk(words, counts)
-            total = np.zeros((len(words), groups))
-            for d, lanes, bit, node, history, now, ones, new in _steps(c):
-                first, place = np.flatnonzero(new), np.cumsum(new) - 1  # words with the same bits so far share a prediction
-                history, node = history[first], node[first]
-                if d >= HEAD:
-                    now, ones = now[first], ones[first]
-                    every = (_level(now[:, -1]), _stretch(ones[:, -1], now[:, -1]))
-                one = bit > 0
-                for g in range(groups):
-                    own = ((_level(now[:, g]), _stretch(ones[:, g], now[:, g])), every) if d >= HEAD else ()
-                    p, _, _ = _predict(m, *_inputs(m, d, g, history, node, own, None))
-                    total[lanes, g] += np.where(one, np.log10(p)[place], np.log10(1 - p)[place])
-            total -= 8 * math.log10(2) * c.over[:, None]
-            yield pa.record_batch(
-                [pa.array(hashes), pa.array(counts.sum(1)), *[pa.array(total[:, g]) for g in range(groups)]], names=["h", "c", *[f"s{g}" for g in range(groups)]]
-            )
-
-    return run
+def _row_scores(column: pa.Array, m: Mixer, shape: Groups) -> np.ndarray:
+    """log10 probability of each row of a slice."""
+    h, first, word, last, blocks = _texts(column, shape)
+    n = len(first) - 1
+    row = np.repeat(np.arange(n), np.diff(first))
+    out = np.bincount(row, weights=shape.go_on[word], minlength=n) + shape.close[last]
+    for block in blocks:
+        cost = np.zeros(len(block.byte))
+        for i, j, bit, slots, expected in block.steps():
+            p, _, _ = _predict(m, *_inputs(m, slots, expected, None))
+            cost[i:j] += np.log10(np.where(bit > 0, p, 1 - p))
+        out += np.bincount(block.row, weights=cost, minlength=n)
+    return out
 
 
-def _row_sums(groups: int, shared):
-    """For each row the sums over frequent words (h is null), and its other distinct words with their numbers."""
+def _row_sums(shared):
+    """For each row its score and the sums over frequent words (h is null), and its other distinct words with their numbers."""
 
     def run(batches):
-        keys, base, scores = shared.value
+        keys, base, m, shape = shared.value
+        names = ["row", "id", "bytes", "h", "n", "known", "base", "score"]
         for batch in batches:
             for i, j in tx.slices(batch.column(1)):
-                h, first = tx.words(batch.column(1).slice(i, j - i))
-                row = np.repeat(np.arange(j - i), np.diff(first))
+                n, text, ids = j - i, batch.column(1).slice(i, j - i), batch.column(0).slice(i, j - i)
+                h, first = tx.words(text)
+                row = np.repeat(np.arange(n), np.diff(first))
                 own, back = np.unique(h, return_inverse=True)
                 at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
                 hit = keys[at] == own if len(keys) else np.zeros(len(own), bool)
                 found = hit[back]
                 where, r = at[back[found]], row[found]
-                sums = [np.bincount(r, weights=v[where], minlength=j - i) for v in (base, *scores.T)] if len(r) else [np.zeros(j - i) for _ in range(groups + 1)]
-                ids = batch.column(0).slice(i, j - i)
-                known = np.bincount(r, weights=(base[where] > 0) * 1.0, minlength=j - i).astype(np.int64) if len(r) else np.zeros(j - i, np.int64)
-                n = j - i
+                sums = np.bincount(r, weights=base[where], minlength=n) if len(r) else np.zeros(n)
+                known = np.bincount(r, weights=(base[where] > 0) * 1.0, minlength=n).astype(np.int64) if len(r) else np.zeros(n, np.int64)
                 yield pa.record_batch(
-                    [ids, batch.column(2).slice(i, n), pa.array(np.diff(tx.buffers(batch.column(1).slice(i, n))[1])), pa.nulls(n, pa.int64()), pa.array(np.diff(first).astype(np.int64)), pa.array(known), *[pa.array(s) for s in sums]],
-                    names=["row", "id", "bytes", "h", "n", "known", "base", *[f"s{g}" for g in range(groups)]],
+                    [ids, batch.column(2).slice(i, n), pa.array(np.diff(tx.buffers(text)[1])), pa.nulls(n, pa.int64()), pa.array(np.diff(first).astype(np.int64)), pa.array(known), pa.array(sums), pa.array(_row_scores(text, m, shape))],
+                    names=names,
                 )
                 pair, count = np.unique(row[~found] * np.int64(max(1, len(own))) + back[~found], return_counts=True)
                 n = len(pair)
                 yield pa.record_batch(
-                    [ids.take(pa.array(pair // max(1, len(own)))), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(own[pair % max(1, len(own))].view(np.int64)), pa.array(count.astype(np.int64)), pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.float64())] * (groups + 1)],
-                    names=["row", "id", "bytes", "h", "n", "known", "base", *[f"s{g}" for g in range(groups)]],
+                    [ids.take(pa.array(pair // max(1, len(own)))), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(own[pair % max(1, len(own))].view(np.int64)), pa.array(count.astype(np.int64)), pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.float64())] * 2],
+                    names=names,
                 )
 
     return run
@@ -365,7 +342,8 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     Returns id_col, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte, a row for each input row.
     Null texts read as empty: one end. Groups are the MOST_GROUPS - 1 most frequent values of group_col in
     training rows, and the rest with nulls; they shape the model, a row's own group never enters its score.
-    Repeated rows are scored apiece. Without training rows every word costs as under even bits.
+    Repeated rows are scored apiece; the order of words counts. A match reaches back over BLOCK bytes of a text. Without training
+    rows contexts say nothing and each bit costs about as under even odds.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
@@ -383,49 +361,47 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         groups = max(1, groups - 1)
     cols = [f"c{g}" for g in range(groups)]
 
-    words = rows.select("text", "g").mapInArrow(_words_with_counts(groups), "h long, w binary, " + ", ".join(f"{c} long" for c in cols))
-    words = scratch.write(words.groupBy("h", "w").agg(*[F.sum(c).alias(c) for c in cols]), "words")
-    dealt = words.repartition(F.substring("w", 1, HEAD)).sortWithinPartitions("w")
-    slots = dealt.mapInArrow(_contexts(groups), "slot int, n0 long, n1 long").groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    words = rows.select("text", "g").mapInArrow(_words_with_counts(groups), "h long, " + ", ".join(f"{c} long" for c in cols))
+    words = scratch.write(words.groupBy("h").agg(*[F.sum(c).alias(c) for c in cols]), "words")
+    costs = words.select("h", sum(F.col(c) for c in cols).alias("c"))
+    counts = words.agg(F.sum(sum(F.col(c) for c in cols)), F.sum(F.when(sum(F.col(c) for c in cols) > 0, 1)), *[F.sum(c) for c in cols]).first()
+    learnt_rows = [ends.get(g, 0) for g in range(groups)]
+    n_ends = sum(learnt_rows)
+    n_train = (counts[0] or 0) + n_ends
+    n_types = (counts[1] or 0) + (n_ends > 0)
+    norm = math.log10(n_train + n_types + 1)
+    close = np.array([math.log10((e + 0.5) / ((counts[2 + g] or 0) + e + 1)) for g, e in enumerate(learnt_rows)])
+    prior = np.array([math.log((e + 0.5) / (n_ends + 0.5 * groups)) for e in learnt_rows])
+    hashed = words.groupBy(F.col("h").bitwiseAND(F.lit(GROUPED - 1)).cast("int").alias("k")).agg(*[F.sum(c).cast("double").alias(c) for c in cols]).toArrow()  # GROUPED rows
+    told = np.full((GROUPED, groups), 0.05)
+    told[hashed.column(0).to_numpy()] += np.stack([hashed.column(1 + g).to_numpy() for g in range(groups)], 1)
+    shape = Groups(np.log(told / told.sum(0)).astype(np.float32), prior, np.log10(1 - 10**close), close)
+
+    texts = rows.where("learn").select("text")
+    slots = texts.mapInArrow(_contexts(spark.sparkContext.broadcast(shape)), "slot int, n0 long, n1 long")
+    slots = scratch.write(slots.groupBy("slot").agg(F.sum("n0").cast("float").alias("n0"), F.sum("n1").cast("float").alias("n1")), "slots").toArrow()  # SLOTS rows
     n0, n1 = np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.float32)
     n0[slots.column(0).to_numpy()], n1[slots.column(0).to_numpy()] = slots.column(1).to_numpy(), slots.column(2).to_numpy()
+    del slots
     m = fresh(n0, n1)
-    learnt = dealt.mapInArrow(_learnt(groups, spark.sparkContext.broadcast((n0, n1))), "gate int, n double, weights array<double>, map array<double>")
+    learnt = texts.mapInArrow(_learnt(spark.sparkContext.broadcast((n0, n1, shape))), "gate int, n double, weights array<double>, map array<double>")
     learnt = scratch.write(learnt, "learnt")
-    for what, into in (("weights", m.weights), ("map", m.map)):
+    for what, into in (("weights", m.weights.T), ("map", m.map)):
         parts = learnt.select("gate", "n", F.posexplode(what).alias("k", "x")).groupBy("gate", "k").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
         for gate, k, x in parts.collect():  # gates x inputs or buckets
             into[gate, k] = x
     m = m.settled()
-    costs = dealt.mapInArrow(_word_costs(groups, spark.sparkContext.broadcast(m)), "h long, c long, " + ", ".join(f"s{g} double" for g in range(groups)))
-    costs = scratch.write(costs, "costs")
-
-    counts = words.agg(F.sum(sum(F.col(c) for c in cols)), F.sum(F.when(sum(F.col(c) for c in cols) > 0, 1)), *[F.sum(c) for c in cols]).first()
-    learnt_rows = [ends.get(g, 0) for g in range(groups)]
-    n_ends = sum(learnt_rows)
-    n_train = (counts[0] or 0) + n_ends
-    n_types = (counts[1] or 0) + (n_ends > 0)
-    norm = math.log10(n_train + n_types + 1)
-    close = [math.log10((e + 0.5) / ((counts[2 + g] or 0) + e + 1)) for g, e in enumerate(learnt_rows)]
-    go_on = [math.log10(1 - 10**x) for x in close]
-    prior = [math.log10((e + 0.5) / (n_ends + 0.5 * groups)) for e in learnt_rows]
 
     top = costs.where(F.col("c") >= _least_count(costs)).toArrow()
     keys = top.column(0).to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    table = (keys[order], np.log10(top.column(1).to_numpy()[order] + 1.0), np.stack([top.column(2 + g).to_numpy()[order] for g in range(groups)], 1).astype(np.float32) if len(keys) else np.zeros((0, groups), np.float32))
+    table = (keys[order], np.log10(top.column(1).to_numpy()[order] + 1.0), m, shape)
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "text", F.col("id").cast("long").alias("id"))
-    sums = ["base", *[f"s{g}" for g in range(groups)]]
-    schema = "row long, id long, bytes long, h long, n long, known long, " + ", ".join(f"{s} double" for s in sums)
-    pieces = scratch.write(rows.mapInArrow(_row_sums(groups, spark.sparkContext.broadcast(table)), schema), "sums")
+    schema = "row long, id long, bytes long, h long, n long, known long, base double, score double"
+    pieces = scratch.write(rows.mapInArrow(_row_sums(spark.sparkContext.broadcast(table)), schema), "sums")
     rare = pieces.where("h is not null").select("row", "h", "n").join(costs, "h")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("r_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("r_base"), *[F.sum(F.col("n") * F.col(f"s{g}")).alias(f"r_s{g}") for g in range(groups)]
-    )
-    whole = pieces.where("h is null").drop("h").join(rare, "row", "left").fillna(0)
-    logs = [F.col(f"s{g}") + F.col(f"r_s{g}") + F.col("n") * F.lit(go_on[g]) + F.lit(close[g] + prior[g]) for g in range(groups)]
-    whole = whole.withColumn("top", F.greatest(*logs) if groups > 1 else logs[0])
-    total = F.col("top") + F.log10(sum(F.pow(F.lit(10.0), x - F.col("top")) for x in logs))
+    rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("r_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("r_base"))
+    whole = pieces.where("h is null").drop("h").join(rare, "row", "left").fillna(0, ["r_known", "r_base"])
     whole = whole.select(
         F.col("id").alias(id_col),
         "bytes",
@@ -433,7 +409,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         (F.col("known") + F.col("r_known") + int(n_ends > 0)).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (F.col("base") + F.col("r_base") + F.lit(math.log10(n_ends + 1)) - (F.col("n") + 1) * F.lit(norm)).alias("base_score"),
-        total.alias("score"),
+        "score",
     )
     whole = whole.withColumn("bits_per_byte", -F.col("score") * F.lit(math.log2(10)) / F.greatest(F.col("bytes"), F.lit(1)))
     return whole.select(id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")

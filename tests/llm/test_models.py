@@ -110,6 +110,14 @@ def test_language_model_reads_in_order(spark):
     assert got[-1] > got[-2] + 3 and got[-1] > got[-3] + 3
 
 
+def test_language_model_of_long_words(spark):
+    rng = random.Random(1)
+    long = ["x" * 32 + "".join(rng.choice("abcdefghij") for _ in range(300)) for _ in range(2)]
+    docs = spark.createDataFrame([(i, long[i % 2], "en") for i in range(100)] + [(-1, long[0], "en"), (-2, "x" * 32 + "?!" * 150, "en")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.bits_per_byte for r in lm.score(docs, F.col("doc_id") >= 0).collect()}
+    assert got[-1] < 1 < got[-2]
+
+
 def parts(texts, block, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK", block)
     shape = lm.Groups(np.zeros((lm.GROUPED, 1), np.float32), np.zeros(1), np.zeros(1), np.zeros(1))

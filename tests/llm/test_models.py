@@ -69,6 +69,18 @@ def test_toxicity_of_disguised_and_odd_rows(spark):
     assert toxicity.score(docs, toxicity.train(docs, labels.limit(0))).where("score >= 0.3").count() == 0
 
 
+def test_toxicity_of_letters_spaced_apart(spark):
+    rows = [(i, f"the plain text number {i} of a man and many words " + ("you are a stupid idiot" if i % 4 == 0 else "you are a friend")) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert toxicity.restore("a i d i o t", model.costs, True) == "a idiot"
+    late = " ".join(("themanandthewords" * 6 + "idiot"))
+    new = [(1, "a i d i o t"), (2, late), (3, "y o u   a r e   i d i o t"), (4, "t h e i d"), (5, "i o t a n d"), (6, "i  d  i  o  t")]
+    new = spark.createDataFrame(new, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.score for r in toxicity.score(new, model).collect()}
+    assert min(got[i] for i in (1, 2, 3, 6)) > 0.3 > max(got[4], got[5])
+
+
 def test_language_model(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").union(odd(spark).select("doc_id", "text", "lang"))
     out = lm.score(docs, ~langid.held_out("doc_id", 7)).collect()

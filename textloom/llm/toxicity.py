@@ -64,8 +64,11 @@ def letter_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return -np.log(table / table.sum(2, keepdims=True))
 
 
-def restore(token: str, costs: np.ndarray) -> str:
-    """The likeliest plain word behind a token, by Viterbi search over its lattice; ties go to the smaller string."""
+def restore(token: str, costs: np.ndarray, split: bool = False) -> str:
+    """The likeliest plain word behind a token, by Viterbi search over its lattice; ties go to the smaller string.
+
+    With `split` a space may also be a border of words, which stays as a space.
+    """
 
     def symbol(c: str) -> int:
         return ord(c) - 96 if "a" <= c <= "z" else 27
@@ -85,6 +88,8 @@ def restore(token: str, costs: np.ndarray) -> str:
         for (a, b), (cost, out) in best.items():
             if drop:
                 offer((a, b), (cost + COST_DROP, out))
+                if split and c == " " and b:
+                    offer((b, 0), (cost + COST_DROP + costs[a, b, 0], (out, " ")))
             for x, more in choices:
                 s = symbol(x)
                 offer((b, s), (cost + more + costs[a, b, s], (out, x)))
@@ -129,6 +134,15 @@ def _suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, zero_wid
     return np.flatnonzero(some & (ends - starts <= LONGEST) & (letters[ends] - letters[starts] >= 2))
 
 
+def _runs(one: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of three or more neighbouring words of one row that are one symbol each."""
+    here = np.zeros(len(one), dtype=bool)
+    here[first[:-1][first[:-1] < len(one)]] = True
+    begin = np.flatnonzero(one & (here | ~np.concatenate([[False], one[:-1]])))
+    end = np.flatnonzero(one & np.concatenate([here[1:] | ~one[1:], [True]])) + 1 if len(one) else begin
+    return [(a, b) for a, b in zip(begin.tolist(), end.tolist()) if b - a >= 3]
+
+
 _WORDS: dict[int, dict[bytes, bytes]] = {}
 
 
@@ -149,15 +163,17 @@ def _restored(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.
             words.append(cache[token])
             at.append(k)
     one = (ends - starts == 1) & (_ALPHA[data[starts]] | _ODD[data[starts]]) if len(starts) else np.zeros(0, bool)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], one.astype(np.int8), [0]])))
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        if b - a >= 3:
-            token = b" ".join(blob[starts[k] : ends[k]] for k in range(a, min(b, a + LONGEST)))
-            if token not in cache:
-                cache[token] = restore(token.decode("utf-8", "replace"), costs).encode()
-            if cache[token]:
-                words.append(cache[token])
-                at.append(a)
+    for a, b in _runs(one, first):
+        gaps = starts[a + 1 : b] - ends[a : b - 1]
+        wide = np.flatnonzero(gaps > gaps.min()) + a + 1  # certain borders of words
+        for i, j in zip([a, *wide.tolist()], [*wide.tolist(), b]):
+            token = b" ".join(blob[starts[k] : ends[k]] for k in range(i, j))
+            if token not in cache and j - i <= LONGEST:
+                cache[token] = restore(token.decode("utf-8", "replace"), costs, True).encode()
+            found = cache[token] if token in cache else restore(token.decode("utf-8", "replace"), costs, True).encode()
+            own = found.split()
+            words += own
+            at += [i] * len(own)
     return words, (np.searchsorted(first, np.array(at, np.int64), "right") - 1).tolist()
 
 

@@ -93,3 +93,13 @@ def test_pipeline_stages(spark):
     rows = corpus_pipeline.STAGES[-1][1](spark, kept, sf).collect()
     assert {r.doc_id for r in rows} == set(seen[3])
     held(rows)
+
+
+def test_pipeline_keeps_one_whole_document_of_a_copy_group(spark):
+    copy = "\n".join(f"line {k} of the text that is copied" for k in range(8))
+    rows = [(i, "a", f"menu\nbody {i} alone\nmore {i * i}") for i in range(100)] + [(200 + i, "a", copy) for i in range(10)]
+    docs = spark.createDataFrame([(*r, len(r[2])) for r in rows], "doc_id long, source string, text string, n_chars long")
+    cut = corpus_pipeline.line_deduplication(spark, docs, "")
+    got = {r.doc_id: r.text for r in corpus_pipeline.ngram_deduplication(spark, cut, "").collect()}
+    assert [i for i in got if i >= 200] == [200] and got[200] == copy
+    assert got[3] == "body 3 alone\nmore 9"

@@ -10,31 +10,36 @@ from .scratch import Scratch
 RATIO, LEAST_PAGES = 0.02, 5
 
 
-def boilerplate(pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, once: bool = False) -> DataFrame:
     """(host, lines): the 64-bit hashes of each host's boilerplate lines.
 
     A line's pages are counted once each and before the shuffle; at most lines-per-page / ratio
-    lines of a host can pass, so the array of a host is bounded.
+    lines of a host can pass, so the array of a host is bounded. With `once` a host's pages of
+    the same text (by its 64-bit hash) count as one page.
     """
     rows = pages.select(F.col(host_col).cast("string").alias("host"), F.col(text_col).cast("string").alias("text")).where("host is not null")
-    total = rows.groupBy("host").agg(F.count("*").alias("total"))
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
-    seen = rows.select("host", F.explode(lines).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    found = rows.select("host", lines.alias("lines"), F.xxhash64("text").alias("h"))
+    if once:
+        found = Scratch(pages.sparkSession, "line-dedup").write(found.groupBy("host", "h").agg(F.first("lines").alias("lines")), "texts")
+    total = found.groupBy("host").agg(F.count("*").alias("total"))
+    seen = found.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
     often = seen.join(total, "host").where(F.col("n") > F.lit(ratio) * F.col("total"))
     return often.groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 
 def drop_boilerplate(
-    pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, once: bool = False
 ) -> DataFrame:
     """`pages` with boilerplate lines cut from the text; adds n_lines and n_dropped (replaced where they exist).
 
     A line is boilerplate on its host when least_pages or more of the host's pages, and more than
     `ratio` of them, contain it. Rows of a null host and null texts stay as they are (n_lines of a null
-    text is 0); blank lines always stay; repeated rows count as pages of their own. An empty table stays empty.
+    text is 0); blank lines always stay; repeated rows count as pages of their own, or with
+    `once` as one page, so that a large group of copies does not lose its own lines. An empty table stays empty.
     """
     scratch = Scratch(pages.sparkSession, "line-dedup")
-    found = scratch.write(boilerplate(pages, host_col, text_col, ratio, least_pages), "boilerplate")
+    found = scratch.write(boilerplate(pages, host_col, text_col, ratio, least_pages, once), "boilerplate")
     found = found.select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
     kept = pages.drop("n_lines", "n_dropped").join(found, F.col(host_col).cast("string") == F.col("__host"), "left")
     kept = kept.withColumn("__all", F.split(F.col(text_col), "\n", -1))

@@ -136,6 +136,14 @@ def parts(texts, block, monkeypatch):
     return list(lm._texts(pa.array(texts), shape)[-1])
 
 
+def test_language_model_learns_from_every_bit():
+    class Shared:
+        value = (np.zeros(lm.SLOTS, np.float32), np.zeros(lm.SLOTS, np.float32), lm.Groups(np.zeros((lm.GROUPED, 1), np.float32), np.zeros(1), np.zeros(1), np.zeros(1)))
+
+    out = list(lm._learnt(Shared)([pa.record_batch([pa.array(["ab cd " * 2000, "e"])], names=["text"])]))
+    assert sum(out[0].column(1).to_pylist()) == 8 * (6 * 2000 + 2)
+
+
 def test_language_model_contexts_do_not_depend_on_blocks(monkeypatch):
     texts = ["Aa b  c", None, "", "one two" * 9, "\n a " + "q" * 70 + " end"]
     whole, cut = parts(texts, 1 << 12, monkeypatch), parts(texts, 7, monkeypatch)

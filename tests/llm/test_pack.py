@@ -2,9 +2,12 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -37,6 +40,55 @@ def test_sum_of_squares_fills_bins():
         assert [o for o, _ in own] == [sum(s for _, s in own[:k]) for k in range(len(own))] and sum(s for _, s in own) <= 100
 
 
+def test_ids_of_strings_whose_hashes_are_weak():
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), word]
+    ids, row = pack.Encoder(tokenizer_path()).encode(pa.array(texts))
+    for k, e in enumerate(library().encode_batch(texts, add_special_tokens=False)):
+        assert ids[row[k] : row[k + 1]].tolist() == [*e.ids, 0]
+
+
+def test_ids_do_not_trust_hashes(monkeypatch):
+    monkeypatch.setattr(pack.tx, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) << np.uint64(60))
+    texts = ["one two six ten", "six one", "two ten one", "six six"]
+    encoder = pack.Encoder(tokenizer_path())
+    for _ in range(2):
+        ids, row = encoder.encode(pa.array(texts))
+        for k, e in enumerate(library().encode_batch(texts, add_special_tokens=False)):
+            assert ids[row[k] : row[k + 1]].tolist() == [*e.ids, 0]
+
+
+@pytest.mark.parametrize("weigh_new", [False, True])
+def test_sum_of_squares_equals_the_plain_rule(weigh_new):
+    rng = random.Random(4)
+    for _ in range(20):
+        capacity = rng.randint(3, 12)
+        sizes = [rng.randint(1, capacity) for _ in range(40)]
+        fill = []  # of each bin, in order of opening
+        squares = lambda: sum(n * n for n in Counter(f for f in fill if f < capacity).values())
+        bins, _ = pack.sum_of_squares(np.array(sizes), capacity, weigh_new)
+        for k, s in enumerate(sizes):
+            choices = []
+            for b in sorted({f: i for i, f in enumerate(fill)}.values()):
+                if fill[b] + s <= capacity:
+                    fill[b] += s
+                    choices.append((squares(), -fill[b]))
+                    fill[b] -= s
+            fill.append(s)
+            new = squares()
+            fill.pop()
+            level = -min(choices)[1] - s if choices and not (weigh_new and new < min(choices)[0]) else None
+            b = int(bins[k])
+            assert (b == len(fill)) == (level is None)
+            if level is None:
+                fill.append(0)
+            else:
+                assert fill[b] == level
+            fill[b] += s
+
+
 def held(rows):
     places = {}
     for r in rows:
@@ -66,6 +118,8 @@ def test_packing_query(spark):
 
 def test_packing_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 5), (1, "", 5), (None, "a b", 5), (2, "word " * 5000, 5), (3, "x" * 40_000, 5)], "doc_id long, text string, offset int")
+    named = pack.pack(pack.tokenise(docs, tokenizer_path()).withColumn("row", F.lit("own")).withColumn("offset", F.lit("own")))
+    assert {r.row for r in named.collect()} == {"own"} and dict(named.dtypes)["offset"] == "bigint"
     rows = pack.pack(pack.tokenise(docs, tokenizer_path()), group=2).collect()
     held(rows)
     assert sum(r.length for r in rows if r.doc_id == 1) == 2 and {r.piece for r in rows if r.doc_id == 2} == {0, 1, 2}

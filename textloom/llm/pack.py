@@ -20,6 +20,7 @@ from . import text as tx
 from .scratch import Scratch
 
 CAPACITY, END_ID = 2048, 0
+ROW = "__packed_row"
 GROUP = 1 << 16  #: pieces of a packing group, about
 CACHE_BITS, POOL = 19, 3_000_000  #: pretokens and ids that a worker remembers
 
@@ -92,6 +93,29 @@ class Encoder:
         self.keys = np.zeros(1 << CACHE_BITS, np.uint64)
         self.slot = np.zeros(1 << CACHE_BITS, np.int32)
         self.begin, self.size, self.pool, self.filled = np.zeros(1, np.int64), np.zeros(1, np.int32), np.zeros(1 << 16, np.uint32), 0
+        self.known, self.known_at, self.known_size, self.known_filled = np.zeros(1 << 18, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64), 0
+
+    def _same(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, word: np.ndarray, hit: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each span are those remembered for its word."""
+        size = ends - starts
+        out = hit & (self.known_size[word] == size)
+        some = np.flatnonzero(out)
+        n = size[some]
+        edge = np.concatenate([[0], np.cumsum(n)])
+        step = np.arange(edge[-1]) - np.repeat(edge[:-1], n)
+        differ = data[np.repeat(starts[some], n) + step] != self.known[np.repeat(self.known_at[word[some]], n) + step]
+        if differ.any():
+            out[some[np.searchsorted(edge, np.flatnonzero(differ), "right") - 1]] = False
+        return out
+
+    def _remember(self, blob: bytes, size: np.ndarray) -> None:
+        total = len(blob)
+        if self.known_filled + total > len(self.known):
+            self.known = np.concatenate([self.known[: self.known_filled], np.zeros(max(total, len(self.known)), np.uint8)])
+        self.known[self.known_filled : self.known_filled + total] = np.frombuffer(blob, np.uint8)
+        self.known_at = np.concatenate([self.known_at, self.known_filled + np.concatenate([[0], np.cumsum(size)[:-1]])])
+        self.known_size = np.concatenate([self.known_size, size])
+        self.known_filled += total
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids with END_ID after each row, and each row's first."""
@@ -99,16 +123,22 @@ class Encoder:
         starts, first = pretoken_starts(data, offsets)
         ends = np.concatenate([starts[1:], [len(data)]]) if len(starts) else starts
         h = tx.span_hashes(data, starts, ends) | np.uint64(1)
-        if self.filled > POOL:
+        if self.filled > POOL or self.known_filled > 4 * POOL:
             self.clear()
         at = (h >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
         word = self.slot[at].astype(np.int64)
-        lost = np.flatnonzero(self.keys[at] != h)
+        hit = self.keys[at] == h
+        lost = np.flatnonzero(~hit | ~self._same(data, starts, ends, word, hit))
         if len(lost):
-            new, where, back = np.unique(h[lost], return_index=True, return_inverse=True)
-            a, b = starts[lost[where]], ends[lost[where]]
             blob = data.tobytes()
-            ids = [self.bpe._encode_single_piece(blob[x:y]) for x, y in zip(a.tolist(), b.tolist())]
+            spans = [blob[x:y] for x, y in zip(starts[lost].tolist(), ends[lost].tolist())]
+            number: dict[bytes, int] = {}
+            back = np.fromiter((number.setdefault(x, len(number)) for x in spans), np.int64, len(spans))
+            where = np.zeros(len(number), np.int64)
+            where[back[::-1]] = np.arange(len(spans))[::-1]
+            new = h[lost[where]]
+            ids = [self.bpe._encode_single_piece(x) for x in number]
+            self._remember(b"".join(number), np.fromiter(map(len, number), np.int64, len(number)))
             size = np.fromiter(map(len, ids), np.int32, len(ids))
             total = int(size.sum())
             if self.filled + total > len(self.pool):
@@ -119,7 +149,7 @@ class Encoder:
             self.size = np.concatenate([self.size, size])
             self.filled += total
             word[lost] = base + back
-            slots = (new >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
+            slots = (new >> np.uint64(64 - CACHE_BITS)).astype(np.int64)  # of equal slots the last one stays, with its own bytes
             self.keys[slots], self.slot[slots] = new, base + np.arange(len(new))
         begin, size = np.insert(self.begin[word], first[1:], -1), np.insert(self.size[word], first[1:], 1)
         edge = np.concatenate([[0], np.cumsum(size)])
@@ -169,17 +199,25 @@ def tokenise(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     return out.withColumnRenamed("id", id_col)
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of each piece, taken in the order given."""
+def sum_of_squares(lengths: np.ndarray, capacity: int, weigh_new: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and offset of each piece, taken in the order given, where the sum of the squared counts of open bins
+    per gap becomes smallest; of equal choices the smallest gap.
+
+    A new bin is opened only for a piece that fits no open one, which on lengths in falling order leaves fewer
+    bins. With `weigh_new` a new bin is weighed as any other choice, and taken if the sum is smaller by it.
+    """
     count = np.zeros(capacity + 1, dtype=np.int64)  # open bins per gap; a full bin isn't open
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
     bins, offset, n = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), 0
     never = np.iinfo(np.int64).max
     for k, s in enumerate(lengths.tolist()):
         here = count[s:]
-        cost = np.where(here > 0, count[: len(here)] - here, never)  # half the change of the sum
-        best = int(cost.argmin()) if len(cost) else 0
-        if cost[best] == never:
+        change = 2 * (count[: len(here)] - here) + 2
+        change[:1] -= 1  # a filled bin is counted no more
+        cost = np.where(here > 0, change, never)
+        best = int(cost.argmin())
+        fresh = 2 * count[capacity - s] + 1 if s < capacity else 0
+        if cost[best] == never or (weigh_new and fresh < cost[best]):
             gap, b = capacity, n
             n += 1
         else:
@@ -214,14 +252,14 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
     No rows give no sequences; a length under 1 or over `capacity` is an error.
     """
     scratch = Scratch(pieces.sparkSession, "pack")
-    pieces = scratch.write(pieces.drop("sequence_id", "offset").withColumn("row", F.monotonically_increasing_id()), "pieces")
+    pieces = scratch.write(pieces.drop("sequence_id", "offset").withColumn(ROW, F.monotonically_increasing_id()), "pieces")
     found = pieces.agg(F.min(length_col), F.max(length_col), F.count(F.when(F.col(length_col) < capacity, 1))).first()
     if found[0] is not None and (found[0] < 1 or found[1] > capacity):
         raise ValueError(f"lengths are outside 1 to {capacity}")
     groups = -(-found[2] // group) or 1
-    small = pieces.where(F.col(length_col) < capacity).select(F.pmod(F.xxhash64("row"), F.lit(groups)).alias("grp"), "row", F.col(length_col).cast("long").alias("len"))
+    small = pieces.where(F.col(length_col) < capacity).select(F.pmod(F.xxhash64(ROW), F.lit(groups)).alias("grp"), F.col(ROW).alias("row"), F.col(length_col).cast("long").alias("len"))
     small = small.repartition("grp").sortWithinPartitions("grp", F.desc("len"), "row")
-    placed = small.mapInArrow(_placed(capacity), "row long, sequence_id long, offset long")
-    joined = pieces.where(F.col(length_col) < capacity).join(placed, "row")
-    full = pieces.where(F.col(length_col) == capacity).withColumn("sequence_id", -1 - F.col("row")).withColumn("offset", F.lit(0).cast("long"))
-    return joined.unionByName(full).drop("row")
+    placed = small.mapInArrow(_placed(capacity), "row long, sequence_id long, offset long").withColumnRenamed("row", ROW)
+    joined = pieces.where(F.col(length_col) < capacity).join(placed, ROW)
+    full = pieces.where(F.col(length_col) == capacity).withColumn("sequence_id", -1 - F.col(ROW)).withColumn("offset", F.lit(0).cast("long"))
+    return joined.unionByName(full).drop(ROW)

@@ -8,23 +8,38 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096  #: of an Arrow batch between Spark and its Python workers
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder in spark.checkpoint.dir; a temporary one only where that is unset and the driver is the whole cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _LOCAL:
         _LOCAL.append("file://" + tempfile.mkdtemp(prefix="textloom-"))
     return _LOCAL[0]
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Holds Arrow batches to BATCH_BYTES and BATCH_ROWS, so that a worker's memory does not follow the rows' size."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(BATCH_ROWS, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
 class Scratch:
-    """Tables written below the shared folder; drop() removes one no longer read."""
+    """Tables written below the shared folder; drop() removes one no longer read, and the end of the application the rest."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        bounded_batches(spark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1

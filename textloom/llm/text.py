@@ -13,13 +13,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+_LIBC = ctypes.CDLL(None)
+_TRIM = getattr(_LIBC, "malloc_trim", None)
+if hasattr(_LIBC, "mallopt"):
+    _LIBC.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD: large arrays go back to the system as soon as they are freed
 SLICE = 1 << 18  #: bytes hashed at a time
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_PRIME, _POINT = np.uint64((1 << 31) - 1), 1_358_272_097  #: the second lane's modulus, and where it evaluates
 _POW: list[np.ndarray] = []
 
 
@@ -34,20 +38,41 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _TABLE = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _BASE)
+_SMALL = _TABLE >> np.uint64(34)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo 2^31 - 1, for x below 2^62."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _residues(base: int, n: int) -> np.ndarray:
+    """Powers of base modulo 2^31 - 1, by doubling."""
+    out = np.ones(n, dtype=np.uint64)
+    k = 1
+    while k < n:
+        m = min(k, n - k)
+        out[k : k + m] = _reduced(out[:m] * np.uint64(pow(base, k, int(_PRIME))))
+        k += m
+    return out
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of both lanes' points and of their inverses."""
     if not _POW or len(_POW[0]) < n:
-        inverse = pow(int(_BASE), -1, 1 << 64)
+        size = max(n, SLICE + 4096)
         out = []
-        for base in (int(_BASE), inverse):
-            p = np.full(max(n, SLICE + 4096), base, dtype=np.uint64)
+        for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+            p = np.full(size, base, dtype=np.uint64)
             p[0] = 1
             out.append(np.cumprod(p))
-        if len(out[0]) > 4 * SLICE:
-            return out[0], out[1]
+        out += [_residues(_POINT, size), _residues(pow(_POINT, -1, int(_PRIME)), size)]
+        if size > 4 * SLICE:
+            return out
         _POW[:] = out
-    return _POW[0], _POW[1]
+    return _POW
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -96,17 +121,26 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPAC
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes; spans are sorted and do not overlap."""
+    """A 64-bit hash of each span of bytes; spans are sorted and do not overlap.
+
+    Two polynomials of the bytes are mixed: one modulo 2^64, and one modulo a prime, as the first alone
+    lets strings of a regular shape coincide.
+    """
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE, "right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
-        power, inverse = _powers(hi - lo + 1)
+        power, inverse, residue, unresidue = _powers(hi - lo + 1)
+        own = data[lo:hi]
         sums = np.zeros(hi - lo + 1, dtype=np.uint64)
-        np.cumsum(_TABLE[data[lo:hi]] * power[: hi - lo], out=sums[1:])
+        np.cumsum(_TABLE[own] * power[: hi - lo], out=sums[1:])
         a, b = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
+        first = (sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)
+        # a sum of fewer than 2^31 residues stays below 2^62
+        part = _SMALL[own] * residue[: hi - lo]
+        np.cumsum((part & _PRIME) + (part >> np.uint64(31)), out=sums[1:])
+        out[i:j] = mix(first ^ mix(_reduced(_reduced(sums[b] - sums[a]) * unresidue[a])))
         i = j
     return out
 

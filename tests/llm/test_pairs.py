@@ -75,6 +75,57 @@ def test_ngram_join_of_nothing_and_null_ids(spark):
     assert [r.component_id for r in ngram_join.near_duplicates(rows).collect() if r.doc_id is None] == [None]
 
 
+def test_ngram_join_tells_apart_what_a_weak_hash_does_not(spark):
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, word.translate(str.maketrans("ab", "ba")))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in ngram_join.near_duplicates(docs).collect()) == [(1, 1), (2, 2)]
+
+
+def test_groups_of_one_prefix_are_expanded_and_verified(spark, monkeypatch):
+    """Sets whose prefixes coincide by force: the whole table is a few groups, whose members link or not."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    plain = ngram_join._postings
+
+    def few(width, num, den, frequent):
+        def run(batches):
+            for b in plain(width, num, den, frequent)(batches):
+                member = np.asarray(b.column(1)) == ngram_join.MEMBER
+                n = np.asarray(b.column(2))
+                yield ngram_join.pa.record_batch([np.where(member, np.asarray(b.column(0)), n.astype(np.int64)), np.where(member, -1, 0).astype(np.int32), n, n.astype(np.int64)], names=["s", "salt", "n", "grp"])
+
+        return run
+
+    rng = random.Random(9)
+    texts = []
+    for _ in range(6):
+        base = [f"w{rng.randrange(300)}" for _ in range(60)]
+        for _ in range(7):
+            copy = list(base)
+            copy[rng.randrange(60)] = f"x{rng.randrange(300)}"
+            texts.append(" ".join(copy))
+    rows = list(enumerate(texts + texts[:5]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = {i: sets(t) for i, t in rows}
+    sizes = {len(s) for s in own.values()}
+    expected = components(own, [(a, b) for a in own for b in own if a < b and len(own[a]) == len(own[b]) and 100 * len(own[a] & own[b]) >= 75 * len(own[a] | own[b])])
+    monkeypatch.setattr(ngram_join, "_postings", few)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert len(sizes) <= 6 and got == expected and len(set(got.values())) > 5
+
+
+def test_keep_one_tells_rows_apart(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "ABC"}
+    rows = [(1, text["A"]), (5, text["A"]), (5, text["B"]), (9, text["B"] + " x"), (7, text["C"]), (7, text["C"]), (None, text["C"]), (None, "lone words"), (3, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, "q") for i, t in rows], "doc_id long, text string, id string")
+    got = ngram_join.keep_one(docs)
+    assert got.columns == docs.columns
+    found = sorted(((r.doc_id or 0), (r.text or "")[:2]) for r in got.collect())
+    assert found == sorted([(1, "A0"), (5, "B0"), (7, "C0"), (0, "lo"), (3, ""), (3, "")])
+    assert ngram_join.keep_one(docs.limit(0)).collect() == []
+
+
 def test_embeddings_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "PART", 32)
     rng = np.random.default_rng(2)

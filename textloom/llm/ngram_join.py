@@ -1,20 +1,23 @@
 """Exact Jaccard self-join on word shingles by a grouped prefix filter.
 
-Documents with the same shingle set form one class. Each class posts a prefix
-of its set under a global order in which frequent shingles come last, longer
-than the usual one: two similar sets then share several shingles of their
-prefixes. That allows a second cut. Among its posted shingles each class keeps
-those that the fewest classes posted, as many as a similar pair cannot both
-miss; a class that shares too little with any other keeps none.
-
-Links are wanted only as components, so blocks (the postings of one shingle)
-are first tied together through leaders, one for each block and size band, each
-link verified exactly. Only pairs of different components are then looked at,
-all of them, so no link is lost. A block larger than BLOCK is dealt out in
-pairs of parts.
-
-Sets are compared as 64-bit hashes of shingles and classes are named by a
-64-bit hash of the set with its size.
+Documents with the same shingle set form one class, and classes of the same size
+whose prefixes are identical form one group. A prefix is the head of a set under a
+global order in which frequent shingles come last, longer than the usual one: two
+similar sets then share several shingles of their prefixes. Groups, not
+documents, post their prefixes. That allows a second cut. Among its posted
+shingles each group keeps those that the fewest groups posted, as many as a
+similar pair cannot both miss; a group that shares too little with any other
+keeps none.
+
+Links are wanted only as components, so blocks (the postings of one shingle, or
+the classes of one group) are first tied together through leaders, one for each
+block and size band, each link verified exactly. Then all pairs of groups that lie
+in different components and that sizes and ranks allow are expanded to pairs of
+their classes, and verified, so no link is lost. A block larger than BLOCK is
+dealt out in pairs of parts.
+
+Sets are compared as 64-bit hashes of shingles; classes and groups are named by a
+64-bit hash of the set or prefix with the set's size.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ BLOCK = 512  #: postings of one shingle that are paired in one go
 LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once that mark it as frequent
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
 FILTER_BITS = 1 << 20
+ROW = "__joined_row"
+MEMBER = -1  #: the salt of rows that name a class' group
 
 
 def _sets(batch: pa.RecordBatch, width: int):
@@ -109,13 +114,21 @@ def _sql(num: int, den: int, n: str = "n") -> tuple[str, str]:
     return f"least({n}, {n} - {least} + 1 + {n} div 12)", f"(1 + {least} div 12)"
 
 
+def _name(items: np.ndarray, size: int) -> int:
+    """A hash of a set of shingles, in any order, and a size."""
+    with np.errstate(over="ignore"):
+        return int(tx.mix(np.atleast_1d(tx.mix(items ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64) ^ (np.uint64(size) << np.uint64(40))))[0].view(np.int64))
+
+
 def _postings(width: int, num: int, den: int, frequent):
+    """(s, salt, n, grp) for each shingle of a class' prefix, and the class' group as (class, MEMBER, n, grp)."""
+
     def run(batches):
         keys, counts = frequent.value
         for batch in batches:
             for _, flat, begin, cls in _sets(batch, width):
                 size = np.diff(begin)
-                out, who = [], []
+                out, who, grp = [], [], []
                 for r in _first_rows(cls, size):
                     s = flat[begin[r] : begin[r + 1]]
                     p = int(prefix_length(len(s), num, den))
@@ -130,19 +143,25 @@ def _postings(width: int, num: int, den: int, frequent):
                             s = rare
                     out.append(s[:p])
                     who.append(r)
+                    grp.append(_name(s[:p], int(size[r])))
                 if not out:
                     continue
-                n, who, flat = np.array([len(x) for x in out]), np.array(who), np.concatenate(out)
+                n, who, grp, flat = np.array([len(x) for x in out]), np.array(who), np.array(grp, np.int64), np.concatenate(out)
+                edge = np.unique(grp, return_index=True)[1]  # groups of several classes post once in a slice
+                once = np.zeros(len(who), dtype=bool)
+                once[edge] = True
+                flat = flat[np.repeat(once, n)]
+                of, sizes = np.repeat(grp[once], n[once]), np.repeat(size[who][once], n[once])
                 salt = np.zeros(len(flat), np.int32)
-                of = np.repeat(cls[who], n)
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
                     parts = np.where(keys[at] == flat, counts[at] // BLOCK + 1, 1).astype(np.uint64)
-                    salt = np.where(parts > 1, 1 + of % parts, 0).astype(np.int32)
+                    salt = np.where(parts > 1, 1 + of.view(np.uint64) % parts, 0).astype(np.int32)
                 yield pa.record_batch(
-                    [pa.array(flat.view(np.int64)), pa.array(salt), pa.array(np.repeat(size[who], n).astype(np.int32)), pa.array(of.view(np.int64))],
-                    names=["s", "salt", "n", "cls"],
-                )
+                    [pa.array(np.concatenate([flat.view(np.int64), cls[who].view(np.int64)])), pa.array(np.concatenate([salt, np.full(len(who), MEMBER, np.int32)])),
+                     pa.array(np.concatenate([sizes, size[who]]).astype(np.int32)), pa.array(np.concatenate([of, grp]))],
+                    names=["s", "salt", "n", "grp"],
+                )
 
     return run
 
@@ -170,20 +189,20 @@ def _groups(batches, keys: int):
 
 
 def _shared(batches):
-    """Postings that are not alone in their block."""
-    for (s, salt, n, cls), starts in _groups(batches, 2):
+    """Postings that are not alone in their block, and each class' group once."""
+    for (s, salt, n, grp), starts in _groups(batches, 2):
         same = np.zeros(len(s), dtype=bool)
-        same[1:] = (cls[1:] == cls[:-1]) & (n[1:] == n[:-1])
+        same[1:] = (grp[1:] == grp[:-1]) & (n[1:] == n[:-1])
         same[starts[:-1]] = False
         group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[~same]
         count = np.bincount(group, minlength=len(starts) - 1)
-        keep = np.flatnonzero(~same)[(count[group] > 1) | (salt[~same] > 0)]
+        keep = np.flatnonzero(~same)[(count[group] > 1) | (salt[~same] != 0)]
         if len(keep):
-            yield pa.record_batch([pa.array(s[keep]), pa.array(n[keep].astype(np.int64)), pa.array(cls[keep])], names=["s", "n", "cls"])
+            yield pa.record_batch([pa.array(s[keep]), pa.array(n[keep].astype(np.int64)), pa.array(grp[keep]), pa.array(salt[keep] == MEMBER)], names=["s", "n", "grp", "member"])
 
 
 def _cross(num: int, den: int):
-    """Distinct pairs of a task's blocks that lie in different components and that sizes and ranks allow to link.
+    """Distinct pairs of groups of a task's blocks that are not all in one component and that sizes and ranks allow to link.
 
     Two similar sets share so many shingles of their prefixes; the first of them in the order has the
     others behind it, so its rank in either prefix is bounded.
@@ -205,23 +224,25 @@ def _cross(num: int, den: int):
 
         for cols, starts in _groups(batches, 3):
             for x, y in zip(starts[:-1], starts[1:]):
-                _, i, j, cls, n, comp, part, rank = (c[x:y] for c in cols)
+                _, i, j, grp, n, lo, hi, part, rank = (c[x:y] for c in cols)
                 one = i[0] == j[0]
-                left = np.arange(len(cls)) if one else np.flatnonzero(part == i[0])
+                left = np.arange(len(grp)) if one else np.flatnonzero(part == i[0])
                 right = left if one else np.flatnonzero(part == j[0])
-                ok = (comp[left][:, None] != comp[right][None, :]) & allowed(n[left], n[right], rank[left], rank[right])
-                p, q = np.nonzero(ok)
-                p, q = left[p], right[q]
-                if one:
-                    p, q = p[cls[p] < cls[q]], q[cls[p] < cls[q]]
-                if not len(p):
-                    continue
-                swap = cls[p] > cls[q]
-                found.append((cls[np.where(swap, q, p)], cls[np.where(swap, p, q)]))
-                held += len(p)
-                if held > 1_000_000:
-                    yield flush()
-                    found, held = [], 0
+                for k in range(0, len(left), BLOCK):
+                    some = left[k : k + BLOCK]
+                    apart = (lo[some][:, None] != hi[right][None, :]) | (hi[some][:, None] != lo[right][None, :])
+                    p, q = np.nonzero(apart & allowed(n[some], n[right], rank[some], rank[right]))
+                    p, q = some[p], right[q]
+                    if one:
+                        p, q = p[grp[p] < grp[q]], q[grp[p] < grp[q]]
+                    if not len(p):
+                        continue
+                    swap = grp[p] > grp[q]
+                    found.append((grp[np.where(swap, q, p)], grp[np.where(swap, p, q)]))
+                    held += len(p)
+                    if held > 1_000_000:
+                        yield flush()
+                        found, held = [], 0
         if found:
             yield flush()
 
@@ -307,56 +328,90 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frequent = spark.sparkContext.broadcast((keys.view(np.uint64)[order], counts[order]))
 
     prefix, common = _sql(num, den)
-    posts = with_id.mapInArrow(_postings(width, num, den, frequent), "s long, salt int, n int, cls long")
-    posts = posts.repartition("s", "salt").sortWithinPartitions("s", "salt", "n", "cls")
-    posts = scratch.write(posts.mapInArrow(_shared, "s long, n long, cls long"), "shared")
-    df = posts.groupBy("s").agg(F.count("*").alias("df"))
-    rank = F.row_number().over(W.partitionBy("cls", "n").orderBy("df", "s"))
-    own = F.count("*").over(W.partitionBy("cls", "n"))  # all other shingles of the prefix are the class' alone
-    kept = posts.join(df, "s").where("df > 1").withColumn("rank", rank).withColumn("own", own)
-    kept = kept.where(F.expr(f"rank <= own - {common} + 1")).select("s", "cls", "n", F.expr(f"{prefix} - own + rank - 1").alias("rank"), F.expr(f"own / {prefix}").alias("common"))
+    posts = with_id.mapInArrow(_postings(width, num, den, frequent), "s long, salt int, n int, grp long")
+    posts = posts.repartition("s", "salt").sortWithinPartitions("s", "salt", "n", "grp")
+    posts = scratch.write(posts.mapInArrow(_shared, "s long, n long, grp long, member boolean"), "shared")
+    members = posts.where("member").select(F.col("s").alias("cls"), "grp")
+    shared = posts.where("not member").drop("member")
+    df = shared.groupBy("s").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(W.partitionBy("grp").orderBy("df", "s"))
+    own = F.count("*").over(W.partitionBy("grp"))  # all other shingles of the prefix are the group's alone
+    kept = shared.join(df, "s").where("df > 1").withColumn("rank", rank).withColumn("own", own)
+    kept = kept.where(F.expr(f"rank <= own - {common} + 1")).select("s", "grp", "n", F.expr(f"{prefix} - own + rank - 1").alias("rank"), F.expr(f"own / {prefix}").alias("common"))
     kept = scratch.write(kept, "kept")
+    several = members.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select("grp")
+    wanted = members.join(kept.select("grp").union(several).distinct(), "grp", "left_semi")
+    members = scratch.write(wanted, "members")
     scratch.drop(posts)
-    sets = scratch.write(_class_sets(kept.select("cls").distinct(), with_id, classes, width), "sets")
+    sets = scratch.write(_class_sets(members.select("cls"), with_id, classes, width), "sets")
+
+    links = spark.createDataFrame([], "a long, b long")
+    comps = spark.createDataFrame([], "vertex long, component long")
+
+    def named() -> DataFrame:
+        """Members with their components."""
+        return members.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").select("grp", "cls", F.coalesce("component", "cls").alias("comp"))
 
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
-    comps = docs.sparkSession.createDataFrame([], "vertex long, component long")
     band = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num)))).cast("int")
     for leaders in (2, 4):
-        labelled = kept.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).withColumn("band", band)
-        labelled = labelled.select("s", "cls", "n", "comp", "band", "common")
-        # the class with most in common with others leads, then some at random
-        heads = [F.max_by("cls", F.struct("common", F.xxhash64("cls", F.lit(leaders)))).alias("lead0")]
-        heads += [F.min_by("cls", F.xxhash64("cls", F.lit(10 * leaders + r))).alias(f"lead{r}") for r in range(1, leaders)]
-        blocks = labelled.groupBy("s", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *heads).where("lo <> hi").drop("lo", "hi")
-        tied = labelled.join(blocks, ["s", "band"]).select("cls", "n", F.explode(F.array(*[f"lead{r}" for r in range(leaders)])).alias("lead"))
-        stars = tied.where("cls <> lead").groupBy("cls", "lead", "n").agg(F.count("*").alias("c")).where(F.expr(f"c * 8 >= {prefix}"))
-        more = scratch.write(_verified(stars.select(F.col("cls").alias("a"), F.col("lead").alias("b")), sets, num, den), "links")
+        own = scratch.write(named(), "named")
+        # groups by a class of theirs, and by the components that they lie in
+        groups = own.groupBy("grp").agg(F.min("cls").alias("rep"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), *[F.min_by("cls", F.xxhash64("cls", F.lit(100 * leaders + r))).alias(f"head{r}") for r in range(leaders)])
+        groups = scratch.write(groups, "groups")
+        mixed = groups.where("lo <> hi").select("grp", F.explode(F.array_distinct(F.array(*[f"head{r}" for r in range(leaders)]))).alias("b"))
+        inner = own.select("grp", F.col("cls").alias("a")).join(mixed, "grp").where("a <> b").select("a", "b")
+        labelled = kept.join(groups.select("grp", "rep", "lo", "hi"), "grp").withColumn("band", band).select("s", "rep", "n", "lo", "hi", "band", "common")
+        # the group with most in common with others leads, then some at random
+        heads = [F.max_by("rep", F.struct("common", F.xxhash64("rep", F.lit(leaders)))).alias("lead0")]
+        heads += [F.min_by("rep", F.xxhash64("rep", F.lit(10 * leaders + r))).alias(f"lead{r}") for r in range(1, leaders)]
+        blocks = labelled.groupBy("s", "band").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *heads).where("lo <> hi").drop("lo", "hi")
+        tied = labelled.join(blocks, ["s", "band"]).select("rep", "n", F.explode(F.array(*[f"lead{r}" for r in range(leaders)])).alias("lead"))
+        stars = tied.where("rep <> lead").groupBy("rep", "lead", "n").agg(F.count("*").alias("c")).where(F.expr(f"c * 8 >= {prefix}"))
+        pairs = stars.select(F.col("rep").alias("a"), F.col("lead").alias("b")).union(inner)
+        more = scratch.write(_verified(pairs, sets, num, den), "links")
         links = links.union(more)
         comps = scratch.write(connected_components(links, scratch), "components")
         if more.isEmpty():
             break
 
-    labelled = kept.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
-    labelled = labelled.select("s", "cls", "n", "comp", "rank")
-    blocks = labelled.groupBy("s").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    own = scratch.write(named(), "named")
+    groups = own.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    labelled = kept.join(groups, "grp").select("s", "grp", "n", "lo", "hi", "rank")
+    blocks = labelled.groupBy("s").agg(F.count("*").alias("df"), F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h")
     parts = F.ceil(F.col("df") / BLOCK).cast("int")
     dealt = (
         labelled.join(blocks.select("s", parts.alias("parts")), "s")
-        .withColumn("part", F.pmod("cls", "parts").cast("int"))
+        .withColumn("part", F.pmod("grp", "parts").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("s", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "cls", "n", "comp", "part", "rank")
+        .select("s", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "grp", "n", "lo", "hi", "part", "rank")
     )
     dealt = dealt.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j")
-    cross = scratch.write(dealt.mapInArrow(_cross(num, den), "a long, b long").distinct(), "cross")
-    comps = connected_components(links.union(_verified(cross, sets, num, den)), scratch)
-
-    named = classes.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
-    lowest = named.groupBy("comp").agg(F.min("id").alias("component_id"))
-    named = named.join(lowest, "comp").select("cls", F.col("n").alias("class_n"), "component_id")
-    out = rows.join(named, (rows.cls == named.cls) & (rows.n == named.class_n), "left").select(
+    cross = dealt.mapInArrow(_cross(num, den), "a long, b long").union(groups.where("lo <> hi").select(F.col("grp").alias("a"), F.col("grp").alias("b")))
+    cross = scratch.write(cross.distinct(), "cross")
+    # group pairs are expanded to pairs of their classes
+    left, right = (own.select(F.col("grp").alias(g), F.col("cls").alias(f"cls_{g}"), F.col("comp").alias(f"comp_{g}")) for g in ("a", "b"))
+    pairs = cross.join(left, "a").join(right, "b").where("comp_a <> comp_b and (a <> b or cls_a < cls_b)").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
+    comps = connected_components(links.union(_verified(pairs, sets, num, den)), scratch)
+
+    found = classes.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
+    lowest = found.groupBy("comp").agg(F.min("id").alias("component_id"))
+    found = found.join(lowest, "comp").select("cls", F.col("n").alias("class_n"), "component_id")
+    out = rows.join(found, (rows.cls == found.cls) & (rows.n == found.class_n), "left").select(
         rows.id.alias(id_col), rows.n.alias("n_shingles"), F.coalesce("component_id", rows.id).alias("component_id")
     )
     lost = docs.where("id is null").mapInArrow(_signatures(width), "id long, n long, cls long, kind int").where("kind = 0")
     out = out.union(lost.select("id", "n", F.lit(None).cast("long")))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, unchanged, that are alone or the first of their group of near copies.
+
+    The first has the smallest id, null ids last; rows of equal ids are told apart. Wordless rows all stay.
+    """
+    rows = Scratch(docs.sparkSession, "keep-one").write(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, ROW, text_col).select(ROW, "component_id").join(rows.select(ROW, F.col(id_col).alias("__id")), ROW)
+    found = Scratch(docs.sparkSession, "keep-one").write(found, "components")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    copies = found.select(ROW).join(first, ROW, "left_anti")
+    return rows.join(copies, ROW, "left_anti").select(*docs.columns)

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.llm import decontam, langid, lm, toxicity
+from textloom.llm import text as tx
 from textloom.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -93,11 +94,12 @@ def test_language_model(spark):
             count.update((r.text or "").encode().lower().split())
             ends += 1
     n, v = sum(count.values()) + ends, len(count) + 1
+    key = lambda i: -1 if i is None else i
     expected = sorted(
-        (r.doc_id or -1, len(w := (r.text or "").encode().lower().split()) + 1, sum(count[x] > 0 for x in w) + 1, n,
+        (key(r.doc_id), len(w := (r.text or "").encode().lower().split()) + 1, sum(count[x] > 0 for x in w) + 1, n,
          round(sum(math.log10(count[x] + 1) for x in w) + math.log10(ends + 1) - (len(w) + 1) * math.log10(n + v + 1), 4)) for r in rows
     )
-    assert sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in out) == expected
+    assert sorted((key(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in out) == expected
     assert all(r.score < 0 and r.bits_per_byte >= 0 for r in out)
     assert sum(10**r.score for r in {r.score: r for r in out}.values()) <= 1
     trained = [r for r in out if r.doc_id is not None and learns(r.doc_id) and r.n_tokens > 100]
@@ -107,9 +109,10 @@ def test_language_model(spark):
 def test_language_model_without_frequent_table(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a b c " * (i % 4), "en") for i in range(20)], "doc_id long, text string, lang string")
     learn = ~langid.held_out("doc_id", 7)
-    one = sorted((r.doc_id, r.n_known, round(r.score, 3), round(r.base_score, 6)) for r in lm.score(docs, learn).collect())
+    one = sorted((r.doc_id, r.n_known, round(r.base_score, 6)) for r in lm.score(docs, learn).collect())
     monkeypatch.setattr(lm, "FREQUENT", 1)
-    assert sorted((r.doc_id, r.n_known, round(r.score, 3), round(r.base_score, 6)) for r in lm.score(docs, learn).collect()) == one
+    got = lm.score(docs, learn).collect()  # with so few, all words are spelled
+    assert sorted((r.doc_id, r.n_known, round(r.base_score, 6)) for r in got) == one and all(r.score < 0 for r in got)
 
 
 def test_language_model_reads_in_order(spark):
@@ -130,31 +133,100 @@ def test_language_model_of_long_words(spark):
     assert got[-1] < 1 < got[-2]
 
 
-def parts(texts, block, monkeypatch):
-    monkeypatch.setattr(lm, "BLOCK", block)
-    shape = lm.Groups(np.zeros((lm.GROUPED, 1), np.float32), np.zeros(1), np.zeros(1), np.zeros(1))
-    return list(lm._texts(pa.array(texts), shape)[-1])
-
-
-def test_language_model_learns_from_every_bit():
-    class Shared:
-        value = (np.zeros(lm.SLOTS, np.float32), np.zeros(lm.SLOTS, np.float32), lm.Groups(np.zeros((lm.GROUPED, 1), np.float32), np.zeros(1), np.zeros(1), np.zeros(1)))
-
-    out = list(lm._learnt(Shared)([pa.record_batch([pa.array(["ab cd " * 2000, "e"])], names=["text"])]))
-    assert sum(out[0].column(1).to_pylist()) == 8 * (6 * 2000 + 2)
-
-
-def test_language_model_contexts_do_not_depend_on_blocks(monkeypatch):
-    texts = ["Aa b  c", None, "", "one two" * 9, "\n a " + "q" * 70 + " end"]
-    whole, cut = parts(texts, 1 << 12, monkeypatch), parts(texts, 7, monkeypatch)
-    assert len(whole) == 1 and len(cut) > 9
-    assert bytes(whole[0].byte) == b"".join(w + b" " for t in texts for w in (t or "").lower().encode().split())
-    assert (whole[0].row == np.concatenate([b.row for b in cut])).all()
-    for k, c in enumerate(whole[0].contexts):
-        assert (c == np.concatenate([b.contexts[k] for b in cut])).all()
-    alone = parts(texts[3:4], 1 << 12, monkeypatch)[0]
-    assert all((c[whole[0].row == 3] == d).all() for c, d in zip(whole[0].contexts, alone.contexts))
-    assert (whole[0].match[whole[0].row == 3] == alone.match).all()
+def test_language_model_keeps_ids_and_takes_empty_tables(spark):
+    docs = spark.createDataFrame([(None, "a b"), ("0", "a b"), ("x", None)], "doc_id string, text string")
+    assert sorted(r.doc_id or "" for r in lm.score(docs, F.lit(True)).collect()) == ["", "0", "x"]
+    numbers = spark.createDataFrame([(None, "a b"), (0, "a b")], "doc_id long, text string")
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in lm.score(numbers, F.lit(True)).collect()) == [(False, 0), (True, 0)]
+    assert lm.score(docs.limit(0), F.lit(True)).collect() == []
+    assert all(r.score < 0 for r in lm.score(docs, F.lit(False)).collect())
+
+
+def trained(spark, docs, learn, monkeypatch):
+    held = []
+    train = lm.train
+    monkeypatch.setattr(lm, "train", lambda *a: held.append(train(*a)) or held[-1])
+    out = {r.doc_id: r for r in lm.score(docs, learn).collect()}
+    return held[0], out
+
+
+def plain_score(m, text):
+    """The model's log10 probability of a text, symbol by symbol and bit by bit."""
+    words = [w for w in (text or "").encode().lower().split()]
+    h = [int(tx.words(pa.array([w.decode()]))[0][0]) for w in words]
+    one = lambda x: int(tx.mix(np.array([x % 2**64], np.uint64))[0])
+
+    def bits(mixer, symbol, contexts, group, expected):
+        code, total, agrees = mixer.code, 0.0, expected is not None
+        path = lambda x: range(code.start[x], code.start[x + 1])
+        for depth, at in enumerate(path(symbol)):
+            node, bit = int(code.nodes[at]), int(code.bits[at])
+            levels = [int(mixer.known[((c + node * int(lm._NODE)) % 2**64 >> (64 - b)) + f]) for c, b, f in zip(contexts, mixer.slot_bits, mixer.first)]
+            sure = lambda v: sum(abs(np.float32((v - 128) / lm.LEVELS)) > x for x in lm.SURE)
+            says = 2 * int(code.bits[code.start[expected] + depth]) - 1 if agrees else 0
+            gate = (sure(levels[0]) * (len(lm.SURE) + 1) + sure(levels[-1])) * 2 + agrees
+            x = [mixer.odds[group, node], *[(v - 128) / lm.LEVELS for v in levels], says, 1]
+            dot = min(max(sum(a * b for a, b in zip(mixer.weights[:, gate], x)), -lm.MOST), lm.MOST - 0.1)
+            bucket = int(min(max(dot * 1.5 + 12, 0), lm.BUCKETS - 1))
+            p = min(max(0.5 / (1 + math.exp(-dot)) + 0.5 * mixer.map[gate, bucket], lm.LEAST), 1 - lm.LEAST)
+            total += math.log10(p if bit else 1 - p)
+            agrees = agrees and int(code.bits[code.start[expected] + depth]) == bit
+        return total
+
+    def group(k):
+        told = [m.prior[g] + sum(float(m.logs[x % lm.GROUPED, g]) for x in h[:k]) for g in range(len(m.prior))]
+        return int(np.argmax(np.array(told) > max(told) - 1e-6))
+
+    names, total, after = [int(lm._START)] * 2 + h + [int(lm._CLOSE)], 0.0, {}
+    for k in range(len(h) + 1):
+        older, before = names[k], names[k + 1]
+        place = int(m.table.find(np.array([names[k + 2]], np.uint64))[0]) if k < len(h) else -1
+        symbol = m.escape + 1 if k == len(h) else int(m.number[place]) if place >= 0 else m.escape
+        first = one(before * 3 + 1)
+        second = one(first + one(older + 5))
+        total += bits(m.words, symbol, [first, second], group(k), after.get((older, before)))
+        after[older, before] = symbol
+        if symbol == m.escape:
+            word = words[k]
+            for i, c in enumerate([*word, lm.END_OF_WORD]):
+                past = [one(sum((word[i - j] + 1) << 9 * (j - 1) for j in range(1, min(i, n) + 1)) + (n << 56)) for n in lm.SPELLED]
+                total += bits(m.bytes, c, past, 0, None)
+    return total
+
+
+def test_language_model_equals_plain_coding(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    new = [(-1, "never seen wörds ööö and the of the of the of"), (-2, ""), (-3, None), (-4, "the of and " * 40)]
+    monkeypatch.setattr(lm, "CODED", 3000)
+    m, got = trained(spark, docs.unionByName(spark.createDataFrame([(*r, None) for r in new], docs.schema)), F.col("doc_id") >= 0, monkeypatch)
+    short = docs.where("length(text) < 900").limit(6).collect()
+    assert m.escape <= 3000
+    for i, text in [*new, *[(r.doc_id, r.text) for r in short]]:
+        assert abs(got[i].score - plain_score(m, text)) < 0.01 * abs(got[i].score) + 0.01, i
+
+
+def test_language_model_beats_counts_on_held_out_texts(spark):
+    total = QUERIES["op8_lm_scoring"](spark, SF).where("held_out").agg(F.sum("score").alias("model"), F.sum("base_score").alias("base")).first()
+    assert total.model > total.base
+
+
+@pytest.mark.parametrize("counts", [[1, 1], [5, 1, 1, 9], [1] * 100, [2**k for k in range(40)]])
+def test_codes_are_prefix_free_and_bounded(counts):
+    code = lm.code_of(np.array(counts, np.int64))
+    words = sorted("".join(map(str, code.bits[a:b])) for a, b in zip(code.start, code.start[1:]))
+    assert all(not b.startswith(a) for a, b in zip(words, words[1:])) and max(map(len, words)) <= 31
+    assert sum(2.0 ** -len(w) for w in words) == 1
+    for k, key in enumerate(code.key):
+        own = code.bits[code.start[k] : code.start[k + 1]]
+        assert f"{key:032b}"[: len(own)] == "".join(map(str, own))
+
+
+def test_lookup_finds_all_and_nothing_else():
+    rng = np.random.default_rng(0)
+    keys = np.unique(rng.integers(0, 2**64, 5000, dtype=np.uint64))
+    look = lm.Lookup(keys)
+    assert (look.find(keys) == np.arange(len(keys))).all() and (look.find(keys + np.uint64(1)) == -1).all()
+    assert (lm.Lookup(keys[:0]).find(keys) == -1).all()
 
 
 def test_decontamination(spark):

@@ -17,7 +17,8 @@ _LIBC = ctypes.CDLL(None)
 _TRIM = getattr(_LIBC, "malloc_trim", None)
 if hasattr(_LIBC, "mallopt"):
     _LIBC.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD: large arrays go back to the system as soon as they are freed
-SLICE = 1 << 18  #: bytes hashed at a time
+SLICE = 1 << 18  #: bytes; four of these make a slice of rows
+HASHED = 1 << 16  #: bytes hashed at a time
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -38,14 +39,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _TABLE = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _BASE)
-_SMALL = _TABLE >> np.uint64(34)
+_SMALL = _TABLE >> np.uint64(49)  #: 15 bits, so that HASHED products with residues add up below 2^62
 
 
 def _reduced(x: np.ndarray) -> np.ndarray:
     """x modulo 2^31 - 1, for x below 2^62."""
     x = (x & _PRIME) + (x >> np.uint64(31))
     x = (x & _PRIME) + (x >> np.uint64(31))
-    return np.where(x >= _PRIME, x - _PRIME, x)
+    x[x >= _PRIME] -= _PRIME
+    return x
 
 
 def _residues(base: int, n: int) -> np.ndarray:
@@ -62,7 +64,7 @@ def _residues(base: int, n: int) -> np.ndarray:
 def _powers(n: int) -> list[np.ndarray]:
     """Powers of both lanes' points and of their inverses."""
     if not _POW or len(_POW[0]) < n:
-        size = max(n, SLICE + 4096)
+        size = max(n, HASHED + 4096)
         out = []
         for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
             p = np.full(size, base, dtype=np.uint64)
@@ -129,7 +131,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASHED, "right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
         power, inverse, residue, unresidue = _powers(hi - lo + 1)
         own = data[lo:hi]
@@ -137,9 +139,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         np.cumsum(_TABLE[own] * power[: hi - lo], out=sums[1:])
         a, b = starts[i:j] - lo, ends[i:j] - lo
         first = (sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)
-        # a sum of fewer than 2^31 residues stays below 2^62
         part = _SMALL[own] * residue[: hi - lo]
-        np.cumsum((part & _PRIME) + (part >> np.uint64(31)), out=sums[1:])
+        if hi - lo > HASHED:
+            part = (part & _PRIME) + (part >> np.uint64(31))
+        np.cumsum(part, out=sums[1:])
         out[i:j] = mix(first ^ mix(_reduced(_reduced(sums[b] - sums[a]) * unresidue[a])))
         i = j
     return out

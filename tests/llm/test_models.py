@@ -174,7 +174,7 @@ def plain_score(m, text):
         return total
 
     def group(k):
-        told = [m.prior[g] + sum(float(m.logs[x % lm.GROUPED, g]) for x in h[:k]) for g in range(len(m.prior))]
+        told = [m.prior[g] + sum(float(m.logs[g, x % lm.GROUPED]) for x in h[:k]) for g in range(len(m.prior))]
         return int(np.argmax(np.array(told) > max(told) - 1e-6))
 
     names, total, after = [int(lm._START)] * 2 + h + [int(lm._CLOSE)], 0.0, {}

@@ -32,14 +32,15 @@ from .scratch import Scratch
 
 MOST_GROUPS = 8
 GROUPED = 1 << 16  #: hashed words by which groups are told apart
-CODED = 1 << 18  #: dictionary words at most
+CODED = 1 << 19  #: dictionary words at most
 DISCOUNT = 0.5  #: taken from a dictionary word's count; what is seen once stands for what is not seen
 FREQUENT = 1 << 20  #: words whose counts are broadcast
 WORD_BITS, BYTE_BITS = (21, 21), (17, 18, 19, 19)  #: logs of the slots of each hashed context
 SPELLED = (1, 2, 3, 5)  #: bytes before, within the word, of each context of a spelled byte
 STEP, LEARN_STEP = 1 << 13, 1 << 11  #: symbols mixed at a time
 LEARN_EVERY = 4  #: of so many steps one teaches the weights and the map; all are counted
-CHUNK = 1 << 16  #: slots that travel together
+CHUNK = 1 << 12  #: slots that travel together
+_WIDTHS = (np.uint8, np.uint16, np.uint32)  #: of counts that travel; the least that holds a chunk's
 TASKS_PER_CORE = 2  #: of the passes that hold a table of slots each
 RATE, MAP_RATE, DELTA = 0.15, 0.02, 0.05
 LEVELS = 15  #: of a stretched prediction, to one
@@ -321,7 +322,8 @@ class _Learner:
         for k in range(0, len(self.total), 2 * CHUNK):
             part = self.total[k : k + 2 * CHUNK]
             if part.any():
-                blob = part.astype(np.uint16 if part.max() < 1 << 16 else np.uint32).tobytes()
+                most = int(part.max())
+                blob = part.astype(_WIDTHS[(most > 0xFF) + (most > 0xFFFF)]).tobytes()
                 yield _row(level, chunk=pa.array([k // (2 * CHUNK)], pa.int32()), counts=pa.array([blob], pa.binary()))
                 part[:] = 0
 
@@ -368,9 +370,9 @@ class Lookup:
 class Model:
     table: Lookup  #: frequent words
     base: np.ndarray  #: log10 of their counts and one
-    number: np.ndarray  #: their symbols; the escape for those that are not coded
+    number: np.ndarray  #: their symbols; the escape for those that are not coded, and once more for words out of the table
     escape: int  #: the symbol of words that are not coded; the end is the next
-    logs: np.ndarray  #: hashed words x groups
+    logs: np.ndarray  #: groups x hashed words
     prior: np.ndarray
     words: Mixer
     bytes: Mixer
@@ -380,12 +382,14 @@ class Model:
         n = np.diff(first)
         word, row = np.zeros(len(h), np.int8), np.zeros(len(n), np.int8)
         most, most_row = np.full(len(h), -np.inf), np.full(len(n), -np.inf)
-        slot = (h & np.uint64(GROUPED - 1)).astype(np.int64)
+        slot = (h & np.uint64(GROUPED - 1)).view(np.int64)
+        sums = np.zeros(len(h) + 1)
         for g in range(len(self.prior)):
-            sums = np.concatenate([[0.0], np.cumsum(self.logs[slot, g], dtype=np.float64)])
-            here = self.prior[g] + sums[:-1] - np.repeat(sums[first[:-1]], n)
+            np.cumsum(_at(self.logs[g], slot), out=sums[1:])
+            here = sums[:-1] + np.repeat(self.prior[g] - sums[first[:-1]], n)
             better = here > most + 1e-6
-            most[better], word[better] = here[better], g
+            np.copyto(most, here, where=better)
+            word[better] = g
             here = self.prior[g] + sums[first[1:]] - sums[first[:-1]]
             better = here > most_row + 1e-6
             most_row[better], row[better] = here[better], g
@@ -401,9 +405,9 @@ class Model:
         starts, ends, first = tx.word_spans(data, offsets)
         h = tx.span_hashes(data, starts, ends)
         place = self.table.find(h)
-        coded = np.where(place >= 0, self.number[place], self.escape) if len(self.number) else np.full(len(h), self.escape)
-        if learning and len(self.number):
-            coded[(place >= 0) & (self.base[place] < 0.4)] = self.escape
+        coded = self.number[place]  # -1 is the last
+        if learning and len(self.base):
+            coded[(self.base[place] < 0.4) & (place >= 0)] = self.escape
         rows = len(first) - 1
         close = first[1:] + np.arange(rows)
         total = len(h) + rows
@@ -514,7 +518,7 @@ def _added(batches):
     key, total = None, None
     for batch in batches:
         for level, chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            own = np.frombuffer(blob.as_buffer(), np.uint16 if len(blob.as_buffer()) == 4 * CHUNK else np.uint32)
+            own = np.frombuffer(blob.as_buffer(), _WIDTHS[len(blob.as_buffer()) // (4 * CHUNK)])
             if (level, chunk) != key:
                 if key is not None:
                     yield _chunk(key, total)
@@ -601,7 +605,7 @@ def train(rows: DataFrame, groups: int, words: DataFrame, costs: DataFrame, lear
     order = np.argsort(names)
     names, own = names[order], np.stack([coded.column(1 + g).to_numpy()[order] for g in range(groups)])
     escape = len(names)
-    number = np.full(len(keys), escape, np.int64)
+    number = np.full(len(keys) + 1, escape, np.int64)
     number[np.searchsorted(keys, names)] = np.arange(escape)
     every = np.array([x or 0 for x in words.where("h is not null").agg(*[F.sum(c) for c in cols]).first()])
     lost = np.maximum(every - own.sum(1), 0) + np.where(own.sum(0) == 1, own, 0).sum(1)
@@ -612,7 +616,7 @@ def train(rows: DataFrame, groups: int, words: DataFrame, costs: DataFrame, lear
     symbols[END_OF_WORD] = symbols[0x20] + 1
     symbols[[0x20, *range(0x09, 0x0E)]] = 0  # no word holds them
     m = Model(
-        Lookup(keys), np.log10(count + 1.0), number, escape, np.log(told / told.sum(0)).astype(np.float32), prior,
+        Lookup(keys), np.log10(count + 1.0), number, escape, np.ascontiguousarray(np.log(told / told.sum(0)).T, np.float32), prior,
         fresh(own, WORD_BITS), fresh(symbols[None], BYTE_BITS),
     )
 
@@ -623,14 +627,17 @@ def train(rows: DataFrame, groups: int, words: DataFrame, costs: DataFrame, lear
     found = scratch.write(texts.mapInArrow(_gathered(spark.sparkContext.broadcast(m), tasks), schema), "gathered")
     slots = found.where("counts is not null").select("level", "chunk", "counts").repartition("level", "chunk").sortWithinPartitions("level", "chunk")
     counts = [np.zeros(2 * x.first[-1], np.float32) for x in (m.words, m.bytes)]
-    for level, chunk, blob in scratch.write(slots.mapInArrow(_added, "level int, chunk int, counts binary"), "slots").toLocalIterator():  # a row for each CHUNK slots
+    added = scratch.write(slots.mapInArrow(_added, "level int, chunk int, counts binary"), "slots")
+    for level, chunk, blob in added.toLocalIterator():  # a row for each CHUNK slots
         into = counts[level][2 * chunk * CHUNK : 2 * (chunk + 1) * CHUNK]
         into[:] = np.frombuffer(blob, np.float32)[: len(into)]
+    scratch.drop(added)
     for what in ("weights", "map"):
         parts = found.where("gate is not null").select("level", "gate", "n", F.posexplode(what).alias("k", "x"))
         for level, gate, k, x in parts.groupBy("level", "gate", "k").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).collect():  # gates x inputs or buckets
             into = getattr((m.words, m.bytes)[level], what)
             into[(k, gate) if what == "weights" else (gate, k)] = x
+    scratch.drop(found)
     for x, n in zip((m.words, m.bytes), counts):
         x.settle(n[::2], n[1::2])
     return m

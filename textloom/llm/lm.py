@@ -32,13 +32,12 @@ from .scratch import Scratch
 
 MOST_GROUPS = 8
 GROUPED = 1 << 16  #: hashed words by which groups are told apart
-CODED = 1 << 19  #: dictionary words at most
+CODED = 1 << 18  #: dictionary words at most
 DISCOUNT = 0.5  #: taken from a dictionary word's count; what is seen once stands for what is not seen
 FREQUENT = 1 << 20  #: words whose counts are broadcast
 WORD_BITS, BYTE_BITS = (21, 21), (17, 18, 19, 19)  #: logs of the slots of each hashed context
 SPELLED = (1, 2, 3, 5)  #: bytes before, within the word, of each context of a spelled byte
 STEP, LEARN_STEP = 1 << 13, 1 << 11  #: symbols mixed at a time
-LEARN_EVERY = 4  #: of so many steps one teaches the weights and the map; all are counted
 CHUNK = 1 << 12  #: slots that travel together
 _WIDTHS = (np.uint8, np.uint16, np.uint32)  #: of counts that travel; the least that holds a chunk's
 TASKS_PER_CORE = 2  #: of the passes that hold a table of slots each
@@ -287,10 +286,9 @@ class _Learner:
 
     def learn(self, s: Stream) -> None:
         m, delta, one = self.m, np.float32(DELTA), np.uint32(1)
-        for k, l in enumerate(_lanes(m, s, LEARN_STEP)):
+        for l in _lanes(m, s, LEARN_STEP):
             places = [(slot - f) >> self.shift << 1 for slot, f in zip(l.slots, m.first)]
-            if k % LEARN_EVERY == 0:
-                self._teach(l, [np.log((_at(near, at + 1) + delta) / (_at(near, at) + delta)) for near, at in zip(self.near, places)])
+            self._teach(l, [np.log((_at(near, at + 1) + delta) / (_at(near, at) + delta)) for near, at in zip(self.near, places)])
             copies = one if s.copies is None else np.repeat(s.copies[l.lo : l.hi], l.n).astype(np.uint32)
             for slot, near, at in zip(l.slots, self.near, places):
                 at += l.bit

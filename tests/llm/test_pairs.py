@@ -150,6 +150,26 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(empty).collect() == []
 
 
+def test_embeddings_of_all_lengths_and_magnitudes_link(spark):
+    vectors = [[1.0, 2.0, 3.0]] * 3 + [[4.0, 5.0]] * 2 + [[1e200, 2e200, 3e200], [1e-200, 2e-200, 3e-200], [-0.0, 5.0], [0.0, 7.0], [5e-324, 0.0]]
+    table = spark.createDataFrame([(i, v, "a") for i, v in enumerate(vectors)] + [(None, [4.0, 5.0], "a")], "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table).collect()}
+    assert [got[i] for i in range(10)] == [(4, 0)] * 3 + [(1, 3)] * 2 + [(4, 0)] * 2 + [(1, 7)] * 2 + [(0, 9)]
+
+
+def test_embedding_lists_grow_and_recall_holds(spark, monkeypatch):
+    """Lists of about eight vectors in 64 dimensions: links found, against brute force."""
+    monkeypatch.setattr(embedding_dedup, "LIST", 8)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1500, 64))
+    x = np.concatenate([x, x[:1000] + rng.standard_normal((1000, 64)) * 0.13]).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    y = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
+    n = ((y @ y.T) >= 0.98).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(table).collect()}
+    assert n.sum() > 1000 and all(got[i] <= n[i] for i in got) and sum(got.values()) >= 0.99 * n.sum()
+
+
 @pytest.mark.parametrize("local", [0, 1000])
 def test_components_both_ways(spark, local):
     edges = [(k, k + 1) for k in range(40)] + [(100, 90), (90, 95), (7, 7)] + [(200, 200 + k) for k in range(1, 30)]

@@ -245,3 +245,29 @@ def test_decontamination(spark):
     kept = {r.doc_id for r in decontam.remove_contaminated(table, bench).collect()}
     assert kept == {r.doc_id for r in table.collect()} - {d for d, _ in found}
     assert decontam.contamination(table.limit(0), bench).collect() == [] and decontam.contamination(table, bench.limit(0)).collect() == []
+
+
+def test_decontamination_of_short_items_and_ties(spark):
+    long = "the quick brown fox jumps over the lazy dog near the old river bank today"
+    bench = spark.createDataFrame([(1, "forty two"), (2, "Forty, two!"), (3, long), (4, long), (5, None), (6, "?!")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "forty TWO"), (2, "forty two men"), (3, f"so {long} it goes"), (3, long), (None, "forty two"), (5, "?!")], "doc_id long, text string")
+    found = sorted(((r.doc_id or 0), r.item_id) for r in decontam.contamination(docs, bench).collect())
+    assert found == [(0, 1), (0, 2), (1, 1), (1, 2), (3, 3), (3, 3), (3, 4), (3, 4)]
+    assert [(r.doc_id, r.text) for r in decontam.remove_contaminated(docs, bench).orderBy("doc_id").collect()] == [(2, "forty two men"), (5, "?!")]
+    only = decontam.contamination(docs, bench.where("item_id < 3"))
+    assert sorted(((r.doc_id or 0), r.item_id) for r in only.collect()) == [(0, 1), (0, 2), (1, 1), (1, 2)]
+
+
+@pytest.mark.parametrize("rate, least", [(0.25, 0.95), (0.4, 0.85)])
+def test_decontamination_finds_paraphrases(spark, rate, least):
+    """Items with a share of words replaced by other words of the corpus, among unrelated text."""
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    rng = random.Random(2)
+    words = [w for r in docs.limit(200).collect() for w in (r.text or "").split()]
+    noise = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(-1 - r.item_id, noise(30) + " " + " ".join(rng.choice(words) if rng.random() < rate else w for w in r.text.split()) + " " + noise(30)) for r in bench.collect()]
+    plain = [(-1000 - k, noise(100)) for k in range(200)]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(rows + plain, "doc_id long, text string"))
+    found = {(r.doc_id, r.item_id) for r in decontam.contamination(table, bench).collect()}
+    assert sum((i, -1 - i) in found for i, _ in rows) >= least * len(rows)
+    assert not any(d <= -1000 for d, _ in found)

@@ -8,6 +8,7 @@ covering the toxic rows of a bounded labelled sample, scores the restored text.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass, field
 
@@ -67,7 +68,7 @@ def letter_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def restore(token: str, costs: np.ndarray, split: bool = False) -> str:
     """The likeliest plain word behind a token, by Viterbi search over its lattice; ties go to the smaller string.
 
-    With `split` a space may also be a border of words, which stays as a space.
+    With `split` a separator may also be a border of words, which is read as a space.
     """
 
     def symbol(c: str) -> int:
@@ -88,7 +89,7 @@ def restore(token: str, costs: np.ndarray, split: bool = False) -> str:
         for (a, b), (cost, out) in best.items():
             if drop:
                 offer((a, b), (cost + COST_DROP, out))
-                if split and c == " " and b:
+                if split and b:
                     offer((b, 0), (cost + COST_DROP + costs[a, b, 0], (out, " ")))
             for x, more in choices:
                 s = symbol(x)
@@ -110,7 +111,7 @@ _ALPHA = np.zeros(256, dtype=bool)
 _ALPHA[[*range(65, 91), *range(97, 123)]] = True
 _ODD = np.zeros(256, dtype=bool)
 _ODD[[ord(c) for c in [*LEET, *SEPARATORS] if ord(c) < 128 and c != " "]] = True
-LONGEST = 64  #: bytes of a token that can be one disguised word; longer ones are read as they are
+LONGEST = 64  #: bytes of a token that can be one disguised word; longer ones are read as several
 
 
 def _suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, zero_width: bool) -> np.ndarray:
@@ -131,7 +132,7 @@ def _suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, zero_wid
     first = np.flatnonzero(ends - starts > 1)
     some[first] |= odd[starts[first]] & alpha[starts[first] + 1]
     letters = np.concatenate([[0], np.cumsum(alpha)])
-    return np.flatnonzero(some & (ends - starts <= LONGEST) & (letters[ends] - letters[starts] >= 2))
+    return np.flatnonzero(some & (letters[ends] - letters[starts] >= 2))
 
 
 def _runs(one: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
@@ -143,25 +144,31 @@ def _runs(one: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(begin.tolist(), end.tolist()) if b - a >= 3]
 
 
-_WORDS: dict[int, dict[bytes, bytes]] = {}
+_WORDS: dict[bytes, dict[bytes, bytes]] = {}  #: restored words under the last letter model, by its digest
+REMEMBERED = 200_000  #: restored words that a worker remembers
 
 
 def _restored(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, costs: np.ndarray) -> tuple[list[bytes], list[int]]:
     """Restored words that differ from what stands in the text, and the row of each."""
-    cache = _WORDS.setdefault(0, {})
-    if len(cache) > 200_000:
-        cache.clear()
+    model = hashlib.sha256(costs.tobytes()).digest()
+    if model not in _WORDS or len(_WORDS[model]) > REMEMBERED:
+        _WORDS.clear()
+    cache = _WORDS.setdefault(model, {})
     blob = data.tobytes()
     words, at = [], []
     some = _suspicious(data, starts, ends, b"\xe2\x80" in blob or b"\xc2\xad" in blob)
     for k in some.tolist():
         token = blob[starts[k] : ends[k]]
-        if token not in cache:
+        long = len(token) > LONGEST
+        found = cache.get(token)
+        if found is None:
             plain = token.decode("utf-8", "replace").strip("#%&?,;\"<>[]{}=/\\*.:)")
-            cache[token] = restore(plain, costs).encode()
-        if cache[token] and not token.startswith(cache[token]):
-            words.append(cache[token])
-            at.append(k)
+            found = restore(plain, costs, long).encode()
+            if not long:
+                cache[token] = found
+        own = found.split() if long else [found] if found and not token.startswith(found) else []
+        words += own
+        at += [k] * len(own)
     one = (ends - starts == 1) & (_ALPHA[data[starts]] | _ODD[data[starts]]) if len(starts) else np.zeros(0, bool)
     for a, b in _runs(one, first):
         gaps = starts[a + 1 : b] - ends[a : b - 1]

@@ -30,6 +30,27 @@ def test_language_held_out_accuracy(spark):
     assert sum(got[i].lang_pred == truth[i] for i in held) / len(held) > 0.98
 
 
+def test_language_equals_plain_decoding(spark):
+    """Log-odds summed gram by gram, a logistic loss for each bit, and the least weighted loss."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").limit(150)
+    model = langid.train(docs)
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    for r in docs.where("text is not null and length(text) < 3000").collect():
+        data = bytes(c + 32 if 65 <= c <= 90 else c for c in r.text.encode())
+        margin, n = np.zeros(model.code.shape[1]), 0
+        for k, size in enumerate(langid.SIZES):
+            for i in range(len(data) - size + 1):
+                gram = int.from_bytes(data[i : i + size], "little")
+                margin += model.odds[(gram * 0x9E3779B1 % 2**32 >> 17) + k * langid.BUCKETS]
+                n += 1
+        mean = margin / max(n, 1) * min(n, 60)
+        loss = [sum(t * math.log1p(math.exp(-m * c)) for t, m, c in zip(trust, mean, code)) for trust, code in zip(model.trust, model.code)]
+        best = int(np.argmin(loss))
+        if got[r.doc_id].lang_pred != langid.UNKNOWN:
+            assert got[r.doc_id].lang_pred == model.languages[best]
+            assert abs(got[r.doc_id].score - 1 / sum(math.exp(loss[best] - x) for x in loss)) < 1e-4
+
+
 def test_language_of_odd_rows(spark):
     train = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de"), (None, "fr"), ("x", None)], "text string, lang string")
     model = langid.train(train)
@@ -70,6 +91,64 @@ def test_toxicity_of_disguised_and_odd_rows(spark):
     assert toxicity.score(docs, toxicity.train(docs, labels.limit(0))).where("score >= 0.3").count() == 0
 
 
+def every_reading(token, costs, split):
+    """The least cost of any path through the lattice, and the readings that have it, by trying all."""
+    symbol = lambda c: ord(c) - 96 if "a" <= c <= "z" else 27
+    found = {}
+
+    def walk(k, a, b, cost, out):
+        if k == len(token):
+            total = cost + costs[a, b, 0]
+            found[out] = min(found.get(out, math.inf), total)
+            return
+        c = token[k]
+        choices = [(x, toxicity.COST_LEET) for x in toxicity.LEET.get(c, "")]
+        if c in toxicity.SEPARATORS:
+            walk(k + 1, a, b, cost + toxicity.COST_DROP, out)
+            if split and b:
+                walk(k + 1, b, 0, cost + toxicity.COST_DROP + costs[a, b, 0], out + " ")
+        else:
+            choices.append((c, 0.0 if c.isalpha() else toxicity.COST_KEEP))
+        for x, more in choices:
+            walk(k + 1, b, symbol(x), cost + more + costs[a, b, symbol(x)], out + x)
+            if out.endswith(x):
+                walk(k + 1, a, b, cost + more + toxicity.COST_REPEAT, out)
+
+    walk(0, 0, 0, 0.0, "")
+    least = min(found.values())
+    return {x for x, v in found.items() if v <= least + 1e-9}
+
+
+def test_restoring_equals_trying_all_readings():
+    rng = random.Random(7)
+    costs = -np.log(np.random.default_rng(1).dirichlet(np.ones(28) * 0.3, (28, 28)) + 1e-6)
+    for k in range(300):
+        token = "".join(rng.choice("abio1106$.- é") for _ in range(rng.randint(1, 7)))
+        got = toxicity.restore(token, costs, k % 2 == 0)
+        best = every_reading(token, costs, k % 2 == 0)
+        assert got in best, (token, got, best)
+
+
+def test_restored_words_depend_on_the_model_given(spark):
+    one, two = (toxicity.letter_model(spark.createDataFrame([(t,)], "text string")) for t in ("idiot idiot " * 20, "ldlot ldlot " * 20))
+    read = lambda costs: sorted(toxicity._row_features(pa.array(["so 1d1ot"]), costs)[1].tolist())
+    assert read(one) != read(two) and read(one) == read(one)
+    for first, second in ((one, two), (two, one)):
+        toxicity._WORDS.clear()
+        alone = read(second)
+        read(first)
+        assert read(second) == alone
+
+
+def test_toxicity_of_long_tokens(spark):
+    rows = [(i, f"the plain text number {i} of many words " + ("you idiot" if i % 4 == 0 else "you friend")) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    new = [(1, "i_d_i_o_t_" * 7), (2, "the.plain.text.of.many.words.the.plain.text.of.many.words.you.i.d.i.o.t"), (3, "the.plain.text.of.many.words." * 4), (4, "the-1d10t-" + "plain-text-" * 8)]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(new, "doc_id long, text string"), model).collect()}
+    assert min(got[1], got[2], got[4]) > 0.3 > got[3], got
+
+
 def test_toxicity_of_letters_spaced_apart(spark):
     rows = [(i, f"the plain text number {i} of a man and many words " + ("you are a stupid idiot" if i % 4 == 0 else "you are a friend")) for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -1,6 +1,7 @@
 """Line dedup, URL filter and chat formatting on small tables."""
 
 import hashlib
+import random
 
 from textloom.llm import chat, line_dedup, url_filter
 from textloom.llm.queries import URL_RULES
@@ -36,6 +37,67 @@ def test_url_rules_and_graph(spark):
     assert url_filter.judge(pages.limit(0), [url_filter.Rule(*URL_RULES[0])]).collect() == []
 
 
+def power_iteration(edges, seeds, damping=0.85):
+    """Personalised PageRank along edges {(src, dst): weight} from seeds {host: share}, until it stands still."""
+    out = {}
+    for (a, _), w in edges.items():
+        out[a] = out.get(a, 0) + w
+    rank = dict(seeds)
+    for _ in range(500):
+        after = {h: (1 - damping) * s for h, s in seeds.items()}
+        for (a, b), w in edges.items():
+            after[b] = after.get(b, 0) + damping * rank.get(a, 0) * w / out[a]
+        rank = after
+    return rank
+
+
+def test_url_ranks_equal_power_iteration(spark):
+    rng = random.Random(3)
+    hosts = [f"h{k}.net" for k in range(12)] + ["a.org", "b.org", "c.com", "d.com"]
+    rows, edges = [], {}
+    for k in range(120):
+        host = rng.choice(hosts)
+        to = [rng.choice(hosts[: 6 if host.endswith("org") else 12] if rng.random() < 0.8 else ["hub.net"]) for _ in range(rng.randint(0, 4))]
+        rows.append((k, f"http://{host}/de/{k}", " ".join(f'<a href="https://{t.upper()}/x">' for t in to)))
+        for t in to:
+            if t != host:
+                edges[host, t] = edges.get((host, t), 0) + 1
+    rows += [(200, "http://lone.net/", None), (201, "http://lone.net/", "<a href='//lone.net/'>")]
+    pages = spark.createDataFrame([(*r, "q", "q") for r in rows], "page_id long, url string, html string, trust string, src string")
+    got = {r.host: r for r in url_filter.judge(pages, [url_filter.Rule(*r) for r in URL_RULES]).collect()}
+    count = lambda end: {h: n for h in hosts if h.endswith(end) and (n := sum(f"//{h}/" in u for _, u, _ in rows))}
+    shares = lambda c: {h: n / sum(c.values()) for h, n in c.items()}
+    trust = power_iteration(edges, shares(count("org")))
+    distrust = power_iteration({(b, a): w for (a, b), w in edges.items()}, shares(count("com")))
+    assert len(edges) > 50 and sum(t > 0 for t in trust.values()) > 8
+    for host, r in got.items():
+        assert abs(r.trust - trust.get(host, 0)) < 1e-5 and abs(r.distrust - distrust.get(host, 0)) < 1e-5, host
+        if r.rule is None:
+            assert r.verdict == ("block" if r.distrust > r.trust else "allow")
+    assert (got["lone.net"].trust, got["lone.net"].verdict) == (0, "allow")
+
+
+def test_url_domains_speak_for_each_other_where_asked(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/de/1", ""), (2, "http://b.com/x", "")], "page_id long, url string, html string")
+    rules = [url_filter.Rule(*r) for r in URL_RULES]
+    assert {r.page_id: r.verdict for r in url_filter.judge(pages, rules).collect()} == {1: "block", 2: "allow"}
+    assert {r.page_id: r.verdict for r in url_filter.judge(pages, rules, domains=True).collect()} == {1: "block", 2: "block"}
+
+
+def test_very_long_texts_of_native_operators_and_chat(spark):
+    url = "http://" + "a" * 100_000 + ".org/" + "b" * 100_000
+    pages = spark.createDataFrame([(1, url, "<a href='http://x.net/'>" * 20_000)], "page_id long, url string, html string")
+    got = url_filter.judge(pages, [url_filter.Rule(*r) for r in URL_RULES]).first()
+    assert (got.rule, got.verdict, len(got.host), len(got.path)) == ("org/", "allow", 100_004, 100_001)
+    text = "\n".join(["same"] * 50_000 + ["word " * 200_000])
+    out = line_dedup.drop_boilerplate(spark.createDataFrame([(k, "s", text) for k in range(6)], "doc_id long, source string, text string")).collect()
+    assert all((r.n_lines, r.n_dropped, r.text) == (50_001, 50_001, "") for r in out)
+    long = "a<[&" * 300_000
+    turns = chat.format_conversations(spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string"))
+    d = chat.digests(turns).first()
+    assert (d.n_turns, d.loss_chars, d.loss_sha256) == (2, len(long), hashlib.sha256(long.encode()).hexdigest())
+
+
 def test_chat_round_trip(spark):
     turns = [(1, 1, "user", "a & <|turn|> &lt; </s> [INST] \\ é"), (1, 0, "system", ""), (1, 2, "user", "<|next|>"), (1, 3, "assistant", "&amp;</s>"), (1, 3, "assistant", "x"), (1, 4, None, None),
              (2, None, "user", "hi"), (2, 1, "assistant", None), (3, 5, "assistant", "a\nb"), (3, 5, "assistant", "a\nb"), (4, 1, "<|text|>", "t")]

@@ -38,6 +38,7 @@ LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
 FILTER_BITS = 1 << 20
 ROW = "__joined_row"
+FEW = 1_000_000  #: row numbers that are broadcast
 MEMBER = -1  #: the salt of rows that name a class' group
 
 
@@ -391,7 +392,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # group pairs are expanded to pairs of their classes
     left, right = (own.select(F.col("grp").alias(g), F.col("cls").alias(f"cls_{g}"), F.col("comp").alias(f"comp_{g}")) for g in ("a", "b"))
     pairs = cross.join(left, "a").join(right, "b").where("comp_a <> comp_b and (a <> b or cls_a < cls_b)").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
-    comps = connected_components(links.union(_verified(pairs, sets, num, den)), scratch)
+    comps = connected_components(links.union(scratch.write(_verified(pairs, sets, num, den), "links")), scratch)
 
     found = classes.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     lowest = found.groupBy("comp").agg(F.min("id").alias("component_id"))
@@ -413,5 +414,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = near_duplicates(rows, ROW, text_col).select(ROW, "component_id").join(rows.select(ROW, F.col(id_col).alias("__id")), ROW)
     found = Scratch(docs.sparkSession, "keep-one").write(found, "components")
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    copies = found.select(ROW).join(first, ROW, "left_anti")
-    return rows.join(copies, ROW, "left_anti").select(*docs.columns)
+    copies = Scratch(docs.sparkSession, "keep-one").write(found.select(ROW).join(first, ROW, "left_anti"), "copies")
+    few = copies.count() <= FEW  # then the texts need not be shuffled
+    return rows.join(F.broadcast(copies) if few else copies, ROW, "left_anti").select(*docs.columns)

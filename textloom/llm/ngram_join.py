@@ -307,7 +307,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar(num, den), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, scratch: Scratch | None = None
+) -> DataFrame:
     """Components of documents whose shingle sets have Jaccard similarity num/den or more.
 
     Returns a row for each input row: id_col, n_shingles long, component_id long
@@ -317,7 +319,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and have a null component. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram-join")
+    scratch = scratch or Scratch(spark, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     with_id = docs.where("id is not null")
     seen = scratch.write(with_id.mapInArrow(_signatures(width), "id long, n long, cls long, kind int"), "signatures")
@@ -372,6 +374,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = scratch.write(_verified(pairs, sets, num, den), "links")
         links = links.union(more)
         comps = scratch.write(connected_components(links, scratch), "components")
+        del labelled, blocks, tied, stars, pairs, inner, mixed
+        scratch.drop(own, groups)
         if more.isEmpty():
             break
 
@@ -389,10 +393,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = dealt.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j")
     cross = dealt.mapInArrow(_cross(num, den), "a long, b long").union(groups.where("lo <> hi").select(F.col("grp").alias("a"), F.col("grp").alias("b")))
     cross = scratch.write(cross.distinct(), "cross")
+    del labelled, blocks, dealt
+    scratch.drop(kept)
     # group pairs are expanded to pairs of their classes
     left, right = (own.select(F.col("grp").alias(g), F.col("cls").alias(f"cls_{g}"), F.col("comp").alias(f"comp_{g}")) for g in ("a", "b"))
     pairs = cross.join(left, "a").join(right, "b").where("comp_a <> comp_b and (a <> b or cls_a < cls_b)").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
-    comps = connected_components(links.union(scratch.write(_verified(pairs, sets, num, den), "links")), scratch)
+    links = links.union(scratch.write(_verified(pairs, sets, num, den), "links"))
+    comps = scratch.write(connected_components(links, scratch), "components")
+    del pairs
+    scratch.drop(sets, own, cross)
 
     found = classes.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     lowest = found.groupBy("comp").agg(F.min("id").alias("component_id"))
@@ -411,8 +420,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     The first has the smallest id, null ids last; rows of equal ids are told apart. Wordless rows all stay.
     """
     rows = Scratch(docs.sparkSession, "keep-one").write(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows, ROW, text_col).select(ROW, "component_id").join(rows.select(ROW, F.col(id_col).alias("__id")), ROW)
+    work = Scratch(docs.sparkSession, "ngram-join")
+    found = near_duplicates(rows, ROW, text_col, scratch=work).select(ROW, "component_id").join(rows.select(ROW, F.col(id_col).alias("__id")), ROW)
     found = Scratch(docs.sparkSession, "keep-one").write(found, "components")
+    work.clear()
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
     copies = Scratch(docs.sparkSession, "keep-one").write(found.select(ROW).join(first, ROW, "left_anti"), "copies")
     few = copies.count() <= FEW  # then the texts need not be shuffled

@@ -31,7 +31,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 class Scratch:
-    """Tables written below the shared folder; drop() removes one no longer read, and the end of the application the rest."""
+    """Tables written below the shared folder; drop() removes those no longer read, with shuffle files, and the end of the application the rest."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
@@ -54,3 +54,10 @@ class Scratch:
         for t in tables:
             path = jvm.org.apache.hadoop.fs.Path(t._scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        jvm.System.gc()  # the driver then tells executors which shuffle files nobody can read any more
+
+    def clear(self) -> None:
+        """Removes all tables."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.drop()

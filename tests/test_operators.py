@@ -28,6 +28,56 @@ def test_text_functions(spark):
     assert round(one(spark, C.contrast(C.luminance(F.lit(255), F.lit(255), F.lit(255)), C.luminance(F.lit(0), F.lit(0), F.lit(0)))), 2) == 21.0
 
 
+@pytest.mark.parametrize("raw, plain", [
+    (r"platelets 10^{9}/L and 10^{12}/L, 10^-3 and 10^{-3}", "platelets 10⁹/L and 10¹²/L, 10⁻³ and 10⁻³"),
+    (r"$V_{max}$ rises, $x > 5$, \( \geq 65 \)", "Vmax rises, x > 5, >= 65"),
+    ("pay $5 to $10 for $y$", "pay $5 to $10 for y"),
+    (r"\(\frac{a}{b}\) stays, \(a\) goes", r"\(\frac{a}{b}\) stays, a goes"),
+    (r"$\beta 2$ and $\alpha$ and 3 \cdot 4 and \rho and \( \mu \)mol and 5 \mu g", "beta2 and alpha and 3  *  4 and rho and µmol and 5 mcg"),
+    (r"$S_1$, $S_2$ gallops, drug_dosing ~5%, $^{18}$ and $^{1,119-121}$", "S1, S2 gallops, drug_dosing ~5%, [18] and [1,119-121]"),
+    (r"\( \Delta P = 4V_{max}^2 \) is ~ 4 m/s", "Delta P = 4Vmax^2 is ~ 4 m/s"),
+])
+def test_math_markup(spark, raw, plain):
+    assert one(spark, U.clean_latex(F.col("t")), t=raw) == plain
+
+
+def test_sanitised_text(spark):
+    assert one(spark, U.sanitise(F.col("t")), t="10 µg and 25µg ≥ 50\u00a0kPa \u200bat 5.0 mg QD, “a”–b 37°C $S_2$") == "10 mcg and 25mcg >= 50 kPa at 5 mg once daily, \"a\" - b 37 deg C S2"
+
+
+def test_slide_rules_by_place_and_citation(spark):
+    slides = [(1, "Give 10U IU QD MSO4 5 µg 1.0 mg .5 mg 3 cc @ 4 OD 10mg", ""), (2, "Drug of choice, recommended", ""), (3, "Drug of choice", "Smith et al"), (4, "a significant 20% reduction", ""), (5, "significant, p < 0.05", ""),
+              (6, "aged 95, MRN: 12345, 12/31/2020, patient A.B. FDA-approved off-label Brand®", ""), (7, None, None)]
+    rows = spark.createDataFrame([("d", *s) for s in slides], "deck string, slide int, text string, note string")
+    rules = lambda *a: {k: {r.rule for r in lint.slide_findings(rows, *a).where(F.col("slide") == k).collect()} for k in range(1, 8)}
+    us, none, cme = rules("us"), rules("none"), rules("us", True)
+    assert us[1] == {"MED-U", "MED-IU", "MED-QD", "MED-MS", "MED-MCG", "MED-TRAILZERO", "MED-NAKEDDEC", "MED-CC", "MED-AT", "MED-EYEEAR", "MED-NOSPACE"}
+    assert (us[2], us[3], us[4], us[7]) == ({"EV-RECNOSRC"}, set(), set(), set())
+    assert (none[2], none[4], none[5]) == (set(), {"EV-RRONLY", "EV-SIGNIF"}, set())
+    assert us[6] == {"PHI-AGE90", "PHI-MRN", "PHI-DATE", "PHI-INITIALS", "JUR-FDA", "JUR-OFFLABEL"} and cme[6] == us[6] | {"CME-TRADENAME"}
+
+
+def seconds_by_rounds(weights, total):
+    """Half-even rounding, a floor of four, then one second a slide in turn."""
+    out = [max(4, round(total * w / sum(weights))) for w in weights]
+    change, k = total - sum(out), 0
+    while change and k < 10_000:
+        at = k % len(out)
+        if change > 0 or out[at] > 4:
+            out[at] += 1 if change > 0 else -1
+            change += -1 if change > 0 else 1
+        k += 1
+    return out
+
+
+@pytest.mark.parametrize("total", [20, 33, 47, 90, 301, 1234])
+def test_slide_seconds_equal_rounds_of_single_seconds(spark, total):
+    slides = [("divider", "low", False), ("safety", "high", False), ("general", "medium", True), ("odd role", "low", False), ("case", "high", False), ("title", None, False), ("reference", "low", True)]
+    weights = [P.ROLE_WEIGHTS.get(r, 1.0) * P.DENSITY_WEIGHTS.get(d, 1.0) * (0.35 if twice else 1.0) for r, d, twice in slides]
+    rows = spark.createDataFrame([("d", k, *s) for k, s in enumerate(slides)], "deck string, slide int, role string, density string, duplicate boolean")
+    assert [r.seconds for r in lint.allocate(rows, total).orderBy("slide").collect()] == seconds_by_rounds(weights, total)
+
+
 def test_unicode_functions(spark):
     rows = spark.createDataFrame([(bytearray(b"\xef\xbb\xbfna\xc3\xafve \x93q\x94 \x81"),), (None,)], "b binary")
     assert [r[0] for r in rows.select(U.decode_bytes("b")).collect()] == ["naïve “q” �", None]

@@ -104,7 +104,7 @@ TABLES: dict[str, tuple[str, list[tuple]]] = {
     "candidates": ("candidate_id string, status string, severity string, re_verified boolean", [
         ("k1", "VERIFIED", "CONFIRMED_CORRUPTION", False), ("k2", "CANDIDATE", "CANDIDATE", None), ("k3", "VERIFIED", "RESOLVED_NOT_A_CORRUPTION", None), ("k4", "VERIFIED", "CONFIRMED_CORRUPTION", True),
     ]),
-    "decisions": ("candidate_id string, decision string", [("k2", "confirmed_corruption"), ("k9", "not_a_corruption"), ("k1", "what"), ("k3", "legitimate_paraphrase")]),
+    "decisions": ("candidate_id string, decision string", [("k2", "confirmed_corruption"), ("k9", "false_positive"), ("k4", "false_positive"), ("k1", "not_a_corruption"), ("k3", "legitimate_paraphrase")]),
     "manifest": ("candidate_id string", [("k1",), ("k1",), ("k3",), ("zz",)]),
     "evidence": ("chapter string, has_checkpoint boolean, has_stage6 boolean, has_gaps boolean, has_45c boolean, has_45d boolean, completed boolean, gate string, review_status string, reviewed string, flagged string, clusters string, tested boolean, unresolved string", [
         ("01", False, True, True, None, None, None, None, None, None, None, None, None, None), ("02", False, True, False, None, None, None, None, None, None, None, None, None, None),

@@ -131,7 +131,7 @@ def gate_action(verdict: Column, unresolved: Column) -> Column:
 
 def apply_decisions(candidates: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates with decisions (candidate_id, decision) applied, and the decisions that match none."""
-    known = decisions.where(F.col("decision").isin("confirmed_corruption", "legitimate_paraphrase", "not_a_corruption"))
+    known = decisions.where(F.col("decision").isin(*P.DECISIONS))
     rows = candidates.join(known, "candidate_id", "left")
     severity = F.when(F.col("decision") == "confirmed_corruption", "CONFIRMED_CORRUPTION").when(F.col("decision").isNotNull(), "RESOLVED_NOT_A_CORRUPTION").otherwise(F.col("severity"))
     rows = rows.withColumn("severity", severity).withColumn("status", F.when(F.col("decision").isNotNull(), "VERIFIED").otherwise(F.col("status")))

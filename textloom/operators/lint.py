@@ -11,9 +11,26 @@ from ..functions.columns import any_word, hamming_hex, ladder, lines_of, words_o
 from ..functions.unicode import similarity
 
 
-def slide_findings(slides: DataFrame, rules: list[tuple[str, str, str]] = P.SLIDE_RULES) -> DataFrame:
-    """(deck, slide, rule, severity): one finding a rule and slide. The rules are a bounded literal list, so no join is needed."""
-    found = [F.when(F.col("text").rlike(p), F.struct(F.lit(name).alias("rule"), F.lit(sev).alias("severity"))) for name, sev, p in rules]
+def rule_applies(jurisdiction: str, target: str) -> bool:
+    """Whether a rule of a jurisdiction holds for a deck's."""
+    if target == "none":
+        return jurisdiction in ("all", "none", "us-origin/global-practice")
+    return jurisdiction in ("all", "us-origin/global-practice") or target in jurisdiction
+
+
+def slide_findings(slides: DataFrame, jurisdiction: str = "us", accredited: bool = False, rules: list[tuple[str, str, str, str]] = P.SLIDE_RULES_JAVA) -> DataFrame:
+    """(deck, slide, rule, severity): one finding a rule and slide.
+
+    A recommendation is found only on slides without a citation, and significance only without a measure of
+    precision, both looked for in the notes (column note, if there is one) too. Trade names count in accredited decks.
+    """
+    both = F.concat_ws("\n", "text", "note") if "note" in slides.columns else F.col("text")
+    unless = {"EV-RECNOSRC": P.CITATION_MARKER, "EV-SIGNIF": P.PRECISION_MARKER}
+    found = []
+    for name, severity, pattern, own in rules:
+        if rule_applies(own, jurisdiction) and (accredited or not name.startswith("CME-")):
+            hit = F.col("text").rlike(pattern) & (~both.rlike(unless[name]) if name in unless else F.lit(True))
+            found.append(F.when(hit, F.struct(F.lit(name).alias("rule"), F.lit(severity).alias("severity"))))
     return slides.select("deck", "slide", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("f")).select("deck", "slide", "f.rule", "f.severity")
 
 
@@ -67,19 +84,28 @@ def duplicate_slides(slides: DataFrame) -> DataFrame:
     return same.union(near).groupBy("deck", "slide").agg(F.min("first").alias("first"))
 
 
-ROLE_WEIGHTS = {"divider": 0.4, "reference": 0.3, "takeaway": 1.1, "safety": 1.3, "dosing": 1.2, "mechanism": 1.2, "evidence": 1.2, "case": 1.4, "counselling": 1.1, "general": 1.0}
-DENSITY_WEIGHTS = {"low": 0.8, "medium": 1.0, "high": 1.2}
-
-
 def allocate(slides: DataFrame, total: int, floor: int = 4) -> DataFrame:
-    """Seconds a slide in proportion to role and density (repeats count 0.35), at least `floor`; what is left goes one by one to the largest remainders."""
+    """Seconds a slide in proportion to role and density (repeats count 0.35), rounded half to even, at least `floor`.
+
+    What is left or too much goes one second a slide in the slides' order, round after round; no slide is taken below
+    the floor, so a total under the floors of all slides cannot be met. In closed form: with d seconds to give, each of n
+    slides gets d / n and the first d mod n one more; to take, the slides' rooms above the floor are emptied level by level.
+    """
     table = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
-    weight = table(ROLE_WEIGHTS)[F.col("role")] * table(DENSITY_WEIGHTS)[F.col("density")] * F.when(F.col("duplicate"), 0.35).otherwise(1.0)
+    weight = F.coalesce(table(P.ROLE_WEIGHTS)[F.col("role")], F.lit(1.0)) * F.coalesce(table(P.DENSITY_WEIGHTS)[F.col("density")], F.lit(1.0)) * F.when(F.col("duplicate"), 0.35).otherwise(1.0)
     by = W.partitionBy("deck")
-    rows = slides.withColumn("share", weight).withColumn("exact", F.greatest(F.lit(float(floor)), F.col("share") / F.sum("share").over(by) * total))
-    rows = rows.withColumn("base", F.floor("exact")).withColumn("left", F.greatest(F.lit(total) - F.sum("base").over(by), F.lit(0)))
-    rank = F.row_number().over(by.orderBy(F.desc(F.col("exact") - F.col("base")), "slide"))
-    return rows.withColumn("seconds", F.col("base") + (rank <= F.col("left")).cast("int")).select("deck", "slide", "seconds")
+    rows = slides.withColumn("share", weight).withColumn("base", F.greatest(F.lit(floor), F.bround(F.lit(total) * F.col("share") / F.sum("share").over(by)).cast("long")))
+    rows = rows.withColumn("change", F.lit(total) - F.sum("base").over(by)).withColumn("n", F.count("*").over(by)).withColumn("place", F.row_number().over(by.orderBy("slide")))
+    give = F.floor(F.col("change") / F.col("n")) + (F.col("place") <= F.pmod("change", "n")).cast("int")
+    # seconds to take: slides by room; those of less room than the common level are emptied, the rest share what is over
+    rows = rows.withColumn("room", F.col("base") - floor).withColumn("rank", F.row_number().over(by.orderBy("room", "slide")))
+    below = F.coalesce(F.sum("room").over(by.orderBy("room", "slide").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("reach", below + F.col("room") * (F.col("n") - F.col("rank") + 1)).withColumn("emptied", F.col("reach") <= -F.col("change"))
+    left = -F.col("change") - F.sum(F.when(F.col("emptied"), F.col("room")).otherwise(0)).over(by)
+    rows = rows.withColumn("left", left).withColumn("open", F.sum((~F.col("emptied")).cast("int")).over(by))
+    nth = F.sum((~F.col("emptied")).cast("int")).over(by.orderBy("slide"))
+    take = F.when(F.col("emptied"), F.col("room")).otherwise(F.floor(F.col("left") / F.col("open")) + (nth <= F.pmod("left", "open")).cast("int"))
+    return rows.select("deck", "slide", (F.col("base") + F.when(F.col("change") >= 0, give).otherwise(-take)).cast("long").alias("seconds"))
 
 
 def project_issues(manifest: DataFrame, scripts: DataFrame) -> DataFrame:

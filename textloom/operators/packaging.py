@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import patterns as P
 from ..functions.columns import any_match, ladder, words_of
 from .lines import carry_back, explode_lines
 
@@ -189,12 +190,9 @@ def semantic_cache(terms: DataFrame, most: int = 300, facets: int = 5) -> DataFr
     return first.select(F.lower("term").alias("concept"), F.array_join(F.slice("subs", 1, facets), "; ").alias("facets"))
 
 
-SAFETY_DRUGS = ["sacubitril", "spironolactone", "aspirin", "metformin", "amiodarone", "digoxin", "apixaban", "warfarin", "furosemide"]
-
-
 def safety_matrix(spark) -> DataFrame:
     """The constant safety rows; nothing in them is derived from data."""
-    rows = [(d, "Cardiovascular pharmacotherapy", "Monitor renal function, electrolytes, and hemodynamics.") for d in SAFETY_DRUGS]
+    rows = [(d, P.SAFETY_INDICATION, P.SAFETY_PRECAUTIONS) for d in P.SAFETY_DRUGS]
     return spark.createDataFrame(rows, "drug string, indication string, precautions string")
 
 

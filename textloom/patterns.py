@@ -129,14 +129,86 @@ ANCHORED_HEADINGS = ["LAYER 1", "PRE-TRAINING", "LAYER 2", "QB AWARENESS", "EXAM
 # --- modalities and rules
 TIER3_WORDS = ["aldosteronism", "gra", "liddle", "channelopathy", "dmpk", "anticipation", "multiple myeloma", "aflp", "ttp", "hus", "linezolid", "adamts13", "cyp11b1", "chimeric"]
 TIER1_WORDS = ["fluid", "drop", "dengue", "hypothyroidism", "anemia", "mentzer", "iron", "malaria", "vomiting", "diarrhea", "iv", "cbc"]
-SLIDE_RULES = [
-    ("MED-TRAILZERO", "ERROR", r"\b\d+\.0+\s*(?:mg|mcg|g|kg|mL|ml|L|units?|unit)\b"),
-    ("MED-CC", "WARN", r"(?:^|[^A-Za-z])cc(?:$|[^A-Za-z])"),
-    ("MED-AT", "ADVISORY", r"@\s*\d"),
-    ("MED-NOSPACE", "ADVISORY", r"\b\d+(?:mg|mcg|g|kg|mL|ml|units?)\b"),
-    ("EV-ABSOLUTE", "ERROR", r"(?i)\b(?:always|never|all patients|in every (?:case|patient)|contraindicated in all|invariably|100% of patients)\b"),
-    ("EV-EMERGING", "WARN", r"(?i)\b(?:novel|emerging|promising|cutting[- ]edge|breakthrough|paradigm[- ]shift(?:ing)?|game[- ]chang(?:er|ing))\b"),
-    ("JUR-OFFLABEL", "WARN", r"(?i)\boff[- ]label\b|\bunlicensed\b|\bunapproved use\b|\binvestigational\b"),
-    ("PHI-AGE90", "ERROR", r"(?i)\b(?:9[0-9]|1[0-9]{2})[- ]?(?:year|yr)s?[- ]?old\b|\baged?\s+(?:9[0-9]|1[0-9]{2})\b"),
+# Rule, severity, pattern, jurisdiction.
+SLIDE_RULES_JAVA = [
+    ("MED-U", "ERROR", r"(?<![A-Za-z])(\d+\s*)U(?![A-Za-z])", "us-origin/global-practice"),
+    ("MED-IU", "ERROR", r"(?<![A-Za-z])IU(?![A-Za-z])", "us-origin/global-practice"),
+    ("MED-QD", "ERROR", r"(?<![A-Za-z])(q\.?\s?d|Q\.?D|q\.?o\.?d|Q\.?O\.?D|qod|QOD)(?![A-Za-z])", "us-origin/global-practice"),
+    ("MED-MS", "ERROR", r"(?<![A-Za-z])(MS|MSO4|MgSO4)(?![A-Za-z0-9])", "us-origin/global-practice"),
+    ("MED-MCG", "ERROR", r"[µμ]g", "us-origin/global-practice"),
+    ("MED-TRAILZERO", "ERROR", r"\b\d+\.0+\s*(?=(mg|mcg|g|kg|mL|ml|L|units?|unit)\b)", "us-origin/global-practice"),
+    ("MED-NAKEDDEC", "ERROR", r"(?<![\d.])\.\d+\s*(mg|mcg|g|kg|mL|ml|L|units?)\b", "us-origin/global-practice"),
+    ("MED-CC", "WARN", r"(?<![A-Za-z])cc(?![A-Za-z])", "us-origin/global-practice"),
+    ("MED-AT", "ADVISORY", r"@\s*\d", "us-origin/global-practice"),
+    ("MED-EYEEAR", "WARN", r"(?<![A-Za-z])(AD|AS|AU|OD|OS|OU)(?![A-Za-z])", "us-origin/global-practice"),
+    ("MED-NOSPACE", "ADVISORY", r"\b\d+(mg|mcg|g|kg|mL|ml|units?)\b", "us-origin/global-practice"),
+    ("EV-ABSOLUTE", "ERROR", r"(?i)\b(always|never|all patients|in every (?:case|patient)|contraindicated in all|invariably|100% of patients)\b", "us (accredited CME)"),
+    ("EV-RECNOSRC", "WARN", r"(?i)\b(first[- ]line|second[- ]line|drug of choice|treatment of choice|recommended|should (?:be )?(?:give|given|start|started|receive|offered)|gold standard)\b", "us (accredited CME)"),
+    ("EV-RRONLY", "ADVISORY", r"(?i)\b(\d{1,3}(?:\.\d+)?\s*%\s*(?:relative\s+)?(?:risk\s+)?reduction|\bRRR\b|reduced .{0,20}\bby\s+\d{1,3}\s*%)", "none"),
+    ("EV-SIGNIF", "ADVISORY", r"(?i)\b(?:statistically\s+)?significant(?:ly)?\b", "none"),
+    ("EV-EMERGING", "WARN", r"(?i)\b(novel|emerging|promising|cutting[- ]edge|breakthrough|paradigm[- ]shift(?:ing)?|game[- ]chang(?:er|ing))\b", "us (accredited CME)"),
+    ("JUR-FDA", "WARN", r"(?i)\b(FDA[- ]approved|FDA approval|not FDA[- ]approved|EMA[- ]approved|MHRA[- ]approved)\b", "all"),
+    ("JUR-OFFLABEL", "WARN", r"(?i)\boff[- ]label\b|\bunlicensed\b|\bunapproved use\b|\binvestigational\b", "all"),
+    ("PHI-AGE90", "ERROR", r"(?i)\b(9[0-9]|1[0-9]{2})[- ]?(?:year|yr)s?[- ]?old\b|\baged?\s+(9[0-9]|1[0-9]{2})\b", "us"),
+    ("PHI-DATE", "WARN", r"\b(0?[1-9]|1[0-2])[/-](0?[1-9]|[12][0-9]|3[01])[/-](19|20)\d{2}\b", "us"),
+    ("PHI-MRN", "ERROR", r"(?i)\b(MRN|medical record (?:no|number)|hospital (?:no|number)|NHS number)\b[:\s#]*[\w-]{4,}", "us"),
+    ("PHI-INITIALS", "ADVISORY", r"\bpatient\s+(?:[A-Z]\.?\s?[A-Z]\.?|[A-Z]{2,3})\b", "us + journal norms"),
+    ("CME-TRADENAME", "ERROR", r"\b(?:®|™)", "us + eu (accredited)"),
 ]
+CITATION_MARKER = r"(?i)(\b(19|20)\d{2}\b|\bet al\b|10\.\d{4,9}/|\bdoi\b|\bPMID\b|\[\d+\]|\bNEJM\b|\bJAMA\b|\bLancet\b|\bBMJ\b|\bCochrane\b)"
+PRECISION_MARKER = r"(?i)(p\s*[<=>]|\bCI\b|95%|\bHR\b|\bOR\b|\bRR\b)"
+ROLE_WEIGHTS = {"divider": 0.35, "title": 0.45, "reference": 0.45, "takeaway": 0.8, "mechanism": 1.0, "evidence": 1.25, "safety": 1.30, "dosing": 1.30, "counselling": 1.25, "case": 1.45, "general": 1.0}
+DENSITY_WEIGHTS = {"low": 0.8, "medium": 1.0, "high": 1.25}
+DECISIONS = ["confirmed_corruption", "false_positive", "legitimate_paraphrase"]
+
+# Mathematical markup and what stands for it, in the order of application. Exponents and delimiters come between the parts.
+LATEX_REFERENCES_JAVA = [
+    (r"\\\(\s*\^\{([0-9,\-\s]+)\}\s*\\\)", "[$1]"),
+    (r"\$\^\{([0-9,\-\s]+)\}\$", "[$1]"),
+    (r"\$\^([0-9]+)\$", "[$1]"),
+    (r"\$\^\{([^}]+)\}\$", "[$1]"),
+]
+LATEX_EXPONENTS_JAVA = [r"(\d)\s*\^\s*\{\s*(-?\d{1,3})\s*\}", r"(\d)\^(-?\d{1,3})(?!\d)"]
+LATEX_SYMBOLS_JAVA = [
+    (r"\\text\{---\}", " - "),
+    (r"\\text\{--\}", "-"),
+    (r"\\?[\(\$]\s*S_([1-4])\s*\\?[\)\$]", "S$1"),
+    (r"\\?[\(\$]\s*A_2\s*\\?[\)\$]", "A2"),
+    (r"\\?[\(\$]\s*P_2\s*\\?[\)\$]", "P2"),
+    (r"\\?[\(\$]\s*V_([1-6])\s*\\?[\)\$]", "V$1"),
+    (r"\\?[\(\$]\s*A_2\s*(?:-|\\text\{--\}|\s*-\s*)\s*OS\s*\\?[\)\$]", "A2-OS"),
+    (r"\\mathrm\{([^}]+)\}", "$1"),
+    (r"\\text\{([^}]+)\}", "$1"),
+    (r"\\(?:ge|geq)(?=[^a-zA-Z]|$)", ">="),
+    (r"\\(?:le|leq)(?=[^a-zA-Z]|$)", "<="),
+    (r"\\pm(?=[^a-zA-Z]|$)", "+/-"),
+    (r"\\times(?=[^a-zA-Z]|$)", "x"),
+    (r"\\cdot(?=[^a-zA-Z]|$)", " * "),
+    (r"\\approx(?=[^a-zA-Z]|$)", "~"),
+    (r"\\Delta\s*P\b", "Delta P"),
+    (r"\\Delta(?=[^a-zA-Z]|$)", "Delta"),
+    (r"\\rho(?=[^a-zA-Z]|$)", "rho"),
+    (r"\\rightarrow(?=[^a-zA-Z]|$)", "->"),
+    (r"\\?[\(\$]\s*\\mu\s*(?:\\(?:text|mathrm)\{g\}|g)\s*\\?[\)\$]", "mcg"),
+    (r"\\?[\(\$]\s*\\mu\s*\\?[\)\$]\s*(?:\\(?:text|mathrm)\{g\}|g)\b", "mcg"),
+    (r"\\mu\s*(?:\\(?:text|mathrm)\{g\}|g)\b", "mcg"),
+    (r"\\?[\(\$]\s*\\mu\s*\\?[\)\$]", "µ"),
+    (r"\\mu(?=[^a-zA-Z]|$)", "µ"),
+    (r"\\?[\(\$]\s*\\beta\s*([0-9]*)\s*\\?[\)\$]", "beta$1"),
+    (r"\\?[\(\$]\s*\\alpha\s*([0-9]*)\s*\\?[\)\$]", "alpha$1"),
+    (r"\\%", "%"),
+    (r"\b([A-Za-z]{1,4})_\{([0-9A-Za-z]+)\}", "$1$2"),
+    (r"V_\{?max\}?", "Vmax"),
+    (r"\\?[\(\$]\s*dp/dt\s*\\?[\)\$]", "dp/dt"),
+]
+LATEX_KEPT_JAVA = r"(?i:\b(?:to|and|or|per|with|between|from)\b)|\\(?:frac|sqrt|sum|int|partial|mathbf|begin|end)"
+LATEX_SUBSCRIPTS_JAVA = [
+    (r"\b([A-Za-z]{1,4})_\{([0-9A-Za-z]+)\}\b", "$1$2"),
+    (r"\b([A-Za-z]{1,4})_([0-9]+)\b", "$1$2"),
+    (r"(>=|<=|>|<)([0-9])", "$1 $2"),
+]
+MICROGRAM_JAVA = [(r"([0-9\.\s])[µμ]g\b", "$1mcg"), (r"\b[µμ]g\b", "mcg"), (r"([0-9\.\s])ug\b", "$1mcg"), (r"\bug\b", "mcg")]
+PLAIN_SIGNS = {"≥": ">=", "≤": "<=", "±": "+/-", "°C": " deg C", "—": " - ", "–": " - ", "’": "'", "‘": "'", "“": '"', "”": '"'}
+SAFETY_DRUGS = ["sacubitril", "spironolactone", "aspirin", "metformin", "amiodarone", "digoxin", "apixaban", "warfarin", "furosemide"]
+SAFETY_INDICATION, SAFETY_PRECAUTIONS = "Cardiovascular pharmacotherapy", "Monitor renal function, electrolytes, and hemodynamics."
 SEMVER = r"^v?((?:0|[1-9]\d*)\.(?:0|[1-9]\d*)\.(?:0|[1-9]\d*)(?:-[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)*)?(?:\+[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)*)?)$"

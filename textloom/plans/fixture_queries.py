@@ -231,7 +231,7 @@ def gate_actions(spark, sf_dir):
 
 
 @query("applied_decisions", "J23 J24", with_sql("candidates", "decisions") + """
-, k as (select * from decisions where decision in ('confirmed_corruption', 'legitimate_paraphrase', 'not_a_corruption'))
+, k as (select * from decisions where decision in ('confirmed_corruption', 'false_positive', 'legitimate_paraphrase'))
 select c.candidate_id, case when k.decision is not null then 'VERIFIED' else status end as status, case when k.decision = 'confirmed_corruption' then 'CONFIRMED_CORRUPTION' when k.decision is not null then 'RESOLVED_NOT_A_CORRUPTION' else severity end as severity
 from candidates c left join k on k.candidate_id = c.candidate_id""")
 def applied_decisions(spark, sf_dir):
@@ -239,7 +239,7 @@ def applied_decisions(spark, sf_dir):
 
 
 @query("unmatched_decisions", "J23 J26", with_sql("candidates", "decisions") + """
-select * from decisions d where decision not in ('confirmed_corruption', 'legitimate_paraphrase', 'not_a_corruption') or not exists (select 1 from candidates c where c.candidate_id = d.candidate_id)""")
+select * from decisions d where decision not in ('confirmed_corruption', 'false_positive', 'legitimate_paraphrase') or not exists (select 1 from candidates c where c.candidate_id = d.candidate_id)""")
 def unmatched_decisions(spark, sf_dir):
     return fidelity.apply_decisions(load(spark, "candidates"), load(spark, "decisions"))[1]
 

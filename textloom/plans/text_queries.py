@@ -240,11 +240,24 @@ def corruption_audit(spark, sf_dir):
     return got.select("file", F.col("hits").cast("bigint").alias("hits"), F.col("doses").cast("bigint").alias("doses"), "status")
 
 
-@query("slide_rules", "A31 A32 A33 A34 P31", "with f as (" + " union all ".join(f"select page_id, '{n}' as rule, '{s}' as severity from pages where regexp_matches(html, '{p}')" for n, s, p in P.SLIDE_RULES) + """)
-select rule, severity, count(*) as slides from f group by all""")
+def _re2(pattern: str) -> str:
+    """A pattern whose matches are only asked for, without the look-around that DuckDB lacks."""
+    for a, b in (("(?<![A-Za-z])", "(?:^|[^A-Za-z])"), (r"(?<![\d.])", r"(?:^|[^\d.])"), ("(?![A-Za-z])", "(?:$|[^A-Za-z])"), ("(?![A-Za-z0-9])", "(?:$|[^A-Za-z0-9])"), ("(?=(", "(?:(")):
+        pattern = pattern.replace(a, b)
+    return pattern
+
+
+_UNLESS = {"EV-RECNOSRC": P.CITATION_MARKER, "EV-SIGNIF": P.PRECISION_MARKER}
+
+
+@query("slide_rules", "A31 A32 A33 A34 P31", "with f as (" + " union all ".join(
+    f"select doc_id, '{target}' as target, '{n}' as rule, '{s}' as severity from documents where regexp_matches(text, '{_re2(p)}')" + (f" and not regexp_matches(text, '{_UNLESS[n]}')" if n in _UNLESS else "")
+    for target in ("us", "eu", "none") for n, s, p, j in P.SLIDE_RULES_JAVA if lint.rule_applies(j, target)) + """)
+select target, rule, severity, count(*) as slides from f group by all""")
 def slide_rules(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select(F.lit("all").alias("deck"), F.col("page_id").alias("slide"), F.col("html").alias("text"))
-    return lint.slide_findings(rows).groupBy("rule", "severity").agg(F.count("*").alias("slides"))
+    rows = table(spark, sf_dir, "documents").select(F.lit("all").alias("deck"), F.col("doc_id").alias("slide"), "text")
+    each = [lint.slide_findings(rows, target, True).groupBy("rule", "severity").agg(F.count("*").alias("slides")).select(F.lit(target).alias("target"), "rule", "severity", "slides") for target in ("us", "eu", "none")]
+    return each[0].union(each[1]).union(each[2])
 
 
 @query("text_density", "P17 A10 A43", """

@@ -221,11 +221,11 @@ def _cross(num: int, den: int):
 
         def flush():
             pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)], 1), axis=0)
-            return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2] > 0)], names=["a", "b", "several"])
 
         for cols, starts in _groups(batches, 3):
             for x, y in zip(starts[:-1], starts[1:]):
-                _, i, j, grp, n, lo, hi, part, rank = (c[x:y] for c in cols)
+                _, i, j, grp, n, lo, hi, many, part, rank = (c[x:y] for c in cols)
                 one = i[0] == j[0]
                 left = np.arange(len(grp)) if one else np.flatnonzero(part == i[0])
                 right = left if one else np.flatnonzero(part == j[0])
@@ -239,7 +239,7 @@ def _cross(num: int, den: int):
                     if not len(p):
                         continue
                     swap = grp[p] > grp[q]
-                    found.append((grp[np.where(swap, q, p)], grp[np.where(swap, p, q)]))
+                    found.append((grp[np.where(swap, q, p)], grp[np.where(swap, p, q)], (many[p] | many[q]).astype(np.int64)))
                     held += len(p)
                     if held > 1_000_000:
                         yield flush()
@@ -380,28 +380,33 @@ def near_duplicates(
             break
 
     own = scratch.write(named(), "named")
-    groups = own.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    labelled = kept.join(groups, "grp").select("s", "grp", "n", "lo", "hi", "rank")
+    groups = own.groupBy("grp").agg(F.min("cls").alias("rep"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), (F.count("*") > 1).alias("many"))
+    groups = scratch.write(groups, "groups")
+    labelled = kept.join(groups, "grp").select("s", "rep", "n", "lo", "hi", "many", "rank")
     blocks = labelled.groupBy("s").agg(F.count("*").alias("df"), F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h")
     parts = F.ceil(F.col("df") / BLOCK).cast("int")
     dealt = (
         labelled.join(blocks.select("s", parts.alias("parts")), "s")
-        .withColumn("part", F.pmod("grp", "parts").cast("int"))
+        .withColumn("part", F.pmod("rep", "parts").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("s", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "grp", "n", "lo", "hi", "part", "rank")
+        .select("s", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rep", "n", "lo", "hi", "many", "part", "rank")
     )
     dealt = dealt.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j")
-    cross = dealt.mapInArrow(_cross(num, den), "a long, b long").union(groups.where("lo <> hi").select(F.col("grp").alias("a"), F.col("grp").alias("b")))
+    cross = dealt.mapInArrow(_cross(num, den), "a long, b long, several boolean")
+    cross = cross.union(groups.where("lo <> hi").select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(True)))
     cross = scratch.write(cross.distinct(), "cross")
     del labelled, blocks, dealt
     scratch.drop(kept)
-    # group pairs are expanded to pairs of their classes
-    left, right = (own.select(F.col("grp").alias(g), F.col("cls").alias(f"cls_{g}"), F.col("comp").alias(f"comp_{g}")) for g in ("a", "b"))
-    pairs = cross.join(left, "a").join(right, "b").where("comp_a <> comp_b and (a <> b or cls_a < cls_b)").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
+    # pairs of groups are expanded to pairs of their classes; a group of one class goes by its name
+    inside = own.join(groups.select("grp", "rep"), "grp")
+    left, right = (inside.select(F.col("rep").alias(g), F.col("cls").alias(f"cls_{g}"), F.col("comp").alias(f"comp_{g}")) for g in ("a", "b"))
+    pairs = cross.where("several").join(left, "a").join(right, "b").where("comp_a <> comp_b and (a <> b or cls_a < cls_b)")
+    pairs = pairs.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).union(cross.where("not several").select("a", "b"))
     links = links.union(scratch.write(_verified(pairs, sets, num, den), "links"))
     comps = scratch.write(connected_components(links, scratch), "components")
     del pairs
-    scratch.drop(sets, own, cross)
+    del inside, left, right
+    scratch.drop(sets, own, groups, cross)
 
     found = classes.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls"))
     lowest = found.groupBy("comp").agg(F.min("id").alias("component_id"))

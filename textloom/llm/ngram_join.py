@@ -38,7 +38,7 @@ LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
 FILTER_BITS = 1 << 20
 ROW = "__joined_row"
-FEW = 1_000_000  #: row numbers that are broadcast
+FEW = 1_000_000  #: row numbers or class names that are broadcast
 MEMBER = -1  #: the salt of rows that name a class' group
 
 
@@ -301,7 +301,9 @@ def _class_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: i
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+    """The pairs (a, b) of classes that link; `pairs` is a written table. Only the sets that it names travel."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = sets.join(F.broadcast(named) if named.count() <= FEW else named, "cls", "left_semi")
     left = sets.select(F.col("cls").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("items").alias("y"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar(num, den), "a long, b long")
@@ -351,6 +353,20 @@ def near_duplicates(
     links = spark.createDataFrame([], "a long, b long")
     comps = spark.createDataFrame([], "vertex long, component long")
 
+    tested = []
+
+    def untested(pairs: DataFrame) -> DataFrame:
+        """The pairs that lie in different components and were not compared before."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for t in tested:
+            pairs = pairs.join(t, ["a", "b"], "left_anti")
+        for end in ("a", "b") if tested else ():
+            pairs = pairs.join(comps.select(F.col("vertex").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+        if tested:
+            pairs = pairs.where("coalesce(of_a, a) <> coalesce(of_b, b)")
+        tested.append(scratch.write(pairs.select("a", "b"), "pairs"))
+        return tested[-1]
+
     def named() -> DataFrame:
         """Members with their components."""
         return members.join(comps.withColumnRenamed("vertex", "cls"), "cls", "left").select("grp", "cls", F.coalesce("component", "cls").alias("comp"))
@@ -365,13 +381,15 @@ def near_duplicates(
         inner = own.select("grp", F.col("cls").alias("a")).join(mixed, "grp").where("a <> b").select("a", "b")
         labelled = kept.join(groups.select("grp", "rep", "lo", "hi"), "grp").withColumn("band", band).select("s", "rep", "n", "lo", "hi", "band", "common")
         # the group with most in common with others leads, then some at random
-        heads = [F.max_by("rep", F.struct("common", F.xxhash64("rep", F.lit(leaders)))).alias("lead0")]
-        heads += [F.min_by("rep", F.xxhash64("rep", F.lit(10 * leaders + r))).alias(f"lead{r}") for r in range(1, leaders)]
+        heads = [F.max_by("rep", F.expr("shiftleft(cast(common * 1000 as long), 53) + shiftrightunsigned(rep, 11)")).alias("lead0")]
+        for r in range(1, leaders):
+            salt = F.xxhash64(F.lit(10 * leaders + r))  # names are hashes, so any bits flipped make an order at random
+            heads.append(F.min(F.col("rep").bitwiseXOR(salt)).bitwiseXOR(salt).alias(f"lead{r}"))
         blocks = labelled.groupBy("s", "band").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *heads).where("lo <> hi").drop("lo", "hi")
         tied = labelled.join(blocks, ["s", "band"]).select("rep", "n", F.explode(F.array(*[f"lead{r}" for r in range(leaders)])).alias("lead"))
         stars = tied.where("rep <> lead").groupBy("rep", "lead", "n").agg(F.count("*").alias("c")).where(F.expr(f"c * 8 >= {prefix}"))
         pairs = stars.select(F.col("rep").alias("a"), F.col("lead").alias("b")).union(inner)
-        more = scratch.write(_verified(pairs, sets, num, den), "links")
+        more = scratch.write(_verified(untested(pairs), sets, num, den), "links")
         links = links.union(more)
         comps = scratch.write(connected_components(links, scratch), "components")
         del labelled, blocks, tied, stars, pairs, inner, mixed
@@ -402,7 +420,7 @@ def near_duplicates(
     left, right = (inside.select(F.col("rep").alias(g), F.col("cls").alias(f"cls_{g}"), F.col("comp").alias(f"comp_{g}")) for g in ("a", "b"))
     pairs = cross.where("several").join(left, "a").join(right, "b").where("comp_a <> comp_b and (a <> b or cls_a < cls_b)")
     pairs = pairs.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).union(cross.where("not several").select("a", "b"))
-    links = links.union(scratch.write(_verified(pairs, sets, num, den), "links"))
+    links = links.union(scratch.write(_verified(untested(pairs), sets, num, den), "links"))
     comps = scratch.write(connected_components(links, scratch), "components")
     del pairs
     del inside, left, right

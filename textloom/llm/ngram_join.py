@@ -190,7 +190,7 @@ def _groups(batches, keys: int):
 
 
 def _shared(batches):
-    """Postings that are not alone in their block, and each class' group once."""
+    """Postings that are not alone in their block, with its size, and each class' group once; dealt blocks have salts above 0."""
     for (s, salt, n, grp), starts in _groups(batches, 2):
         same = np.zeros(len(s), dtype=bool)
         same[1:] = (grp[1:] == grp[:-1]) & (n[1:] == n[:-1])
@@ -199,7 +199,7 @@ def _shared(batches):
         count = np.bincount(group, minlength=len(starts) - 1)
         keep = np.flatnonzero(~same)[(count[group] > 1) | (salt[~same] != 0)]
         if len(keep):
-            yield pa.record_batch([pa.array(s[keep]), pa.array(n[keep].astype(np.int64)), pa.array(grp[keep]), pa.array(salt[keep] == MEMBER)], names=["s", "n", "grp", "member"])
+            yield pa.record_batch([pa.array(s[keep]), pa.array(n[keep].astype(np.int64)), pa.array(grp[keep]), pa.array(salt[keep]), pa.array(count[np.searchsorted(starts, keep, "right") - 1])], names=["s", "n", "grp", "salt", "df"])
 
 
 def _cross(num: int, den: int):
@@ -335,13 +335,15 @@ def near_duplicates(
     prefix, common = _sql(num, den)
     posts = with_id.mapInArrow(_postings(width, num, den, frequent), "s long, salt int, n int, grp long")
     posts = posts.repartition("s", "salt").sortWithinPartitions("s", "salt", "n", "grp")
-    posts = scratch.write(posts.mapInArrow(_shared, "s long, n long, grp long, member boolean"), "shared")
-    members = posts.where("member").select(F.col("s").alias("cls"), "grp")
-    shared = posts.where("not member").drop("member")
-    df = shared.groupBy("s").agg(F.count("*").alias("df"))
+    posts = scratch.write(posts.mapInArrow(_shared, "s long, n long, grp long, salt int, df long"), "shared")
+    members = posts.where(f"salt = {MEMBER}").select(F.col("s").alias("cls"), "grp")
+    # a shingle whose block is whole has its count by now; those of dealt blocks are added up
+    dealt = posts.where("salt > 0").drop("salt", "df")
+    dealt = dealt.join(dealt.groupBy("s").agg(F.count("*").alias("df")), "s").where("df > 1")
+    shared = posts.where("salt = 0").select("s", "n", "grp", "df").union(dealt.select("s", "n", "grp", "df"))
     rank = F.row_number().over(W.partitionBy("grp").orderBy("df", "s"))
     own = F.count("*").over(W.partitionBy("grp"))  # all other shingles of the prefix are the group's alone
-    kept = shared.join(df, "s").where("df > 1").withColumn("rank", rank).withColumn("own", own)
+    kept = shared.withColumn("rank", rank).withColumn("own", own)
     kept = kept.where(F.expr(f"rank <= own - {common} + 1")).select("s", "grp", "n", F.expr(f"{prefix} - own + rank - 1").alias("rank"), F.expr(f"own / {prefix}").alias("common"))
     kept = scratch.write(kept, "kept")
     several = members.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select("grp")

@@ -38,7 +38,7 @@ LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
 FILTER_BITS = 1 << 20
 ROW = "__joined_row"
-FEW = 1_000_000  #: row numbers or class names that are broadcast
+FEW = 1_000_000  #: row numbers, class names or labelled groups that are broadcast; more are shuffled
 MEMBER = -1  #: the salt of rows that name a class' group
 
 
@@ -300,10 +300,15 @@ def _class_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: i
     return sets.join(wanted, "cls", "left_semi")
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast if its rows, of a few longs each, are counted as FEW at most."""
+    return F.broadcast(table) if table.count() <= FEW else table
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of classes that link; `pairs` is a written table. Only the sets that it names travel."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = sets.join(F.broadcast(named) if named.count() <= FEW else named, "cls", "left_semi")
+    sets = sets.join(_small(named), "cls", "left_semi")
     left = sets.select(F.col("cls").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("items").alias("y"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar(num, den), "a long, b long")
@@ -381,7 +386,7 @@ def near_duplicates(
         groups = scratch.write(groups, "groups")
         mixed = groups.where("lo <> hi").select("grp", F.explode(F.array_distinct(F.array(*[f"head{r}" for r in range(leaders)]))).alias("b"))
         inner = own.select("grp", F.col("cls").alias("a")).join(mixed, "grp").where("a <> b").select("a", "b")
-        labelled = kept.join(groups.select("grp", "rep", "lo", "hi"), "grp").withColumn("band", band).select("s", "rep", "n", "lo", "hi", "band", "common")
+        labelled = kept.join(_small(groups.select("grp", "rep", "lo", "hi")), "grp").withColumn("band", band).select("s", "rep", "n", "lo", "hi", "band", "common")
         # the group with most in common with others leads, then some at random
         heads = [F.max_by("rep", F.expr("shiftleft(cast(common * 1000 as long), 53) + shiftrightunsigned(rep, 11)")).alias("lead0")]
         for r in range(1, leaders):
@@ -402,7 +407,7 @@ def near_duplicates(
     own = scratch.write(named(), "named")
     groups = own.groupBy("grp").agg(F.min("cls").alias("rep"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), (F.count("*") > 1).alias("many"))
     groups = scratch.write(groups, "groups")
-    labelled = kept.join(groups, "grp").select("s", "rep", "n", "lo", "hi", "many", "rank")
+    labelled = kept.join(_small(groups), "grp").select("s", "rep", "n", "lo", "hi", "many", "rank")
     blocks = labelled.groupBy("s").agg(F.count("*").alias("df"), F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h")
     parts = F.ceil(F.col("df") / BLOCK).cast("int")
     dealt = (
@@ -451,5 +456,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     work.clear()
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
     copies = Scratch(docs.sparkSession, "keep-one").write(found.select(ROW).join(first, ROW, "left_anti"), "copies")
-    few = copies.count() <= FEW  # then the texts need not be shuffled
-    return rows.join(F.broadcast(copies) if few else copies, ROW, "left_anti").select(*docs.columns)
+    return rows.join(_small(copies), ROW, "left_anti").select(*docs.columns)  # texts need not be shuffled for few

@@ -115,7 +115,7 @@ def test_groups_of_one_prefix_are_expanded_and_verified(spark, monkeypatch):
     assert len(sizes) <= 6 and got == expected and len(set(got.values())) > 5
 
 
-def test_keep_one_tells_rows_apart(spark):
+def test_keep_one_tells_rows_apart(spark, tmp_path):
     text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "ABC"}
     rows = [(1, text["A"]), (5, text["A"]), (5, text["B"]), (9, text["B"] + " x"), (7, text["C"]), (7, text["C"]), (None, text["C"]), (None, "lone words"), (3, None), (3, "")]
     docs = spark.createDataFrame([(i, t, "q") for i, t in rows], "doc_id long, text string, id string")
@@ -125,6 +125,15 @@ def test_keep_one_tells_rows_apart(spark):
     assert found == sorted([(1, "A0"), (5, "B0"), (7, "C0"), (0, "lo"), (3, ""), (3, "")])
     assert ngram_join.keep_one(docs.limit(0)).collect() == []
 
+    # rows read from several files are told by file and place, without a copy
+    for part in range(2):
+        docs.repartition(2).write.mode("append").parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    numbered = ngram_join._numbered(stored, ngram_join.Scratch(spark, "test"))
+    assert "-rows/" not in "".join(numbered.inputFiles()) and numbered.select(ngram_join.ROW).distinct().count() == 20
+    once = sorted(((r.doc_id or 0), (r.text or "")[:2]) for r in ngram_join.keep_one(stored).collect())
+    assert once == sorted([*found, (3, ""), (3, "")])
+
 
 def test_embeddings_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "PART", 32)

@@ -37,7 +37,8 @@ BLOCK = 512  #: postings of one shingle that are paired in one go
 LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once that mark it as frequent
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
 FILTER_BITS = 1 << 20
-ROW = "__joined_row"
+ROW, FILE, PLACE = "__joined_row", "__joined_file", "__joined_place"
+FILE_ROWS = 1 << 40  #: row numbers set apart for each file
 FEW = 1_000_000  #: row numbers, class names or labelled groups that are broadcast; more are shuffled
 MEMBER = -1  #: the salt of rows that name a class' group
 
@@ -444,16 +445,32 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
+def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """`docs` with ROW, a number that stays with its row whenever the table is computed anew.
+
+    Rows of Parquet files are told by file and place, of other tables by a written copy.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or not plan.simpleString(1).endswith(" parquet"):
+        return scratch.write(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    place = docs.metadataColumn("_metadata")
+    found = docs.select("*", place.getField("file_path").alias(FILE), place.getField("row_index").alias(PLACE))
+    files = found.select(FILE).distinct().withColumn(ROW, F.row_number().over(W.orderBy(FILE)) * F.lit(FILE_ROWS))
+    files = _small(scratch.write(files, "files"))
+    return found.join(files, FILE).withColumn(ROW, F.col(ROW) + F.col(PLACE)).select(*docs.columns, ROW)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, unchanged, that are alone or the first of their group of near copies.
 
     The first has the smallest id, null ids last; rows of equal ids are told apart. Wordless rows all stay.
     """
-    rows = Scratch(docs.sparkSession, "keep-one").write(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    rows = _numbered(docs, scratch)
     work = Scratch(docs.sparkSession, "ngram-join")
     found = near_duplicates(rows, ROW, text_col, scratch=work).select(ROW, "component_id").join(rows.select(ROW, F.col(id_col).alias("__id")), ROW)
-    found = Scratch(docs.sparkSession, "keep-one").write(found, "components")
+    found = scratch.write(found, "components")
     work.clear()
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull(), "__id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    copies = Scratch(docs.sparkSession, "keep-one").write(found.select(ROW).join(first, ROW, "left_anti"), "copies")
+    copies = scratch.write(found.select(ROW).join(first, ROW, "left_anti"), "copies")
     return rows.join(_small(copies), ROW, "left_anti").select(*docs.columns)  # texts need not be shuffled for few

@@ -298,7 +298,7 @@ def _class_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: i
     bits = np.zeros(FILTER_BITS, dtype=bool)
     bits[buckets] = True
     sets = docs.mapInArrow(_wanted_sets(width, docs.sparkSession.sparkContext.broadcast(bits)), "cls long, items binary")
-    return sets.join(wanted, "cls", "left_semi")
+    return sets.join(_small(wanted), "cls", "left_semi")
 
 
 def _small(table: DataFrame) -> DataFrame:

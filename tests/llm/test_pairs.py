@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from textloom.llm import embedding_dedup, ngram_join
@@ -115,6 +116,22 @@ def test_groups_of_one_prefix_are_expanded_and_verified(spark, monkeypatch):
     assert len(sizes) <= 6 and got == expected and len(set(got.values())) > 5
 
 
+def test_marks_rule_out_no_link():
+    rng = np.random.default_rng(5)
+    seen = {True: 0, False: 0}
+    for _ in range(600):
+        k, cut, add = int(rng.integers(1, 2500)), rng.random() / 2, rng.random() / 3
+        a = np.unique(rng.integers(0, 1 << 63, k, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[int(cut * k) :], rng.integers(0, 1 << 63, 1 + int(add * k), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        columns = [pa.array([v]) for v in (1, 2, len(a), len(b), ngram_join._mark(a), ngram_join._mark(b))]
+        batch = pa.record_batch(columns, names=list("abnmxy"))
+        near = len(next(ngram_join._near(75, 100)([batch]))) == 1
+        assert near or 100 * both < 75 * (len(a) + len(b) - both)
+        seen[near] += 1
+    assert min(seen.values()) > 50 and len(next(ngram_join._near(75, 100)([batch.slice(0, 0)]))) == 0
+
+
 def test_keep_one_tells_rows_apart(spark, tmp_path):
     text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "ABC"}
     rows = [(1, text["A"]), (5, text["A"]), (5, text["B"]), (9, text["B"] + " x"), (7, text["C"]), (7, text["C"]), (None, text["C"]), (None, "lone words"), (3, None), (3, "")]

@@ -14,7 +14,8 @@ the classes of one group) are first tied together through leaders, one for each
 block and size band, each link verified exactly. Then all pairs of groups that lie
 in different components and that sizes and ranks allow are expanded to pairs of
 their classes, and verified, so no link is lost. A block larger than BLOCK is
-dealt out in pairs of parts.
+dealt out in pairs of parts. Before sets travel to be verified, parity marks rule
+out the pairs that differ in too many bits, as each such bit takes a shingle.
 
 Sets are compared as 64-bit hashes of shingles; classes and groups are named by a
 64-bit hash of the set or prefix with the set's size.
@@ -37,6 +38,7 @@ BLOCK = 512  #: postings of one shingle that are paired in one go
 LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once that mark it as frequent
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
 FILTER_BITS = 1 << 20
+MARK_BITS = 1024  #: of the parities that bound from below in how many shingles two sets differ
 ROW, FILE, PLACE = "__joined_row", "__joined_file", "__joined_place"
 FILE_ROWS = 1 << 40  #: row numbers set apart for each file
 FEW = 1_000_000  #: row numbers, class names or labelled groups that are broadcast; more are shuffled
@@ -251,6 +253,24 @@ def _cross(num: int, den: int):
     return run
 
 
+def _mark(items: np.ndarray) -> bytes:
+    """For each of MARK_BITS buckets, whether a set has an odd number of shingles there."""
+    return np.packbits(np.bincount((items & np.uint64(MARK_BITS - 1)).astype(np.int64), minlength=MARK_BITS) & 1).tobytes()
+
+
+def _near(num: int, den: int):
+    """The pairs (a, b) of (a, b, n, m, x, y) that sizes n, m and marks x, y do not rule out."""
+
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy() for k in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(len(n), MARK_BITS // 64) for k in (4, 5))
+            both = (n + m - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(both * den >= num * (n + m - both)))
+
+    return run
+
+
 def _wanted_sets(width: int, wanted):
     def run(batches):
         bits = wanted.value
@@ -259,9 +279,11 @@ def _wanted_sets(width: int, wanted):
             batch = batch.filter(pa.array(bits[_bucket(ids.fill_null(0).to_numpy(zero_copy_only=False))]))
             for _, flat, begin, cls in _sets(batch, width):
                 rows = _first_rows(cls, np.diff(begin))
+                own = [flat[begin[r] : begin[r + 1]] for r in rows]
                 yield pa.record_batch(
-                    [pa.array(cls[rows].view(np.int64)), pa.array([flat[begin[r] : begin[r + 1]].tobytes() for r in rows], pa.binary())], names=["cls", "items"]
-                )
+                    [pa.array(cls[rows].view(np.int64)), pa.array([len(s) for s in own], pa.int64()), pa.array([_mark(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())],
+                    names=["cls", "n", "mark", "items"],
+                )
 
     return run
 
@@ -292,12 +314,12 @@ def _similar(num: int, den: int):
 
 
 def _class_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(cls, items) of the classes wanted, made anew from the text of one document each."""
+    """(cls, n, mark, items) of the classes wanted, made anew from the text of one document each."""
     ids = wanted.join(classes, "cls").select("id")
     buckets = ids.mapInArrow(_buckets, "bucket long").distinct().toArrow().column(0).to_numpy()  # at most FILTER_BITS
     bits = np.zeros(FILTER_BITS, dtype=bool)
     bits[buckets] = True
-    sets = docs.mapInArrow(_wanted_sets(width, docs.sparkSession.sparkContext.broadcast(bits)), "cls long, items binary")
+    sets = docs.mapInArrow(_wanted_sets(width, docs.sparkSession.sparkContext.broadcast(bits)), "cls long, n long, mark binary, items binary")
     return sets.join(_small(wanted), "cls", "left_semi")
 
 
@@ -306,13 +328,18 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= FEW else table
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of classes that link; `pairs` is a written table. Only the sets that it names travel."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = sets.join(_small(named), "cls", "left_semi")
-    left = sets.select(F.col("cls").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("cls").alias("b"), F.col("items").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar(num, den), "a long, b long")
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of classes that link; `pairs` is a written table. Only marks of the sets that it names travel, and sets that marks leave in question."""
+
+    def beside(pairs: DataFrame, *columns: str) -> DataFrame:
+        named = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        own = sets.select("cls", *columns).join(_small(named), "cls", "left_semi")
+        for end in ("a", "b"):
+            pairs = pairs.join(own.select(F.col("cls").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        return pairs.select("a", "b", *[f"{c}_{end}" for c in columns for end in ("a", "b")])
+
+    near = scratch.write(beside(pairs.select("a", "b"), "n", "mark").mapInArrow(_near(num, den), "a long, b long"), "near")
+    return beside(near, "items").mapInArrow(_similar(num, den), "a long, b long")
 
 
 def near_duplicates(
@@ -397,7 +424,7 @@ def near_duplicates(
         tied = labelled.join(blocks, ["s", "band"]).select("rep", "n", F.explode(F.array(*[f"lead{r}" for r in range(leaders)])).alias("lead"))
         stars = tied.where("rep <> lead").groupBy("rep", "lead", "n").agg(F.count("*").alias("c")).where(F.expr(f"c * 8 >= {prefix}"))
         pairs = stars.select(F.col("rep").alias("a"), F.col("lead").alias("b")).union(inner)
-        more = scratch.write(_verified(untested(pairs), sets, num, den), "links")
+        more = scratch.write(_verified(untested(pairs), sets, num, den, scratch), "links")
         links = links.union(more)
         comps = scratch.write(connected_components(links, scratch), "components")
         del labelled, blocks, tied, stars, pairs, inner, mixed
@@ -428,7 +455,7 @@ def near_duplicates(
     left, right = (inside.select(F.col("rep").alias(g), F.col("cls").alias(f"cls_{g}"), F.col("comp").alias(f"comp_{g}")) for g in ("a", "b"))
     pairs = cross.where("several").join(left, "a").join(right, "b").where("comp_a <> comp_b and (a <> b or cls_a < cls_b)")
     pairs = pairs.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).union(cross.where("not several").select("a", "b"))
-    links = links.union(scratch.write(_verified(untested(pairs), sets, num, den), "links"))
+    links = links.union(scratch.write(_verified(untested(pairs), sets, num, den, scratch), "links"))
     comps = scratch.write(connected_components(links, scratch), "components")
     del pairs
     del inside, left, right

@@ -332,10 +332,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, scratch: Sc
     """The pairs (a, b) of classes that link; `pairs` is a written table. Only marks of the sets that it names travel, and sets that marks leave in question."""
 
     def beside(pairs: DataFrame, *columns: str) -> DataFrame:
-        named = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        own = sets.select("cls", *columns).join(_small(named), "cls", "left_semi")
-        for end in ("a", "b"):
-            pairs = pairs.join(own.select(F.col("cls").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        ends = {end: _small(pairs.select(end).distinct()) for end in ("a", "b")}
+        for end, named in ends.items():
+            own = sets.select(F.col("cls").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+            pairs = pairs.join(own.join(named, end, "left_semi"), end)
         return pairs.select("a", "b", *[f"{c}_{end}" for c in columns for end in ("a", "b")])
 
     near = scratch.write(beside(pairs.select("a", "b"), "n", "mark").mapInArrow(_near(num, den), "a long, b long"), "near")

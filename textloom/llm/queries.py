@@ -100,6 +100,24 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(turns.union(extra)))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .elkan import cluster
+
+    return cluster(_read(spark, sf_dir, "embeddings"), k=16, rounds=3).drop("calculated")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .trie import prefix_trie
+
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -111,6 +129,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_chat_format": op10_chat_format,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 
@@ -134,9 +155,9 @@ select x.vec_id, coalesce(n.n, 0) as n_links, m.component_id, m.component_id = x
 
 
 def _oracles() -> dict[str, str]:
-    from . import chat, line_dedup
+    from . import chat, elkan, line_dedup, quality, trie
 
-    return {"op2_ngram_jaccard": NGRAM_ORACLE, "op4_embedding_near_dedup": EMBEDDING_ORACLE, "op7_line_dedup": line_dedup.oracle(), "op10_chat_format": chat.ORACLE}
+    return {"op11_centroid_clustering": elkan.oracle(), "op12_prefix_trie": trie.ORACLE, "op13_quality_rules": quality.oracle(), "op2_ngram_jaccard": NGRAM_ORACLE, "op4_embedding_near_dedup": EMBEDDING_ORACLE, "op7_line_dedup": line_dedup.oracle(), "op10_chat_format": chat.ORACLE}
 
 
 #: No SQL where the method is a learnt model or the comparison is too slow on whole tables; tests/llm holds those against brute force.

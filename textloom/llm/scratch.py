@@ -41,10 +41,11 @@ class Scratch:
         files.mkdirs(path)
         files.deleteOnExit(path)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """Writes and reads again; `by` names columns that get a folder for each value."""
         self.n += 1
         path = f"{self.root}/{self.n}-{name}"
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

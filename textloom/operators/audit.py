@@ -10,6 +10,7 @@ from .. import patterns as P
 from ..functions.columns import any_match, ladder, lines_of, prose_units
 from .chunks import field, split_blocks
 from .lines import explode_lines, orphans, sweep
+from .substrings import contains_join
 
 
 def document_audit(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -90,13 +91,11 @@ def table_delimiters(table: Column) -> Column:
 def coverage(chunks: DataFrame, threshold: float = 0.9) -> DataFrame:
     """(chapter, chunk_id, covered, total, pct) of L1 chunks whose sentences the chapter's L2 bodies lack too often.
 
-    A sentence lies within one line, so sentences and L2 lines meet on shared 12-character pieces, not as all pairs.
+    A sentence lies within one line; sentences and L2 lines meet on winnowed fingerprints (`substrings.contains_join`).
     """
     want = chunks.where("level = 1").select("chapter", "chunk_id", F.posexplode(prose_units(F.col("body"))).alias("k", "sentence"))
-    lines = chunks.where("level = 2").select("chapter", F.explode(lines_of(F.col("body"))).alias("line")).where(F.length("line") >= 12).distinct()
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("line") - 11), lambda k: F.substring("line", k, 12)))
-    have = lines.select("chapter", "line", F.explode(grams).alias("piece"))
-    hits = want.withColumn("piece", F.substring("sentence", 1, 12)).join(have, ["chapter", "piece"]).where(F.contains("line", F.col("sentence")))
+    lines = chunks.where("level = 2").select("chapter", F.col("chunk_id").alias("in_chunk"), F.posexplode(lines_of(F.col("body"))).alias("in_line", "line"))
+    hits = contains_join(want, lines, "sentence", "line", ["chapter"], ["in_chunk", "in_line"])
     hits = hits.select("chapter", "chunk_id", "k").distinct().withColumn("hit", F.lit(1))
     seen = want.join(hits, ["chapter", "chunk_id", "k"], "left").groupBy("chapter", "chunk_id").agg(F.count("hit").alias("covered"), F.count("*").alias("total"))
     return seen.withColumn("pct", F.bround(F.col("covered") / F.col("total") * 100, 1)).where(F.col("covered") / F.col("total") < threshold)

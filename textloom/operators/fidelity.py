@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import patterns as P
 from ..functions.columns import ladder, short_hash
 from ..functions.unicode import markers
+from . import merkle
 
 
 def tokens_by_check(pairs: DataFrame, text: str, checks: dict[str, list[str]] | None = None) -> DataFrame:
@@ -157,12 +158,14 @@ def apply_whole(rows: DataFrame, updates: DataFrame, key: str, column: str, stal
     bad = F.col("__is").isNull()
     if stale:
         bad = bad | (F.col("__new").isNotNull() & ~F.col("__seen").eqNullSafe(F.sha2(F.col(column), 256)))
-    joined = joined.withColumn("__bad", F.max(bad.cast("int")).over(W.partitionBy()))
-    value = F.when((F.col("__bad") == 0) & F.col("__new").isNotNull(), F.col("__new")).otherwise(F.col(column))
+    refused = bool(joined.where(bad).limit(1).count())
+    value = F.col(column) if refused else F.coalesce("__new", F.col(column))
     return joined.where("__is").withColumn(column, value).select(*rows.columns)
 
 
 def set_hash(rows: DataFrame, cols: list[str]) -> DataFrame:
-    """one order-independent sha-256 of a set of rows, from its sorted row hashes."""
-    each = rows.select(F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in cols]), 256).alias("h"))
-    return each.agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("set_hash"))
+    """one order-independent sha-256 of a set of rows.
+
+    Up to merkle.LEAF rows it is that of the sorted row hashes; larger sets are hashed by a tree of such leaves.
+    """
+    return merkle.set_hash(rows, cols)

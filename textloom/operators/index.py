@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..functions.columns import index_tokens
+from .names import first_of_each, occurrences
+from .ordered import carried, following
 
 
 def postings(chunks: DataFrame, ord_col: str, text_col: str) -> DataFrame:
@@ -30,11 +32,10 @@ def index_lines(lines: DataFrame) -> DataFrame:
     for s in P.SUB_STARTS:
         starts = starts | F.col("line").startswith(s)
     sub = (F.col("line").rlike(r"^[a-z]") & ~word.rlike("[A-Z]")) | starts
-    by = W.orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
-    # a book's index is one ordered list, small beside its text
-    rows = rows.withColumn("term_ord", F.last(F.when(~sub, F.col("ord")), ignorenulls=True).over(by)).withColumn("is_sub", sub & F.col("term_ord").isNotNull())
-    rows = rows.withColumn("term_ord", F.coalesce("term_ord", "ord"))
-    return rows.withColumn("term", F.first("line").over(W.partitionBy("term_ord").orderBy("ord")))
+    rows = carried(rows.withColumn("__sub", sub), ["ord"], F.when(~F.col("__sub"), F.struct("ord", "line")), "__entry")
+    # before the first entry every line is one of its own
+    rows = rows.withColumn("is_sub", F.col("__sub") & F.col("__entry").isNotNull()).withColumn("term_ord", F.coalesce("__entry.ord", "ord")).withColumn("term", F.coalesce("__entry.line", "line"))
+    return rows.drop("__sub", "__entry")
 
 
 def terms(indexed: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def polysemy(term_rows: DataFrame, least: int = 4, most: int = 10) -> DataFrame:
 
 def adjacency(term_rows: DataFrame) -> DataFrame:
     """Edges between neighbouring entries, weight 1."""
-    return term_rows.select("term", F.lead("term").over(W.orderBy("term_ord")).alias("next"), F.lit(1.0).alias("weight")).where("next is not null")
+    return following(term_rows.select("term_ord", "term"), ["term_ord"], "term", "next").select("term", "next", F.lit(1.0).alias("weight")).where("next is not null")
 
 
 def salience(term_rows: DataFrame) -> DataFrame:
@@ -98,20 +99,19 @@ def early_exit(chunks: DataFrame) -> DataFrame:
 
 
 def term_to_chunks(names: DataFrame, chunks: DataFrame, chars: int | None, fold: bool, most: int) -> DataFrame:
-    """(acronym, matches, chunks): whole-word occurrences in a topic or the first `chars` of a body.
+    """(acronym, matches, chunks): whole-word occurrences in a topic or the first `chars` of a body; chunks are the first `most`.
 
-    Words, not patterns, are joined: each chunk's distinct words meet the names by an equi-join, which holds for
-    names that are single words; others are compared by their first word and then verified.
+    Names and texts meet word by word (`names.occurrences`); a text never stands beside its words.
     """
     body = F.substring("body", 1, chars) if chars else F.col("body")
     low = F.lower if fold else (lambda c: c)
-    text = low(F.concat_ws("\n", "topic", body))
-    words = chunks.withColumn("__text", text).select("ord", "chunk_id", "__text", F.explode(F.array_distinct(F.regexp_extract_all("__text", F.lit(r"[A-Za-z0-9_]+"), F.lit(0)))).alias("word"))
-    asked = names.select("acronym").distinct().withColumn("__name", low(F.col("acronym"))).withColumn("word", F.regexp_extract("__name", r"[A-Za-z0-9_]+", 0))
-    hit = F.concat(F.lit(r"(?:^|\W)"), F.regexp_replace("__name", r"([^A-Za-z0-9_])", r"\\$1"), F.lit(r"(?:$|\W)"))
-    found = words.join(asked, "word").where(F.rlike("__text", hit))
-    got = found.groupBy("acronym").agg(F.count("*").alias("matches"), F.sort_array(F.collect_list(F.struct("ord", "chunk_id"))).alias("c"))
-    return got.select("acronym", "matches", F.array_join(F.transform(F.slice("c", 1, most), lambda x: x["chunk_id"]), ",").alias("chunks"))
+    rows = chunks.select(F.struct("ord", "chunk_id").alias("at"), low(F.concat_ws("\n", "topic", body)).alias("text"))
+    asked = names.select("acronym").distinct().withColumn("name", low(F.col("acronym")))
+    found = occurrences(asked, rows, "at", "text").select("name", "at.ord", "at.chunk_id")
+    counted = found.groupBy("name").agg(F.count("*").alias("matches"))
+    first = first_of_each(found, ["name"], ["ord", "chunk_id"], most).groupBy("name").agg(F.sort_array(F.collect_list(F.struct("ord", "chunk_id"))).alias("c"))  # `most` at most
+    got = asked.join(counted, "name").join(first, "name")
+    return got.select("acronym", "matches", F.array_join(F.transform("c", lambda x: x["chunk_id"]), ",").alias("chunks"))
 
 
 def comparators(term_rows: DataFrame) -> DataFrame:
@@ -129,10 +129,7 @@ def grammar(names: DataFrame, most: int = 50) -> DataFrame:
 
 def eval_triplets(chunks: DataFrame, step: int = 50) -> DataFrame:
     """(query, positive, negative): the negative is the chunk `step` places on, around the end."""
-    n = chunks.count()
-    rows = chunks.withColumn("i", F.row_number().over(W.orderBy("ord")) - 1)
-    other = rows.select(F.col("i").alias("j"), F.col("chunk_id").alias("negative"))
-    return rows.select("topic", "chunk_id", F.pmod(F.col("i") + step, F.lit(max(n, 1))).alias("j")).join(other, "j").select(F.col("topic").alias("query"), F.col("chunk_id").alias("positive"), "negative")
+    return following(chunks, ["ord"], "chunk_id", "negative", step, around=True).select(F.col("topic").alias("query"), F.col("chunk_id").alias("positive"), "negative")
 
 
 def canonical_copies(files: DataFrame, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..functions.columns import any_word, ladder
+from .ordered import positions
 
 
 def tier(text: Column) -> Column:
@@ -33,7 +34,7 @@ def triplets(claims: DataFrame, fixed: DataFrame) -> DataFrame:
 
 def cards(claims: DataFrame) -> DataFrame:
     """(card_id, front, back): a cloze a claim, numbered in claim order."""
-    rows = claims.withColumn("n", F.row_number().over(W.orderBy("claim_id")))
+    rows = positions(claims, ["claim_id"], "n").withColumn("n", F.col("n") + 1)
     front = F.when(F.col("claim_type") == "CONTRAINDICATION", F.concat(F.lit("Contraindicated in "), "disease", F.lit(": {{c1::...}}"))).otherwise(F.concat("disease", F.lit(": {{c1::...}}")))
     return rows.select(F.format_string("CARD-%04d", "n").alias("card_id"), front.alias("front"), F.col("claim_text").alias("back"))
 

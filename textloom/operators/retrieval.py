@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..functions.columns import any_word, first_words, search_tokens, words_of
+from .ordered import positions
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -53,16 +54,16 @@ def top_k(scores: DataFrame, by: list[str], order: list, k: int, rank: str = "ra
 def target_ranks(scores: DataFrame, docs: DataFrame, targets: DataFrame, id_col: str) -> DataFrame:
     """(query, doc, rank) of each query's target among all documents, zero scores included, ties by id.
 
-    Documents without a shared term score zero; they are counted, not listed.
+    Documents without a shared term score zero; they are counted, not listed: those before a target are as many as
+    its place in the order of ids, less the scored ones before it.
     """
     own = targets.join(scores, ["query", "doc"], "left").select("query", "doc", F.coalesce("score", F.lit(0.0)).alias("own"))
-    other = scores.withColumnRenamed("doc", "other").join(own, "query")
-    above = other.where((F.col("score") > F.col("own")) | ((F.col("score") == F.col("own")) & (F.col("other") < F.col("doc")))).groupBy("query", "doc").agg(F.count("*").alias("above"))
-    zero = own.where("own = 0").join(docs.select(F.col(id_col).alias("other")), F.col("other") < F.col("doc"))
-    zero = zero.join(scores.select("query", F.col("doc").alias("other"), F.lit(1).alias("seen")), ["query", "other"], "left_anti").groupBy("query", "doc").agg(F.count("*").alias("tied"))
-    return own.join(above, ["query", "doc"], "left").join(zero, ["query", "doc"], "left").select(
-        "query", "doc", (F.coalesce("above", F.lit(0)) + F.coalesce("tied", F.lit(0)) + 1).alias("rank")
-    )
+    places = positions(docs.select(F.col(id_col).alias("doc")), ["doc"], "place")
+    lower = F.col("other") < F.col("doc")
+    ahead = (F.col("score") > F.col("own")) | ((F.col("score") == F.col("own")) & lower)
+    seen = scores.select("query", F.col("doc").alias("other"), "score").join(own, "query").groupBy("query", "doc").agg(F.count_if(ahead).alias("ahead"), F.count_if(lower).alias("before"))
+    zero = F.when(F.col("own") == 0, F.col("place") - F.coalesce("before", F.lit(0))).otherwise(0)
+    return own.join(seen, ["query", "doc"], "left").join(places, "doc").select("query", "doc", (F.coalesce("ahead", F.lit(0)) + zero + 1).alias("rank"))
 
 
 def hit_rates(ranks: DataFrame, group: str) -> DataFrame:
@@ -80,9 +81,9 @@ def term_search(records: DataFrame, query: str, text_col: str, weight: int, k: i
 
 
 def first_or_all(rows: DataFrame, test, order: str) -> DataFrame:
-    """Rows that pass, or all rows where none does; decided inside the plan."""
-    kept = rows.withColumn("__hit", test.cast("int"))
-    return kept.withColumn("__any", F.max("__hit").over(W.partitionBy())).where("__hit = 1 or __any = 0").drop("__hit", "__any").orderBy(order)
+    """Rows that pass, or all rows where none does; the first that passes settles which."""
+    kept = rows.where(test)
+    return (kept if kept.limit(1).count() else rows).orderBy(order)
 
 
 def lookup(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:

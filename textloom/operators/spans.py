@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import anchor_units, normalise_anchor
 from .lines import islands
+from .substrings import contains_join
 
 
 def parse(raw: Column) -> Column:
@@ -82,19 +82,16 @@ def locate(chunks: DataFrame, lines: DataFrame, reach: int = 250, sample: int =
     """(doc, chunk, unit, ln): where each anchor of a chunk (doc, chunk, body, hint) stands in its text.
 
     Of several places the nearest to the hint within `reach` lines counts, else the nearest of all. Anchors and
-    lines first meet on the anchor's first eight characters' presence, by an equi-join on shared eight-character
-    pieces, never as a cross product.
+    lines meet on winnowed fingerprints (`substrings.contains_join`); the nearest place is kept by an aggregate.
     """
     units = chunks.select("doc", "chunk", "hint", F.posexplode(anchor_units(F.col("body"))).alias("unit", "raw"))
-    units = units.withColumn("anchor", F.substring(normalise_anchor(F.col("raw")), 1, sample)).withColumn("piece", F.substring("anchor", 1, 8))
-    source = lines.withColumn("text", normalise_anchor(F.col("line")))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - 7, F.lit(1))), lambda k: F.substring("text", k, 8)))
-    source = source.where(F.length("text") >= 8).select("doc", "ln", "text", F.explode(grams).alias("piece"))
-    hits = units.where(F.length("anchor") >= 8).join(source, ["doc", "piece"]).where(F.contains("text", F.col("anchor")))
+    units = units.select("doc", "chunk", "hint", "unit", F.substring(normalise_anchor(F.col("raw")), 1, sample).alias("anchor"))
+    source = lines.select("doc", "ln", normalise_anchor(F.col("line")).alias("text"))
+    hits = contains_join(units.where(F.length("anchor") >= 8), source, "anchor", "text", ["doc"], ["ln"])
     away = F.abs(F.col("ln") - F.col("hint"))
-    order = [F.when(away <= reach, 0).otherwise(1), F.coalesce(away, F.col("ln")), "ln"]
-    best = hits.withColumn("n", F.row_number().over(W.partitionBy("doc", "chunk", "unit").orderBy(*order))).where("n = 1")
-    return units.select("doc", "chunk", "unit").join(best.select("doc", "chunk", "unit", "ln"), ["doc", "chunk", "unit"], "left")
+    near = F.struct(F.when(away <= reach, 0).otherwise(1).alias("far"), F.coalesce(away, F.col("ln")).alias("away"), F.col("ln").alias("ln"))
+    best = hits.groupBy("doc", "chunk", "unit").agg(F.min(near)["ln"].alias("ln"))
+    return units.select("doc", "chunk", "unit").join(best, ["doc", "chunk", "unit"], "left")
 
 
 def precision(declared: DataFrame, located: DataFrame, tolerance: int = 1, floor: float = 0.5) -> DataFrame:

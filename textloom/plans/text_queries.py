@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..functions import columns as C
-from ..operators import audit, fidelity, guard, index, lint, lines, modalities, retrieval, spans
+from ..operators import audit, blocks, fidelity, guard, index, lint, lines, merkle, modalities, ordered, retrieval, spans
 from ..registry import query, table
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in sorted(P.STOPWORDS)) + "]"
@@ -51,6 +51,26 @@ def bm25_hit_rates(spark, sf_dir):
     return retrieval.hit_rates(ranks.withColumn("part", F.col("query") % 4), "part").withColumn("mrr", F.round("mrr", 6))
 
 
+@query("blocked_topk", "A19 F24 O02", _bm25_sql("documents", "doc_id", "text", "benchmark", "item_id", "text") + """
+select query, doc, rank, round(score, 5) as score from
+  (select *, row_number() over (partition by query order by round(score, 5) desc, doc) as rank from h) where rank <= 10""")
+def blocked_topk(spark, sf_dir):
+    """The ten best documents of each benchmark item from a blocked index, blocks of too low a bound left out."""
+    top, _ = blocks.search(blocks.build(table(spark, sf_dir, "documents"), "doc_id", "text", block=256), retrieval.query_terms(table(spark, sf_dir, "benchmark"), "item_id", "text"), 10)
+    return top.select("query", "doc", F.col("rank").cast("bigint").alias("rank"), "score")
+
+
+@query("posting_blocks", "A19", "with d as (select doc_id as doc, " + _TOKENS.format(t="text") + """ as toks, row_number() over (order by doc_id) - 1 as place from documents),
+c as (select term, place, count(*) as tf, any_value(n) as n from (select unnest(toks) as term, place, len(toks) as n from d) group by term, place)
+select term, (place // 256)::bigint as block, count(*) as n, md5(string_agg(place || ':' || tf || ':' || n, ',' order by place)) as postings from c group by all""")
+def posting_blocks(spark, sf_dir):
+    """The blocks of the same index, their postings unpacked."""
+    rows = blocks.build(table(spark, sf_dir, "documents"), "doc_id", "text", block=256).blocks
+    own = F.arrays_zip(blocks.places_of(F.col("base"), F.col("gaps")).alias("place"), "tfs", "lengths")
+    text = F.array_join(F.transform(own, lambda p: F.concat_ws(":", p["place"].cast("string"), p["tfs"].cast("string"), p["lengths"].cast("string"))), ",")
+    return rows.select("term", "block", "n", F.md5(text).alias("postings"))
+
+
 _WORDS = ["disgusting", "licensed", "version", "the"]
 
 
@@ -169,7 +189,18 @@ def contained_spans(spark, sf_dir):
     return spans.contained(whole, turns.select("doc", F.col("turn").alias("chunk"), F.col("turn").alias("lo"), F.col("turn").alias("hi")), width=4)
 
 
-@query("located_anchors", "J07 J08 F11 F12")
+_NORM = "trim(translate(regexp_replace({0}, '\\*+|_+|`+', '', 'g'), '–—', '--'), ' ')"
+
+
+@query("located_anchors", "J07 J08 F11 F12", "with " + _LINES + """
+, x as materialized (select distinct """ + _NORM.format("line") + """ as line from lines),
+u as (select item_id, trim(unnest(string_split(text, chr(10))), ' ') as s from benchmark),
+v as (select item_id, s, starts_with(s, '|') as cells, regexp_replace(s, '^[-*]\\s+', '') as t, trim(regexp_replace(s, '^\\|+|\\|+$', '', 'g'), ' ') as c from u
+      where s <> '' and not regexp_matches(s, '^#{1,6}\\s') and not regexp_matches(s, '^\\|?\\s*-+\\s*\\|')),
+p as (select item_id, cells, c, t, list_filter(list_transform(string_split(regexp_replace(t, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda y: trim(y, ' ')), lambda y: length(y) >= 8) as parts from v),
+a as (select item_id, unnest(case when cells then case when length(c) >= 8 then [c[1:100]] else [] end when len(parts) > 0 then parts when length(t) >= 8 then [t] else [] end) as raw from p),
+n as (select item_id, """ + _NORM.format("raw") + """[1:70] as anchor from a)
+select item_id as chunk, count(*) as units, count(*) filter (length(anchor) >= 8 and exists (select 1 from x where contains(x.line, anchor))) as found from n group by item_id""")
 def located_anchors(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark").select(F.lit("all").alias("doc"), F.col("item_id").alias("chunk"), F.col("text").alias("body"), F.lit(1).alias("hint"))
     rows = lines.explode_lines(table(spark, sf_dir, "documents"), "doc_id", "text").select(F.lit("all").alias("doc"), (F.col("doc") * 100000 + F.col("ln")).alias("ln"), "line")
@@ -326,6 +357,38 @@ def set_hash(spark, sf_dir):
     return fidelity.set_hash(table(spark, sf_dir, "benchmark"), ["item_id", "text"])
 
 
+_LEAF = "select substr(h, 1, 2) as prefix, sum(n) as n, sha256(string_agg(case when n = 1 then h else h || 'x' || n end, '' order by h)) as digest from (select h, count(*) as n from ({rows}) group by h) group by 1"
+_EDITED = "case when o_orderkey % 997 = 0 then o_orderpriority || '!' else o_orderpriority end"
+_ORDER_HASH = "select sha256(concat_ws('|', o_orderkey::varchar, o_custkey::varchar, {p})) as h from orders"
+
+
+@query("tree_hash", "F26 F27", "with l as (" + _LEAF.format(rows=_ORDER_HASH.format(p="o_orderpriority")) + """),
+m as (select substr(prefix, 1, 1) as prefix, sha256(string_agg(prefix || digest, '' order by prefix)) as digest from l group by 1)
+select sha256(string_agg(prefix || digest, '' order by prefix)) as set_hash from m""")
+def tree_hash(spark, sf_dir):
+    """The root over 256 leaves of all orders."""
+    return merkle.set_hash(table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"], 2)
+
+
+@query("tree_differences", "F26 F27", "with a as (" + _LEAF.format(rows=_ORDER_HASH.format(p="o_orderpriority")) + "), b as (" + _LEAF.format(rows=_ORDER_HASH.format(p=_EDITED)) + """)
+select coalesce(a.prefix, b.prefix) as prefix, coalesce(a.n, 0)::bigint as before, coalesce(b.n, 0)::bigint as after from a full join b on a.prefix = b.prefix where a.digest is distinct from b.digest""")
+def tree_differences(spark, sf_dir):
+    """The ranges of row hashes in which orders and an edited copy differ, found from the root down."""
+    orders = table(spark, sf_dir, "orders")
+    edited = orders.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 997 == 0, F.concat("o_orderpriority", F.lit("!"))).otherwise(F.col("o_orderpriority")))
+    return merkle.differing(orders, edited, ["o_orderkey", "o_custkey", "o_orderpriority"], 2)
+
+
+@query("carried_values", "W15 W17 W18", """
+select doc_id, row_number() over (order by source, doc_id) - 1 as place, lead(doc_id) over (order by source, doc_id) as next,
+  last_value(case when n_chars > 3000 then doc_id end ignore nulls) over (order by source, doc_id rows between unbounded preceding and current row) as long_one from documents""")
+def carried_values(spark, sf_dir):
+    """Place, next row and last long document in one order over the whole table."""
+    rows = ordered.positions(table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars"), ["source", "doc_id"], "place")
+    rows = ordered.carried(rows, ["source", "doc_id"], F.when(F.col("n_chars") > 3000, F.col("doc_id")), "long_one")
+    return ordered.following(rows, ["source", "doc_id"], "doc_id", "next").select("doc_id", "place", "next", "long_one")
+
+
 @query("first_copies", "J33 Q20", """
 select doc_id, first from (select doc_id, min(doc_id) over (partition by sha256(text)) as first from documents) where first < doc_id""")
 def first_copies(spark, sf_dir):

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from textloom.plans import fixture_queries, text_queries  # noqa: F401
+from textloom.plans import control_queries, fixture_queries, text_queries  # noqa: F401
 from textloom.registry import ALL
 
 SF = "/root/testdata/sf0.001"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import patterns as P
 from ..functions.columns import any_word, hamming_hex, ladder, lines_of, words_of
 from ..functions.unicode import similarity
+from .ordered import positions
 
 
 def rule_applies(jurisdiction: str, target: str) -> bool:
@@ -18,20 +19,56 @@ def rule_applies(jurisdiction: str, target: str) -> bool:
     return jurisdiction in ("all", "us-origin/global-practice") or target in jurisdiction
 
 
-def slide_findings(slides: DataFrame, jurisdiction: str = "us", accredited: bool = False, rules: list[tuple[str, str, str, str]] = P.SLIDE_RULES_JAVA) -> DataFrame:
-    """(deck, slide, rule, severity): one finding a rule and slide.
+RULE_GROUPS = {"MED": "medication-safety", "EV": "evidence-discipline", "JUR": "jurisdiction", "PHI": "phi", "CME": "cme-compliance", "CUR": "currency"}
+
+
+def slide_matches(slides: DataFrame, rules: list[tuple[str, str, str, str]] = P.SLIDE_RULES_JAVA) -> DataFrame:
+    """(deck, slide, rule, severity, match, jurisdiction): the first match, 60 characters of it, of every rule in every slide; each rule is tried once a slide.
 
     A recommendation is found only on slides without a citation, and significance only without a measure of
-    precision, both looked for in the notes (column note, if there is one) too. Trade names count in accredited decks.
+    precision, both looked for in the notes (column note, if there is one) too.
     """
     both = F.concat_ws("\n", "text", "note") if "note" in slides.columns else F.col("text")
     unless = {"EV-RECNOSRC": P.CITATION_MARKER, "EV-SIGNIF": P.PRECISION_MARKER}
     found = []
     for name, severity, pattern, own in rules:
-        if rule_applies(own, jurisdiction) and (accredited or not name.startswith("CME-")):
-            hit = F.col("text").rlike(pattern) & (~both.rlike(unless[name]) if name in unless else F.lit(True))
-            found.append(F.when(hit, F.struct(F.lit(name).alias("rule"), F.lit(severity).alias("severity"))))
-    return slides.select("deck", "slide", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("f")).select("deck", "slide", "f.rule", "f.severity")
+        hit = F.col("text").rlike(pattern) & (~both.rlike(unless[name]) if name in unless else F.lit(True))
+        first = F.substring(F.trim(F.regexp_extract("text", pattern, 0)), 1, 60)
+        found.append(F.when(hit, F.struct(F.lit(name).alias("rule"), F.lit(severity).alias("severity"), first.alias("match"), F.lit(own).alias("jurisdiction"))))
+    return slides.select("deck", "slide", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("f")).select("deck", "slide", "f.*")
+
+
+def slide_findings(slides: DataFrame, jurisdiction: str = "us", accredited: bool = False, rules: list[tuple[str, str, str, str]] = P.SLIDE_RULES_JAVA) -> DataFrame:
+    """(deck, slide, group, rule, severity, match) of the rules that hold for a jurisdiction; trade names count in accredited decks."""
+    own = [r for r in rules if rule_applies(r[3], jurisdiction) and (accredited or not r[0].startswith("CME-"))]
+    return slide_matches(slides, own).select("deck", "slide", rule_group(F.col("rule")).alias("group"), "rule", "severity", "match")
+
+
+def rule_group(rule: Column) -> Column:
+    """The group of a rule, by what its name begins with."""
+    return ladder([(group, F.startswith(rule, F.lit(f"{start}-"))) for start, group in RULE_GROUPS.items()], "other")
+
+
+def findings_by_target(slides: DataFrame, targets: tuple[str, ...] = ("us", "eu", "none"), accredited: bool = True) -> DataFrame:
+    """(target, deck, slide, rule, severity, match) for decks of several jurisdictions, from one reading of the slides."""
+    holds = [(t, r[0]) for t in targets for r in P.SLIDE_RULES_JAVA if rule_applies(r[3], t) and (accredited or not r[0].startswith("CME-"))]
+    table = slides.sparkSession.createDataFrame(holds, "target string, rule string")  # a row for each rule and target
+    return slide_matches(slides).drop("jurisdiction").join(F.broadcast(table), "rule")
+
+
+def stale_guidance(slides: DataFrame, year: int) -> DataFrame:
+    """(deck, slide, k, rule, severity, match, year): every mention of guidance with a year before `year`, in a slide's order; matches do not overlap."""
+    get = lambda k: F.regexp_extract_all("text", F.lit(P.DATED_GUIDANCE), F.lit(k))
+    rows = slides.select("deck", "slide", F.posexplode(F.arrays_zip(get(0).alias("match"), get(2).alias("century"), get(3).alias("year"))).alias("k", "m"))
+    rows = rows.select("deck", "slide", "k", F.lit("CUR-STALE").alias("rule"), F.lit("WARN").alias("severity"), F.substring("m.match", 1, 60).alias("match"), F.concat("m.century", "m.year").cast("int").alias("year"))
+    return rows.where(F.col("year") < year)
+
+
+def missing_statements(slides: DataFrame) -> DataFrame:
+    """(deck, rule, severity): statements that no slide of an accredited deck holds. Slides are counted before decks meet."""
+    held = slides.groupBy("deck").agg(*[F.max(F.coalesce(F.col("text"), F.lit("")).rlike(p)).alias(name) for name, _, p in P.DECK_STATEMENTS])
+    lacks = F.array(*[F.when(~F.col(f"`{name}`"), F.struct(F.lit(name).alias("rule"), F.lit(severity).alias("severity"))) for name, severity, _ in P.DECK_STATEMENTS])
+    return held.select("deck", F.explode(F.filter(lacks, lambda x: x.isNotNull())).alias("f")).select("deck", "f.rule", "f.severity")
 
 
 def deck_verdict(findings: DataFrame, decks: DataFrame) -> DataFrame:
@@ -120,27 +157,48 @@ def project_issues(manifest: DataFrame, scripts: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ setup files and folders
 
-SECRET_NAMES = [".env", "credentials", "secrets", "id_rsa", ".netrc"]
-SECRET_SUFFIXES = [".pem", ".key", ".p12", ".pfx"]
+
+def file_name(path: Column) -> Column:
+    return F.lower(F.element_at(F.split(path, "/"), -1))
+
+
+def suffix(name: Column) -> Column:
+    """The last suffix with its dot; a name that only begins with a dot has none."""
+    return F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
+
+
+def stem(name: Column) -> Column:
+    return F.substring(name, F.lit(1), F.length(name) - F.length(suffix(name)))
+
+
+def _in(c: Column, values: list[str]) -> Column:
+    return c.isin(*values)
+
+
+def _parts_in(path: Column, values: list[str], own: bool) -> Column:
+    """Whether a part of a path, its file name included or not, is one of the values."""
+    parts = F.split(F.lower(path), "/")
+    return F.arrays_overlap(parts if own else F.slice(parts, 1, F.size(parts) - 1), F.array(*map(F.lit, values)))
 
 
 def is_secret(name: Column) -> Column:
     """P23."""
     n = F.lower(name)
-    return n.isin(*SECRET_NAMES) | n.rlike(r"^(?:\.env|credentials|secrets)\.") | n.rlike(f"(?:{'|'.join(s.replace('.', '[.]') for s in SECRET_SUFFIXES)})$")
+    out = _in(n, P.SECRET_FILES) | _in(suffix(n), P.SECRET_SUFFIXES)
+    for start in P.SECRET_STARTS:
+        out = out | n.startswith(start)
+    return out
 
 
 def control_kind(path: Column) -> Column:
     """P20: the kind of a setup file by its path."""
-    p = F.lower(path)
-    name = F.element_at(F.split(p, "/"), -1)
-    stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    inside = lambda *d: F.arrays_overlap(F.split(p, "/"), F.array(*map(F.lit, d)))
+    name = file_name(path)
+    own = stem(name)
+    holds = lambda *w: any_word(own, list(w))
     return ladder([
-        ("skill-or-reference", (name == "skill.md") | inside("skills")), ("project-instructions", name.rlike(r"^(?:agents|instructions)\.md$")),
-        ("authority-config", any_word(stem, ["permission", "approval"])), ("deterministic-control", any_word(stem, ["hook", "validator", "guardrail"]) | inside("hooks", "validators", "guardrails")),
-        ("memory-or-standing-context", any_word(stem, ["memory"]) | inside("memory")), ("prompt", any_word(stem, ["prompt"]) | inside("prompts")),
-        ("configuration", name.rlike(r"\.(?:json|toml|ya?ml)$")), ("supplied-document", name.rlike(r"\.(?:pdf|docx|pptx)$")),
+        ("skill-or-reference", (name == "skill.md") | _parts_in(path, ["skills"], True)), ("project-instructions", _in(name, P.INSTRUCTION_FILES)), ("authority-config", holds("permission", "approval")),
+        ("deterministic-control", holds("hook", "validator", "guardrail") | _parts_in(path, ["hooks", "validators", "guardrails"], True)), ("memory-or-standing-context", holds("memory") | _parts_in(path, ["memory"], True)),
+        ("prompt", holds("prompt") | _parts_in(path, ["prompts"], True)), ("configuration", name.rlike(r"\.(?:json|toml|ya?ml)$")), ("supplied-document", _in(suffix(name), P.DOCUMENT_SUFFIXES)),
     ], "instruction-or-reference")
 
 
@@ -153,9 +211,10 @@ def inventory(files: DataFrame, most_files: int, most_depth: int) -> DataFrame:
     """(path, kind, enforcement, excluded): the first files in path order; secrets, deep files and the rest are disclosed with a reason."""
     depth = F.size(F.split("path", "/"))
     name = F.element_at(F.split("path", "/"), -1)
-    why = F.when(is_secret(name), "secret").when(depth > most_depth, "depth")
-    rows = files.withColumn("why", why).withColumn("n", F.row_number().over(W.partitionBy(F.col("why").isNull()).orderBy("path")))
-    rows = rows.withColumn("why", F.when(F.col("why").isNull() & (F.col("n") > most_files), "limit").otherwise(F.col("why")))
+    rows = files.withColumn("why", F.when(is_secret(name), "secret").when(depth > most_depth, "depth"))
+    # places are counted among the files that may be listed
+    listed = positions(rows.where("why is null"), ["path"], "n").withColumn("why", F.when(F.col("n") >= most_files, "limit")).drop("n")
+    rows = listed.unionByName(rows.where("why is not null"))
     kind = F.when(F.col("why").isNull(), control_kind(F.col("path")))
     return rows.select("path", kind.alias("kind"), F.when(F.col("why").isNull(), enforcement(kind)).alias("enforcement"), F.col("why").alias("excluded"))
 
@@ -204,17 +263,25 @@ def chapter_info(path: Column) -> Column:
     return F.struct(chapter.alias("chapter"), slug.alias("slug"), kind.alias("archetype"))
 
 
-CONTROL_WORDS = ["agent", "instruction", "memory", "prompt", "rule", "skill", "hook", "policy", "guardrail", "permission", "approval"]
-TEXT_SUFFIXES = r"\.(?:md|txt|json|toml|ya?ml)$"
-
-
 def is_candidate(path: Column, include_documents: bool = False) -> Column:
-    """Paths that a setup scan reads: control names and folders, and documents if asked for."""
-    p = F.lower(path)
-    name = F.element_at(F.split(p, "/"), -1)
-    hinted = any_word(name, CONTROL_WORDS) | F.exists(F.slice(F.split(p, "/"), 1, F.size(F.split(p, "/")) - 1), lambda d: any_word(d, CONTROL_WORDS))
-    documents = name.rlike(r"\.(?:md|txt|pdf|docx|pptx|csv)$") if include_documents else F.lit(False)
-    return (name.rlike(TEXT_SUFFIXES) & hinted) | (name.rlike(r"\.(?:py|sh)$") & any_word(p, ["hook", "validator", "guardrail"])) | documents
+    """Paths that a setup scan reads: known names, texts and scripts whose folders or words hint at a control, and documents if asked for."""
+    name = file_name(path)
+    end = suffix(name)
+    words = F.regexp_extract_all(stem(name), F.lit("[a-z]+"), F.lit(0))
+    hinted = F.arrays_overlap(words, F.array(*map(F.lit, P.CONTROL_WORDS)))
+    documents = _in(end, [*P.TEXT_SUFFIXES, *P.DOCUMENT_SUFFIXES, ".csv"]) if include_documents else F.lit(False)
+    texts = _in(end, P.TEXT_SUFFIXES) & (_parts_in(path, P.CONTROL_FOLDERS, False) | hinted)
+    return _in(name, P.CONTROL_FILES) | documents | texts | (_in(end, P.SCRIPT_SUFFIXES) & (_parts_in(path, P.CHECK_FOLDERS, False) | hinted))
+
+
+def station(kind: Column, path: Column) -> Column:
+    """Where in a run a control acts, by its kind and its path."""
+    k, p = F.lower(F.coalesce(kind, F.lit("instruction-or-reference"))), F.lower(F.coalesce(path, F.lit("")))
+    route = p.endswith("skill.md") | any_word(p, P.ROUTE_MARKS)
+    return ladder([
+        ("proves-done", (k == "deterministic-control") | any_word(p, P.PROOF_MARKS)), ("can-do", k.isin("authority-config", "tool-or-action-config") | any_word(p, P.POWER_MARKS)),
+        ("chooses-help", (k == "configuration") | ((k == "skill-or-reference") & route)), ("joins-job", k.isin("skill-or-reference", "prompt", "instruction-or-reference")),
+    ], "already-there")
 
 
 JOBS = {

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import patterns as P
 from ..functions.columns import any_match, ladder, words_of
+from . import merkle
 from .lines import carry_back, explode_lines
+from .lint import station
 
 # ------------------------------------------------------------------ inlining
 
@@ -115,21 +116,63 @@ def parse_status_table(tables: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.where(~F.col("chapter").rlike("^-+$") & (F.col("chapter") != "Chapter"))
 
 
-def merge_review(controls: DataFrame, review: DataFrame) -> DataFrame:
-    """Controls (id, kind) with decisions (id, decision); rows that break a rule say which.
+def review_problems(controls: DataFrame, decisions: DataFrame, unreviewed: DataFrame) -> DataFrame:
+    """(control_id, problem): what breaks that decided and undecided ids divide the controls between them, and what is wrong with a decision.
 
-    A decision needs a known control, a known value and to be the only one of its control.
+    controls: control_id; decisions: control_id, decision, evidence_state and the texts of P.DECISION_TEXTS; unreviewed:
+    control_id. All three meet in one aggregation by id.
     """
-    said = review.groupBy("id").agg(F.count("*").alias("n"), F.first("decision").alias("decision"))
-    rows = controls.withColumn("known", F.lit(True)).join(said, "id", "full")
-    problem = F.when(F.col("known").isNull(), "unknown control").when(F.col("n") > 1, "decided twice").when(F.col("decision").isNotNull() & ~F.col("decision").isin("KEEP", "MERGE", "REMOVE", "REWRITE"), "unknown decision")
-    return rows.select("id", "kind", "decision", problem.alias("problem"))
+    one, none = F.lit(1), F.lit(0)
+    flags = lambda t, k, d, u: t.select("control_id", k.alias("k"), d.alias("d"), u.alias("u"))
+    every = flags(controls, one, none, none).unionAll(flags(decisions, none, one, none)).unionAll(flags(unreviewed, none, none, one))
+    each = every.groupBy("control_id").agg(*[F.sum(c).alias(c) for c in "kdu"])
+    sides = F.array(
+        F.when(F.col("d") > 1, "decided twice"), F.when(F.col("u") > 1, "unreviewed twice"), F.when((F.col("d") > 0) & (F.col("u") > 0), "reviewed and unreviewed"),
+        F.when(F.col("k") == 0, "unknown control"), F.when((F.col("k") > 0) & (F.col("d") + F.col("u") == 0), "omitted control"),
+    )
+    wrong = [F.when(~F.coalesce(F.col("decision").isin(*P.REVIEW_DECISIONS), F.lit(False)), "decision"), F.when(~F.coalesce(F.col("evidence_state").isin(*P.EVIDENCE_STATES), F.lit(False)), "evidence_state")]
+    for name, most in P.DECISION_TEXTS.items():
+        text = F.coalesce(F.col(name), F.lit(""))
+        wrong.append(F.when((F.trim(F.translate(text, "\t\r\n", "   ")) == "") | (F.length(text) > most) | text.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F]"), name))
+    some = lambda t, found: t.select("control_id", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("problem"))
+    return some(each, sides).unionByName(some(decisions, F.array(*wrong)))
+
+
+def review_header_problems(header: DataFrame, scope: DataFrame, decisions: DataFrame, unreviewed: DataFrame, controls: DataFrame, gaps: DataFrame) -> DataFrame:
+    """(problem) of a review as a whole: header (review_mode, scope_sha256, map_sha256, surface, model, profile_date, semantic_files_reviewed, one row) against scope (scope_sha256, map_sha256, surface, model, one row) and the numbers of rows."""
+    n, left, known, told = (t.count() for t in (decisions, unreviewed, controls, gaps))
+    h = header.first()
+    s = scope.first()
+    dated = F.lit(h.profile_date).try_cast("date").isNotNull() & F.lit(h.profile_date or "").rlike(r"^\d{4}-\d{2}-\d{2}$")
+    found = [
+        ("review_mode", h.review_mode not in P.REVIEW_LIMITS), ("scope_sha256", h.scope_sha256 != s.scope_sha256), ("map_sha256", h.map_sha256 != s.map_sha256), ("runtime", (h.surface, h.model) != (s.surface, s.model)),
+        ("too many decisions", n > P.REVIEW_LIMITS.get(h.review_mode, n)), ("too many unreviewed", left > P.MOST_UNREVIEWED), ("semantic_files_reviewed", h.semantic_files_reviewed != n), ("no decision", known > 0 and n == 0), ("no coverage gap", left > 0 and told == 0),
+    ]
+    rows = header.select(F.explode(F.filter(F.array(F.when(~dated, "profile_date"), *[F.lit(name if bad else None) for name, bad in found]), lambda x: x.isNotNull())).alias("problem"))
+    return rows.withColumn("problem", F.col("problem").cast("string"))
+
+
+def merge_review(controls: DataFrame, decisions: DataFrame, map_sha256: str, scope_sha256: str) -> tuple[DataFrame, DataFrame]:
+    """The controls (control_id, sha256 and others) with their decisions, and (control_id, problem) where merging changed the controls or made one change id twice.
+
+    What is not decided stays UNDECIDED. A decision other than KEEP gets a change id bound to both baselines and to the whole proposal.
+    """
+    review = f"HARNESS-{map_sha256[:10].upper()}-{scope_sha256[:10].upper()}"
+    fields = sorted(["control_id", "decision", "evidence_state", *P.DECISION_TEXTS])
+    proposal = F.to_json(F.struct(*[F.col(f) for f in fields]))
+    change = F.concat(F.lit("CHANGE-"), F.upper(F.substring(F.sha2(F.concat(F.lit(f"{review}\u0000{map_sha256}\u0000"), proposal), 256), 1, 32)))
+    said = decisions.select(*fields, F.when(F.col("decision") != "KEEP", change).alias("change_id"))
+    merged = controls.join(said, "control_id", "left").withColumn("decision", F.coalesce("decision", F.lit("UNDECIDED")))
+    altered = merkle.changed_rows(controls, merged, ["control_id", "sha256"]).select(F.col("hash").alias("control_id"), F.lit("altered control").alias("problem"))
+    doubled = merged.where("change_id is not null").groupBy("change_id").agg(F.min("control_id").cast("string").alias("control_id"), F.count("*").alias("n")).where("n > 1").select("control_id", F.lit("change id used twice").alias("problem"))
+    return merged, altered.unionByName(doubled)
 
 
 def stations(controls: DataFrame) -> DataFrame:
-    """Controls (id, kind) grouped by the station of their kind."""
-    station = ladder([("gate", F.col("kind").isin("authority-config", "deterministic-control")), ("memory", F.col("kind") == "memory-or-standing-context"), ("route", F.col("kind") == "skill-or-reference")], "brief")
-    return controls.groupBy(station.alias("station")).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids"))
+    """(station, place, n): how many controls (kind, path) stand at each of the five stations, in their order, empty ones included."""
+    every = controls.sparkSession.createDataFrame(list(zip(P.STATIONS, range(5))), "station string, place int")
+    got = controls.groupBy(station(F.col("kind"), F.col("path")).alias("station")).agg(F.count("*").alias("n"))
+    return every.join(got, "station", "left").select("station", "place", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def partition_claims(claims: DataFrame) -> DataFrame:
@@ -211,17 +254,36 @@ def parse_verdicts(response: Column, kinds: list[str]) -> Column:
     return F.coalesce(F.filter(rows, lambda r: r["semantic_type"].isin(*kinds)), F.array().cast("array<struct<chunk_id:string,semantic_type:string>>"))
 
 
-TRACE = T.StructType([T.StructField("id", T.StringType()), T.StructField("status", T.StringType()), T.StructField("steps", T.ArrayType(T.StringType()))])
-
-
 def trace_problems(c: Column) -> Column:
-    """what a run trace (JSON) breaks: no object, no id, unknown status, a step twice."""
-    t = F.from_json(c, TRACE)
-    found = F.array(
-        F.when(t.isNull(), "not json"), F.when(t.isNotNull() & (F.coalesce(t["id"], F.lit("")) == ""), "no id"), F.when(~F.coalesce(t["status"].isin("PASS", "FAIL", "SKIPPED"), F.lit(False)), "status"),
-        F.when(F.size(t["steps"]) != F.size(F.array_distinct(t["steps"])), "doubled step"),
-    )
-    return F.filter(found, lambda x: x.isNotNull())
+    """what a run trace (JSON) breaks, as an array; types count, so that a number is no note and true no count."""
+    v = F.try_parse_json(c)
+    at = lambda x, path, kind="variant": F.try_variant_get(x, path, kind)
+    kind = lambda x: F.coalesce(F.schema_of_variant(x), F.lit(""))
+    text = lambda x, path: F.when(kind(at(x, path)) == "STRING", at(x, path, "string"))
+    said = lambda x, path: F.coalesce(F.trim(F.translate(text(x, path), "\t\r\n", "   ")) != "", F.lit(False))
+    among = lambda x, path, values: F.coalesce(text(x, path).isin(*values), F.lit(False))
+    listed = kind(at(v, "$.funnel")).startswith("ARRAY")
+    funnel = F.coalesce(at(v, "$.funnel", "array<variant>"), F.array().cast("array<variant>"))
+    stages = F.transform(funnel, lambda e: F.coalesce(text(e, "$.stage"), F.lit("")))
+    keep = lambda a: F.filter(a, lambda x: x.isNotNull())
+
+    def of_stage(e: Column, i: Column) -> Column:
+        where = F.concat(F.lit("funnel["), i.cast("string"), F.lit("]"))
+        known, earlier = among(e, "$.stage", P.RUN_STAGES), F.array_contains(F.slice(stages, 1, i), F.coalesce(text(e, "$.stage"), F.lit("")))
+        count = at(e, "$.count")
+        whole = count.isNull() | (kind(count) == "VOID") | ((kind(count) == "BIGINT") & F.coalesce(at(e, "$.count", "bigint") >= 0, F.lit(False)))
+        own = keep(F.array(
+            F.when(~known, F.concat(where, F.lit(".stage is invalid"))), F.when(known & earlier, F.concat(where, F.lit(".stage is duplicated"))), F.when(~among(e, "$.status", P.STAGE_STATUSES), F.concat(where, F.lit(".status is invalid"))),
+            F.when(~whole, F.concat(where, F.lit(".count must be null or a non-negative integer"))), F.when(~said(e, "$.detail"), F.concat(where, F.lit(".detail must be a non-empty string"))),
+        ))
+        return F.when(kind(e).startswith("OBJECT"), own).otherwise(F.array(F.concat(where, F.lit(" must be an object"))))
+
+    head = keep(F.array(
+        F.when(~among(v, "$.trace_status", P.TRACE_STATUSES), "trace_status must be COMPLETE, PARTIAL, or NOT_EXPOSED"), F.when(~said(v, "$.trace_note"), "trace_note must be a non-empty string"), F.when(~listed, "funnel must be a list"),
+        F.when(listed & among(v, "$.trace_status", ["COMPLETE"]) & (F.size(funnel) == 0), "a COMPLETE trace must have at least one funnel stage"),
+    ))
+    found = F.concat(head, F.when(listed, F.flatten(F.transform(funnel, of_stage))).otherwise(F.array().cast("array<string>")))
+    return F.when(kind(v).startswith("OBJECT"), found).otherwise(F.array(F.lit("top level must be an object")))
 
 
 def provenance(source: Column, stage: str, version: str) -> Column:

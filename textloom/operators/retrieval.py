@@ -10,16 +10,10 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..functions.columns import any_word, first_words, search_tokens, words_of
+from ..sources.shared import written
 from .ordered import positions
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, dl, term, tf): one row a document and distinct term; counted before any further shuffle."""
-    rows = docs.select(F.col(id_col).alias("doc"), search_tokens(F.col(text_col)).alias("tokens"))
-    rows = rows.select("doc", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
-    return rows.groupBy("doc", "dl", "term").agg(F.count("*").alias("tf"))
-
-
 def corpus_stats(counts: DataFrame, n: int) -> DataFrame:
     """(term, df, idf)."""
     df = counts.groupBy("term").agg(F.count("*").alias("df"))
@@ -34,11 +28,14 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str, most: int = P.QU
 def bm25(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, k1: float = P.K1, b: float = P.B) -> DataFrame:
     """(query, doc, score) of documents that share a term with a query (query, terms).
 
-    The queries' distinct terms prune the postings first, by a join that broadcasts them when small.
+    A text is cut into words once. The queries' distinct terms prune the postings first, by a join that broadcasts
+    them when small. `blocks.search` gives the top of such scores without working out all of them.
     """
-    sizes = docs.select(F.size(search_tokens(F.col(text_col))).alias("dl")).agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
+    once = written(docs.select(F.col(id_col).alias("doc"), search_tokens(F.col(text_col)).alias("tokens")), "tokens")
+    sizes = once.agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("avgdl")).first()
     asked = queries.select("query", F.explode("terms").alias("term"))
-    counts = term_counts(docs, id_col, text_col).join(asked.select("term").distinct(), "term", "left_semi")
+    counts = once.select("doc", F.size("tokens").alias("dl"), F.explode("tokens").alias("term")).join(asked.select("term").distinct(), "term", "left_semi")
+    counts = counts.groupBy("doc", "dl", "term").agg(F.count("*").alias("tf"))
     stats = corpus_stats(counts, sizes["n"])
     length = F.lit(1 - b) + F.lit(b) * F.col("dl") / F.lit(float(sizes["avgdl"] or 1.0))
     weight = F.col("idf") * (F.col("tf") * (k1 + 1)) / (F.col("tf") + F.lit(k1) * length)

@@ -212,3 +212,43 @@ PLAIN_SIGNS = {"≥": ">=", "≤": "<=", "±": "+/-", "°C": " deg C", "—": "
 SAFETY_DRUGS = ["sacubitril", "spironolactone", "aspirin", "metformin", "amiodarone", "digoxin", "apixaban", "warfarin", "furosemide"]
 SAFETY_INDICATION, SAFETY_PRECAUTIONS = "Cardiovascular pharmacotherapy", "Monitor renal function, electrolytes, and hemodynamics."
 SEMVER = r"^v?((?:0|[1-9]\d*)\.(?:0|[1-9]\d*)\.(?:0|[1-9]\d*)(?:-[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)*)?(?:\+[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)*)?)$"
+
+# What the scan of a setup folder passes over, and what marks a control file.
+EXCLUDED_FOLDERS = [".git", ".hg", ".svn", ".next", ".pytest_cache", ".ruff_cache", ".tox", ".venv", "__pycache__", "build", "cache", "coverage", "dist", "node_modules", "vendor", "venv"]
+SECRET_FOLDERS = [".aws", ".gnupg", ".ssh", "credentials", "keychain", "secrets"]
+SECRET_FILES = [".env", "cookies", "cookies.sqlite", "credentials.json", "id_dsa", "id_ed25519", "id_rsa", "login data", "secrets.json"]
+SECRET_STARTS = [".env.", "credentials.", "secrets."]
+SECRET_SUFFIXES = [".key", ".p12", ".pfx", ".pem"]
+CONTROL_FILES = [".cursorrules", ".mcp.json", "agents.md", "claude.md", "gemini.md", "skill.md", "config.toml", "mcp.json", "openai.yaml", "settings.json", "settings.local.json"]
+CONTROL_FOLDERS = [".agents", ".claude", ".codex", ".cursor", "agents", "checks", "guardrails", "hooks", "instructions", "memory", "prompts", "references", "rules", "skills", "validators"]
+CONTROL_WORDS = ["agent", "approval", "config", "guardrail", "hook", "instruction", "memory", "permission", "prompt", "rule", "schema", "setting", "skill", "tool", "validator"]
+CHECK_FOLDERS = ["checks", "guardrails", "hooks", "validators"]
+INSTRUCTION_FILES = ["agents.md", "claude.md", "gemini.md"]
+TEXT_SUFFIXES = [".json", ".md", ".mdx", ".prompt", ".rules", ".toml", ".txt", ".yaml", ".yml"]
+DOCUMENT_SUFFIXES = [".docx", ".pdf", ".pptx", ".rtf", ".xlsx"]
+SCRIPT_SUFFIXES = [".js", ".py", ".sh", ".ts"]
+
+# The stations of a setup map, and what in a path puts a control there.
+STATIONS = ["already-there", "chooses-help", "joins-job", "can-do", "proves-done"]
+PROOF_MARKS = ["validator", "guardrail", "hook", "receipt", "test", "check"]
+POWER_MARKS = ["permission", "approval", "tool", "mcp", "sandbox", "authority"]
+ROUTE_MARKS = ["catalog", "router", "trigger"]
+
+# Run traces and reviews.
+TRACE_STATUSES = ["COMPLETE", "PARTIAL", "NOT_EXPOSED"]
+RUN_STAGES = ["Available", "Eligible", "Shown", "Consulted", "Acted through", "Checked", "Accepted"]
+STAGE_STATUSES = ["VERIFIED", "INFERRED", "INACCESSIBLE", "NOT_EXPOSED", "UNKNOWN"]
+REVIEW_DECISIONS = ["KEEP", "ONE_HOME", "LOAD_LATER", "MAKE_A_CHECK", "PROBATION", "RETIRE"]
+EVIDENCE_STATES = ["VERIFIED", "USER_REPORTED", "INFERRED", "INACCESSIBLE", "NOT_APPLICABLE"]
+REVIEW_LIMITS = {"QUICK_CHECK": 50, "MAINTAINER_AUDIT": 500}
+DECISION_TEXTS = {"reader_name": 160, "current_effect": 500, "proposed_change": 1000, "reason": 1000, "must_survive": 500, "risk_if_wrong": 500, "rollback": 500}
+MOST_UNREVIEWED = 5000
+
+# Guidance named with a year, and what an accredited deck has to state (rule, severity, pattern).
+DATED_GUIDANCE = r"(?i)\b(guideline|guidance|recommendation|consensus|position statement)\b[^.]{0,80}?\b(19|20)(\d{2})\b"
+DECK_STATEMENTS = [
+    ("CME-MISSING-ACCREDITATION-STATEMENT", "ERROR", r"(?i)is accredited by the Accreditation Council"),
+    ("CME-MISSING-CREDIT-DESIGNATION", "ERROR", r"(?i)AMA PRA Category 1 Credit"),
+    ("CME-MISSING-DISCLOSURE", "ERROR", r"(?i)\b(disclosure|financial relationship|conflict of interest)\b"),
+    ("CME-MISSING-MITIGATION-STATEMENT", "WARN", r"(?i)relevant financial relationships have been mitigated"),
+]

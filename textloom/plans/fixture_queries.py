@@ -525,11 +525,12 @@ def status_table(spark, sf_dir):
 
 
 @query("merged_review", "J27 A57 J36", """
-select * from (values ('a', 'prompt', 'KEEP', null), ('b', 'prompt', 'MERGE', 'decided twice'), ('c', 'prompt', null, null), ('z', null, 'KEEP', 'unknown control')) t(id, kind, decision, problem)""")
+select * from (values ('b', 'decided twice'), ('c', 'omitted control'), ('z', 'unknown control'), ('z', 'decision'), ('a', 'reason')) t(control_id, problem)""")
 def merged_review(spark, sf_dir):
-    controls = spark.createDataFrame([("a", "prompt"), ("b", "prompt"), ("c", "prompt")], "id string, kind string")
-    said = spark.createDataFrame([("a", "KEEP"), ("b", "MERGE"), ("b", "MERGE"), ("z", "KEEP")], "id string, decision string")
-    return packaging.merge_review(controls, said)
+    controls = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "control_id string")
+    said = spark.createDataFrame([("a", "KEEP", ""), ("b", "RETIRE", "x"), ("b", "KEEP", "x"), ("z", "SCRAP", "x")], "control_id string, decision string, reason string")
+    said = said.withColumns({c: F.lit("told") for c in P.DECISION_TEXTS if c != "reason"}).withColumn("evidence_state", F.lit("VERIFIED"))
+    return packaging.review_problems(controls, said, spark.createDataFrame([("d",)], "control_id string"))
 
 
 @query("span_faults", "W21 W23", "select * from (values ('b', 'gap'), ('b', 'text'), ('c', 'group')) t(entry, fault)")
@@ -539,9 +540,9 @@ def span_faults(spark, sf_dir):
     return packaging.span_faults(spark.createDataFrame(rows, "entry string, idx int, start int, end int, grp string, text string"), texts)
 
 
-@query("json_checks", "F09 F37 F53 F63 F66", "select * from (values (1, 1, 0, '/home/me/x'), (2, 0, 3, null), (3, 0, 2, null)) t(id, verdicts, problems, private)")
+@query("json_checks", "F09 F37 F53 F63 F66", "select * from (values (1, 1, 0, '/home/me/x'), (2, 0, 5, null), (3, 0, 1, null)) t(id, verdicts, problems, private)")
 def json_checks(spark, sf_dir):
-    raw = [(1, 'Here: [{"chunk_id": "a", "semantic_type": "drug_info"}, {"chunk_id": "b", "semantic_type": "odd"}] /home/me/x', '{"id": "t", "status": "PASS", "steps": ["a"]}'), (2, "no array", '{"status": "BAD", "steps": ["a", "a"]}'), (3, "[]", "not json")]
+    raw = [(1, 'Here: [{"chunk_id": "a", "semantic_type": "drug_info"}, {"chunk_id": "b", "semantic_type": "odd"}] /home/me/x', '{"trace_status": "COMPLETE", "trace_note": "n", "funnel": [{"stage": "Shown", "status": "VERIFIED", "count": null, "detail": "d"}]}'), (2, "no array", '{"trace_status": "BAD", "trace_note": 1, "funnel": [{"stage": "Shown", "status": "VERIFIED", "count": true, "detail": "d"}, {"stage": "Shown", "status": "INFERRED", "count": 1, "detail": ""}]}'), (3, "[]", "not json")]
     rows = spark.createDataFrame(raw, "id int, response string, trace string")
     return rows.select("id", F.size(packaging.parse_verdicts(F.col("response"), ["drug_info"])).alias("verdicts"), F.size(packaging.trace_problems(F.col("trace"))).alias("problems"), packaging.private_path(F.col("response")).alias("private"))
 

@@ -287,8 +287,7 @@ _UNLESS = {"EV-RECNOSRC": P.CITATION_MARKER, "EV-SIGNIF": P.PRECISION_MARKER}
 select target, rule, severity, count(*) as slides from f group by all""")
 def slide_rules(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(F.lit("all").alias("deck"), F.col("doc_id").alias("slide"), "text")
-    each = [lint.slide_findings(rows, target, True).groupBy("rule", "severity").agg(F.count("*").alias("slides")).select(F.lit(target).alias("target"), "rule", "severity", "slides") for target in ("us", "eu", "none")]
-    return each[0].union(each[1]).union(each[2])
+    return lint.findings_by_target(rows).groupBy("target", "rule", "severity").agg(F.count("*").alias("slides"))
 
 
 @query("text_density", "P17 A10 A43", """

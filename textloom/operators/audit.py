@@ -143,17 +143,19 @@ def completeness(chunks: DataFrame) -> DataFrame:
 def autolink(chunks: DataFrame, most: int = 10) -> DataFrame:
     """(chapter, chunk_id, related): chunks of the same disease, then of diseases one of whose names holds the other.
 
-    Diseases, not chunks, are paired; a related list is the feature's own top `most`.
+    Diseases, not chunks, are paired, on a shared piece of four characters; a related list is the feature's own top `most`,
+    and no task lets more than that of a chunk's through.
     """
     rows = chunks.where("level = 2").where(F.col("disease").isNotNull() & (F.col("disease") != "") & ~F.col("disease").isin(*P.GENERIC_DISEASES))
     names = rows.select("chapter", "disease").distinct()
-    other = names.withColumnRenamed("disease", "other")
-    holds = lambda a, b: (F.length(a) >= 4) & F.contains(F.col(b), F.col(a))
-    pairs = names.join(other, "chapter").where((F.col("disease") == F.col("other")) | holds("disease", "other") | holds("other", "disease"))
+    pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("disease") - 3, F.lit(1))), lambda k: F.substring("disease", k, 4)))
+    short = names.where(F.length("disease") >= 4).select("chapter", F.col("disease").alias("held"), F.substring("disease", 1, 4).alias("piece"))
+    held = short.join(names.select("chapter", F.col("disease").alias("holder"), F.explode(pieces).alias("piece")), ["chapter", "piece"]).where(F.contains("holder", F.col("held")) & (F.col("held") != F.col("holder"))).select("chapter", "held", "holder")
+    pairs = names.select("chapter", "disease", F.col("disease").alias("other")).union(held.select("chapter", F.col("held"), "holder")).union(held.select("chapter", F.col("holder"), "held"))
     theirs = rows.select("chapter", F.col("disease").alias("other"), F.col("chunk_id").alias("to"), F.col("ord").alias("to_ord"))
     linked = rows.select("chapter", "chunk_id", "disease").join(pairs, ["chapter", "disease"]).join(theirs, ["chapter", "other"]).where("chunk_id <> to")
     rank = F.row_number().over(W.partitionBy("chapter", "chunk_id").orderBy(F.when(F.col("disease") == F.col("other"), 0).otherwise(1), "to_ord"))
-    linked = linked.withColumn("rank", rank).where(F.col("rank") <= most)
+    linked = linked.withColumn("rank", rank).where(F.col("rank") <= most)  # cut before the shuffle as well
     return linked.groupBy("chapter", "chunk_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "to"))), lambda p: p["to"]), ",").alias("related"))
 
 

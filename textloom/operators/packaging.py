@@ -11,6 +11,7 @@ from ..functions.columns import any_match, ladder, words_of
 from . import merkle
 from .lines import carry_back, explode_lines
 from .lint import station
+from .ordered import positions
 
 # ------------------------------------------------------------------ inlining
 
@@ -100,12 +101,16 @@ def source_status(results: DataFrame, sources: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ ledgers, reviews and grouped findings
 
 
+BLOCK = 1000  #: chapters in one table
+
+
 def status_table(ledger: DataFrame) -> DataFrame:
-    """One row: the trust ledger as a markdown table, bars escaped."""
+    """(block, text): the trust ledger as markdown tables of BLOCK chapters each, in order, bars escaped."""
     cell = lambda c: F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|"))
     row = F.concat(F.lit("| "), cell("chapter"), F.lit(" | "), cell("classification"), F.lit(" | "), cell("trusted"), F.lit(" |"))
-    rows = ledger.select("chapter", row.alias("row")).agg(F.sort_array(F.collect_list(F.struct("chapter", "row"))).alias("r"))
-    return rows.select(F.concat(F.lit("| Chapter | Classification | Trusted |\n|---|---|---|\n"), F.array_join(F.transform("r", lambda x: x["row"]), "\n")).alias("text"))
+    rows = positions(ledger.select("chapter", row.alias("row")), ["chapter"], "n")
+    rows = rows.groupBy(F.floor(F.col("n") / BLOCK).alias("block")).agg(F.sort_array(F.collect_list(F.struct("n", "row"))).alias("r"))  # BLOCK at most
+    return rows.select("block", F.concat(F.lit("| Chapter | Classification | Trusted |\n|---|---|---|\n"), F.array_join(F.transform("r", lambda x: x["row"]), "\n")).alias("text"))
 
 
 def parse_status_table(tables: DataFrame, text_col: str = "text") -> DataFrame:

@@ -56,6 +56,14 @@ def control_paths(spark, sf_dir):
     return rows.select("p_partkey", "path", "kind", lint.is_secret(F.element_at(F.split(path, "/"), -1)).alias("secret"), lint.is_candidate(path).alias("candidate"), lint.station(kind, path).alias("station"), lint.enforcement(kind).alias("enforcement"))
 
 
+@query("setup_inventory", "S30 P20 P21 P22 W22 A38 A58", "with " + _PATHS + """,
+d as (select distinct path, kind, secret, len(parts) as depth from c), e as (select *, case when secret then 'secret' when depth > 3 then 'depth' end as why from d),
+r as (select *, case when why is null then row_number() over (partition by why is null order by path) end as n from e), x as (select path, kind, coalesce(why, case when n > 60 then 'limit' end) as excluded from r)
+select path, excluded, case when excluded is null then kind end as kind, case when excluded is not null then null when kind in ('authority-config', 'deterministic-control') then 'HARD_CONTROL' when kind = 'configuration' then 'SYSTEM_CONFIGURATION' when kind = 'supplied-document' then 'CONTEXT_ONLY' else 'WRITTEN_GUIDANCE' end as enforcement from x""")
+def setup_inventory(spark, sf_dir):
+    return lint.inventory(_paths(spark, sf_dir).select("path").distinct(), 60, 3)
+
+
 @query("setup_stations", "P45 A56", "with " + _PATHS + f"""
 select t.station, t.place::bigint as place, count(c.station) as n from (select unnest({_sql_list(P.STATIONS)}) as station, unnest(range(5)) as place) t left join c on c.station = t.station group by all""")
 def setup_stations(spark, sf_dir):

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import patterns as P
+from ..derived import derive, derived_sql
 from ..fixtures import load, with_sql
 from ..functions import columns as C
 from ..functions import unicode as U
 from ..operators import audit, chunks, fidelity, guard, index, ledger, lines, lint, modalities, packaging, retrieval, spans
-from ..registry import query
+from ..operators.ordered import positions
+from ..registry import query, table
 from ..streaming import state
 from . import jobs
 
@@ -24,27 +26,27 @@ lines as (select doc, ln, line from l where not (ln = n and line = ''))"""
 # ------------------------------------------------------------------ chunk metadata
 
 
-@query("title_types", "P03 P12 P40", with_sql("titles") + f"""
+@query("title_types", "P03 P12 P40", derived_sql("titles") + f"""
 select id, {_CASE([(n, _ANY('lower(title)', w)) for n, w in P.TITLE_TYPES], "'clinical_feature'")} as initial, {_CASE([(n, _RX('title', p)) for n, p in P.TITLE_RULES], 'null')} as ruled from titles""")
 def title_types(spark, sf_dir):
-    return load(spark, "titles").select("id", chunks.initial_type(F.col("title")).alias("initial"), chunks.title_type(F.col("title")).alias("ruled"))
+    return derive(spark, sf_dir, "titles").select("id", chunks.initial_type(F.col("title")).alias("initial"), chunks.title_type(F.col("title")).alias("ruled"))
 
 
-@query("rule_types", "P09 P10 P13 P15", with_sql("titles") + f"""
+@query("rule_types", "P09 P10 P13 P15", derived_sql("titles") + f"""
 , e as (select *, len(regexp_extract_all(body, '{P.EPI_STATISTIC}')) >= 2 and not regexp_matches(body, '{P.CLINICAL_CUE}') as epi, regexp_matches(title, '{P.BACKMATTER_TOPIC}') as back from titles)
 select id, coalesce({_CASE([(n, _RX('title', p)) for n, p in P.TITLE_RULES], 'null')}, case when epi then 'epidemiology_concept' end, {_CASE([(n, _RX('body', p)) for n, p in P.BODY_RULES], 'null')}) as type, epi, back from e""")
 def rule_types(spark, sf_dir):
-    return load(spark, "titles").select("id", chunks.rule_type(F.col("title"), F.col("body")).alias("type"), chunks.pure_epidemiology(F.col("body")).alias("epi"), F.col("title").rlike(P.BACKMATTER_TOPIC).alias("back"))
+    return derive(spark, sf_dir, "titles").select("id", chunks.rule_type(F.col("title"), F.col("body")).alias("type"), chunks.pure_epidemiology(F.col("body")).alias("epi"), F.col("title").rlike(P.BACKMATTER_TOPIC).alias("back"))
 
 
-@query("review_types", "P11", with_sql("titles") + f"""
+@query("review_types", "P11", derived_sql("titles") + f"""
 select id, coalesce(case when len(regexp_extract_all(body, '{P.EPI_STATISTIC}')) >= 2 and not regexp_matches(body, '{P.CLINICAL_CUE}') then 'epidemiology_concept' end,
  {_CASE([(n, "'" + n + "' <> 'drug_info' and " + _RX('body', p)) for n, p in P.BODY_RULES], 'null')}) as review from titles""")
 def review_types(spark, sf_dir):
-    return load(spark, "titles").select("id", chunks.review_type(F.col("body"), F.lit("drug_info")).alias("review"))
+    return derive(spark, sf_dir, "titles").select("id", chunks.review_type(F.col("body"), F.lit("drug_info")).alias("review"))
 
 
-@query("urgency_boxes", "P04 P05", with_sql("titles") + f"""
+@query("urgency_boxes", "P04 P05", derived_sql("titles") + f"""
 , t as (select id, lower(title) as t, lower(body) as b, lower(substr(body, 1, 300)) as b3, lower(substr(body, 1, 150)) as b1, body from titles),
 a as (select *, case when ({_ANY('t', P.SCORING_WORDS)} or {_ANY('b', P.SCORING_WORDS)}) and regexp_matches(b, '{P.SCORING_SHAPE}') then 'scoring_system'
   when {_ANY('t', P.ESCALATION_WORDS)} or {_RX('b', P.ESCALATION_SHAPES, '')} then 'stepwise_escalation'
@@ -54,18 +56,18 @@ select id, algorithm, case when {_ANY('t', P.EMERGENCY_WORDS)} or {_ANY('b3', [*
   when {_ANY('t', ['prescribing point', 'drug safety'])} or contains(b1, 'prescribing point') then 'prescribing_point' when contains(t, 'practice point') or contains(b1, 'good practice point') then 'practice_point'
   when regexp_matches(body, '(?m)^\\s*\\|') and {_ANY('t', ['summary', 'investigation', 'overview'])} then 'summary_table' when algorithm is not null then 'clinical_algorithm' else 'none' end as box from a""")
 def urgency_boxes(spark, sf_dir):
-    rows = load(spark, "titles").withColumn("algorithm", chunks.algorithm_type(F.col("body"), F.col("title")))
+    rows = derive(spark, sf_dir, "titles").withColumn("algorithm", chunks.algorithm_type(F.col("body"), F.col("title")))
     return rows.select("id", "algorithm", chunks.urgency(F.col("body"), F.col("title")).alias("urgency"), chunks.box_type(F.col("body"), F.col("title"), F.col("algorithm")).alias("box"))
 
 
-@query("drug_synonyms", "P06", with_sql("titles") + """
+@query("drug_synonyms", "P06", derived_sql("titles") + """
 , s(drug, name) as (values """ + ", ".join(f"('{d}', '{n}')" for d, ns in P.DRUG_SYNONYMS.items() for n in ns) + """)
 select id, coalesce((select string_agg(distinct name, ',' order by name) from s where regexp_matches(lower(body), '\\b' || drug || '\\b')), '') as synonyms from titles""")
 def drug_synonyms(spark, sf_dir):
-    return load(spark, "titles").select("id", F.array_join(chunks.drug_synonyms(F.col("body")), ",").alias("synonyms"))
+    return derive(spark, sf_dir, "titles").select("id", F.array_join(chunks.drug_synonyms(F.col("body")), ",").alias("synonyms"))
 
 
-@query("chunk_catalogue", "X01 X06 X07 X08 X09 F16 S13", with_sql("chunk_files") + """
+@query("chunk_catalogue", "X01 X06 X07 X08 X09 F16 S13", derived_sql("chunk_files") + """
 , p as (select chapter, string_split(text, '---' || chr(10) || 'chunk_id:') as parts from chunk_files),
 r as (select chapter, unnest(parts[2:]) as raw, generate_subscripts(parts[2:], 1) as ord from p),
 c as (select * from r where contains(raw, chr(10) || '---' || chr(10)))
@@ -73,53 +75,59 @@ select chapter as section, trim(split_part(raw, chr(10), 1), ' ') as chunk_id, f
  case when contains(raw, 'semantic_type:') then regexp_extract(raw, 'semantic_type: (\\S+)', 1) else 'concept_overview' end as type,
  len(list_filter(regexp_split_to_array(trim(split_part(raw, chr(10) || '---' || chr(10), 2), ' ' || chr(10)), '\\s+'), lambda x: x <> ''))::bigint as word_count from c""")
 def chunk_catalogue(spark, sf_dir):
-    return chunks.catalogue(load(spark, "chunk_files")).select("section", "chunk_id", "local_id", "topic", "type", F.col("word_count").cast("bigint").alias("word_count"))
+    return chunks.catalogue(derive(spark, sf_dir, "chunk_files")).select("section", "chunk_id", "local_id", "topic", "type", F.col("word_count").cast("bigint").alias("word_count"))
 
 
 @query("chunk_validation", "A13 A14 A16 A17 A18 F54 Q28")
 def chunk_validation(spark, sf_dir):
-    return audit.validate(load(spark, "chunk_files"))
+    return audit.validate(derive(spark, sf_dir, "chunk_files"))
 
 
 @query("validation_verdicts", "A15 A18 A47")
 def validation_verdicts(spark, sf_dir):
-    files = load(spark, "chunk_files")
+    files = derive(spark, sf_dir, "chunk_files")
     return audit.validation_verdict(files, audit.validate(files))
 
 
-@query("chunk_links", "J11 J37 Q09", """
-with c(chunk_id, disease, ord) as (values ('L2-001', 'asthma', 2), ('L2-002', 'acute_severe_asthma', 3))
-select 'c1' as chapter, a.chunk_id, string_agg(b.chunk_id, ',' order by b.ord) as related from c a join c b on a.chunk_id <> b.chunk_id and (a.disease = b.disease or contains(b.disease, a.disease) or contains(a.disease, b.disease)) group by a.chunk_id""")
+_CHUNKS = """, p as (select chapter, string_split(text, '---' || chr(10) || 'chunk_id:') as parts from chunk_files),
+r as (select chapter, unnest(parts[2:]) as raw, generate_subscripts(parts[2:], 1) as ord from p),
+c as (select chapter, ord, trim(split_part(raw, chr(10), 1), ' ') as chunk_id, regexp_extract(raw, '(?m)^chunk_level:[ \\t]*(\\d+)', 1) as level, regexp_extract(raw, '(?m)^disease_focus:[ \\t]*(.*?)[ \\t]*$', 1) as disease from r where contains(raw, chr(10) || '---' || chr(10)))"""
+
+
+@query("chunk_links", "J11 J37 Q09", derived_sql("chunk_files") + _CHUNKS + """,
+d as (select * from c where level = '2' and disease not in ('', 'general', 'self_assessment', 'overview'))
+select a.chapter, a.chunk_id, string_agg(b.chunk_id, ',' order by a.disease <> b.disease, b.ord) as related from d a join d b on a.chapter = b.chapter and a.chunk_id <> b.chunk_id
+  and (a.disease = b.disease or (length(a.disease) >= 4 and contains(b.disease, a.disease)) or (length(b.disease) >= 4 and contains(a.disease, b.disease))) group by all""")
 def chunk_links(spark, sf_dir):
-    return audit.autolink(chunks.parse_chunks(load(spark, "chunk_files")))
+    return audit.autolink(chunks.parse_chunks(derive(spark, sf_dir, "chunk_files")))
 
 
 @query("chunk_completeness", "A08 Q05")
 def chunk_completeness(spark, sf_dir):
-    return audit.completeness(chunks.parse_chunks(load(spark, "chunk_files")))
+    return audit.completeness(chunks.parse_chunks(derive(spark, sf_dir, "chunk_files")))
 
 
 @query("chunk_coverage", "J09 A07 J10")
 def chunk_coverage(spark, sf_dir):
-    rows = chunks.parse_chunks(load(spark, "chunk_files"))
+    rows = chunks.parse_chunks(derive(spark, sf_dir, "chunk_files"))
     gaps = audit.coverage(rows).select("chapter", "chunk_id", F.lit("gap").alias("result"))
-    return gaps.unionByName(audit.spot_check(rows, load(spark, "chapters")))
+    return gaps.unionByName(audit.spot_check(rows, derive(spark, sf_dir, "chapters")))
 
 
-@query("flag_coverage", "A07 Q02 Q17", with_sql("pairs") + """
+@query("flag_coverage", "A07 Q02 Q17", derived_sql("pairs") + """
 , h as (select chunk_id as chapter, """ + " + ".join(f"len(regexp_extract_all(source, '(?i){p}'))" for p in P.DOSING) + " as ds, " + " + ".join(f"len(regexp_extract_all(body, '(?i){p}'))" for p in P.DOSING) + " as dc, "
  + " + ".join(f"len(regexp_extract_all(source, '(?i){p}'))" for p in P.THRESHOLDS) + " as ts, " + " + ".join(f"len(regexp_extract_all(body, '(?i){p}'))" for p in P.THRESHOLDS) + """ as tc from pairs)
 select chapter, ds, dc, ts, tc, case when ds > 0 and dc < ds * 0.9 then 'WARN - dosing dropped' else 'CLEARED' end || case when ts > 0 and tc < ts * 0.9 then case when ds > 0 and dc < ds * 0.9 then ' | ' else '' end || 'WARN - thresholds dropped' else '' end as verdict from h""")
 def flag_coverage(spark, sf_dir):
-    got = audit.flag_coverage(load(spark, "pairs").select(F.col("chunk_id").alias("chapter"), "source", F.col("body").alias("chunks")))
+    got = audit.flag_coverage(derive(spark, sf_dir, "pairs").select(F.col("chunk_id").alias("chapter"), "source", F.col("body").alias("chunks")))
     return got.select("chapter", *[F.col(c).cast("bigint").alias(c) for c in ("ds", "dc", "ts", "tc")], "verdict")
 
 
-@query("quality_scores", "A09 Q13 Q14", with_sql("score_counts") + """
+@query("quality_scores", "A09 Q13 Q14", derived_sql("score_counts") + """
 , d as (select chapter, case when ds > 0 then least(dc / ds, 1.0) end as dosing, case when ts > 0 then least(tc / ts, 1.0) end as threshold, case when passed + failed > 0 then passed / (passed + failed) end as verbatim, case when checked > 0 then 1 - gaps / checked end as coverage from score_counts)
 select *, round_even(list_avg(list_filter([dosing, threshold, verbatim, coverage], lambda x: x is not null)), 3) as overall from d""")
 def quality_scores(spark, sf_dir):
-    return audit.scorecard(load(spark, "score_counts"))
+    return audit.scorecard(derive(spark, sf_dir, "score_counts"))
 
 
 # ------------------------------------------------------------------ slicing and lines
@@ -127,63 +135,77 @@ def quality_scores(spark, sf_dir):
 
 @query("sliced_chunks", "X02 X03 P01 P07 S23 W02 W03 W04 W05")
 def sliced_chunks(spark, sf_dir):
-    rows = chunks.slice_markdown(load(spark, "chapters"), "chapter", "text")
+    rows = chunks.slice_markdown(derive(spark, sf_dir, "chapters"), "chapter", "text")
     return rows.select("chapter", "chunk_id", "topic", "disease", "source_lines", F.array_join("pages", ",").alias("pages"), "breadcrumb")
 
 
-@query("section_ends", "W02 X02", with_sql("chapters") + _DOC_LINES + """
+@query("section_ends", "W02 X02", derived_sql("chapters") + _DOC_LINES + """
 , h as (select doc, ln, trim(regexp_replace(line, '^#+\\s+', '')) as title, lead(ln) over w as next, row_number() over w as n from lines where regexp_matches(line, '^##\\s') window w as (partition by doc order by ln)),
 e as (select doc, max(ln) as eof from lines group by doc)
 select h.doc, format('L1-{:03d}', n) as section, title, ln::bigint as lo, (coalesce(next, eof + 1) - 1)::bigint as hi from h join e on e.doc = h.doc""")
 def section_ends(spark, sf_dir):
-    rows = lines.sections(lines.explode_lines(load(spark, "chapters"), "chapter", "text"))
+    rows = lines.sections(lines.explode_lines(derive(spark, sf_dir, "chapters"), "chapter", "text"))
     return rows.select("doc", "section", "title", F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi"))
 
 
 @query("slice_strategies", "X02 X05")
 def slice_strategies(spark, sf_dir):
-    return chunks.strategies(load(spark, "chapters"), "chapter", "text")
+    return chunks.strategies(derive(spark, sf_dir, "chapters"), "chapter", "text")
 
 
-@query("paired_questions", "X04", with_sql("chapters") + _DOC_LINES + """
+@query("paired_questions", "X04", derived_sql("chapters") + _DOC_LINES + """
 , s as (select doc, regexp_extract(line, '^(\\d+(?:\\.\\d+)+)\\.\\s', 1) as number, trim(regexp_replace(line, '^\\d+(?:\\.\\d+)+\\.\\s*', '')) as stem from lines where regexp_matches(line, '^(\\d+(?:\\.\\d+)+)\\.\\s')),
 a as (select doc, ln, regexp_extract(line, '^Answer\\s+(\\d+(?:\\.\\d+)+)\\s*[:.]\\s*([A-E]|True|False)\\b', 1) as number, regexp_extract(line, '^Answer\\s+(\\d+(?:\\.\\d+)+)\\s*[:.]\\s*([A-E]|True|False)\\b', 2) as answer from lines where starts_with(line, 'Answer'))
 select s.doc, s.number, s.stem, (select arg_min(answer, ln) from a where a.doc = s.doc and a.number = s.number) as answer from s""")
 def paired_questions(spark, sf_dir):
-    return chunks.questions(load(spark, "chapters"), "chapter", "text")
+    return chunks.questions(derive(spark, sf_dir, "chapters"), "chapter", "text")
 
 
-@query("swept_lines", "W10 W11 P08 Q24", with_sql("chapters") + _DOC_LINES + f"""
+@query("swept_lines", "W10 W11 P08 Q24", derived_sql("chapters") + _DOC_LINES + f"""
 , p as (select *, sum((trim(line, ' ') = '')::int) over (partition by doc order by ln) as para, trim(line, ' ') <> '' and (regexp_matches(trim(line, ' '), '{"|".join(f"(?:{p})" for p in P.PROTECTED_SHAPES)}') or length(trim(line, ' ')) > 200 or regexp_matches(line, '{P.CLINICAL_KEYWORDS}')) as keep,
    regexp_matches(line, 'Medical Higher Study|apps?\\.apple\\.com|play\\.google\\.com|Join.*[Tt]elegram|t\\.me/|bit\\.ly/')::int as hit from lines),
 q as (select *, max(keep::int) over (partition by doc, para) = 1 and trim(line, ' ') <> '' as protected, max(hit) over (partition by doc order by ln rows between 14 preceding and 10 following) = 1 as near from p)
 select doc, ln::bigint as ln, protected, near and not protected as swept from q""")
 def swept_lines(spark, sf_dir):
-    return lines.sweep(lines.explode_lines(load(spark, "chapters"), "chapter", "text")).select("doc", F.col("ln").cast("bigint").alias("ln"), "protected", "swept")
+    return lines.sweep(lines.explode_lines(derive(spark, sf_dir, "chapters"), "chapter", "text")).select("doc", F.col("ln").cast("bigint").alias("ln"), "protected", "swept")
 
 
 @query("repaired_texts", "F18 F19 F20 S38 Q19")
 def repaired_texts(spark, sf_dir):
-    return audit.repair(load(spark, "chapters"), "chapter", "text")
+    return audit.repair(derive(spark, sf_dir, "chapters"), "chapter", "text")
 
 
 @query("repeated_headings", "A02 W13")
 def repeated_headings(spark, sf_dir):
-    rows = lines.explode_lines(load(spark, "chapters"), "chapter", "text")
+    rows = lines.explode_lines(derive(spark, sf_dir, "chapters"), "chapter", "text")
     return audit.repeated_headers(rows).select("doc", "line").union(lines.orphans(rows).select("doc", "line"))
 
 
-@query("parsed_spans", "F14 F15 F57 F58 F59 F60 W07", """
-select * from (values ('1049-1053,1095', '1049-1053,1095', 0, 1049, 1095), (' 5 ,1-3,4', '1-5', 0, 1, 5), ('9-2,x,7', '7', 2, 7, 7), ('', '', 0, null, null), ('10-12,,11-20,21', '10-21', 0, 10, 21)) t(raw, text, errors, lo, hi)""")
+_RAW_SPANS = """case l_orderkey % 9 when 0 then 'x' || cast(l_linenumber as string) || ',7' when 1 then ' ' || cast(l_partkey % 40 as string) || ' ,' || cast(l_suppkey % 50 as string) || '-' || cast(l_suppkey % 50 + 4 as string)
+ when 2 then cast(l_partkey % 40 + 5 as string) || '-' || cast(l_partkey % 40 as string) when 3 then '' when 4 then ',,' || cast(l_partkey % 60 as string) || ' - ' || cast(l_partkey % 60 as string)
+ else cast(l_partkey % 40 as string) || '-' || cast(l_partkey % 40 + l_suppkey % 7 as string) || ',' || cast(l_partkey % 40 + l_suppkey % 7 + l_linenumber % 4 as string) || '-' || cast(l_partkey % 40 + l_suppkey % 7 + 9 as string) || ',' || cast(l_partkey % 70 as string) end"""
+
+
+@query("parsed_spans", "F14 F15 F57 F58 F59 F60 W07", f"with s as (select distinct {_RAW_SPANS} as raw from lineitem)," + """
+t as (select raw, trim(unnest(string_split(raw, ',')), ' ') as t from s),
+g as (select raw, regexp_extract(t, '^(\\d+)(?:\\s*-\\s*(\\d+))?$', 1) as a, regexp_extract(t, '^(\\d+)(?:\\s*-\\s*(\\d+))?$', 2) as b, regexp_matches(t, '^\\d+(\\s*-\\s*\\d+)?$') as fits from t where t <> ''),
+n as (select raw, try_cast(a as int) as lo, try_cast(coalesce(nullif(b, ''), a) as int) as hi, fits from g),
+o as (select *, max(hi) over (partition by raw order by lo, hi rows between unbounded preceding and 1 preceding) as before from n where fits and lo <= hi),
+i as (select *, sum((before is null or lo > before + 1)::int) over (partition by raw order by lo, hi rows unbounded preceding) as island from o),
+m as (select raw, min(lo) as lo, max(hi) as hi from i group by raw, island),
+x as (select raw, string_agg(case when lo = hi then lo::varchar else lo || '-' || hi end, ',' order by lo) as text, min(lo) as lo, max(hi) as hi from m group by all),
+e as (select raw, count(*) as errors from n where not fits or lo > hi group by all)
+select s.raw, coalesce(x.text, '') as text, coalesce(errors, 0)::int as errors, x.lo, x.hi from s left join x using (raw) left join e using (raw)""")
 def parsed_spans(spark, sf_dir):
-    raw = spark.createDataFrame([("1049-1053,1095",), (" 5 ,1-3,4",), ("9-2,x,7",), ("",), ("10-12,,11-20,21",)], "raw string").withColumn("p", spans.parse(F.col("raw")))
-    return raw.select("raw", spans.serialise(F.col("p.segments")).alias("text"), F.size("p.errors").alias("errors"), spans.envelope(F.col("p.segments"))["lo"].alias("lo"), spans.envelope(F.col("p.segments"))["hi"].alias("hi"))
+    rows = table(spark, sf_dir, "lineitem").select(F.expr(_RAW_SPANS).alias("raw")).distinct().withColumn("p", spans.parse(F.col("raw")))
+    ends = spans.envelope(F.col("p.segments"))
+    return rows.select("raw", spans.serialise(F.col("p.segments")).alias("text"), F.size("p.errors").alias("errors"), ends["lo"].alias("lo"), ends["hi"].alias("hi"))
 
 
 @query("span_precision", "W08 U18 A11 A12 J08")
 def span_precision(spark, sf_dir):
-    source = lines.explode_lines(load(spark, "chapters"), "chapter", "text")
-    rows = chunks.parse_chunks(load(spark, "chunk_files")).where("level = 2").withColumn("segments", spans.merge(spans.parse(F.col("source_lines"))["segments"]))
+    source = lines.explode_lines(derive(spark, sf_dir, "chapters"), "chapter", "text")
+    rows = chunks.parse_chunks(derive(spark, sf_dir, "chunk_files")).where("level = 2").withColumn("segments", spans.merge(spans.parse(F.col("source_lines"))["segments"]))
     rows = rows.select(F.col("chapter").alias("doc"), F.col("chunk_id").alias("chunk"), "body", "segments", spans.envelope(F.col("segments"))["lo"].alias("hint"))
     return spans.precision(rows, spans.locate(rows, source))
 
@@ -191,70 +213,77 @@ def span_precision(spark, sf_dir):
 # ------------------------------------------------------------------ fidelity, gates, decisions
 
 
-@query("paired_flips", "F42 U09 U10", with_sql("pairs") + ", f as (" + " union all ".join(
+@query("paired_flips", "F42 U09 U10", derived_sql("pairs") + ", f as (" + " union all ".join(
     f"""select chunk_id, '{check}' as "check", regexp_matches(lower(source), '\\b{a}\\b') as sa, regexp_matches(regexp_replace(lower(source), '\\b{a}\\b', ' ', 'g'), '\\b{b}\\b') as sb,
  regexp_matches(lower(body), '\\b{a}\\b') as ca, regexp_matches(regexp_replace(lower(body), '\\b{a}\\b', ' ', 'g'), '\\b{b}\\b') as cb, '{a}' as a, '{b}' as b from pairs"""
     for check, terms in (("negation", P.NEGATION_PAIRS), ("polarity", P.POLARITY_PAIRS)) for a, b in terms) + """),
 k as (select *, case when sa and not sb and cb and not ca then 1 when sb and not sa and ca and not cb then 2 when sa and not ca and not cb then 3 when sb and not ca and not cb then 4 end as k from f)
 select chunk_id, "check", case when k <= 2 then 'flipped' else 'missing' end as kind, case when k in (1, 3) then a else b end as source_value, case k when 1 then b when 2 then a end as chunk_value from k where k is not null""")
 def paired_flips(spark, sf_dir):
-    rows = load(spark, "pairs")
+    rows = derive(spark, sf_dir, "pairs")
     return fidelity.paired_flips(rows, P.NEGATION_PAIRS, "negation").unionByName(fidelity.paired_flips(rows, P.POLARITY_PAIRS, "polarity"))
 
 
 @query("all_detectors", "U02 U03 U04 U05 U06 U07 U08 U11 U12 E08 W19 W01 F25 A03")
 def all_detectors(spark, sf_dir):
-    return fidelity.all_detectors(load(spark, "pairs")).select("chunk_id", "check", "kind", "source_value", "chunk_value", "candidate_id")
+    return fidelity.all_detectors(derive(spark, sf_dir, "pairs")).select("chunk_id", "check", "kind", "source_value", "chunk_value", "candidate_id")
 
 
 @query("boundary_splits", "J15 J16 F43")
 def boundary_splits(spark, sf_dir):
-    sections = spark.createDataFrame([("s", "give Salbutamol at 5 mg now. take Aspirin with 75 mg. later Digoxin dose 2 mg.")], "section string, body string")
-    parts = [("s", "L2-1", 1, "asthma", "Salbutamol and 5 mg", 1, 4), ("s", "L2-2", 2, "acs", "Aspirin helps", 6, 9), ("s", "L2-3", 3, "acs", "give 5 mg", 12, 14)]
-    found = fidelity.boundary_loss(sections, spark.createDataFrame(parts, "section string, chunk_id string, ord int, disease string, body string, lo int, hi int"))
-    heads = spark.createDataFrame([("s", 10, "## Head")], "doc string, ln int, line string")
+    docs = table(spark, sf_dir, "documents").where("text is not null").select(F.concat(F.lit("d"), "doc_id").alias("section"), "text")
+    sections = docs.select("section", F.concat(F.lit("give Salbutamol at 5 mg now. take Aspirin with 75 mg. later Digoxin dose 2 mg.\n"), "text").alias("body"))
+    parts = [("L2-1", 1, "asthma", "Salbutamol and 5 mg", 1, 4), ("L2-2", 2, "acs", "Aspirin helps", 6, 9), ("L2-3", 3, "acs", "give 5 mg", 12, 14)]
+    part = F.array(*[F.struct(F.lit(c).alias("chunk_id"), F.lit(o).alias("ord"), F.lit(d).alias("disease"), F.lit(b).alias("body"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for c, o, d, b, lo, hi in parts])
+    found = fidelity.boundary_loss(sections, docs.select("section", F.explode(part).alias("p")).select("section", "p.*"))
+    heads = docs.select(F.col("section").alias("doc"), F.lit(10).alias("ln"), F.lit("## Head").alias("line"))
     return spans.headings_between(found.select(F.col("section").alias("doc"), "chunk_id", "source_value", "kind", "boundary", F.col("between_lo").alias("end_first"), F.col("between_hi").alias("start_second")), heads)
 
 
-@query("fidelity_gate", "A04 A05 A06 E12", with_sql("candidates") + """
-select 'BLOCKED' as verdict, count(*) filter (where status <> 'VERIFIED') as unresolved_candidates, count(*) filter (where severity = 'CONFIRMED_CORRUPTION' and not coalesce(re_verified, false)) as unresolved_corruptions, count(*) as candidate_count, '' as not_tested from candidates
-union all select 'NOT_TESTED', 1, 1, 4, 'boundary_loss,dose,duration,frequency,inequality,negation,polarity,range,sequence,unit'""")
+@query("fidelity_gate", "A04 A05 A06 E12", derived_sql("candidates") + """
+, n as (select count(*) filter (where status <> 'VERIFIED') as unresolved_candidates, count(*) filter (where severity = 'CONFIRMED_CORRUPTION' and not coalesce(re_verified, false)) as unresolved_corruptions, count(*) as candidate_count from candidates)
+select case when unresolved_candidates > 0 or unresolved_corruptions > 0 then 'BLOCKED' else 'PASS' end as verdict, *, '' as not_tested from n
+union all select 'NOT_TESTED', *, 'boundary_loss,dose,duration,frequency,inequality,negation,polarity,range,sequence,unit' from n""")
 def fidelity_gate(spark, sf_dir):
-    rows = load(spark, "candidates")
+    rows = derive(spark, sf_dir, "candidates")
     return fidelity.gate(rows, P.REQUIRED_DETECTORS).union(fidelity.gate(rows, ["numeric"]))
 
 
-@query("gate_actions", "A47 A49 A50 A42", "select * from (values ('PASS', 0, 'complete'), ('NOT_TESTED', 3, 'failed'), ('BLOCKED', 2, 'pending_manual'), ('BLOCKED', 0, 'blocked')) t(verdict, unresolved, action)")
+_VERDICT = "case o_orderkey % 4 when 0 then 'PASS' when 1 then 'NOT_TESTED' else 'BLOCKED' end"
+
+
+@query("gate_actions", "A47 A49 A50 A42", f"with g as (select o_orderkey, {_VERDICT} as verdict, o_custkey % 3 as unresolved from orders)" + """
+select o_orderkey, verdict, case verdict when 'PASS' then 'complete' when 'NOT_TESTED' then 'failed' else case when unresolved > 0 then 'pending_manual' else 'blocked' end end as action from g""")
 def gate_actions(spark, sf_dir):
-    rows = spark.createDataFrame([("PASS", 0), ("NOT_TESTED", 3), ("BLOCKED", 2), ("BLOCKED", 0)], "verdict string, unresolved int")
-    return rows.withColumn("action", fidelity.gate_action(F.col("verdict"), F.col("unresolved")))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_VERDICT).alias("verdict"), (F.col("o_custkey") % 3).alias("unresolved"))
+    return rows.select("o_orderkey", "verdict", fidelity.gate_action(F.col("verdict"), F.col("unresolved")).alias("action"))
 
 
-@query("applied_decisions", "J23 J24", with_sql("candidates", "decisions") + """
+@query("applied_decisions", "J23 J24", derived_sql("candidates", "decisions") + """
 , k as (select * from decisions where decision in ('confirmed_corruption', 'false_positive', 'legitimate_paraphrase'))
 select c.candidate_id, case when k.decision is not null then 'VERIFIED' else status end as status, case when k.decision = 'confirmed_corruption' then 'CONFIRMED_CORRUPTION' when k.decision is not null then 'RESOLVED_NOT_A_CORRUPTION' else severity end as severity
 from candidates c left join k on k.candidate_id = c.candidate_id""")
 def applied_decisions(spark, sf_dir):
-    return fidelity.apply_decisions(load(spark, "candidates"), load(spark, "decisions"))[0].select("candidate_id", "status", "severity")
+    return fidelity.apply_decisions(derive(spark, sf_dir, "candidates"), derive(spark, sf_dir, "decisions"))[0].select("candidate_id", "status", "severity")
 
 
-@query("unmatched_decisions", "J23 J26", with_sql("candidates", "decisions") + """
+@query("unmatched_decisions", "J23 J26", derived_sql("candidates", "decisions") + """
 select * from decisions d where decision not in ('confirmed_corruption', 'false_positive', 'legitimate_paraphrase') or not exists (select 1 from candidates c where c.candidate_id = d.candidate_id)""")
 def unmatched_decisions(spark, sf_dir):
-    return fidelity.apply_decisions(load(spark, "candidates"), load(spark, "decisions"))[1]
+    return fidelity.apply_decisions(derive(spark, sf_dir, "candidates"), derive(spark, sf_dir, "decisions"))[1]
 
 
-@query("manifest_problems", "J21 E10 E11 F55", with_sql("candidates", "manifest") + """
+@query("manifest_problems", "J21 E10 E11 F55", derived_sql("candidates", "manifest") + """
 , m as (select candidate_id, count(*) as n from manifest group by 1), j as (select coalesce(m.candidate_id, c.candidate_id) as candidate_id, n, c.candidate_id as known from m full join candidates c on c.candidate_id = m.candidate_id)
 select candidate_id, 'unknown' as problem from j where known is null union all select candidate_id, 'missing' from j where n is null union all select candidate_id, 'duplicate' from j where n > 1""")
 def manifest_problems(spark, sf_dir):
-    return fidelity.reconcile(load(spark, "manifest"), load(spark, "candidates"))
+    return fidelity.reconcile(derive(spark, sf_dir, "manifest"), derive(spark, sf_dir, "candidates"))
 
 
-@query("whole_updates", "J22 J25 J36", with_sql("candidates") + """
+@query("whole_updates", "J22 J25 J36", derived_sql("candidates") + """
 select 'good' as run, candidate_id, case when candidate_id = 'k1' then 'NEW' else status end as status from candidates union all select 'bad', candidate_id, status from candidates""")
 def whole_updates(spark, sf_dir):
-    rows = load(spark, "candidates")
+    rows = derive(spark, sf_dir, "candidates")
     one = spark.createDataFrame([("k1", "NEW")], "candidate_id string, status string")
     two = one.union(spark.createDataFrame([("zz", "NEW")], one.schema))
     run = lambda name, u: fidelity.apply_whole(rows, u, "candidate_id", "status").select(F.lit(name).alias("run"), "candidate_id", "status")
@@ -269,84 +298,106 @@ trust as (select chapter, review_status, clusters, b3, case when not coalesce(ha
  when coalesce(review_status <> 'COMPLETED', true) or b1 or b2 or b3 or b4 or not coalesce(tested, false) then 'CORPUS_REVIEW_PENDING' when try_cast(reviewed as bigint) < try_cast(flagged as bigint) or try_cast(clusters as bigint) <> 0 or try_cast(unresolved as bigint) <> 0 then 'CORPUS_REVIEW_PENDING' else 'CORPUS_TESTING_READY' end as classification from b)"""
 
 
-@query("trust_ladder", "A25 A26 A27 A28 A29 J38 Q08", with_sql("evidence") + _TRUST + """
+@query("trust_ladder", "A25 A26 A27 A28 A29 J38 Q08", derived_sql("evidence") + _TRUST + """
 select chapter, classification, classification = 'CORPUS_TESTING_READY' as trusted, review_status = 'COMPLETED' as semantic_review_complete, case when not b3 then clusters::bigint = 0 end as completeness_review_complete, false as retrieval_ready from trust""")
 def trust_ladder(spark, sf_dir):
-    return ledger.classify_trust(load(spark, "evidence"))
+    return ledger.classify_trust(derive(spark, sf_dir, "evidence"))
 
 
-@query("trust_mismatches", "J32 A51 A52 A54", with_sql("evidence", "declared") + _TRUST + """
+@query("trust_mismatches", "J32 A51 A52 A54", derived_sql("evidence", "declared") + _TRUST + """
 select coalesce(d.chapter, t.chapter) as chapter, d.classification as declared, t.classification as recomputed from declared d full join trust t on t.chapter = d.chapter where d.classification is distinct from t.classification""")
 def trust_mismatches(spark, sf_dir):
-    return ledger.declared_mismatches(load(spark, "declared"), ledger.classify_trust(load(spark, "evidence")))
+    return ledger.declared_mismatches(derive(spark, sf_dir, "declared"), ledger.classify_trust(derive(spark, sf_dir, "evidence")))
 
 
-@query("excluded_chapters", "A54 A52", with_sql("evidence", "declared") + _TRUST + """
+@query("excluded_chapters", "A54 A52", derived_sql("evidence", "declared") + _TRUST + """
 select d.chapter, case when t.classification is null then 'no evidence' when t.classification <> 'CORPUS_TESTING_READY' then 'not trusted ' || t.classification else '' end as reason from declared d left join trust t on t.chapter = d.chapter""")
 def excluded_chapters(spark, sf_dir):
-    return ledger.exclusion_reason(load(spark, "declared").select("chapter"), ledger.classify_trust(load(spark, "evidence")))
+    return ledger.exclusion_reason(derive(spark, sf_dir, "declared").select("chapter"), ledger.classify_trust(derive(spark, sf_dir, "evidence")))
 
 
-@query("link_violations", "J30 Q09", with_sql("links", "link_chunks") + """
+@query("link_violations", "J30 Q09", derived_sql("links", "link_chunks") + """
 , e as (select chapter, chunk_id, unnest(string_split(related, ',')) as "to" from links),
 j as (select e.*, a.disease, b.disease as td, exists (select 1 from e x where x.chapter = e.chapter and x.chunk_id = e."to" and x."to" = e.chunk_id) as back from e left join link_chunks a on a.chapter = e.chapter and a.chunk_id = e.chunk_id left join link_chunks b on b.chapter = e.chapter and b.chunk_id = e."to")
 select chapter, chunk_id, "to", 'dangling' as problem from j where td is null union all select chapter, chunk_id, "to", 'self' from j where chunk_id = "to" union all select chapter, chunk_id, "to", 'cross_disease' from j where disease <> td
 union all select chapter, chunk_id, "to", 'asymmetric' from j where td is not null and chunk_id <> "to" and not back""")
 def link_violations(spark, sf_dir):
-    return ledger.link_violations(load(spark, "links"), load(spark, "link_chunks"))
+    return ledger.link_violations(derive(spark, sf_dir, "links"), derive(spark, sf_dir, "link_chunks"))
 
 
-@query("count_mismatches", "J31 A59", "select * from (values ('b', 2, 2, 3::bigint, 4::bigint), ('c', 1, 1, 1, 1)) t(chapter, sources, \"values\", least, most)")
+@query("count_mismatches", "J31", """
+with a as (select o_custkey as chapter, count(*) as n from orders group by 1), b as (select c_custkey as chapter, c_custkey % 20 as n from customer where c_custkey % 7 <> 0), u as (select * from a union all select * from b)
+select chapter::varchar as chapter, count(*) as sources, count(distinct n) as "values", min(n) as least, max(n) as most from u group by chapter having count(distinct n) > 1 or count(*) < 2""")
 def count_mismatches(spark, sf_dir):
-    rows = lambda *r: spark.createDataFrame(list(r), "chapter string, n long")
-    return ledger.count_mismatches(rows(("a", 1), ("b", 3), ("c", 1)), rows(("a", 1), ("b", 4)))
+    a = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("chapter")).agg(F.count("*").alias("n"))
+    key = F.col("c_custkey")
+    b = table(spark, sf_dir, "customer").where(key % 7 != 0).select(key.cast("string").alias("chapter"), (key % 20).alias("n"))
+    return ledger.count_mismatches(a, b)
 
 
-@query("version_drift", "A40 J34 S32", with_sql("declarations") + """
+@query("version_drift", "A40 J34 S32", derived_sql("declarations") + """
 , d as (select distinct package, place, version from declarations) select package, count(distinct version) as versions, count(*) as places, count(distinct version) = 1 as consistent from d group by package""")
 def version_drift(spark, sf_dir):
-    return ledger.version_drift(load(spark, "declarations"))
+    return ledger.version_drift(derive(spark, sf_dir, "declarations"))
 
 
-@query("version_order", "F44 F45 F64 O22", """
-select * from (values ('1.10.0', '1.11.0', 2), ('1.2.3', '1.3.0', 1), ('2.0.0', '2.1.0', 5), ('2.0.0-alpha', '2.1.0', 3), ('latest', null, null), ('v2.0.0-rc.1+7', '2.1.0', 4)) t(version, next, rank)""")
+@query("version_order", "F44 F45 F64 O22", derived_sql("declarations") + """
+, v as (select distinct version from declarations), x as (select version, regexp_extract(version, '^v?(\\d+)\\.(\\d+)\\.(\\d+)(?:-([0-9A-Za-z.-]+))?(?:\\+[0-9A-Za-z.-]+)?$', ['major', 'minor', 'patch', 'pre']) as m from v),
+n as (select version, try_cast(m.major as int) as a, try_cast(m.minor as int) as b, try_cast(m.patch as int) as c, m.pre as pre from x)
+select version, a || '.' || (b + 1) || '.0' as next, case when a is not null then row_number() over (order by a nulls last, b, c, pre = '', split_part(pre, '.', 1), try_cast(split_part(pre, '.', 2) as int)) end as rank from n""")
 def version_order(spark, sf_dir):
-    from pyspark.sql import Window as W
-
-    rows = load(spark, "declarations").select("version").distinct().withColumn("key", C.semver_key(F.col("version")))
-    rank = F.when(F.col("key").isNotNull(), F.row_number().over(W.orderBy(F.col("key").asc_nulls_last())))
-    return rows.select("version", C.bump(F.col("version"), "minor").alias("next"), rank.alias("rank"))
+    rows = derive(spark, sf_dir, "declarations").select("version").distinct().withColumn("key", C.semver_key(F.col("version")))
+    rank = positions(rows.where("key is not null"), ["key"], "rank").select("version", (F.col("rank") + 1).alias("rank"))
+    return rows.join(rank, "version", "left").select("version", C.bump(F.col("version"), "minor").alias("next"), "rank")
 
 
 # ------------------------------------------------------------------ index lines
 
 
-def _indexed(spark):
-    return index.index_lines(load(spark, "index_lines"))
+def _indexed(spark, sf_dir):
+    return index.index_lines(derive(spark, sf_dir, "index_lines"))
+
 
+_INDEXED = """, r as (select ord, trim(line, ' ') as line, regexp_replace(split_part(trim(line, ' '), ' ', 1), '[,;]+$', '') as word from index_lines where trim(line, ' ') <> '' and not starts_with(trim(line, ' '), '#') and not starts_with(trim(line, ' '), 'Note:')),
+s as (select ord, line, (regexp_matches(line, '^[a-z]') and not regexp_matches(word, '[A-Z]')) or regexp_matches(line, '^(in |of |for |with |as |and |vs[.])') as sub from r),
+e as (select *, last_value(case when not sub then ord end ignore nulls) over (order by ord rows unbounded preceding) as entry from s),
+i as (select e.ord, e.line, e.sub and e.entry is not null as is_sub, coalesce(e.entry, e.ord) as term_ord, coalesce(t.line, e.line) as term from e left join s t on t.ord = e.entry),
+t as (select term_ord, term, count(*) filter (is_sub) as subs, string_agg(line, '; ' order by ord) filter (is_sub) as entries from i group by all)"""
 
-@query("index_terms", "W18 S01", "select * from (values (2, 'ACE inhibitors, 12-18, 44t', 3), (6, 'Angiotensin receptor blockers (ARB), 31', 0), (7, 'Angiotensin converting enzyme. See ACE inhibitors', 0), (8, 'Angiotensin II', 0), (9, 'Angiotensin storm', 0), (10, 'PARADIGM (Prospective Comparison) trial, 45-47', 0), (11, 'eGFR (EGFR), 9c', 0), (12, 'Beta-blockers. See also Heart failure', 0)) t(term_ord, term, subs)")
+
+@query("index_terms", "W18 S01", derived_sql("index_lines") + _INDEXED + " select term_ord, term, subs::int as subs, md5(coalesce(entries, '')) as entries from t")
 def index_terms(spark, sf_dir):
-    return index.terms(_indexed(spark)).select("term_ord", "term", F.size("subs").alias("subs"))
+    return index.terms(_indexed(spark, sf_dir)).select("term_ord", "term", F.size("subs").alias("subs"), F.md5(F.array_join("subs", "; ")).alias("entries"))
 
 
-@query("index_anchors", "X13", "select * from (values ('ACE inhibitors, 12-18, 44t', '12', '18', 'page_interval'), ('ACE inhibitors, 12-18, 44t', '44', null, 'table_anchor'), ('ACE inhibitors, 12-18, 44t', '20', null, 'figure_anchor'), ('PARADIGM (Prospective Comparison) trial, 45-47', '45', '47', 'page_interval'), ('eGFR (EGFR), 9c', '9', null, 'plate_anchor')) t(concept, page_start, page_end, anchor_type)")
+@query("index_anchors", "X13", derived_sql("index_lines") + _INDEXED + """
+, d as (select term, ' ' || regexp_replace(line, '([^A-Za-z0-9–\\-])', '\\1\\1', 'g') || ' ' as line from i),
+m as (select term, unnest(regexp_extract_all(line, '[^A-Za-z0-9](?:\\d+[–\\-]\\d+|\\d+[tfc]?)[^A-Za-z0-9]')) as m from d),
+x as (select term, regexp_extract(m, '(\\d+)[–\\-](\\d+)', 1) as lo, regexp_extract(m, '(\\d+)[–\\-](\\d+)', 2) as hi, regexp_extract(m, '(\\d+)([tfc])', 1) as page, regexp_extract(m, '(\\d+)([tfc])', 2) as kind from m)
+select term as concept, case when lo <> '' then lo else page end as page_start, case when lo <> '' then hi end as page_end,
+ case when lo <> '' then 'page_interval' when kind = 't' then 'table_anchor' when kind = 'f' then 'figure_anchor' else 'plate_anchor' end as anchor_type from x where lo <> '' or kind <> ''""")
 def index_anchors(spark, sf_dir):
-    return index.anchors(_indexed(spark))
+    return index.anchors(_indexed(spark, sf_dir))
 
 
-@query("index_names", "X12 E09", "select * from (values ('trial', 'PARADIGM', 'Prospective Comparison'), ('acronym', 'ARB', 'Angiotensin receptor blockers'), ('acronym', 'EGFR', 'eGFR')) t(kind, name, meaning)")
+@query("index_names", "X12 E09", derived_sql("index_lines") + _INDEXED + """
+, a as (select ord, trim(regexp_extract(line, '([A-Za-z0-9\\s\\-]+)\\s*\\(([A-Z0-9\\-]{2,10})\\)', 2), ' ') as name, trim(regexp_extract(line, '([A-Za-z0-9\\s\\-]+)\\s*\\(([A-Z0-9\\-]{2,10})\\)', 1), ' ') as meaning from i),
+f as (select name, meaning, min(ord) as ord from a where length(name) >= 2 and regexp_matches(name, '[A-Z]') group by all)
+select 'trial' as kind, regexp_extract(line, '(?i)\\b([A-Z0-9\\-]{2,15})\\s*\\(([^)]+)\\)\\s*(?:trial|study|investigation|registry)', 1) as name, regexp_extract(line, '(?i)\\b([A-Z0-9\\-]{2,15})\\s*\\(([^)]+)\\)\\s*(?:trial|study|investigation|registry)', 2) as meaning
+from i where regexp_matches(line, '(?i)\\b([A-Z0-9\\-]{2,15})\\s*\\(([^)]+)\\)\\s*(?:trial|study|investigation|registry)') union all select 'acronym', name, string_agg(meaning, '; ' order by ord) from f group by name""")
 def index_names(spark, sf_dir):
-    rows = _indexed(spark)
+    rows = _indexed(spark, sf_dir)
     a = index.trials(rows).select(F.lit("trial").alias("kind"), F.col("acronym").alias("name"), F.col("title").alias("meaning"))
     return a.union(index.acronyms(rows).select(F.lit("acronym"), "acronym", "expansions"))
 
 
-@query("index_graphs", "X14 X17 A20 W15", """
-select * from (values ('see', 'Angiotensin converting enzyme. See ACE inhibitors', 'ACE inhibitors'), ('see', 'Beta-blockers. See also Heart failure', 'Heart failure'), ('subtree', 'ace inhibitors, 12-18, 44t', '3'), ('polysemy', 'angiotensin', '4'),
- ('comparator', 'ACE inhibitors, 12-18, 44t', 'in hypertension, vs. beta-blockers'), ('comparator', 'ACE inhibitors, 12-18, 44t', 'distinguished from ARBs'), ('edges', '7', '1.0')) t(kind, a, b)""")
+@query("index_graphs", "X14 X17 A20 W15", derived_sql("index_lines") + _INDEXED + """
+, w as (select lower(split_part(term, ' ', 1)) as word from t)
+select 'see' as kind, term as a, trim(regexp_extract(term, '\\bSee (?:also )?([A-Za-z0-9\\s,\\-]+)', 1), ' ') as b from t where regexp_matches(term, '\\bSee (?:also )?([A-Za-z0-9\\s,\\-]+)')
+union all select 'subtree', lower(term), subs::varchar from t where subs >= 3 union all select 'polysemy', word, count(*)::varchar from w where length(word) >= 4 group by word having count(*) >= 4
+union all select 'comparator', term, line from i where is_sub and regexp_matches(line, '(?i)\\bvs\\b\\.?|distinguished from') union all select 'edges', (count(*) - 1)::varchar, '1.0' from t""")
 def index_graphs(spark, sf_dir):
-    rows = index.terms(_indexed(spark))
+    rows = index.terms(_indexed(spark, sf_dir))
     out = index.cross_references(rows).select(F.lit("see").alias("kind"), F.col("source").alias("a"), F.col("target").alias("b"))
     out = out.union(index.subtrees(rows).select(F.lit("subtree"), "concept", F.col("n").cast("string"))).union(index.polysemy(rows).select(F.lit("polysemy"), "keyword", F.col("branches").cast("string")))
     out = out.union(index.comparators(rows).select(F.lit("comparator"), "concept", "entry"))
@@ -355,35 +406,41 @@ def index_graphs(spark, sf_dir):
 
 @query("index_salience", "A22 X18")
 def index_salience(spark, sf_dir):
-    rows = index.salience(index.terms(_indexed(spark))).select(F.col("word").alias("name"), F.col("weight").cast("string").alias("value"))
-    return rows.union(index.grammar(index.acronyms(_indexed(spark))).select(F.lit("gbnf"), "gbnf"))
+    rows = index.salience(index.terms(_indexed(spark, sf_dir))).select(F.col("word").alias("name"), F.col("weight").cast("string").alias("value"))
+    return rows.union(index.grammar(index.acronyms(_indexed(spark, sf_dir))).select(F.lit("gbnf"), "gbnf"))
 
 
-@query("canonical_copies", "W16 S05 S06 P41", "select * from (values ('a_RAG.md', '/r/ch1/rag_pipeline_output/a_RAG.md'), ('b_RAG.md', '/r/z/b_RAG.md'), ('c_RAG.md', '/r/c/c_RAG.md')) t(name, path)")
+@query("canonical_copies", "W16 S05 S06 P41", derived_sql("copies") + """
+, c as (select path, string_split(path, '/')[-1] as name, string_split(lower(path), '/') as parts from copies),
+k as (select *, list_reduce([[]::varchar[]] || list_transform(parts[:-2], lambda d: regexp_split_to_array(d, '[^a-z0-9]+')), lambda a, b: list_concat(a, b)) as tokens from c)
+select name, path from (select *, row_number() over (partition by name order by parts[-2] <> 'rag_pipeline_output', len(parts), path) as n from k where not list_has_any(tokens, ['backup', 'backups', 'audit', 'audits', 'bundle', 'bundles'])) where n = 1""")
 def canonical_copies(spark, sf_dir):
-    return index.canonical_copies(load(spark, "copies"), "rag_pipeline_output")
+    return index.canonical_copies(derive(spark, sf_dir, "copies"), "rag_pipeline_output")
 
 
 # ------------------------------------------------------------------ guard, grounding, setup files
 
 
-@query("dose_rewrites", "F05", "select * from (values ('5.0 mg QD', '5 mg once daily'), ('Hb 13.0 g/dL', 'Hb 13.0 g/dL'), ('.5 mg QOD', '0.5 mg every other day'), ('10 IU and 4 U', '10 units and 4 units'), ('4 U/kg', '4 U/kg')) t(raw, text)")
+_DOSE = "case l_linenumber % 5 when 0 then {n} || '.0 mg QD' when 1 then 'Hb ' || {n} || '.0 g/dL' when 2 then '.' || {n} || ' mg QOD' when 3 then {n} || ' IU and 4 U' else {n} || ' U/kg' end".replace("{n}", "cast(l_partkey % 90 + 1 as string)")
+
+
+@query("dose_rewrites", "F05", f"select distinct {_DOSE} as raw, " + "case l_linenumber % 5 when 0 then {n} || ' mg once daily' when 1 then 'Hb ' || {n} || '.0 g/dL' when 2 then '0.' || {n} || ' mg every other day' when 3 then {n} || ' units and 4 units' else {n} || ' U/kg' end as text from lineitem".replace("{n}", "(l_partkey % 90 + 1)"))
 def dose_rewrites(spark, sf_dir):
-    rows = spark.createDataFrame([("5.0 mg QD",), ("Hb 13.0 g/dL",), (".5 mg QOD",), ("10 IU and 4 U",), ("4 U/kg",)], "raw string")
-    return rows.withColumn("text", C.rewrite(F.col("raw"), P.DOSE_REWRITES_JAVA))
+    return table(spark, sf_dir, "lineitem").select(F.expr(_DOSE).alias("raw")).distinct().withColumn("text", C.rewrite(F.col("raw"), P.DOSE_REWRITES_JAVA))
 
 
 @query("text_guard", "F01 F02 F03 F04 F06 F07 F10")
 def text_guard(spark, sf_dir):
-    raw = [("â‰¥ 5 Âµg ﬁne​",), ("10^{9} \\geq \\(x\\) \\mu g",), ("First part. Second part is longer than that.",), (None,)]
-    rows = spark.createDataFrame(raw, "raw string")
-    return rows.select(U.repair_source(F.col("raw")).alias("source"), U.sanitise(F.col("raw")).alias("output"), U.clean_latex(F.col("raw")).alias("latex"), U.excerpt("raw", F.lit(15)).alias("excerpt"))
+    damage = F.element_at(F.array(*map(F.lit, ("â‰¥ 5 Âµg ﬁne​ ", "10^{9} \\geq \\(x\\) \\mu g ", "First part. Second part is longer than that. ", ""))), (F.col("doc_id") % 4).cast("int") + 1)
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(damage, "text").alias("raw"))
+    got = rows.select("doc_id", U.repair_source(F.col("raw")).alias("source"), U.sanitise(F.col("raw")).alias("output"), U.clean_latex(F.col("raw")).alias("latex"), U.excerpt("raw", F.lit(15)).alias("excerpt"))
+    return got.select("doc_id", F.md5("source").alias("source"), F.md5("output").alias("output"), F.md5("latex").alias("latex"), "excerpt")
 
 
-@query("heading_kinds", "P25 W20", with_sql("headings") + f"""
+@query("heading_kinds", "P25 W20", derived_sql("headings") + f"""
 select heading, case when {_ANY('upper(heading)', P.EXEMPT_HEADINGS)} then 'exempt' when contains(upper(heading), 'LAYER 2') then 'layer2' when {_ANY('upper(heading)', P.ANCHORED_HEADINGS)} then 'anchored' end as kind from headings""")
 def heading_kinds(spark, sf_dir):
-    return load(spark, "headings").withColumn("kind", guard.section_kind(F.col("heading")))
+    return derive(spark, sf_dir, "headings").withColumn("kind", guard.section_kind(F.col("heading")))
 
 
 ALIASES = {"alpha": "alpha", "al": "alpha", "beta": "beta"}
@@ -391,176 +448,235 @@ ALIASES = {"alpha": "alpha", "al": "alpha", "beta": "beta"}
 
 @query("grounded_notes", "A36 F40 F41 J17 P26 X10 X11 W20")
 def grounded_notes(spark, sf_dir):
-    rows = lines.explode_lines(load(spark, "notes"), "doc", "text")
+    rows = lines.explode_lines(derive(spark, sf_dir, "notes"), "doc", "text")
     kinds = lines.heading_kinds(rows, guard.section_kind(F.col("line")))
     cites = guard.citations(rows, ALIASES)
     have = spark.createDataFrame([("alpha", 16, "L2-045"), ("beta", 1, "L2-001")], "book string, chapter int, chunk_id string")
     return guard.grounding(rows, kinds, cites, guard.resolve_citations(cites, have))
 
 
-@query("setup_inventory", "S30 P19 P20 P21 P22 P23 W22 A38 A58")
-def setup_inventory(spark, sf_dir):
-    rows = lint.inventory(load(spark, "paths"), 6, 4)
-    return rows.withColumn("job", lint.job(F.col("kind"))).withColumn("candidate", lint.is_candidate(F.col("path")))
-
-
-@query("section_matches", "J13 S31 F50", "select * from (values ('Cardiovascular_Disease', 'Cardiovascular Disease.pdf'), ('01 Respiratory Medicine final', 'Respiratory Medicine.pdf'), ('Unknown thing', null), ('Heart', null)) t(folder, section)")
+@query("section_matches", "J13 S31 F50", """
+with f as (select distinct case when p_partkey % 3 = 0 then replace(p_type, ' ', '_') when p_partkey % 3 = 1 then '0' || p_size || '-' || p_type || '  final' else p_brand || ' notes' end as folder from part),
+s as (select distinct p_type || '.PDF' as section from part union select distinct p_type || ' ' || p_brand || '.pdf' from part where p_partkey % 5 = 0),
+n as (select folder, lower(trim(regexp_replace(regexp_replace(regexp_replace(folder, '(?i)\\.pdf$', ''), '[_\\-]+', ' ', 'g'), '\\s+', ' ', 'g'), ' ')) as name from f),
+t as (select section, lower(trim(regexp_replace(regexp_replace(regexp_replace(section, '(?i)\\.pdf$', ''), '[_\\-]+', ' ', 'g'), '\\s+', ' ', 'g'), ' ')) as title from s),
+h as (select folder, section, case when name = title then 1000000 else length(title) end as score from n join t on name = title or (length(name) > 10 and (contains(name, title) or contains(title, name)))),
+b as (select folder, section, score, max(score) over (partition by folder) as top from h), o as (select folder, min(section) as section from b where score = top group by folder having count(*) = 1)
+select f.folder, o.section from f left join o on o.folder = f.folder""")
 def section_matches(spark, sf_dir):
-    return lint.match_sections(load(spark, "folders"), load(spark, "sections"))
+    part = table(spark, sf_dir, "part")
+    folder = F.expr("case when p_partkey % 3 = 0 then replace(p_type, ' ', '_') when p_partkey % 3 = 1 then '0' || p_size || '-' || p_type || '  final' else p_brand || ' notes' end")
+    sections = part.select(F.expr("p_type || '.PDF'").alias("section")).union(part.where("p_partkey % 5 = 0").select(F.expr("p_type || ' ' || p_brand || '.pdf'"))).distinct()
+    return lint.match_sections(part.select(folder.alias("folder")).distinct(), sections)
 
 
-@query("section_states", "A39 A53", with_sql("section_files") + """
+@query("section_states", "A39 A53", derived_sql("section_files") + """
 select section, case when bool_or(regexp_matches(name, '_RAG_Optimised\\.md$')) then 'indexed' when bool_or(regexp_matches(name, '_chunks\\.md$')) then 'chunked' when bool_or(name = 'markdown.md') then 'ocr' when bool_or(regexp_matches(name, '(?i)\\.pdf$')) then 'split' else 'empty' end as status from section_files group by section""")
 def section_states(spark, sf_dir):
-    return lint.section_status(load(spark, "section_files"))
+    return lint.section_status(derive(spark, sf_dir, "section_files"))
+
 
+_CHAPTER_PATH = """case p_partkey % 6 when 0 then '/b/Chapter 0' || cast(p_size as string) || ' - ' || p_name || '.md' when 1 then '/b/' || cast(p_size as string) || '_Heart.md'
+ when 2 then '/b/Part ' || case p_size % 4 when 0 then 'IV' when 1 then 'IX' when 2 then 'XIV' else 'XXVI' end || ' Lungs.md' when 3 then '/guidelines/Care 2024.md' when 4 then '/b/ch_' || cast(p_size as string) || '.md' else '/b/' || p_name || '.md' end"""
 
-@query("chapter_names", "P34 P35 P36 P37 S37", "select * from (values ('/b/Chapter 05 - Gout.md', 5, 'TEXTBOOK'), ('/b/12_Heart.md', 12, 'TEXTBOOK'), ('/b/Part IV Lungs.md', 4, 'TEXTBOOK'), ('/guidelines/Care 2024.md', null, 'GUIDELINE')) t(path, chapter, archetype)")
+
+@query("chapter_names", "P34 P35 P36 P37 S37", f"select p_partkey, {_CHAPTER_PATH} as path," + """ case when p_partkey % 6 in (0, 1, 4) then p_size::int when p_partkey % 6 = 2 then case p_size % 4 when 0 then 4 when 1 then 9 when 2 then 14 else 26 end end as chapter,
+ case when p_partkey % 6 = 3 then 'GUIDELINE' else 'TEXTBOOK' end as archetype from part""")
 def chapter_names(spark, sf_dir):
-    rows = spark.createDataFrame([("/b/Chapter 05 - Gout.md",), ("/b/12_Heart.md",), ("/b/Part IV Lungs.md",), ("/guidelines/Care 2024.md",)], "path string")
-    return rows.withColumn("i", lint.chapter_info(F.col("path"))).select("path", "i.chapter", "i.archetype")
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.expr(_CHAPTER_PATH).alias("path")).withColumn("i", lint.chapter_info(F.col("path")))
+    return rows.select("p_partkey", "path", "i.chapter", "i.archetype")
 
 
 # ------------------------------------------------------------------ modalities and projects
 
 
-@query("curriculum_tiers", "P27 J19 S11 O09", with_sql("records", "bridge") + f"""
+@query("curriculum_tiers", "P27 J19 S11 O09", derived_sql("records", "bridge") + f"""
 , b as (select record_id, arg_max(chapter || ' (' || chapter_title || ')', ord) as reference from bridge group by 1)
 select r.record_id, title, case when {_ANY("lower(concat_ws(' ', title, domain, condition))", P.TIER3_WORDS)} then 'Tier 3' when {_ANY("lower(concat_ws(' ', title, domain, condition))", P.TIER1_WORDS)} then 'Tier 1' else 'Tier 2' end as tier, coalesce(reference, 'General Internal Medicine') as reference from records r left join b on b.record_id = r.record_id""")
 def curriculum_tiers(spark, sf_dir):
-    return modalities.curriculum(load(spark, "records"), load(spark, "bridge"))
+    return modalities.curriculum(derive(spark, sf_dir, "records"), derive(spark, sf_dir, "bridge"))
 
 
-@query("claim_triplets", "E07 O10", with_sql("claims") + """
+@query("claim_triplets", "E07 O10", derived_sql("claims") + """
 select claim_id as source_id, case when trim(disease) = '' then 'General Condition' else disease end as subject, case claim_type when 'CONTRAINDICATION' then 'CONTRAINDICATES' when 'TREATMENT' then 'TREATED_BY' else 'DIAGNOSTIC_PATHWAY' end as predicate, trim(claim_text) as object from claims where claim_type <> 'PEARL'
 union all select 'fixed', 'A', 'CAUSES', 'B'""")
 def claim_triplets(spark, sf_dir):
     fixed = spark.createDataFrame([("fixed", "A", "CAUSES", "B")], "source_id string, subject string, predicate string, object string")
-    return modalities.triplets(load(spark, "claims"), fixed)
+    return modalities.triplets(derive(spark, sf_dir, "claims"), fixed)
 
 
-@query("claim_cards", "P28 O11 S22", with_sql("claims") + """
+@query("claim_cards", "P28 O11 S22", derived_sql("claims") + """
 select format('CARD-{:04d}', row_number() over (order by claim_id)) as card_id, case when claim_type = 'CONTRAINDICATION' then 'Contraindicated in ' || disease || ': {{c1::...}}' else disease || ': {{c1::...}}' end as front, claim_text as back from claims""")
 def claim_cards(spark, sf_dir):
-    return modalities.cards(load(spark, "claims"))
+    return modalities.cards(derive(spark, sf_dir, "claims"))
 
 
 ORDER_RULES = [("WARFARIN_ASPIRIN", ["warfarin", "aspirin"]), ("METFORMIN_RENAL", ["metformin", "egfr"])]
 
 
-@query("order_rules", "O19", with_sql("orders") + """
+@query("order_rules", "O19", derived_sql("orders") + """
 select id, text, case when contains(lower(text), 'warfarin') and contains(lower(text), 'aspirin') then 'WARFARIN_ASPIRIN' when contains(lower(text), 'metformin') and contains(lower(text), 'egfr') then 'METFORMIN_RENAL' else 'PERMITTED' end as rule from orders""")
 def order_rules(spark, sf_dir):
-    return modalities.first_rule(load(spark, "orders"), ORDER_RULES, "text")
+    return modalities.first_rule(derive(spark, sf_dir, "orders"), ORDER_RULES, "text")
 
 
 @query("slide_roles", "P16 P18")
 def slide_roles(spark, sf_dir):
-    return load(spark, "titles").select("id", lint.slide_role(F.col("title"), F.col("body")).alias("role"), lint.slide_title(F.col("body")).alias("first"))
+    return derive(spark, sf_dir, "titles").select("id", lint.slide_role(F.col("title"), F.col("body")).alias("role"), lint.slide_title(F.col("body")).alias("first"))
 
 
 @query("duplicate_slides", "J33 F32")
 def duplicate_slides(spark, sf_dir):
-    rows = [("d", 1, "same text here", "00ff00ff00ff00ff"), ("d", 2, "same text here", "ffffffffffffffff"), ("d", 3, "a long enough line of words to compare.", "00000000000000f0"), ("d", 4, "a long enough line of words to compare!", "00000000000000f1"), ("d", 5, "other", "123456789abcdef0")]
-    return lint.duplicate_slides(spark.createDataFrame(rows, "deck string, slide int, text string, image string"))
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    image = F.concat(F.substring(F.md5("text"), 1, 15), F.lower(F.conv((F.col("doc_id") % 2).cast("string"), 10, 16)))
+    return lint.duplicate_slides(docs.select(F.col("source").alias("deck"), F.col("doc_id").alias("slide"), "text", image.alias("image")))
 
 
 @query("slide_timing", "A35")
 def slide_timing(spark, sf_dir):
-    rows = [("d", 1, "divider", "low", False), ("d", 2, "safety", "high", False), ("d", 3, "general", "medium", True), ("d", 4, "general", "medium", False)]
-    return lint.allocate(spark.createDataFrame(rows, "deck string, slide int, role string, density string, duplicate boolean"), 100)
+    pick = lambda values, at: F.element_at(F.array(*map(F.lit, values)), at.cast("int") + 1)
+    key = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("deck"), key.alias("slide"), pick(["divider", "safety", "general", "case"], key % 4).alias("role"), pick(["low", "medium", "high"], F.col("p_size") % 3).alias("density"), (key % 10 == 0).alias("duplicate"))
+    return lint.allocate(rows, 6000)
 
 
-@query("project_issues", "J28 J29", with_sql("slides", "scripts") + """
+@query("project_issues", "J28 J29", derived_sql("slides", "scripts") + """
 , s as (select slide, count(*) as n, sum(seconds) as spoken from scripts group by 1), j as (select coalesce(m.slide, s.slide) as slide, m.slide as listed, m.seconds, n, spoken from slides m full join s on s.slide = m.slide)
 select slide, 'no script' as problem from j where n is null union all select slide, 'no slide' from j where listed is null union all select slide, 'doubled script' from j where n > 1 union all select slide, 'timing' from j where abs(seconds - spoken) > 30""")
 def project_issues(spark, sf_dir):
-    return lint.project_issues(load(spark, "slides"), load(spark, "scripts"))
+    return lint.project_issues(derive(spark, sf_dir, "slides"), derive(spark, sf_dir, "scripts"))
 
 
-@query("record_search", "O01 O12 O14 O15", with_sql("records") + """
-select record_id, 2 * (contains(lower(title), 'dengue')::int + contains(lower(title), 'gout')::int) as score from records where contains(lower(title), 'dengue') or contains(lower(title), 'gout')""")
+@query("record_search", "O01 O12 O14 O15", derived_sql("records") + """
+select record_id, 2 * (contains(lower(title), 'dengue')::int + contains(lower(title), 'gout')::int) as score from records where contains(lower(title), 'dengue') or contains(lower(title), 'gout') order by score desc, record_id limit 3""")
 def record_search(spark, sf_dir):
-    return retrieval.term_search(load(spark, "records"), "Dengue or gout", "title", 2, 3, "record_id").select("record_id", "score")
+    return retrieval.term_search(derive(spark, sf_dir, "records"), "Dengue or gout", "title", 2, 3, "record_id").select("record_id", "score")
 
 
 # ------------------------------------------------------------------ state
 
 
-@query("stage_state", "T01 T03 T04 T05 T06 T17", with_sql("events_log", "log_sources") + """
+@query("stage_state", "T01 T03 T04 T05 T06 T17", derived_sql("events_log", "log_sources") + """
 , e as (select * from events_log e where exists (select 1 from log_sources s where s.prefix = e.prefix and s.source_md5 = e.source_md5))
 select prefix, stage, arg_max(status, ord) as status, arg_max(version, ord) filter (where version is not null) as version, max(ord) as ord from e group by all""")
 def stage_state(spark, sf_dir):
-    return state.current(load(spark, "events_log"), load(spark, "log_sources"))
+    return state.current(derive(spark, sf_dir, "events_log"), derive(spark, sf_dir, "log_sources"))
+
 
+_ORDER = "st as (select * from (values " + ", ".join(f"('{stage}', {k})" for k, stage in enumerate(P.STAGE_ORDER)) + ") t(stage, pos))"
+_CURRENT = """, e as (select * from events_log e where exists (select 1 from log_sources s where s.prefix = e.prefix and s.source_md5 = e.source_md5)),
+cur as (select prefix, stage, arg_max(status, ord) as status, arg_max(version, ord) filter (where version is not null) as version from e group by all), """
 
-@query("next_stages", "T02 T08 T14 T15 X20", "select * from (values ('p', '3'), ('q', '1'), ('r', '1')) t(prefix, next_stage)")
+
+@query("next_stages", "T02 T08 T13 T14 T15 X20", derived_sql("events_log", "log_sources") + _CURRENT + _ORDER + """,
+l as (select s.prefix, st.stage, st.pos from (select distinct prefix from log_sources) s, st where not exists (select 1 from cur where cur.prefix = s.prefix and cur.stage = st.stage and cur.status = 'COMPLETED'))
+select s.prefix, (select arg_min(stage, pos) from l where l.prefix = s.prefix) as next_stage, (select count(*) from l where l.prefix = s.prefix) as remaining from (select distinct prefix from log_sources) s""")
 def next_stages(spark, sf_dir):
-    return state.next_stage(spark, load(spark, "events_log"), load(spark, "log_sources"))
+    log, sources = derive(spark, sf_dir, "events_log"), derive(spark, sf_dir, "log_sources")
+    left = state.remaining(spark, log, sources).groupBy("prefix").agg(F.count("*").alias("remaining"))
+    return state.next_stage(spark, log, sources).join(left, "prefix", "left").select("prefix", "next_stage", F.coalesce("remaining", F.lit(0)).alias("remaining"))
 
 
-@query("rewind_plan", "T12 T13 T18 T19", "select * from (values ('a', '4.5b', '4.5d'), ('b', '2', '2'), ('c', '8', '4.5d')) t(prefix, next_stage, planned)")
+@query("rewind_plan", "T12 T18 T19", derived_sql("stage_now") + ", " + _ORDER + """
+select prefix, next_stage, case when coalesce(pos, 999) > (select pos from st where stage = '4.5d') then '4.5d' else next_stage end as planned from stage_now left join st on st.stage = next_stage""")
 def rewind_plan(spark, sf_dir):
-    return state.rewind_plan(spark, spark.createDataFrame([("a", "4.5b"), ("b", "2"), ("c", "8")], "prefix string, next_stage string"), "4.5d")
+    return state.rewind_plan(spark, derive(spark, sf_dir, "stage_now"), "4.5d")
 
 
-@query("state_drift", "T10 T11 T16", "select * from (values ('p', '1', '2.6'), ('p', '2', '2.6')) t(prefix, stage, recorded)")
+@query("state_drift", "T10 T11 T16", derived_sql("events_log", "log_sources") + _CURRENT + _ORDER + """
+select prefix, stage, coalesce(version, 'UNKNOWN') as recorded from cur where coalesce(version, 'UNKNOWN') <> '2.7'""")
 def state_drift(spark, sf_dir):
-    return state.drift(state.evolve(state.current(load(spark, "events_log"), load(spark, "log_sources")), {"version": "string"}), "2.7")
+    return state.drift(state.evolve(state.current(derive(spark, sf_dir, "events_log"), derive(spark, sf_dir, "log_sources")), {"version": "string"}), "2.7")
 
 
 # ------------------------------------------------------------------ packages and composed jobs
 
 
-@query("pruned_files", "P29 P30 P32 U23", """
-select * from (values ('/r/a.bak', 'pruned'), ('/r/SKILL.md', 'protected'), ('/r/audit.json', 'kept_evidence'), ('/r/x.md', 'kept')) t(path, action)""")
+_PACKED = "case p_partkey % 7 when 0 then '/r/' || p_name || '.bak' when 1 then '/r/x/SKILL.md' when 2 then '/r/Audit_' || p_brand || '.json' when 3 then '/r/' || p_name || '.JSON' when 4 then '/r/skill.txt' when 5 then '/r/x.json.md' else '/r/.cache/' || p_name end"
+
+
+@query("pruned_files", "P29 P30 P32 U23", f"with f as (select p_partkey, {_PACKED} as path from part), n as (select *, lower(string_split(path, '/')[-1]) as name, lower(string_split(path, '/')[3]) as top from f)" + """
+select p_partkey, case when starts_with(name, 'audit') then 'kept_evidence' when name = 'skill.md' then 'protected' when regexp_matches(name, '[.]bak$|[.]json$|^skill[.]') then 'pruned' else 'kept' end as action,
+ starts_with(top, '.') or regexp_matches(top, 'audit|package|__pycache__|pytest_cache|ocr markdown|global_index|verification_bundle|bundle_build') as ignorable from n""")
 def pruned_files(spark, sf_dir):
-    rows = spark.createDataFrame([("/r/a.bak",), ("/r/SKILL.md",), ("/r/audit.json",), ("/r/x.md",)], "path string")
-    return packaging.prune(rows, ["*.bak", "*.json", "skill.*"], ["SKILL.md"], ["audit*"])
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.expr(_PACKED).alias("path"))
+    got = packaging.prune(rows.select("path").distinct(), ["*.bak", "*.json", "skill.*"], ["SKILL.md"], ["audit*"])
+    return rows.join(got, "path").select("p_partkey", "action", packaging.ignorable(F.get(F.split("path", "/"), F.lit(2))).alias("ignorable"))
 
 
-@query("status_table", "A30 S42", with_sql("evidence") + _TRUST + " select chapter, classification from trust")
+@query("status_table", "A30 S42", derived_sql("evidence") + _TRUST + " select chapter, classification from trust")
 def status_table(spark, sf_dir):
-    return packaging.parse_status_table(packaging.status_table(ledger.classify_trust(load(spark, "evidence"))))
+    return packaging.parse_status_table(packaging.status_table(ledger.classify_trust(derive(spark, sf_dir, "evidence"))))
 
 
-@query("merged_review", "J27 A57 J36", """
-select * from (values ('b', 'decided twice'), ('c', 'omitted control'), ('z', 'unknown control'), ('z', 'decision'), ('a', 'reason')) t(control_id, problem)""")
-def merged_review(spark, sf_dir):
-    controls = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "control_id string")
-    said = spark.createDataFrame([("a", "KEEP", ""), ("b", "RETIRE", "x"), ("b", "KEEP", "x"), ("z", "SCRAP", "x")], "control_id string, decision string, reason string")
-    said = said.withColumns({c: F.lit("told") for c in P.DECISION_TEXTS if c != "reason"}).withColumn("evidence_state", F.lit("VERIFIED"))
-    return packaging.review_problems(controls, said, spark.createDataFrame([("d",)], "control_id string"))
+@query("span_faults", "W21 W23", """
+with e as (select o_orderkey as entry, o_orderpriority as source from orders),
+s as (select entry, source, 1 as idx, 0 as start, 2 + entry % 2 as stop, 'g' as grp, source[1:2 + entry % 2] as text from e
+      union all select entry, source, 2, 2 + entry % 2 + (entry % 5 = 0)::int, 5, case when entry % 3 = 0 then 'h' else 'g' end, case when entry % 7 = 0 then '?' else source[3 + entry % 2 + (entry % 5 = 0)::int:5] end from e
+      union all select entry, source, 3, 5, length(source) - (entry % 11 = 0)::int, 'g', source[6:length(source) - (entry % 11 = 0)::int] from e),
+b as (select *, coalesce(lag(stop) over w, 0) as before, coalesce((lag(grp) over w <> grp)::int, 1) as change from s window w as (partition by entry order by idx)),
+f as (select entry, bool_or(before <> start) as gap, max(stop) <> max(length(source)) as cover, bool_or(text <> source[start + 1:stop]) as wrong, sum(change) <> count(distinct grp) as split from b group by entry)
+select entry, 'gap' as fault from f where gap union all select entry, 'cover' from f where cover union all select entry, 'text' from f where wrong union all select entry, 'group' from f where split""")
+def span_faults(spark, sf_dir):
+    entry, source = F.col("o_orderkey"), F.col("o_orderpriority")
+    first, hole = (F.lit(2) + entry % 2), F.when(entry % 5 == 0, 1).otherwise(0)
+    end = F.length(source) - F.when(entry % 11 == 0, 1).otherwise(0)
+    cut = lambda a, b: F.substr(source, (a + 1).cast("int"), (b - a).cast("int"))
+    span = lambda k, a, b, g, t: F.struct(F.lit(k).alias("idx"), a.cast("int").alias("start"), b.cast("int").alias("end"), g.alias("grp"), t.alias("text"))
+    five, none = F.lit(5), F.lit(0)
+    three = [span(1, none, first, F.lit("g"), cut(none, first)), span(2, first + hole, five, F.when(entry % 3 == 0, "h").otherwise("g"), F.when(entry % 7 == 0, "?").otherwise(cut(first + hole, five))), span(3, five, end, F.lit("g"), cut(five, end))]
+    orders = table(spark, sf_dir, "orders")
+    return packaging.span_faults(orders.select(entry.alias("entry"), F.explode(F.array(*three)).alias("s")).select("entry", "s.*"), orders.select(entry.alias("entry"), source.alias("source")))
 
 
-@query("span_faults", "W21 W23", "select * from (values ('b', 'gap'), ('b', 'text'), ('c', 'group')) t(entry, fault)")
-def span_faults(spark, sf_dir):
-    rows = [("a", 1, 0, 3, "g", "abc"), ("a", 2, 3, 5, "h", "de"), ("b", 1, 0, 2, "g", "ab"), ("b", 2, 3, 5, "g", "xx"), ("c", 1, 0, 1, "g", "a"), ("c", 2, 1, 2, "h", "b"), ("c", 3, 2, 5, "g", "cde")]
-    texts = spark.createDataFrame([(e, "abcde") for e in "abc"], "entry string, source string")
-    return packaging.span_faults(spark.createDataFrame(rows, "entry string, idx int, start int, end int, grp string, text string"), texts)
+_RESPONSE = """case p_partkey % 3 when 0 then 'Here: [{"chunk_id": "' || cast(p_partkey as string) || '", "semantic_type": "drug_info"}, {"chunk_id": "b", "semantic_type": "odd"}] /home/me/' || p_brand
+ when 1 then 'no array of ' || p_name else '[{"chunk_id": "' || p_name || '", "semantic_type": "drug_info"}, {"chunk_id": "c", "semantic_type": "drug_info"}]' end"""
 
 
-@query("json_checks", "F09 F37 F53 F63 F66", "select * from (values (1, 1, 0, '/home/me/x'), (2, 0, 5, null), (3, 0, 1, null)) t(id, verdicts, problems, private)")
+@query("json_checks", "F09 F37 F63", """
+select p_partkey, case p_partkey % 3 when 0 then 1 when 1 then 0 else 2 end as verdicts, case when p_partkey % 3 = 0 then '/home/me/' || p_brand end as private,
+ '{"p_brand":"' || p_brand || '","p_name":"' || p_name || '","p_size":' || p_size || '}' as canonical from part""")
 def json_checks(spark, sf_dir):
-    raw = [(1, 'Here: [{"chunk_id": "a", "semantic_type": "drug_info"}, {"chunk_id": "b", "semantic_type": "odd"}] /home/me/x', '{"trace_status": "COMPLETE", "trace_note": "n", "funnel": [{"stage": "Shown", "status": "VERIFIED", "count": null, "detail": "d"}]}'), (2, "no array", '{"trace_status": "BAD", "trace_note": 1, "funnel": [{"stage": "Shown", "status": "VERIFIED", "count": true, "detail": "d"}, {"stage": "Shown", "status": "INFERRED", "count": 1, "detail": ""}]}'), (3, "[]", "not json")]
-    rows = spark.createDataFrame(raw, "id int, response string, trace string")
-    return rows.select("id", F.size(packaging.parse_verdicts(F.col("response"), ["drug_info"])).alias("verdicts"), F.size(packaging.trace_problems(F.col("trace"))).alias("problems"), packaging.private_path(F.col("response")).alias("private"))
+    rows = table(spark, sf_dir, "part").withColumn("response", F.expr(_RESPONSE))
+    return rows.select("p_partkey", F.size(packaging.parse_verdicts(F.col("response"), ["drug_info"])).alias("verdicts"), packaging.private_path(F.col("response")).alias("private"), packaging.canonical_json(F.col("p_brand"), F.col("p_name"), F.col("p_size")).alias("canonical"))
+
+
+@query("safe_links", "F66", "select page_id, case when regexp_matches(url, '(?i)^https?://') then url end as link from pages")
+def safe_links(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", packaging.safe_link(F.col("url")).alias("link"))
+
+
+_HEADER = """case when p_partkey % 3 = 0 then 'name: "' || p_name || '"' || chr(10) || 'version: ' || cast(p_size as string) || '.2.3' || chr(10) || 'description: ' || p_type when p_partkey % 3 = 1 then 'name: ' || p_name || '  ' else 'description:  x ' || p_brand || chr(10) || '"version" = v1.0.0' end"""
 
 
-@query("header_fields", "F51 F52 F61 F65 F67", "select * from (values ('x', '1.2.3', 'd', '2.0.0'), ('y', 'UNKNOWN', null, 'UNKNOWN')) t(name, version, description, rewritten)")
+@query("header_fields", "F51 F52 F61 F65 F67", f"with h as (select *, {_HEADER} as t from part)" + """
+select p_partkey, case when p_partkey % 3 <> 2 then p_name end as name, case when p_partkey % 3 = 0 then p_size || '.2.3' else 'UNKNOWN' end as version, case p_partkey % 3 when 0 then p_type when 2 then 'x ' || p_brand end as description,
+ md5(regexp_replace(t, '(?m)^(\\s*"?version"?\\s*[:=]\\s*"?)v?\\d+\\.\\d+\\.\\d+[^\\s",]*', '\\12.0.0', 'g')) as rewritten, '<!-- provenance: stage=pack engine=2.0 sha256=' || sha256(t) || ' -->' as provenance from h""")
 def header_fields(spark, sf_dir):
-    rows = spark.createDataFrame([('name: "x"\nversion: 1.2.3\ndescription: d',), ("name: y",)], "t string")
-    new = packaging.package_header(packaging.rewrite_version(F.col("t"), "2.0.0"))["version"].alias("rewritten")
-    return rows.select(packaging.package_header(F.col("t")).alias("h"), new).select("h.*", "rewritten")
+    t = F.col("t")
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.expr(_HEADER).alias("t"))
+    return rows.select("p_partkey", packaging.package_header(t).alias("h"), F.md5(packaging.rewrite_version(t, "2.0.0")).alias("rewritten"), packaging.provenance_comment(t, "pack", "2.0").alias("provenance")).select("p_partkey", "h.*", "rewritten", "provenance")
 
 
-@query("inlined_tables", "J01 J02 J18 S01 S03 S04", "select * from (values ('table', '2', 'INLINED'), ('table', '3', 'MISSING'), ('fig_01.jpeg', '4', 'OK'), ('fig_01_sub01.jpeg', '6', 'MISSING'), ('fig_02.jpeg', '9', 'OK')) t(what, ln, status)")
+_LAYOUT = "text || chr(10) || '[tbl-' || cast(doc_id % 4 as string) || '.md](tbl-' || cast(doc_id % 4 as string) || '.md)' || chr(10) || '![x](img-1.jpeg)' || chr(10) || 'Fig. 2.' || cast(doc_id % 3 + 1 as string) || ' first' || chr(10) || '![y](img-2.jpeg)' || chr(10) || 'Fig. 2.1 again' || chr(10) || chr(10) || '![z](img-3.jpeg)'"
+
+
+@query("inlined_tables", "J01 J02 J18 S03 S04", f"with d as (select doc_id as doc, {_LAYOUT} as text from documents where text is not null)," + """
+l as (select doc, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as ln from d),
+t as (select doc, ln, regexp_extract(line, '\\[(tbl-\\d+\\.md)\\]\\(tbl-\\d+\\.md\\)', 1) as name from l),
+n as (select *, first_value(try_cast(nullif(regexp_extract(line, '(?i)^\\W*Fig(?:ure)?\\.?\\s*\\d+\\.(\\d+)', 1), '') as int) ignore nulls) over (partition by doc order by ln rows between 1 following and 30 following) as near, nullif(regexp_extract(line, '!\\[.*?\\]\\((img-[^)]+)\\)', 1), '') as file from l),
+f as (select *, coalesce(near, coalesce(max(near) over (partition by doc), 0) + sum((near is null)::int) over (partition by doc order by ln rows unbounded preceding)) as figure from n where file is not null),
+a as (select *, row_number() over (partition by doc, figure order by ln) as again from f)
+select doc, 'table' as what, ln::bigint as ln, case when doc % 4 in (1, 2) then 'INLINED' else 'MISSING' end as status from t where name <> ''
+union all select doc, format('fig_{:02d}', figure::int) || case when again > 1 then format('_sub{:02d}', again - 1) else '' end || '.jpeg', ln::bigint, case when file = 'img-1.jpeg' or (file = 'img-3.jpeg' and doc % 5 = 0) then 'OK' else 'MISSING' end from a""")
 def inlined_tables(spark, sf_dir):
-    docs = spark.createDataFrame([("d", "a\n[tbl-1.md](tbl-1.md)\n[tbl-2.md](tbl-2.md)\n![x](img-1.jpeg)\nFig. 2.1 first\n![y](img-2.jpeg)\nFig. 2.1 again\n\n![z](img-3.jpeg)")], "doc string, text string")
-    _, found = packaging.inline_tables(docs, spark.createDataFrame([("d", "tbl-1.md", "| a |")], "doc string, name string, body string"), "doc", "text")
-    images = packaging.normalise_images(lines.explode_lines(docs, "doc", "text"), spark.createDataFrame([("d", "img-1.jpeg"), ("d", "img-3.jpeg")], "doc string, file string"))
-    out = found.select(F.lit("table").alias("what"), F.col("ln").cast("string").alias("ln"), "status")
-    return out.union(images.select("asset", F.col("ln").cast("string"), "status"))
+    docs = table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), F.expr(_LAYOUT).alias("text"))
+    own = docs.where("doc % 4 in (1, 2)").select("doc", F.expr("'tbl-' || cast(doc % 4 as string) || '.md'").alias("name"), F.lit("| a |").alias("body"))
+    _, found = packaging.inline_tables(docs, own, "doc", "text")
+    files = docs.select("doc", F.explode(F.when(F.col("doc") % 5 == 0, F.array(F.lit("img-1.jpeg"), F.lit("img-3.jpeg"))).otherwise(F.array(F.lit("img-1.jpeg")))).alias("file"))
+    images = packaging.normalise_images(lines.explode_lines(docs, "doc", "text"), files)
+    out = found.select("doc", F.lit("table").alias("what"), F.col("ln").cast("bigint").alias("ln"), "status")
+    return out.union(images.select("doc", "asset", F.col("ln").cast("bigint"), "status"))
 
 
 @query("constant_rows", "X15 P42 P43 P44 Q07")
@@ -570,12 +686,12 @@ def constant_rows(spark, sf_dir):
 
 @query("chapter_states", "U12 U19 A27 A42 T20 T21")
 def chapter_states(spark, sf_dir):
-    return jobs.chapter_states(jobs.run_chapters(load(spark, "chapters"), load(spark, "chunk_files")))
+    return jobs.chapter_states(jobs.run_chapters(derive(spark, sf_dir, "chapters"), derive(spark, sf_dir, "chunk_files")))
 
 
 @query("compiled_index", "U21 X16 X19 Q06")
 def compiled_index(spark, sf_dir):
-    got = jobs.compile_index(load(spark, "chunk_files"), load(spark, "index_lines"))
+    got = jobs.compile_index(derive(spark, sf_dir, "chunk_files"), derive(spark, sf_dir, "index_lines"))
     sizes = [getattr(got, n).agg(F.lit(n).alias("asset"), F.count("*").alias("rows")) for n in ("catalogue", "postings", "terms", "anchors", "graph", "subtrees", "polysemy", "trial_map", "acronym_map", "early_exit", "cache")]
     out = sizes[0]
     for s in sizes[1:]:
@@ -583,23 +699,49 @@ def compiled_index(spark, sf_dir):
     return out
 
 
-@query("small_lookups", "F46 J20 O13 O18 P33 P38 A59", """
-select * from (values ('slug', 'gout'), ('slug', 'gout-2'), ('bridge', '13'), ('bridge0', '6'), ('book', 'alpha'), ('kept', '4'), ('count', '7')) t(what, value)""")
+@query("unique_slugs", "F46", """
+with b as (select p_partkey, trim(substr(regexp_replace(regexp_replace(regexp_replace(lower(p_type), '^\\d+\\.\\d+\\s*', ''), '[^\\w\\s]', ' ', 'g'), '\\s+', '_', 'g'), 1, 40), '') as slug from part),
+n as (select *, row_number() over (partition by slug order by p_partkey) as n from b) select p_partkey, case when n > 1 then slug || '-' || n else slug end as slug from n""")
+def unique_slugs(spark, sf_dir):
+    return lint.unique_slugs(table(spark, sf_dir, "part").select("p_partkey", "p_type"), "p_type", "p_partkey").select("p_partkey", "slug")
+
+
+_SHELF = "case p_partkey % 4 when 0 then '/x/Alpha 25th/' || p_name when 1 then '/books/AL/' || p_name when 2 then '/Beta/y' else '/none/' || p_name end"
+
+
+@query("small_lookups", "J20 P33 P38 A59", derived_sql("bridge") + """
+, b as (select chapter, ord, contains(lower(chapter_title), 'steel') as hit from bridge)
+select 'bridge' as what, chapter as value from (select chapter from b order by hit desc, ord limit 1) union all select 'first', chapter from (select chapter from bridge order by ord limit 1)
+union all select 'book ' || case when p_partkey % 4 < 2 then 'alpha' when p_partkey % 4 = 2 then 'beta' else 'none' end, count(*)::varchar from part group by 1
+union all select 'kept', (4 * count(*))::varchar from part union all select 'count', sum(p_size) filter (p_partkey % 5 <> 0)::varchar from part""")
 def small_lookups(spark, sf_dir):
-    bridge = load(spark, "bridge")
-    out = lint.unique_slugs(spark.createDataFrame([(1, "Gout"), (2, "gout!")], "id int, t string"), "t", "id").select(F.lit("slug").alias("what"), F.col("slug").alias("value"))
-    out = out.union(retrieval.first_bridge(bridge, ["tropics"], ["chapter_title"], "ord").select(F.lit("bridge"), "chapter"))
-    out = out.union(retrieval.first_bridge(bridge, ["none"], ["chapter_title"], "ord").select(F.lit("bridge0"), "chapter"))
-    one = spark.range(1)
-    out = out.union(one.select(F.lit("book"), lint.book_of_path(F.lit("/x/Alpha 25th/ch"), ALIASES)))
-    ledgers = spark.createDataFrame([(1, "T", "S", "limit", ["a", "b"])], "id int, title string, one_sentence string, ward_limit string, claims array<string>")
+    bridge, part = derive(spark, sf_dir, "bridge"), table(spark, sf_dir, "part")
+    out = retrieval.first_bridge(bridge, ["steel"], ["chapter_title"], "ord").select(F.lit("bridge").alias("what"), F.col("chapter").alias("value"))
+    out = out.union(retrieval.first_bridge(bridge, ["no such"], ["chapter_title"], "ord").select(F.lit("first"), "chapter"))
+    books = part.select(F.coalesce(lint.book_of_path(F.expr(_SHELF), ALIASES), F.lit("none")).alias("book")).groupBy("book").count()
+    out = out.union(books.select(F.concat(F.lit("book "), "book"), F.col("count").cast("string")))
+    ledgers = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_type").alias("one_sentence"), F.col("p_brand").alias("ward_limit"), F.array("p_name", "p_type").alias("claims"))
     out = out.union(lint.renderings(ledgers).agg(F.count_if("kept").cast("string").alias("value")).select(F.lit("kept"), "value"))
-    return out.union(one.select(F.lit("count"), audit.reported_count(F.lit("Chunks checked: 7\nx"), "Chunks checked").cast("string")))
+    report = F.concat(F.lit("Report\nChunks checked: "), F.when(F.col("p_partkey") % 5 == 0, "many").otherwise(F.col("p_size").cast("string")), F.lit("\nx"))
+    return out.union(part.agg(F.sum(audit.reported_count(report, "Chunks checked")).cast("string").alias("value")).select(F.lit("count"), "value"))
+
+
+_PRECISE = "case o_orderkey % 5 when 0 then 'PRECISE' when 1 then 'UNDER_INCLUSIVE' when 2 then 'OVER_INCLUSIVE' else 'UNRESOLVED' end"
 
 
-@query("precision_summary", "A11 A12 W09", "select * from (values (1::bigint, 1::bigint, 0::bigint, 0::bigint, 1::bigint, true)) t(precise, under_inclusive, over_inclusive, unresolved, open, bullets_only)")
+@query("precision_summary", "A11 A12", f"with v as (select o_orderkey, {_PRECISE} as verdict, o_custkey % 4 as d from orders)" + """
+select count(*) filter (verdict = 'PRECISE') as precise, count(*) filter (verdict = 'UNDER_INCLUSIVE') as under_inclusive, count(*) filter (verdict = 'OVER_INCLUSIVE') as over_inclusive, count(*) filter (verdict = 'UNRESOLVED') as unresolved,
+ count(*) filter (verdict <> 'PRECISE' and d <> 0) as open from v""")
 def precision_summary(spark, sf_dir):
-    verdicts = spark.createDataFrame([("d", "a", "PRECISE"), ("d", "b", "UNDER_INCLUSIVE")], "doc string, chunk string, verdict string")
-    said = spark.createDataFrame([("d", "a", "CHECKER_FALSE_POSITIVE")], "doc string, chunk string, decision string")
-    gaps = spans.bullet_gaps(spark.createDataFrame([("c1", 8, 10)], "doc string, lo int, hi int"), lines.explode_lines(load(spark, "chapters"), "chapter", "text"))
-    return spans.precision_summary(verdicts, said).withColumn("bullets_only", F.lit(gaps.first()["bullets_only"]))
+    orders = table(spark, sf_dir, "orders").select(F.lit("d").alias("doc"), F.col("o_orderkey").alias("chunk"), F.expr(_PRECISE).alias("verdict"), (F.col("o_custkey") % 4).alias("d"))
+    said = orders.where("d < 2").select("doc", "chunk", F.when(F.col("d") == 0, "CHECKER_FALSE_POSITIVE").otherwise("CONFIRMED").alias("decision"))
+    return spans.precision_summary(orders.drop("d"), said)
+
+
+@query("bullet_gaps", "W09", """
+with g as (select doc_id as doc, 0 as lo, 9 as hi from documents where text is not null), l as (select doc_id as doc, trim(unnest(string_split(text, chr(10))), ' ') as s, generate_subscripts(string_split(text, chr(10)), 1) as ln, len(string_split(text, chr(10))) as n, text from documents where text <> '')
+select g.doc, g.lo, g.hi, coalesce(bool_and(s = '' or regexp_matches(s, '^[-*]\\s+\\S.{0,38}$')), true) as bullets_only from g left join l on l.doc = g.doc and l.ln between 1 and 8 and not (l.ln = l.n and l.s = '') group by all""")
+def bullet_gaps(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    gaps = docs.select(F.col("doc_id").alias("doc"), F.lit(0).alias("lo"), F.lit(9).alias("hi"))
+    return spans.bullet_gaps(gaps, lines.explode_lines(docs, "doc_id", "text"))
\ No newline at end of file

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 from textloom.llm import chat, line_dedup, url_filter
 from textloom.llm.queries import URL_RULES
@@ -65,10 +66,10 @@ def test_url_ranks_equal_power_iteration(spark):
     rows += [(200, "http://lone.net/", None), (201, "http://lone.net/", "<a href='//lone.net/'>")]
     pages = spark.createDataFrame([(*r, "q", "q") for r in rows], "page_id long, url string, html string, trust string, src string")
     got = {r.host: r for r in url_filter.judge(pages, [url_filter.Rule(*r) for r in URL_RULES]).collect()}
-    count = lambda end: {h: n for h in hosts if h.endswith(end) and (n := sum(f"//{h}/" in u for _, u, _ in rows))}
-    shares = lambda c: {h: n / sum(c.values()) for h, n in c.items()}
-    trust = power_iteration(edges, shares(count("org")))
-    distrust = power_iteration({(b, a): w for (a, b), w in edges.items()}, shares(count("com")))
+    judged = [h for h in hosts if h.endswith(("org", "com")) and any(f"//{h}/" in u for _, u, _ in rows)]
+    shares = lambda end: {h: 1 / len(judged) for h in judged if h.endswith(end)}  # noqa: E731  each host's judged pages are all of one kind
+    trust = power_iteration(edges, shares("org"))
+    distrust = power_iteration({(b, a): w for (a, b), w in edges.items()}, shares("com"))
     assert len(edges) > 50 and sum(t > 0 for t in trust.values()) > 8
     for host, r in got.items():
         assert abs(r.trust - trust.get(host, 0)) < 1e-5 and abs(r.distrust - distrust.get(host, 0)) < 1e-5, host
@@ -77,6 +78,38 @@ def test_url_ranks_equal_power_iteration(spark):
     assert (got["lone.net"].trust, got["lone.net"].verdict) == (0, "allow")
 
 
+def test_hosts_without_links_go_as_most_of_their_own_pages_do(spark):
+    urls = [f"http://mixed.com/fr/{k}" for k in range(4)] + [f"http://mixed.com/de/{k}" for k in range(3)] + ["http://mixed.com/x", "http://bad.com/de/1", "http://bad.com/x", "http://even.com/de/1", "http://even.com/fr/1", "http://even.com/x"]
+    urls += [f"http://big.org/{k}" for k in range(200)]  # many allowed pages elsewhere take nothing from mixed.com
+    pages = spark.createDataFrame([(k, u, "") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.url: r.verdict for r in url_filter.judge(pages, [url_filter.Rule(*r) for r in URL_RULES]).collect()}
+    assert [got[f"http://{h}.com/x"] for h in ("mixed", "bad", "even")] == ["allow", "block", "allow"]
+
+
+def test_linked_pages_get_verdicts_from_their_links(spark):
+    from textloom.llm.queries import linked_url_filter, with_links
+
+    rows = {r.page_id: r for r in linked_url_filter(spark, "/root/testdata/sf0.01").collect()}
+    pages = with_links(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()
+    edges, good, bad = {}, {}, {}
+    for p in pages:
+        r = rows[p.page_id]
+        for to in re.findall(r'href="(https?://[^"]*)"', p.html):
+            host = to.split("://", 1)[1].split("/")[0].split("?")[0].split("#")[0].lower()
+            if host != r.host:
+                edges[r.host, host] = edges.get((r.host, host), 0) + 1
+        if r.rule:
+            side = good if r.verdict == "allow" else bad
+            side[r.host] = side.get(r.host, 0) + 1
+    judged = set(good) | set(bad)
+    share = lambda own: {h: own.get(h, 0) / (good.get(h, 0) + bad.get(h, 0)) / len(judged) for h in judged}
+    trust, distrust = power_iteration(edges, share(good)), power_iteration({(b, a): w for (a, b), w in edges.items()}, share(bad))
+    assert len(edges) > 100 and any(r.rule is None and r.verdict == "block" for r in rows.values())
+    for r in rows.values():
+        assert abs(r.trust - trust.get(r.host, 0)) < 1e-5 and abs(r.distrust - distrust.get(r.host, 0)) < 1e-5
+        assert r.rule is not None or r.verdict == ("block" if r.distrust > r.trust else "allow")
+
+
 def test_url_domains_speak_for_each_other_where_asked(spark):
     pages = spark.createDataFrame([(1, "http://a.com/de/1", ""), (2, "http://b.com/x", "")], "page_id long, url string, html string")
     rules = [url_filter.Rule(*r) for r in URL_RULES]

@@ -59,6 +59,29 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(pages, [Rule(*r) for r in URL_RULES]).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
 
 
+def with_links(pages: DataFrame) -> DataFrame:
+    """The pages, each with links to the urls of two others; the given pages hold no links between hosts."""
+    from pyspark.sql import functions as F
+
+    n = pages.agg(F.max("page_id")).first()[0]
+    n = (n or 0) + 1
+    urls = pages.select(F.col("page_id").alias("__to"), F.col("url").alias("__url"))
+    out = pages
+    for a, b in ((3, 1), (5, 2)):
+        out = out.withColumn("__to", (F.col("page_id") * a + b) % n).join(urls, "__to", "left")
+        link = F.when(F.col("__url").contains("://"), F.concat(F.lit('<a href="'), "__url", F.lit('">'))).otherwise("")
+        out = out.withColumn("html", F.concat(F.coalesce("html", F.lit("")), F.coalesce(link, F.lit("")))).drop("__to", "__url")
+    return out
+
+
+def linked_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URL filter over pages that link to each other, so that trust and distrust travel."""
+    from .url_filter import Rule, judge
+
+    pages = with_links(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return judge(pages, [Rule(*r) for r in URL_RULES]).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import drop_boilerplate
 
@@ -125,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_url_filter": op6_url_filter,
+    "linked_url_filter": linked_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_best_fit_packing": op9_best_fit_packing,

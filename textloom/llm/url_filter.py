@@ -95,8 +95,10 @@ def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url", html_col: s
     """`pages` with host, path, rule, verdict, trust and distrust (replaced where they exist).
 
     A null url, or one without ://, has empty host and path, fits no rule and is allowed, as is a host
-    that neither trust nor distrust reaches. Seeds are hosts of pages that rules allow or block, by
-    their numbers of pages. Null html has no links. Repeated rows count again. An empty table stays empty.
+    that neither trust nor distrust reaches. Seeds are the hosts of pages that rules allow or block: a host seeds
+    trust with the share of its own judged pages that are allowed, and distrust with the rest, both divided by the number of
+    such hosts. So a host's seeds do not depend on how many pages others have, and without links a
+    host's other pages go as most of its judged ones do. Null html has no links. Repeated rows count again. An empty table stays empty.
     With `domains` trust also steps between a host and its parent domains, so that hosts of one domain speak for
     each other where pages hold no links.
     """
@@ -107,8 +109,8 @@ def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url", html_col: s
     edges = scratch.write(host_edges(rows, html_col, domains), "links")
     count = rows.where("host <> ''").groupBy("host").agg(F.count(F.when(F.col("verdict") == "allow", 1)).alias("good"), F.count(F.when(F.col("verdict") == "block", 1)).alias("bad"))
     count = scratch.write(count.where("good + bad > 0"), "seeds")
-    total = count.agg(F.sum("good"), F.sum("bad")).first()
-    seeds = count.select("host", *[(F.col(c) / F.lit(float(t or 1))).alias(c) for c, t in zip(("good", "bad"), total)])
+    hosts = float(max(count.count(), 1))
+    seeds = count.select("host", *[(F.col(c) / (F.col("good") + F.col("bad")) / F.lit(hosts)).alias(c) for c in ("good", "bad")])
     ranks = propagate(edges, scratch.write(seeds, "shares"), scratch)
     ranks = ranks.select(F.col("host").alias("__host"), F.round("trust", 12).alias("trust"), F.round("distrust", 12).alias("distrust"))
     out = rows.join(ranks, F.col("host") == F.col("__host"), "left").drop("__host").fillna(0.0, ["trust", "distrust"])

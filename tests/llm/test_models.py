@@ -79,6 +79,33 @@ def test_restoring(spark, shown, plain):
     assert toxicity.restore(shown, toxicity.letter_model(docs)) == plain
 
 
+def test_disguises_at_every_place_of_a_word(spark):
+    listed = ["trash", "pathetic", "idiot", "disgusting", "worthless", "stupid", "clown", "scum", "loser", "moron"]
+    costs = toxicity.letter_model(spark.createDataFrame([(" ".join(listed) + " you are a friend of the many words ",)] * 3, "text string"))
+    stands: dict[str, list[str]] = {}
+    for symbol, letters in toxicity.LEET.items():
+        for letter in letters:
+            stands.setdefault(letter, []).append(symbol)
+
+    def found(shown):
+        data, offsets = toxicity.tx.buffers(pa.array([f"so {shown} now"]))
+        data = toxicity.tx._LOWER[data]
+        return [w.decode() for w in toxicity._restored(data, *toxicity.tx.word_spans(data, offsets), costs)[0]]
+
+    missed, tried = [], 0
+    for word in listed:
+        for i, letter in enumerate(word):
+            for symbol in stands.get(letter, []):
+                for form in ("{}", "({})", "{}!", "{}.", '"{},'):
+                    shown, tried = form.format(word[:i] + symbol + word[i + 1 :]), tried + 1
+                    # a word that stands in the open up to its last letter is found by its beginning
+                    if not any(w.startswith(word) for w in found(shown)) and not (i == len(word) - 1 and len(word) > 4):
+                        missed.append(shown)
+    assert tried > 300 and len(missed) <= 0.02 * tried, missed
+    assert found("5h17") and found("shi7") and found("idi0+!") == ["idiot"] and "idiot" in found("((1d10t))")
+    assert found("12345") == [] and found("7:30") == [] and found("1,000.50!") == [] and found("plain.") == [] and found("(word)") == []
+
+
 def test_toxicity_of_disguised_and_odd_rows(spark):
     rows = [(i, f"the plain text number {i} of many words " + ("you idiot" if i % 4 == 0 else "you friend")) for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -24,6 +24,7 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 SEPARATORS = set(".-_*~'`^:·​‌‍­ ")
 COST_LEET, COST_DROP, COST_REPEAT, COST_KEEP = 1.0, 0.5, 0.4, 4.0
+COST_EDGE, COST_MARK = 3.0, 1.0  #: of a symbol at a token's edge that is no letter, and of those that often stand around words
 
 LABELLED = 24_000  #: labelled rows that are learnt from, at most; the smallest hashes of their ids
 CANDIDATES = 200_000  #: word prefixes whose clean counts are looked at, at most; the most frequent in toxic rows
@@ -70,6 +71,30 @@ def restore(token: str, costs: np.ndarray, split: bool = False) -> str:
 
     With `split` a separator may also be a border of words, which is read as a space.
     """
+    return _decoded(token, costs, split)[1]
+
+
+def readings(token: str, costs: np.ndarray, split: bool = False) -> list[str]:
+    """The restored token where symbols before or behind it may be letters, or marks around the word.
+
+    What stands behind is read the likelier way. What stands before decides how the word begins, by which it is looked
+    up, so that the word is given from each of those symbols on (of more than three, the first and the last two).
+    """
+    if not token or (token[0].isalnum() and token[-1].isalnum()):
+        return [restore(token, costs, split)]
+    a = next((k for k, c in enumerate(token) if c.isalnum()), 0)
+    b = len(token) - next((k for k, c in enumerate(reversed(token)) if c.isalnum()), 0)
+    out = []
+    for i in sorted({0, a, *range(max(0, a - 2), a)}):
+        ways = []
+        for j in sorted({len(token), *range(b, min(b + 3, len(token)))}):
+            cost, read = _decoded(token[i:j], costs, split)
+            ways.append((cost + sum(COST_EDGE if c in LEET and c not in "(!" else COST_MARK for c in token[j:]), read))
+        out.append(min(ways)[1])
+    return list(dict.fromkeys(out))
+
+
+def _decoded(token: str, costs: np.ndarray, split: bool) -> tuple[float, str]:
 
     def symbol(c: str) -> int:
         return ord(c) - 96 if "a" <= c <= "z" else 27
@@ -102,7 +127,7 @@ def restore(token: str, costs: np.ndarray, split: bool = False) -> str:
     while out:
         out, x = out
         found.append(x)
-    return "".join(reversed(found))
+    return cost, "".join(reversed(found))
 
 
 _PLAIN = np.zeros(256, dtype=bool)  # letters, digits and bytes above ASCII
@@ -111,11 +136,24 @@ _ALPHA = np.zeros(256, dtype=bool)
 _ALPHA[[*range(65, 91), *range(97, 123)]] = True
 _ODD = np.zeros(256, dtype=bool)
 _ODD[[ord(c) for c in [*LEET, *SEPARATORS] if ord(c) < 128 and c != " "]] = True
+_LEET = np.zeros(256, dtype=bool)
+_LEET[[ord(c) for c in LEET if ord(c) < 128]] = True
+MARKS = "#%&?,;\"<>[]{}=/\\*.:)"  #: never letters at an edge
+_OUTER, _MARK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_OUTER[[ord(c) for c in MARKS + "!("]] = True
+_MARK[[ord(c) for c in MARKS]] = True
+_ASIDE = bytes(c for c in range(128) if not _PLAIN[c])
 LONGEST = 64  #: bytes of a token that can be one disguised word; longer ones are read as several
 
 
-def _suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, zero_width: bool) -> np.ndarray:
-    """Words with symbols among letters, or a letter thrice in a row."""
+WIDE = [b"\xe2\x80", b"\xc2\xad", *[c.encode() for c in LEET if ord(c) > 127]]  #: zero-width marks, the soft hyphen and symbols above ASCII
+
+
+def _suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, wide: bool) -> np.ndarray:
+    """Words with symbols among letters or for their last one, or a letter thrice in a row.
+
+    A word with one letter only counts if all of it can be read as letters, four of them at least; numbers have none.
+    """
     n = len(data)
     odd, alpha = _ODD[data], _ALPHA[data]
     flag = np.zeros(n + 1, np.int64)
@@ -124,15 +162,23 @@ def _suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, zero_wid
         near = _PLAIN[data] | odd
         hit[1:-1] = odd[1:-1] & near[:-2] & near[2:] & (alpha[:-2] | alpha[2:])
         hit[2:] |= alpha[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
-    if zero_width:
-        hit |= data == 0xE2  # zero-width and other marks of general punctuation
-        hit |= data == 0xC2
+    if wide:
+        hit |= (data == 0xE2) | (data == 0xC2)  # what WIDE starts with
     np.cumsum(hit, out=flag[1:])
     some = flag[ends] > flag[starts]
-    first = np.flatnonzero(ends - starts > 1)
-    some[first] |= odd[starts[first]] & alpha[starts[first] + 1]
-    letters = np.concatenate([[0], np.cumsum(alpha)])
-    return np.flatnonzero(some & (letters[ends] - letters[starts] >= 2))
+    letters, leet = np.concatenate([[0], np.cumsum(alpha)]), np.concatenate([[0], np.cumsum(_LEET[data])])
+    n_letters, n_leet = letters[ends] - letters[starts], leet[ends] - leet[starts]
+    if len(starts):
+        last = np.maximum.accumulate(np.where(_OUTER[data], -1, np.arange(n)))[ends - 1]  # before what stands behind a word
+        fore = np.minimum.accumulate(np.where(_MARK[data], n, np.arange(n))[::-1])[::-1][starts]  # behind what stands before it
+        begun = np.flatnonzero(fore < ends - 1)
+        some[begun] |= odd[fore[begun]] & alpha[fore[begun] + 1]
+        inner = np.flatnonzero(last > starts)
+        some[inner] |= _LEET[data[last[inner]]] & (alpha | _LEET[data])[last[inner] - 1]
+        readable = (n_letters >= 1) & (n_letters + n_leet >= 4) & (n_letters + n_leet >= last - starts + 1)
+    else:
+        readable = n_letters > 0
+    return np.flatnonzero(some & ((n_letters >= 2) | readable))
 
 
 def _runs(one: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
@@ -156,17 +202,17 @@ def _restored(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.
     cache = _WORDS.setdefault(model, {})
     blob = data.tobytes()
     words, at = [], []
-    some = _suspicious(data, starts, ends, b"\xe2\x80" in blob or b"\xc2\xad" in blob)
+    some = _suspicious(data, starts, ends, any(mark in blob for mark in WIDE))
     for k in some.tolist():
         token = blob[starts[k] : ends[k]]
         long = len(token) > LONGEST
         found = cache.get(token)
         if found is None:
-            plain = token.decode("utf-8", "replace").strip("#%&?,;\"<>[]{}=/\\*.:)")
-            found = restore(plain, costs, long).encode()
+            found = " ".join(readings(token.decode("utf-8", "replace").strip(MARKS), costs, long)).encode()
             if not long:
                 cache[token] = found
-        own = found.split() if long else [found] if found and not token.startswith(found) else []
+        bare = token.lstrip(_ASIDE)
+        own = found.split() if long else [w for w in found.split() if not bare.startswith(w)]  # what stands in the open counts as it is
         words += own
         at += [k] * len(own)
     one = (ends - starts == 1) & (_ALPHA[data[starts]] | _ODD[data[starts]]) if len(starts) else np.zeros(0, bool)

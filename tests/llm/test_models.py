@@ -316,6 +316,21 @@ def test_language_model_beats_counts_on_held_out_texts(spark):
     assert total.model > total.base
 
 
+@pytest.mark.parametrize("shard", [lm.SHARD, 100_000])
+def test_language_model_does_not_depend_on_partitions(spark, monkeypatch, shard):
+    monkeypatch.setattr(lm, "SHARD", shard)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    learn = ~langid.held_out("doc_id", 7)
+    runs = []
+    for n, size in ((1, "4096"), (8, "50")):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        runs.append({r.doc_id: (r.score, r.base_score) for r in lm.score(docs.repartition(n, "text"), learn).collect()})
+    held = [r.doc_id for r in docs.where(langid.held_out("doc_id", 7)).collect()]
+    assert all(abs(runs[0][d][0] - runs[1][d][0]) <= 1e-6 * abs(runs[0][d][0]) for d in runs[0])
+    if shard == lm.SHARD or shard > 1_000_000:
+        assert sum(runs[0][d][0] for d in held) > sum(runs[0][d][1] for d in held)
+
+
 @pytest.mark.parametrize("counts", [[1, 1], [5, 1, 1, 9], [1] * 100, [2**k for k in range(40)]])
 def test_codes_are_prefix_free_and_bounded(counts):
     code = lm.code_of(np.array(counts, np.int64))

@@ -40,7 +40,8 @@ SPELLED = (1, 2, 3, 5)  #: bytes before, within the word, of each context of a s
 STEP, LEARN_STEP = 1 << 13, 1 << 11  #: symbols mixed at a time
 CHUNK = 1 << 12  #: slots that travel together
 _WIDTHS = (np.uint8, np.uint16, np.uint32)  #: of counts that travel; the least that holds a chunk's
-TASKS_PER_CORE = 2  #: of the passes that hold a table of slots each
+SLICED = 1 << 20  #: characters that are read and learnt at a time, one text at least
+SHARD = 8_000_000  #: training tokens that one learner sees, about; their number depends on the texts alone
 RATE, MAP_RATE, DELTA = 0.15, 0.02, 0.05
 LEVELS = 15  #: of a stretched prediction, to one
 SURE, BUCKETS = (0.04, 2.5, 4.0), 24
@@ -488,25 +489,49 @@ def _words_with_counts(groups: int):
     return run
 
 
-def _gathered(shared, tasks: int):
-    """Counts of all slots, mixing weights and maps, learnt online on a task's texts in order, with the number of bits behind each."""
+def _gathered(shared, shards: int):
+    """Counts of all slots, mixing weights and maps, learnt online on a shard's texts in order, with the number of bits behind each.
+
+    Rows (shard, text) come sorted by shard; a learner begins anew with each. Texts are read SLICED bytes at a time from the
+    shard's start on, however Arrow cuts them into batches.
+    """
 
     def run(batches):
         m: Model = shared.value
-        learners, n = [_Learner(x, tasks) for x in (m.words, m.bytes)], 0
+        learners, at, held, size = None, None, [], 0
+
+        def taught():
+            r = m.read(pa.array(held, pa.large_string()), True)
+            learners[0].learn(r.words)
+            learners[1].learn(r.bytes)
+            return len(r.row) + len(r.lost) * 64
+
+        def ended():
+            for level, learner in enumerate(learners):
+                yield from learner.counts(level)
+                yield learner.mixing(level)
+
+        n = 0
         for batch in batches:
-            for i, j in tx.slices(batch.column(0)):
-                r = m.read(batch.column(0).slice(i, j - i), True)
-                learners[0].learn(r.words)
-                learners[1].learn(r.bytes)
-                n += len(r.row) + len(r.lost) * 64
-                if n > 1 << 28:  # before a count can run over
-                    for level, learner in enumerate(learners):
-                        yield from learner.counts(level)
-                    n = 0
-        for level, learner in enumerate(learners):
-            yield from learner.counts(level)
-            yield learner.mixing(level)
+            for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if shard != at:
+                    if learners is not None:
+                        taught()
+                        yield from ended()
+                    learners, at, held, size, n = [_Learner(x, shards) for x in (m.words, m.bytes)], shard, [], 0, 0
+                held.append(text)
+                size += len(text)
+                if size >= SLICED:
+                    n += taught()
+                    held, size = [], 0
+                    if n > 1 << 28:  # before a count can run over
+                        for level, learner in enumerate(learners):
+                            yield from learner.counts(level)
+                        n = 0
+            tx.give_back()
+        if learners is not None:
+            taught()
+            yield from ended()
 
     return run
 
@@ -520,14 +545,14 @@ def _added(batches):
             if (level, chunk) != key:
                 if key is not None:
                     yield _chunk(key, total)
-                key, total = (level, chunk), np.zeros(2 * CHUNK, np.float32)
+                key, total = (level, chunk), np.zeros(2 * CHUNK)
             total += own
     if key is not None:
         yield _chunk(key, total)
 
 
 def _chunk(key: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["level", "chunk", "counts"])
+    return pa.record_batch([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["level", "chunk", "counts"])
 
 
 def _scores(m: Model, r: Reading) -> np.ndarray:
@@ -618,11 +643,13 @@ def train(rows: DataFrame, groups: int, words: DataFrame, costs: DataFrame, lear
         fresh(own, WORD_BITS), fresh(symbols[None], BYTE_BITS),
     )
 
-    # a task holds a table of all slots, so there are as many tasks as the cluster runs at a time, not more
-    texts = rows.select("text").coalesce(max(1, TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
-    tasks = texts.rdd.getNumPartitions()
+    # which texts a learner sees, and in which order, follows from the rows alone: not from partitions, batches or cores
+    shards = max(1, -(-(int(every.sum()) + n_ends) // SHARD))
+    mark = F.xxhash64("text", F.col("id").cast("string")) if "id" in rows.columns else F.xxhash64("text")
+    texts = rows.select("text", mark.alias("mark")).withColumn("shard", F.pmod("mark", F.lit(shards)).cast("int"))
+    texts = texts.repartition(4 * shards, "shard").sortWithinPartitions("shard", "mark", "text").select("shard", "text")
     schema = "level int, chunk int, counts binary, gate int, n double, weights array<double>, map array<double>"
-    found = scratch.write(texts.mapInArrow(_gathered(spark.sparkContext.broadcast(m), tasks), schema), "gathered")
+    found = scratch.write(texts.mapInArrow(_gathered(spark.sparkContext.broadcast(m), shards), schema), "gathered")
     slots = found.where("counts is not null").select("level", "chunk", "counts").repartition("level", "chunk").sortWithinPartitions("level", "chunk")
     counts = [np.zeros(2 * x.first[-1], np.float32) for x in (m.words, m.bytes)]
     added = scratch.write(slots.mapInArrow(_added, "level int, chunk int, counts binary"), "slots")
@@ -632,7 +659,8 @@ def train(rows: DataFrame, groups: int, words: DataFrame, costs: DataFrame, lear
     scratch.drop(added)
     for what in ("weights", "map"):
         parts = found.where("gate is not null").select("level", "gate", "n", F.posexplode(what).alias("k", "x"))
-        for level, gate, k, x in parts.groupBy("level", "gate", "k").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).collect():  # gates x inputs or buckets
+        exact = F.sum((F.col("x") * F.col("n")).cast("decimal(38,9)")).cast("double")  # the same in any order
+        for level, gate, k, x in parts.groupBy("level", "gate", "k").agg((exact / F.sum("n")).alias("x")).collect():  # gates x inputs or buckets
             into = getattr((m.words, m.bytes)[level], what)
             into[(k, gate) if what == "weights" else (gate, k)] = x
     scratch.drop(found)
@@ -659,13 +687,13 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     number = F.lit(len(found))
     for k, r in enumerate(found):
         number = F.when(F.col("label") == r[0], k).otherwise(number)
-    learns = rows.where("learn").select("text", F.coalesce(number, F.lit(len(found))).cast("long").alias("g"))
+    learns = rows.where("learn").select("id", "text", F.coalesce(number, F.lit(len(found))).cast("long").alias("g"))
     ends = {r[0]: r[1] for r in learns.groupBy("g").count().collect()}
     groups = max(1, len(found) + (len(found) in ends))
     learnt_rows = [ends.get(g, 0) for g in range(groups)]
     cols = [f"c{g}" for g in range(groups)]
 
-    words = learns.mapInArrow(_words_with_counts(groups), "h long, b int, " + ", ".join(f"{c} long" for c in cols))
+    words = learns.select("text", "g").mapInArrow(_words_with_counts(groups), "h long, b int, " + ", ".join(f"{c} long" for c in cols))
     words = scratch.write(words.groupBy("h", "b").agg(*[F.sum(c).alias(c) for c in cols]), "words")
     costs = words.where("h is not null").select("h", sum(F.col(c) for c in cols).alias("c"))
     counts = costs.agg(F.sum("c"), F.count("*")).first()

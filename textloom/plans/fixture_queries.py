@@ -1,4 +1,4 @@
-"""Queries over the literal fixtures: chunks, ladders, gates, trust, index lines, files, state."""
+"""Queries over tables derived from the given ones: chunks, ladders, gates, trust, index lines, files, state."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..derived import derive, derived_sql
-from ..fixtures import load, with_sql
 from ..functions import columns as C
 from ..functions import unicode as U
 from ..operators import audit, chunks, fidelity, guard, index, ledger, lines, lint, modalities, packaging, retrieval, spans

@@ -280,3 +280,41 @@ def test_killed_batches_are_rolled_back_and_written_once(spark, tmp_path):
         last[r.user_id] = r.event_type
     assert got == {k: (counts[k], hours[k], last[k]) for k in counts}
     assert log.read("audit", "markers long, last_id long").count() == 3
+
+
+# --- duplicate slides ---------------------------------------------------------------------------------------
+
+
+def test_duplicate_slides_equal_all_pairs(spark):
+    import difflib
+
+    rng = random.Random(5)
+    long = " ".join(f"word{k}" for k in range(60))
+    texts = [long, long + "!", long.replace("word9 ", "word9, "), "short", "", None]
+    images = ["00000000000000f0", "00000000000000f1", "00000000000010f0", "ffff000000000000", None]
+    rows = [(rng.choice(["a", "b", None]), k // 2, rng.choice(texts), rng.choice(images)) for k in range(160)]  # a slide number may stand twice
+
+    def dup(one, two):
+        if one[0] is None or one[0] != two[0] or one[2] is None or two[2] is None or not two[1] < one[1]:
+            return False
+        if one[2] == two[2]:
+            return True
+        near = one[3] is not None and two[3] is not None and (int(one[3], 16) ^ int(two[3], 16)).bit_count() <= 1
+        return near and difflib.SequenceMatcher(None, one[2], two[2]).ratio() >= 0.96
+
+    expected = {}
+    for one in rows:
+        for two in rows:
+            if dup(one, two):
+                key = one[0], one[1]
+                expected[key] = min(expected.get(key, 1 << 30), two[1])
+    got = lint.duplicate_slides(spark.createDataFrame(rows, "deck string, slide int, text string, image string"))
+    assert {(r.deck, r.slide): r["first"] for r in got.collect()} == expected and len(expected) > 60
+    assert lint.duplicate_slides(spark.createDataFrame([], "deck string, slide int, text string, image string")).count() == 0
+
+
+def test_copies_of_a_slide_meet_once(spark):
+    """A thousand equal slides are one class: no join makes their pairs."""
+    rows = [("a", k, "text", "0" * 16) for k in range(1000)]
+    got = lint.duplicate_slides(spark.createDataFrame(rows, "deck string, slide int, text string, image string")).collect()
+    assert len(got) == 999 and {r["first"] for r in got} == {0}

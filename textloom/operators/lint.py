@@ -108,17 +108,23 @@ def slide_title(text: Column) -> Column:
 def duplicate_slides(slides: DataFrame) -> DataFrame:
     """(deck, slide, first): the first earlier slide of a deck that is equal, or near by image hash and by text.
 
-    Equal slides meet by hash; near ones by the four quarters of the image hash, one of which two hashes a bit apart share.
+    Slides of one deck, text and image are a class; classes, not slides, are compared, as the first slide of a near class
+    stands for all of it. Near classes meet by the four quarters of the image hash, one of which two hashes a bit apart share.
+    Slides without deck or text are no duplicates; without an image only equal texts are.
     """
-    rows = slides.select("deck", "slide", "text", "image", F.sha2("text", 256).alias("h"))
-    b = rows.select("deck", F.col("slide").alias("first"), F.col("text").alias("text_b"), F.col("image").alias("image_b"), "h")
-    earlier = F.col("first") < F.col("slide")
-    same = rows.join(b.select("deck", "h", "first"), ["deck", "h"]).where(earlier).select("deck", "slide", "first")
-    quarters = lambda c: F.array(*[F.concat(F.lit(str(k)), F.substring(F.col(c), 4 * k + 1, 4)) for k in range(4)])
-    left, right = rows.withColumn("q", F.explode(quarters("image"))), b.withColumn("q", F.explode(quarters("image_b"))).drop("h")
-    near = left.join(right, ["deck", "q"]).where(earlier).where(hamming_hex(F.col("image"), F.col("image_b")) <= 1)
-    near = near.select("deck", "slide", "first", "text", "text_b").distinct().where(similarity("text", "text_b") >= 0.96).select("deck", "slide", "first")
-    return same.union(near).groupBy("deck", "slide").agg(F.min("first").alias("first"))
+    rows = slides.select("deck", "slide", "text", "image", F.sha2("text", 256).alias("h")).where("deck is not null and h is not null")
+    classes = rows.groupBy("deck", "h", "image").agg(F.first("text").alias("text"), F.min("slide").alias("first"), F.max("slide").alias("last"))
+    quarters = F.explode(F.array(*[F.concat(F.lit(str(k)), F.substring("image", 4 * k + 1, 4)) for k in range(4)]))
+    left = classes.select("deck", "h", "image", "text", "last", quarters.alias("q"))
+    right = classes.select("deck", F.col("h").alias("h_b"), F.col("image").alias("image_b"), F.col("text").alias("text_b"), F.col("first").alias("first_b"), quarters.alias("q"))
+    pairs = left.join(right, ["deck", "q"]).where("h <> h_b and first_b < last").where(hamming_hex(F.col("image"), F.col("image_b")) <= 1)
+    pairs = pairs.dropDuplicates(["deck", "h", "image", "h_b", "image_b"]).where(similarity("text", "text_b") >= 0.96)
+    found = pairs.groupBy("deck", "h", "image").agg(F.min("first_b").alias("near"))
+    equal = classes.groupBy("deck", "h").agg(F.min("first").alias("equal"))
+    c, f = rows.drop("text").alias("c"), found.alias("f")
+    same = (F.col("c.deck") == F.col("f.deck")) & (F.col("c.h") == F.col("f.h")) & (F.col("c.image") == F.col("f.image"))
+    every = c.join(f, same, "left").select("c.deck", "c.h", "c.slide", "f.near").join(equal, ["deck", "h"])
+    return every.groupBy("deck", "slide").agg(F.min(F.least("equal", "near")).alias("first")).where("first < slide")
 
 
 def allocate(slides: DataFrame, total: int, floor: int = 4) -> DataFrame:

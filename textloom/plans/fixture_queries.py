@@ -77,22 +77,33 @@ def chunk_catalogue(spark, sf_dir):
     return chunks.catalogue(derive(spark, sf_dir, "chunk_files")).select("section", "chunk_id", "local_id", "topic", "type", F.col("word_count").cast("bigint").alias("word_count"))
 
 
-@query("chunk_validation", "A13 A14 A16 A17 A18 F54 Q28")
+_CHUNKS = """, p as (select chapter, string_split(text, '---' || chr(10) || 'chunk_id:') as parts from chunk_files),
+r as (select chapter, unnest(parts[2:]) as raw, generate_subscripts(parts[2:], 1) as ord from p),
+c as (select chapter, ord, trim(split_part(raw, chr(10), 1), ' ') as chunk_id, regexp_extract(raw, '(?m)^chunk_level:[ \\t]*(\\d+)', 1) as level, regexp_extract(raw, '(?m)^disease_focus:[ \\t]*(.*?)[ \\t]*$', 1) as disease from r where contains(raw, chr(10) || '---' || chr(10)))"""
+_FIELD = lambda n: f"""trim(regexp_replace(regexp_extract(raw, '(?m)^{n}:[ \\t]*(.*?)[ \\t]*$', 1), '^"(.*)"$', '\\1'), ' ')"""
+_FAULTS = derived_sql("chunk_files") + _CHUNKS + f""", b as (select chapter, ord, trim(split_part(raw, chr(10), 1), ' ') as chunk_id, contains(raw || chr(10), chr(10) || '---' || chr(10)) as closed,
+ {_FIELD('disease_focus')} as disease, {_FIELD('coverage_status')} as status, {_FIELD('gap_note')} as note, lower({_FIELD('is_clinical_algorithm')}) = 'true' as algorithm, lower({_FIELD('algorithm_type')}) as kind,
+ lower({_FIELD('contains_figures')}) = 'true' as figures, {_FIELD('figure_assets')} as assets, {_FIELD('figure_captions')} as captions, {_FIELD('page_numbers')} as pages from r),
+v as (select chapter, chunk_id, unnest(list_filter([case when not closed then 'malformed' end, case when closed and disease = '' then 'missing disease_focus' end,
+ case when closed and status not in ('complete', 'partial', 'gap') then 'invalid coverage_status' end, case when closed and status in ('partial', 'gap') and note = '' then 'empty gap_note' end,
+ case when closed and algorithm and kind not in ('decision_tree', 'scoring_system', 'stepwise_escalation') then 'invalid algorithm_type' end,
+ case when closed and figures and not regexp_matches(assets, '^\\[.+\\]$') and not regexp_matches(captions, '^\\[.+\\]$') then 'no figures listed' end,
+ case when closed and pages = '[]' then 'page_numbers empty' end], lambda x: x is not null)) as failure from b)"""
+
+
+@query("chunk_validation", "A13 A14 A16 A17 A18 F54 Q28", _FAULTS + " select chapter, chunk_id, failure from v")
 def chunk_validation(spark, sf_dir):
     return audit.validate(derive(spark, sf_dir, "chunk_files"))
 
 
-@query("validation_verdicts", "A15 A18 A47")
+@query("validation_verdicts", "A15 A18 A47", _FAULTS + """ select chapter, coalesce(chunks, 0) as chunks, coalesce(failures, 0) as failures, case when failures > 0 then 'HARD-FAIL' else 'PASS' end as verdict
+from (select distinct chapter from chunk_files) left join (select chapter, count(*) filter (where closed) as chunks from b group by chapter) using (chapter)
+left join (select chapter, count(*) as failures from v group by chapter) using (chapter)""")
 def validation_verdicts(spark, sf_dir):
     files = derive(spark, sf_dir, "chunk_files")
     return audit.validation_verdict(files, audit.validate(files))
 
 
-_CHUNKS = """, p as (select chapter, string_split(text, '---' || chr(10) || 'chunk_id:') as parts from chunk_files),
-r as (select chapter, unnest(parts[2:]) as raw, generate_subscripts(parts[2:], 1) as ord from p),
-c as (select chapter, ord, trim(split_part(raw, chr(10), 1), ' ') as chunk_id, regexp_extract(raw, '(?m)^chunk_level:[ \\t]*(\\d+)', 1) as level, regexp_extract(raw, '(?m)^disease_focus:[ \\t]*(.*?)[ \\t]*$', 1) as disease from r where contains(raw, chr(10) || '---' || chr(10)))"""
-
-
 @query("chunk_links", "J11 J37 Q09", derived_sql("chunk_files") + _CHUNKS + """,
 d as (select * from c where level = '2' and disease not in ('', 'general', 'self_assessment', 'overview'))
 select a.chapter, a.chunk_id, string_agg(b.chunk_id, ',' order by a.disease <> b.disease, b.ord) as related from d a join d b on a.chapter = b.chapter and a.chunk_id <> b.chunk_id
@@ -101,9 +112,22 @@ def chunk_links(spark, sf_dir):
     return audit.autolink(chunks.parse_chunks(derive(spark, sf_dir, "chunk_files")))
 
 
-@query("chunk_completeness", "A08 Q05")
+_NUMBER = "cast(substr(chapter, 2) as bigint)"
+_DISEASES = f"""replace(replace(text, 'disease_focus: asthma', 'disease_focus: asthma_' || cast({_NUMBER} % 97 as string)), case when {_NUMBER} % 97 < 30 then 'management_step' else '(none)' end, 'prognosis')"""
+
+
+@query("chunk_completeness", "A08 Q05", derived_sql("chunk_files") + f", files as (select chapter, {_DISEASES} as text from chunk_files)" + _CHUNKS.replace("from chunk_files", "from files") + f""",
+k as (select coalesce(nullif({_FIELD('disease_focus')}, ''), 'general') as disease, lower(concat_ws(' ', {_FIELD('semantic_type')}, {_FIELD('topic')}, substring(trim('chunk_id:' || raw, ' '), 1, 200))) as t
+ from r where contains(raw || chr(10), chr(10) || '---' || chr(10)) and {_FIELD('chunk_level')} = '2'),
+f as (select disease, regexp_matches(t, 'clinical_feature|symptom|sign|presentation|examination|history') as c, regexp_matches(t, 'laboratory_investigation|diagnostic_criteria|investigation|biomarker|ecg|imaging') as i,
+ regexp_matches(t, 'management_step|drug_info|treatment|therapy|surgery|dosing') as m, regexp_matches(t, 'pathophysiology|aetiology|cause|mechanism|pathogenesis|genetics') as p,
+ regexp_matches(t, 'complication|prognosis|safety|monitoring|adverse|risk') as s from k where disease not in ('general', 'self_assessment', 'overview') and length(disease) >= 3),
+g as (select disease, count(*) as chunks, bool_or(m) as m, bool_or(i) as i, concat_ws(',', case when bool_or(c) then 'clinical_features' end, case when bool_or(i) then 'investigations' end, case when bool_or(m) then 'management' end,
+ case when bool_or(p) then 'pathophysiology' end, case when bool_or(s) then 'safety_prognosis' end) as categories, bool_or(c)::int + bool_or(i)::int + bool_or(m)::int + bool_or(p)::int + bool_or(s)::int as n from f group by disease)
+select disease, chunks, categories, case when chunks < 3 then 'complete' when not m and not i then 'suspected_gap' when n >= 3 then 'complete' else 'scattered' end as verdict from g""")
 def chunk_completeness(spark, sf_dir):
-    return audit.completeness(chunks.parse_chunks(derive(spark, sf_dir, "chunk_files")))
+    files = derive(spark, sf_dir, "chunk_files").select("chapter", F.expr(_DISEASES).alias("text"))
+    return audit.completeness(chunks.parse_chunks(files))
 
 
 @query("chunk_coverage", "J09 A07 J10")
@@ -147,7 +171,10 @@ def section_ends(spark, sf_dir):
     return rows.select("doc", "section", "title", F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi"))
 
 
-@query("slice_strategies", "X02 X05")
+@query("slice_strategies", "X02 X05", derived_sql("chapters") + _DOC_LINES + r""", n as (select *, count(*) filter (where regexp_matches(line, '^##\s')) over (partition by doc order by ln) as sec from lines),
+g as (select doc, sec, arg_min(line, ln) as head, count(*) as lines, bool_or(regexp_matches(line, '^###\s')) as h3, bool_or(regexp_matches(line, '^####\s')) as h4, bool_or(regexp_matches(line, '^\d+\.\d+\.\s')) as stems,
+ count(*) filter (where regexp_matches(line, '^\*\*[^*]{3,60}\*\*\s*$')) as bold from n where sec > 0 group by doc, sec)
+select doc, sec, trim(regexp_replace(head, '^#+\s+', ''), ' ') as title, lines, case when h3 then 'h3' when h4 then 'h4' when stems then 'mcq' when lines > 40 and bold >= 2 then 'bold' else 'flat' end as strategy from g""")
 def slice_strategies(spark, sf_dir):
     return chunks.strategies(derive(spark, sf_dir, "chapters"), "chapter", "text")
 
@@ -174,9 +201,16 @@ def repaired_texts(spark, sf_dir):
     return audit.repair(derive(spark, sf_dir, "chapters"), "chapter", "text")
 
 
-@query("repeated_headings", "A02 W13")
+_REPEATED = "case cast(substr(chapter, 2) as bigint) % 3 when 0 then '### Early section' || chr(10) || text when 1 then text || chr(10) || text else text end"
+
+
+@query("repeated_headings", "A02 W13", derived_sql("chapters") + f", again as (select chapter, {_REPEATED} as text from chapters)" + _DOC_LINES.replace("from chapters", "from again") + r"""
+select doc, line from lines where regexp_matches(line, '^#+\s') and length(line) > 8 group by doc, line having count(*) > 1
+union all select doc, line from lines o where regexp_matches(line, '^###\s')
+ and not exists (select 1 from lines e where e.doc = o.doc and e.ln < o.ln and regexp_matches(e.line, '^##\s'))""")
 def repeated_headings(spark, sf_dir):
-    rows = lines.explode_lines(derive(spark, sf_dir, "chapters"), "chapter", "text")
+    chapters = derive(spark, sf_dir, "chapters").select("chapter", F.expr(_REPEATED).alias("text"))
+    rows = lines.explode_lines(chapters, "chapter", "text")
     return audit.repeated_headers(rows).select("doc", "line").union(lines.orphans(rows).select("doc", "line"))
 
 
@@ -519,19 +553,41 @@ def order_rules(spark, sf_dir):
     return modalities.first_rule(derive(spark, sf_dir, "orders"), ORDER_RULES, "text")
 
 
-@query("slide_roles", "P16 P18")
+@query("slide_roles", "P16 P18", derived_sql("titles") + """, s as (select id, lower(trim(title, ' ')) as t, lower(concat_ws(' ', title, body)) as b,
+ len(list_filter(regexp_split_to_array(trim(body, ' '), '\\s+'), lambda x: x <> '')) >= 14 as long,
+ list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'), ' ')), lambda x: x <> '') as rows from titles)
+select id, case when regexp_matches(t, 'reference|bibliography') then 'reference' when regexp_matches(t, 'case 1|case 2|clinical case|case study') then 'case'
+ when contains(t, 'mechanism') and long then 'mechanism' when contains(t, 'mechanism') then 'divider' when regexp_matches(t, 'dosing|titration|dose limit') and long then 'dosing'
+ when regexp_matches(t, 'dosing|titration|dose limit') then 'divider' when contains(t, 'safety') and long then 'safety'
+ when regexp_matches(t, 'safety|clinical application|regulatory status|efficacy|why it matters') then 'divider' when regexp_matches(t, 'roadmap|learning objectives') then 'general'
+ when regexp_matches(b, 'contraindication|boxed warning|monitoring|hypogly') then 'safety' when regexp_matches(b, 'missed dose|maintenance dose|titration|maximum dose') then 'dosing'
+ when regexp_matches(b, 'counselling|counseling|contraception|pregnan') then 'counselling' when regexp_matches(b, 'mechanism|receptor|agonism|glp-1|gip') then 'mechanism'
+ when regexp_matches(b, 'surpass|surmount|hba1c|trial|placebo|semaglutide') then 'evidence' when regexp_matches(b, 'takeaway|remember|checklist|summary|conclusion') then 'takeaway'
+ when not long then 'divider' else 'general' end as role,
+ coalesce(list_filter(rows[1:6], lambda x: length(x) <= 120 and not regexp_matches(x, '^\\d+$'))[1], rows[1], 'Untitled slide') as first from s""")
 def slide_roles(spark, sf_dir):
     return derive(spark, sf_dir, "titles").select("id", lint.slide_role(F.col("title"), F.col("body")).alias("role"), lint.slide_title(F.col("body")).alias("first"))
 
 
-@query("duplicate_slides", "J33 F32")
+_IMAGE = "substring(md5(text), 1, 15) || cast(doc_id % 2 as string)"  # a bit apart for equal texts of odd and even ids
+
+
+@query("duplicate_slides", "J33 F32", f"""with s as (select source as deck, doc_id as slide, text, {_IMAGE} as image from documents where text is not null and source is not null),
+c as (select deck, slide, min(slide) over (partition by deck, text) as first from s)
+select deck, slide, first from c where first < slide""")
 def duplicate_slides(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").where("text is not null")
-    image = F.concat(F.substring(F.md5("text"), 1, 15), F.lower(F.conv((F.col("doc_id") % 2).cast("string"), 10, 16)))
-    return lint.duplicate_slides(docs.select(F.col("source").alias("deck"), F.col("doc_id").alias("slide"), "text", image.alias("image")))
+    return lint.duplicate_slides(docs.select(F.col("source").alias("deck"), F.col("doc_id").alias("slide"), "text", F.expr(_IMAGE).alias("image")))
 
 
-@query("slide_timing", "A35")
+@query("slide_timing", "A35", """with s as (select p_brand as deck, p_partkey as slide,
+ (case p_partkey % 4 when 0 then 0.35 when 1 then 1.3 when 2 then 1.0 else 1.45 end)::double * (case p_size % 3 when 0 then 0.8 when 1 then 1.0 else 1.25 end)::double * (case when p_partkey % 10 = 0 then 0.35 else 1 end)::double as share from part),
+b as (select deck, slide, greatest(4, round_even(6000 * share / sum(share) over (partition by deck), 0)::bigint) as base from s),
+c as (select *, 6000 - sum(base) over (partition by deck) as change, count(*) over (partition by deck) as n, row_number() over (partition by deck order by slide) as place from b),
+u as (select *, unnest(range(1, (case when change >= 0 then change // n + 2 else base - 3 end)::bigint)) as round from c),
+r as (select *, row_number() over (partition by deck order by round, place) as unit from u),
+g as (select deck, slide, count(*) as moved from r where unit <= abs(change) group by deck, slide)
+select deck, slide, (base + sign(change) * coalesce(moved, 0))::bigint as seconds from c left join g using (deck, slide)""")
 def slide_timing(spark, sf_dir):
     pick = lambda values, at: F.element_at(F.array(*map(F.lit, values)), at.cast("int") + 1)
     key = F.col("p_partkey")

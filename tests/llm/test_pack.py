@@ -157,3 +157,26 @@ def test_pipeline_keeps_one_whole_document_of_a_copy_group(spark):
     got = {r.doc_id: r.text for r in corpus_pipeline.ngram_deduplication(spark, cut, "").collect()}
     assert [i for i in got if i >= 200] == [200] and got[200] == copy
     assert got[3] == "body 3 alone\nmore 9"
+
+
+def test_pipeline_of_odd_rows_and_empty_tables(spark):
+    """Nulls in every column, repeated ids, equal rows, a very long text and columns named as the stages' own go through all stages."""
+    sf, long = "/root/testdata/sf0.001", " ".join(f"w{k * k % 7919}x{k}" for k in range(60_000))
+    texts = [(7, "one text of more than five words"), (7, "another text that shares its number with one"), (7, "one text of more than five words"), (None, "a row without a number but with words"), (8, long), (9, None), (10, ""), (11, "4 5 6"), (12, "short")]
+    rows = [(i, t, None if k == 3 else "en" if k % 3 else "fr", "s" if k % 2 else None, None, f"n{k}", k, f"c{k}", k / 2) for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines string, row int, component_id string, n_dropped double")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, sf)
+        assert kept.columns == docs.columns, name
+        kept = spark.createDataFrame(kept.collect(), docs.schema)
+    # rows without a letter go, of two equal texts one row stays, the rest is as it was
+    assert sorted(r.row for r in kept.collect()) in ([0, 1, 3, 4, 8], [1, 2, 3, 4, 8])
+    before = {r[6]: r for r in rows}
+    assert all((r.doc_id, r.text, r.n_lines, r.component_id, r.n_dropped) == (before[r.row][0], before[r.row][1], before[r.row][5], before[r.row][7], before[r.row][8]) for r in kept.collect())
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, sf).collect()
+    held(packed)
+    assert {r.doc_id for r in packed} == {7, None, 8, 12} and max(r.piece for r in packed) > 20
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, sf).collect() == [], name

@@ -203,3 +203,20 @@ def test_components_both_ways(spark, local):
     got = {r.vertex: r.component for r in connected_components(table, Scratch(spark, "t"), local=local).collect()}
     expected = components({x for e in edges for x in e}, edges)
     assert {k: v for k, v in expected.items() if k != 7 or v != 7} == got
+
+
+def test_ngram_sets_come_once(spark, monkeypatch):
+    """Copies whose ids share a bucket of the filter give one set, so that pairs are not multiplied; nor do repeated ids."""
+    at = ngram_join._bucket(np.arange(200_000))
+    order = np.argsort(at, kind="stable")
+    k = int(np.flatnonzero(at[order][1:] == at[order][:-1])[0])
+    x, y = (int(v) for v in order[k : k + 2])
+    words = [f"w{i}" for i in range(40)]
+    text, near = " ".join(words), " ".join(words + ["more"])
+    held, verified = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, sets, *a: (held.append([r.cls for r in sets.select("cls").collect()]), verified(pairs, sets, *a))[1])
+    for rows in ([(x, text), (y, text), (300_000, near)], [(x, text), (x, text), (300_000, near)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+        assert got == {r[0]: x for r in rows}
+        assert all(sorted(set(h)) == sorted(h) and len(h) == 2 for h in held) and held

@@ -37,7 +37,7 @@ WIDTH, NUM, DEN = 5, 75, 100
 BLOCK = 512  #: postings of one shingle that are paired in one go
 LOCAL_COUNT, LOCAL = 4, 1_000_000  #: copies of a shingle among so many at once that mark it as frequent
 FREQUENT = 1 << 19  #: frequent shingles at most in the order's table; a shorter one costs time, not links
-FILTER_BITS = 1 << 20
+FILTER_BITS = 1 << 23  #: of the filter of documents whose sets are made again; a fuller one costs time
 MARK_BITS = 1024  #: of the parities that bound from below in how many shingles two sets differ
 ROW, FILE, PLACE = "__joined_row", "__joined_file", "__joined_place"
 FILE_ROWS = 1 << 40  #: row numbers set apart for each file
@@ -277,12 +277,13 @@ def _wanted_sets(width: int, wanted):
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
             batch = batch.filter(pa.array(bits[_bucket(ids.fill_null(0).to_numpy(zero_copy_only=False))]))
-            for _, flat, begin, cls in _sets(batch, width):
-                rows = _first_rows(cls, np.diff(begin))
+            ids_of = batch.column(0).cast(pa.int64())
+            for at, flat, begin, cls in _sets(batch, width):
+                rows = np.flatnonzero(np.diff(begin) > 0)  # a copy may stand before the document that is meant
                 own = [flat[begin[r] : begin[r + 1]] for r in rows]
                 yield pa.record_batch(
-                    [pa.array(cls[rows].view(np.int64)), pa.array([len(s) for s in own], pa.int64()), pa.array([_mark(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())],
-                    names=["cls", "n", "mark", "items"],
+                    [ids_of.take(pa.array(at[rows])), pa.array(cls[rows].view(np.int64)), pa.array([len(s) for s in own], pa.int64()), pa.array([_mark(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())],
+                    names=["id", "cls", "n", "mark", "items"],
                 )
 
     return run
@@ -313,14 +314,24 @@ def _similar(num: int, den: int):
     return run
 
 
-def _class_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(cls, n, mark, items) of the classes wanted, made anew from the text of one document each."""
-    ids = wanted.join(classes, "cls").select("id")
+def _class_sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """A row (cls, n, mark, items) for each class wanted, made anew from the text of one document.
+
+    More than one row of a class would multiply every pair that names it. Other copies in a bucket are told
+    by their ids; only where ids repeat are the sets themselves shuffled.
+    """
+    wanted = scratch.write(wanted.join(classes, "cls").groupBy("cls").agg(F.min("id").alias("id")), "wanted")
+    ids = wanted.select("id")
     buckets = ids.mapInArrow(_buckets, "bucket long").distinct().toArrow().column(0).to_numpy()  # at most FILTER_BITS
     bits = np.zeros(FILTER_BITS, dtype=bool)
     bits[buckets] = True
-    sets = docs.mapInArrow(_wanted_sets(width, docs.sparkSession.sparkContext.broadcast(bits)), "cls long, n long, mark binary, items binary")
-    return sets.join(_small(wanted), "cls", "left_semi")
+    sets = docs.mapInArrow(_wanted_sets(width, docs.sparkSession.sparkContext.broadcast(bits)), "id long, cls long, n long, mark binary, items binary")
+    sets = scratch.write(sets.join(_small(wanted), ["cls", "id"], "left_semi").drop("id"), "sets")
+    if sets.count() == wanted.count():
+        return sets
+    once = scratch.write(sets.dropDuplicates(["cls"]), "sets")
+    scratch.drop(sets)
+    return once
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -383,7 +394,7 @@ def near_duplicates(
     wanted = members.join(kept.select("grp").union(several).distinct(), "grp", "left_semi")
     members = scratch.write(wanted, "members")
     scratch.drop(posts)
-    sets = scratch.write(_class_sets(members.select("cls"), with_id, classes, width), "sets")
+    sets = _class_sets(members.select("cls"), with_id, classes, width, scratch)
 
     links = spark.createDataFrame([], "a long, b long")
     comps = spark.createDataFrame([], "vertex long, component long")

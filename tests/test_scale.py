@@ -318,3 +318,14 @@ def test_copies_of_a_slide_meet_once(spark):
     rows = [("a", k, "text", "0" * 16) for k in range(1000)]
     got = lint.duplicate_slides(spark.createDataFrame(rows, "deck string, slide int, text string, image string")).collect()
     assert len(got) == 999 and {r["first"] for r in got} == {0}
+
+
+def test_posting_blocks_count_each_row(spark):
+    """Rows of equal ids and lengths are documents of their own; a text is counted where it stands."""
+    from textloom.operators import blocks
+
+    docs = spark.createDataFrame([(1, "alpha beta beta"), (1, "alpha gamma gamma"), (2, None), (3, ""), (4, "gamma")], "doc_id long, text string")
+    index = blocks.build(docs, "doc_id", "text", block=4)
+    got = {(r.term, r.block): (r.n, sorted(zip(r.tfs, r.lengths))) for r in index.blocks.collect()}
+    assert got == {("alpha", 0): (2, [(1, 3), (1, 3)]), ("beta", 0): (1, [(2, 3)]), ("gamma", 0): (1, [(2, 3)]), ("gamma", 1): (1, [(1, 1)])}
+    assert index.documents == 5 and sorted(r.place for r in index.places.collect()) == list(range(5))

@@ -22,6 +22,7 @@ from .ordered import positions
 
 BLOCK = 4096  #: documents
 LEAD = 4  #: blocks of a query that are scored first, to learn what a document has to reach
+FEW = 100_000  #: terms of queries that are broadcast; more are shuffled
 SLACK = 1e-4  #: scores are compared with this much to spare, as they are rounded for ranking
 
 
@@ -48,31 +49,50 @@ def places_of(base: Column, gaps: Column) -> Column:
     return F.aggregate(gaps, F.struct(base.alias("at"), F.array().cast("array<bigint>").alias("out")), lambda a, g: F.struct((a["at"] + g).alias("at"), F.array_append(a["out"], a["at"] + g).alias("out")), lambda a: a["out"])
 
 
+def _counted(tokens: Column) -> Column:
+    """(term, tf) of each distinct token, from runs of equal ones in their order."""
+    return F.transform(F.filter(F.transform(tokens, lambda x, i: F.struct(x.alias("term"), i.alias("at"), (F.get(tokens, i - 1) != x).alias("new"))), lambda x: (x["at"] == 0) | x["new"]), lambda x: F.struct(x["term"].alias("term"), x["at"].alias("at")))
+
+
 def build(docs: DataFrame, id_col: str, text_col: str, tokens=search_tokens, block: int = BLOCK) -> Index:
-    """The index of a corpus; a text is cut into words once."""
-    once = written(docs.select(F.col(id_col).alias("doc"), tokens(F.col(text_col)).alias("tokens")), "tokens")
-    total = once.agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("mean")).first()
+    """The index of a corpus; a text is cut into words once, and counted where it stands.
+
+    Texts are put in order first, so that postings know their places and are shuffled once, to their term's block.
+    Each row is a document of its own.
+    """
+    cut = lambda rows: rows.select("doc", F.sort_array(tokens(F.col("text"))).alias("tokens")).withColumn("length", F.size("tokens"))
+    once = positions(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), ["doc"], "place", then=cut)
+    total = once.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
     mean = float(total["mean"] or 1.0)
-    places = written(positions(once.select("doc"), ["doc"], "place"), "places")
-    each = once.select("doc", F.size("tokens").alias("length"), F.explode("tokens").alias("term")).groupBy("doc", "length", "term").agg(F.count("*").cast("int").alias("tf"))
-    each = each.join(places, "doc").withColumn("block", F.floor(F.col("place") / block))
+    runs = once.where("length > 0").select("place", "length", _counted(F.col("tokens")).alias("runs"))
+    each = runs.select("place", "length", F.explode(F.transform("runs", lambda x, k: F.struct(x["term"].alias("term"), (F.coalesce(F.get("runs", k + 1)["at"], F.col("length")) - x["at"]).cast("int").alias("tf")))).alias("t"))
+    each = each.select(F.col("t.term").alias("term"), F.floor(F.col("place") / block).alias("block"), "place", "t.tf", "length")
     own = F.sort_array(F.collect_list(F.struct("place", "tf", "length"))).alias("own")  # at most `block`
-    rows = each.groupBy("term", "block").agg(F.count("*").alias("n"), own, F.max(weight(F.col("tf"), F.col("length"), mean)).alias("highest"))
+    # dealt out as rows: lists of single postings would be larger and would not add up before the shuffle
+    rows = each.repartition("term", "block").groupBy("term", "block").agg(F.count("*").alias("n"), own, F.max(weight(F.col("tf"), F.col("length"), mean)).alias("highest"))
     rows = rows.select("term", "block", "n", F.get("own.place", F.lit(0)).alias("base"), gaps_of(F.col("own.place")).alias("gaps"), F.col("own.tf").alias("tfs"), F.col("own.length").alias("lengths"), "highest")
-    return Index(written(rows, "blocks"), places, total["n"], mean)
+    return Index(written(rows, "blocks"), once.select("doc", "place"), total["n"], mean)
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """A table of queries' terms, to be broadcast if it is counted as FEW at most."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
 
 
 def _scores(index: Index, asked: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(query, doc, score) of all postings of a query's terms (query, term, idf) in its wanted blocks (query, block)."""
-    rows = asked.join(wanted, "query").join(index.blocks.select("term", "block", "base", "gaps", "tfs", "lengths"), ["term", "block"])
-    rows = rows.select("query", "idf", F.explode(F.arrays_zip(places_of(F.col("base"), F.col("gaps")).alias("place"), "tfs", "lengths")).alias("p"))
+    """(query, doc, score) of all postings of a query's terms (query, term, idf) in its wanted blocks (query, block).
+
+    Blocks travel packed; their postings are added up in the task that unpacks them.
+    """
+    rows = index.blocks.select("term", "block", "base", "gaps", "tfs", "lengths").join(_few(asked), "term").join(wanted, ["query", "block"], "left_semi")
+    rows = rows.select("query", "block", "idf", F.explode(F.arrays_zip(places_of(F.col("base"), F.col("gaps")).alias("place"), "tfs", "lengths")).alias("p"))
     part = F.col("idf") * weight(F.col("p.tfs"), F.col("p.lengths"), index.mean_length)
-    return rows.groupBy("query", F.col("p.place").alias("place")).agg(F.sum(part).alias("score"))
+    return rows.groupBy("query", "block", F.col("p.place").alias("place")).agg(F.sum(part).alias("score")).drop("block")
 
 
 def bounds(index: Index, asked: DataFrame) -> DataFrame:
     """(query, block, bound): no document of the block scores higher for the query."""
-    return asked.join(index.blocks.select("term", "block", "highest"), "term").groupBy("query", "block").agg(F.sum(F.col("idf") * F.col("highest")).alias("bound"))
+    return index.blocks.select("term", "block", "highest").join(_few(asked), "term").groupBy("query", "block").agg(F.sum(F.col("idf") * F.col("highest")).alias("bound"))
 
 
 def with_idf(index: Index, queries: DataFrame) -> DataFrame:

@@ -15,10 +15,14 @@ from ..sources.shared import written
 _WITHIN = (1 << 33) - 1  #: monotonically_increasing_id keeps a row's place in its partition here
 
 
-def in_ranges(rows: DataFrame, order: list, name: str = "ordered") -> DataFrame:
-    """`rows` written range by range, with __part and __at. `order` should be total: rows that tie in it stay in one range."""
+def in_ranges(rows: DataFrame, order: list, name: str = "ordered", then=None) -> DataFrame:
+    """`rows` written range by range, with __part and __at. `order` should be total: rows that tie in it stay in one range.
+
+    `then` makes a table of the ordered rows, row by row, before they are written: the ranges' sample does not pay for it.
+    """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    dealt = then(dealt) if then else dealt
     # written first: a range is cut by a sample, which another run may draw differently
     return written(dealt.select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN)).alias("__at")), name)
 
@@ -32,9 +36,9 @@ def _before(table: DataFrame, kind: str, of_each: dict, folded) -> DataFrame:
     return F.broadcast(table.sparkSession.createDataFrame(out, f"__part int, __before {kind}"))  # a row for each range
 
 
-def positions(rows: DataFrame, order: list, name: str = "position") -> DataFrame:
+def positions(rows: DataFrame, order: list, name: str = "position", then=None) -> DataFrame:
     """`rows` with `name`: their place from 0 in the order of the whole table."""
-    table = in_ranges(rows, order)
+    table = in_ranges(rows, order, then=then)
     counts = {r["__part"]: r.n for r in table.groupBy("__part").agg(F.count("*").alias("n")).collect()}
     before = _before(table, "long", counts, lambda a, n: (a or 0) + n)
     return table.join(before, "__part").withColumn(name, F.coalesce("__before", F.lit(0)) + F.col("__at")).drop("__part", "__at", "__before")

@@ -329,3 +329,18 @@ def test_posting_blocks_count_each_row(spark):
     got = {(r.term, r.block): (r.n, sorted(zip(r.tfs, r.lengths))) for r in index.blocks.collect()}
     assert got == {("alpha", 0): (2, [(1, 3), (1, 3)]), ("beta", 0): (1, [(2, 3)]), ("gamma", 0): (1, [(2, 3)]), ("gamma", 1): (1, [(1, 1)])}
     assert index.documents == 5 and sorted(r.place for r in index.places.collect()) == list(range(5))
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_near_lines_need_no_join(spark):
+    """Lines of a text meet in a window over one deal of the texts."""
+    from textloom.operators import lines
+
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, f"{words}\n{words} x\nshort\n{words} y"), (2, words)], "doc_id long, text string")
+    found = lines.near_pairs(lines.explode_lines(docs, "doc_id", "text"))
+    assert sorted((r.doc, r.i, r.j) for r in found.collect()) == [(1, 1, 2), (1, 1, 3), (1, 2, 3)]
+    assert "Join" not in optimized(found)

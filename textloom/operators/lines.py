@@ -83,17 +83,16 @@ def sweep(lines: DataFrame, before: int = 10, after: int = 14) -> DataFrame:
 def near_pairs(lines: DataFrame, least: int = 80, reach: int = 9, jaccard: float = 0.65, word_break: str = r"(?U)\W+") -> DataFrame:
     """W12, first part: (doc, i, j, jaccard) of long lines within reach whose sizes and words are alike.
 
-    The distance is part of the join key (block and neighbour), so no line meets all others of its text.
+    Texts are dealt out by document once; each line then meets the `reach` lines after it in one window, without a join.
     """
     rows = lines.where(F.length("line") > least).withColumn("i", F.row_number().over(_by()))
-    rows = rows.select("doc", "i", "line", F.array_distinct(F.filter(F.split(F.lower("line"), word_break), lambda w: w != "")).alias("words"), F.floor(F.col("i") / (reach + 1)).alias("block"))
-    left = rows.select("doc", "i", "line", "words", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
-    right = rows.select("doc", F.col("i").alias("j"), F.col("line").alias("line_j"), F.col("words").alias("words_j"), "block")
-    pairs = left.join(right, ["doc", "block"]).where((F.col("j") > F.col("i")) & (F.col("j") - F.col("i") <= reach))
-    a, b = F.length("line"), F.length("line_j")
-    both = F.size(F.array_intersect("words", "words_j"))
-    ratio = both / (F.size("words") + F.size("words_j") - both)
-    return pairs.where(F.abs(a - b) / F.greatest(a, b) <= 0.25).withColumn("jaccard", ratio).where(F.col("jaccard") >= jaccard).select("doc", "i", "j", "jaccard", "line", "line_j")
+    rows = rows.select("doc", "ln", "i", "line", F.array_distinct(F.filter(F.split(F.lower("line"), word_break), lambda w: w != "")).alias("words"))
+    after = F.collect_list(F.struct(F.col("i").alias("j"), "line", "words")).over(_by().rowsBetween(1, reach))  # `reach` at most
+    alike = lambda x: F.abs(F.length("line") - F.length(x["line"])) / F.greatest(F.length("line"), F.length(x["line"])) <= 0.25
+    pairs = rows.withColumn("after", after).select("doc", "i", "line", "words", F.explode(F.filter("after", alike)).alias("b"))
+    both = F.size(F.array_intersect("words", "b.words"))
+    ratio = both / (F.size("words") + F.size("b.words") - both)
+    return pairs.withColumn("jaccard", ratio).where(F.col("jaccard") >= jaccard).select("doc", "i", F.col("b.j").alias("j"), "jaccard", "line", F.col("b.line").alias("line_j"))
 
 
 def near_duplicates(lines: DataFrame, least: float = 0.85) -> DataFrame:

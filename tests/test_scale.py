@@ -344,3 +344,14 @@ def test_near_lines_need_no_join(spark):
     found = lines.near_pairs(lines.explode_lines(docs, "doc_id", "text"))
     assert sorted((r.doc, r.i, r.j) for r in found.collect()) == [(1, 1, 2), (1, 1, 3), (1, 2, 3)]
     assert "Join" not in optimized(found)
+
+
+def test_paired_terms_are_looked_for_plainly_first(spark):
+    """Texts are lowered once, and a pattern is tried only where its words stand; findings stay."""
+    from textloom.operators import fidelity
+
+    rows = spark.createDataFrame([("a", "Levels INCREASE here", "levels decrease"), ("b", "it increased", "nothing"), ("c", "not indicated", "it is indicated"), ("d", "an increase", "none"), ("e", None, "increase")], "chunk_id string, source string, body string")
+    found = fidelity.paired_flips(rows, [("increase", "decrease"), ("not indicated", "indicated")], "check")
+    assert sorted((r.chunk_id, r.kind, r.source_value, r.chunk_value or "") for r in found.collect()) == [("a", "flipped", "increase", "decrease"), ("c", "flipped", "not indicated", "indicated"), ("d", "missing", "increase", "")]
+    assert optimized(found).count("lower(") == 2
+    assert [fidelity.needle(p) for p in ("not indicated", "a|b", "mgs?", r"\d x")] == ["not indicated", "", "mg", ""]

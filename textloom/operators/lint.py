@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from .. import patterns as P
 from ..functions.columns import any_word, hamming_hex, ladder, lines_of, words_of
 from ..functions.unicode import similarity
+from ..sources.shared import written
 from .ordered import positions
 
+FEW = 100_000  #: hashes of texts that are broadcast; more are shuffled
 
 def rule_applies(jurisdiction: str, target: str) -> bool:
     """Whether a rule of a jurisdiction holds for a deck's."""
@@ -110,18 +112,24 @@ def duplicate_slides(slides: DataFrame) -> DataFrame:
 
     Slides of one deck, text and image are a class; classes, not slides, are compared, as the first slide of a near class
     stands for all of it. Near classes meet by the four quarters of the image hash, one of which two hashes a bit apart share.
-    Slides without deck or text are no duplicates; without an image only equal texts are.
+    Slides without deck or text are no duplicates; without an image only equal texts are. Only texts of classes whose images
+    are near are shuffled.
     """
-    rows = slides.select("deck", "slide", "text", "image", F.sha2("text", 256).alias("h")).where("deck is not null and h is not null")
-    classes = rows.groupBy("deck", "h", "image").agg(F.first("text").alias("text"), F.min("slide").alias("first"), F.max("slide").alias("last"))
+    texts = slides.select("deck", "slide", "text", "image", F.sha2("text", 256).alias("h")).where("deck is not null and h is not null")
+    rows = texts.drop("text")
+    classes = rows.groupBy("deck", "h", "image").agg(F.min("slide").alias("first"), F.max("slide").alias("last"))
     quarters = F.explode(F.array(*[F.concat(F.lit(str(k)), F.substring("image", 4 * k + 1, 4)) for k in range(4)]))
-    left = classes.select("deck", "h", "image", "text", "last", quarters.alias("q"))
-    right = classes.select("deck", F.col("h").alias("h_b"), F.col("image").alias("image_b"), F.col("text").alias("text_b"), F.col("first").alias("first_b"), quarters.alias("q"))
+    left = classes.select("deck", "h", "image", "last", quarters.alias("q"))
+    right = classes.select("deck", F.col("h").alias("h_b"), F.col("image").alias("image_b"), F.col("first").alias("first_b"), quarters.alias("q"))
     pairs = left.join(right, ["deck", "q"]).where("h <> h_b and first_b < last").where(hamming_hex(F.col("image"), F.col("image_b")) <= 1)
-    pairs = pairs.dropDuplicates(["deck", "h", "image", "h_b", "image_b"]).where(similarity("text", "text_b") >= 0.96)
+    pairs = written(pairs.select("deck", "h", "image", "h_b", "image_b", "first_b").distinct(), "near-images")
+    asked = pairs.select("h").union(pairs.select("h_b")).distinct()
+    own = texts.select("h", "text").join(F.broadcast(asked) if asked.count() <= FEW else asked, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+    near = pairs.select("h", "h_b").distinct().join(own, "h").join(own.select(F.col("h").alias("h_b"), F.col("text").alias("text_b")), "h_b")
+    pairs = pairs.join(near.where(similarity("text", "text_b") >= 0.96).select("h", "h_b"), ["h", "h_b"])
     found = pairs.groupBy("deck", "h", "image").agg(F.min("first_b").alias("near"))
     equal = classes.groupBy("deck", "h").agg(F.min("first").alias("equal"))
-    c, f = rows.drop("text").alias("c"), found.alias("f")
+    c, f = rows.alias("c"), found.alias("f")
     same = (F.col("c.deck") == F.col("f.deck")) & (F.col("c.h") == F.col("f.h")) & (F.col("c.image") == F.col("f.image"))
     every = c.join(f, same, "left").select("c.deck", "c.h", "c.slide", "f.near").join(equal, ["deck", "h"])
     return every.groupBy("deck", "slide").agg(F.min(F.least("equal", "near")).alias("first")).where("first < slide")

@@ -366,3 +366,19 @@ def test_slide_texts_stay_behind_their_hashes(spark):
     found = lint.duplicate_slides(spark.createDataFrame(rows, "deck string, slide long, text string, image string"))
     assert sorted((r.deck, r.slide, r.first) for r in found.collect()) == [("d", 2, 1), ("d", 4, 1)]
     assert not [x for x in optimized(found).splitlines() if "Aggregate [deck" in x and "first(text" in x]
+
+
+def test_tables_are_read_in_bounded_batches(spark, tmp_path):
+    """Rows and bytes of an Arrow batch are bounded for whatever reads a table, a smaller setting is kept."""
+    from textloom.registry import table
+
+    spark.range(3).write.parquet(str(tmp_path / "x.parquet"))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, held in (("10000", 1024), ("7", 7)):
+            spark.conf.set(name, given)
+            assert table(spark, str(tmp_path), "x").count() == 3 and int(spark.conf.get(name)) == held
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == f"{4 << 20}b"
+    finally:
+        spark.conf.set(name, before)

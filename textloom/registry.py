@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.shared import bounded_batches
+
 
 @dataclass(frozen=True)
 class Query:
@@ -32,4 +34,5 @@ def query(name: str, ids: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,6 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1024  #: of an Arrow batch between Spark and its Python workers
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Holds Arrow batches to BATCH_BYTES and BATCH_ROWS, so that a worker's memory does not follow the texts' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(BATCH_ROWS, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -382,3 +382,12 @@ def test_tables_are_read_in_bounded_batches(spark, tmp_path):
         assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == f"{4 << 20}b"
     finally:
         spark.conf.set(name, before)
+
+
+def test_names_of_one_word_need_no_places(spark):
+    """Whole words are met by the distinct words of a text; names with gaps or edges still by places."""
+    texts = spark.createDataFrame([(1, "beta a-beta x_beta"), (2, "alpha  beta, alpha beta!"), (3, None), (4, "")], "id long, text string")
+    asked = spark.createDataFrame([("beta",), ("alpha beta",), ("(beta",), (None,), ("",)], "name string")
+    assert sorted((r.name, r.id) for r in names.occurrences(asked, texts, "id", "text").collect()) == [("alpha beta", 2), ("beta", 1), ("beta", 2)]
+    one = names.occurrences(asked.where("name = 'beta'"), texts, "id", "text")
+    assert [(r.name, r.id) for r in one.orderBy("id").collect()] == [("beta", 1), ("beta", 2)] and "posexplode" not in optimized(one)

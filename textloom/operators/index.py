@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..functions.columns import index_tokens
+from ..sources.shared import written
 from .names import first_of_each, occurrences
 from .ordered import carried, following
 
@@ -107,7 +108,7 @@ def term_to_chunks(names: DataFrame, chunks: DataFrame, chars: int | None, fold:
     low = F.lower if fold else (lambda c: c)
     rows = chunks.select(F.struct("ord", "chunk_id").alias("at"), low(F.concat_ws("\n", "topic", body)).alias("text"))
     asked = names.select("acronym").distinct().withColumn("name", low(F.col("acronym")))
-    found = occurrences(asked, rows, "at", "text").select("name", "at.ord", "at.chunk_id")
+    found = written(occurrences(asked, rows, "at", "text").select("name", "at.ord", "at.chunk_id"), "occurrences")  # read twice
     counted = found.groupBy("name").agg(F.count("*").alias("matches"))
     first = first_of_each(found, ["name"], ["ord", "chunk_id"], most).groupBy("name").agg(F.sort_array(F.collect_list(F.struct("ord", "chunk_id"))).alias("c"))  # `most` at most
     got = asked.join(counted, "name").join(first, "name")

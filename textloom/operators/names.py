@@ -36,7 +36,18 @@ def occurrences(names: DataFrame, texts: DataFrame, id_col: str, text_col: str)
 
     A name that starts or ends in other characters needs a further such character, or the text's edge, beside it.
     """
-    trie = prefixes(names.select("name").where("name is not null").distinct())
+    names = names.select("name").where("name is not null").distinct()
+    plain = names.where(F.col("name").rlike(f"^{WORD}$"))
+    longer = _placed(names.where(~F.col("name").rlike(f"^{WORD}$")), texts, id_col, text_col)
+    # a name of one whole word needs no gaps or places, only the distinct words of a text
+    words = texts.select(id_col, F.explode(F.array_distinct(F.split(F.col(text_col), "[^A-Za-z0-9_]+"))).alias("name"))
+    found = words.join(plain, "name").select("name", id_col).distinct()
+    return found if longer is None else found.unionByName(longer)
+
+
+def _placed(names: DataFrame, texts: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """`occurrences` of distinct names of several words or with other characters; None where there are no such names."""
+    trie = prefixes(names)
     depth = trie.agg(F.coalesce(F.max("level"), F.lit(0)).alias("d")).first().d
     words = texts.select(F.col(id_col).alias("__id"), F.posexplode(words_with_gaps(F.col(text_col))).alias("pos", "w"))
     words = words.select("__id", "pos", "w.word", "w.before", "w.after", (F.col("pos") == 0).alias("first"), F.col("w.next").isNull().alias("last"))
@@ -60,9 +71,7 @@ def occurrences(names: DataFrame, texts: DataFrame, id_col: str, text_col: str)
         shuts = (F.col("tail") == "") | (F.startswith(after, F.col("tail")) & ((F.length(after) > F.length("tail")) | F.col("last")))
         hits = own.where(opens & shuts).select("name", F.col("__id").alias(id_col))
         found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        return texts.select(F.lit("").alias("name"), id_col).where("false")
-    return found.distinct()
+    return found if found is None else found.distinct()
 
 
 def first_of_each(rows: DataFrame, by: list[str], order: list[str], most: int) -> DataFrame:

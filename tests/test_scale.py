@@ -391,3 +391,12 @@ def test_names_of_one_word_need_no_places(spark):
     assert sorted((r.name, r.id) for r in names.occurrences(asked, texts, "id", "text").collect()) == [("alpha beta", 2), ("beta", 1), ("beta", 2)]
     one = names.occurrences(asked.where("name = 'beta'"), texts, "id", "text")
     assert [(r.name, r.id) for r in one.orderBy("id").collect()] == [("beta", 1), ("beta", 2)] and "posexplode" not in optimized(one)
+
+
+def test_span_faults_hold_one_entry_at_a_time(spark):
+    """No table of a task's entries is hashed; faults stay those of each entry."""
+    spans = [(1, 1, 0, 2, "g", "ab"), (1, 2, 2, 4, "h", "cd"), (2, 1, 0, 2, "g", "ab"), (2, 2, 3, 4, "h", "?"), (2, 3, 4, 5, "g", "e"), (3, 1, 0, 1, None, "a")]
+    sources = [(1, "abcd"), (2, "abcdef"), (3, "a")]
+    found = packaging.span_faults(spark.createDataFrame(spans, "entry int, idx int, start int, end int, grp string, text string"), spark.createDataFrame(sources, "entry int, source string"))
+    assert sorted((r.entry, r.fault) for r in found.collect()) == [(2, "cover"), (2, "gap"), (2, "group"), (2, "text"), (3, "group")]
+    assert "Aggregate" not in optimized(found)

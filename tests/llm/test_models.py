@@ -392,3 +392,70 @@ def test_decontamination_finds_paraphrases(spark, rate, least):
     found = {(r.doc_id, r.item_id) for r in decontam.contamination(table, bench).collect()}
     assert sum((i, -1 - i) in found for i, _ in rows) >= least * len(rows)
     assert not any(d <= -1000 for d, _ in found)
+
+
+def test_decontamination_fits_on_every_passage_and_finds_what_brute_force_finds(spark):
+    """The basis holds what the best one of its rank holds of all passages' TF-IDF rows, and the search what an exact comparison of all passages finds."""
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
+    rng = random.Random(4)
+    words = [w for r in docs.limit(50).collect() for w in (r.text or "").split()]
+    noise = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = sorted((r.item_id, r.text) for r in bench.collect())
+    added = [(-1 - i, noise(20) + " " + " ".join(rng.choice(words) if rng.random() < 0.45 else w for w in t.split()) + " " + noise(20)) for i, t in items]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(added, "doc_id long, text string"))
+    rank = 40
+    ix = decontam.build(items, table, "text", decontam.Scratch(spark, "test"), rank)
+    split = lambda t: tx.words(pa.array([t], pa.string()), decontam._BREAKS)[0]
+    texts = [(r.doc_id, split(r.text or "")) for r in table.collect()]
+    cut = lambda h: [h[k : k + decontam.PASSAGE] for k in range(0, max(1, len(h) - decontam.PASSAGE + decontam.STRIDE), decontam.STRIDE)]
+    place = {int(t): k for k, t in enumerate(ix.terms)}
+
+    def rows(passages):
+        out = []
+        for p in passages:
+            n = Counter(place[x] for x in p.tolist() if x in place)
+            row = np.zeros(len(place))
+            for t, k in n.items():
+                row[t] = (1 + math.log(k)) * ix.idf[t]
+            if n:
+                out.append(row / np.linalg.norm(row))
+        return np.array(out)
+
+    corpus, own = rows(p for _, h in texts for p in cut(h)), rows(p for s in ix.items for p in cut(s))
+    gram = corpus.T @ corpus + max(1.0, len(corpus) / len(own)) * own.T @ own
+    q, _ = np.linalg.qr(ix.basis.astype(float))
+    assert np.trace(q.T @ gram @ q) > 0.98 * np.linalg.eigvalsh(gram)[-rank:].sum()
+
+    brute, answers = set(), decontam._answers(ix)
+    for d, h in texts:
+        for k, s in enumerate(ix.items):
+            reach = max(0, len(s) - decontam.STRIDE) + max(4, len(s) // 4)
+            for a in range(0, max(1, len(h) - decontam.PASSAGE + decontam.STRIDE), decontam.STRIDE):
+                region = h[max(0, a - reach) : a + decontam.PASSAGE + reach].tolist()
+                if len({*region} & {*answers[k]}) >= decontam.ANSWER * len(answers[k]) and decontam._lcs(s, region) >= decontam.LCS * len(s):
+                    brute.add((d, ix.ids[k]))
+    found = {(r.doc_id, r.item_id) for r in decontam.contamination(table, bench).collect()}
+    assert brute and len(brute & found) >= 0.9 * len(brute) and found <= brute
+
+
+def test_sums_of_pairs_are_the_same_dense_and_sparse(monkeypatch):
+    rng = np.random.default_rng(0)
+    lists = [rng.integers(0, 50, rng.integers(1, 33)).tolist() for _ in range(300)]
+    batch = pa.record_batch([pa.array(lists, pa.list_(pa.int32())), pa.array(rng.uniform(1, 3, 300))], names=["row", "weight"])
+
+    class Shared:
+        value = rng.uniform(0.1, 5, 50)
+
+    runs = []
+    for dense in (decontam.DENSE, 2400):
+        monkeypatch.setattr(decontam, "DENSE", dense)
+        total = np.zeros((50, 50), np.int64)
+        for part in decontam._products(Shared)([batch.slice(0, 90), batch.slice(90)]):
+            for t, other, sums in zip(*(c.to_pylist() for c in part.columns)):
+                total[t, other] += sums
+        runs.append(total)
+    plain = np.zeros((50, 50))
+    for row, weight in zip(lists, batch.column(1).to_pylist()):
+        t, w = decontam._row(np.array(row), Shared.value)
+        plain[np.ix_(t, t)] += weight * np.outer(w, w)
+    assert (runs[0] == runs[1]).all() and np.allclose(runs[0] / decontam.UNIT, np.triu(plain), atol=1e-3)

@@ -1,9 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts are cut into overlapping passages of words. TF-IDF rows of the
-benchmark's passages and of a bounded sample of corpus passages go through a
-distributed randomised SVD; corpus passages near a benchmark passage in that
-space are candidates, confirmed by the longest common subsequence of words
+benchmark's passages and of all corpus passages that hold a benchmark word go
+through a distributed randomised SVD: products of each two terms' weights are
+summed over all rows once, and the passes of the SVD read those sums. Corpus
+passages near a benchmark passage in that space are candidates, confirmed by the longest common subsequence of words
 with the item and by the share of the item's rarest terms (its answer) that
 they hold. Items are searched in blocks of bounded size.
 """
@@ -22,7 +23,9 @@ from .scratch import Scratch
 
 PASSAGE, STRIDE = 32, 16
 RANK, OVERSAMPLE, POWER = 192, 16, 1
-SAMPLE = 20_000  #: corpus passages in the fitted matrix, at most; the smallest hashes
+UNIT = 1 << 20  #: products of weights are summed as integers in parts of this, the same in any order
+DENSE = 1 << 24  #: pairs of terms that a task sums in one array; of more it holds those that occur
+FITTED = 1 << 21  #: passages that a task sums, about
 BLOCK_CHARS = 4_000_000  #: of benchmark text searched in one go
 LEAST_WORDS = 5  #: shorter items would accuse ordinary text: they match texts that are nothing else
 COSINE, LCS, ANSWER = 0.3, 0.42, 0.35
@@ -81,8 +84,16 @@ def _lcs(a: np.ndarray, b: list[int]) -> int:
     return len(a) - v.bit_count()
 
 
+def _passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word and end of all passages of rows of words."""
+    n = np.diff(first)
+    rows = np.repeat(np.arange(len(n)), np.where(n > 0, np.maximum(0, n - PASSAGE + STRIDE - 1) // STRIDE + 1, 0))
+    start = first[:-1][rows] + (np.arange(len(rows)) - np.searchsorted(rows, rows)) * STRIDE
+    return rows, start, np.minimum(start + PASSAGE, first[1:][rows])
+
+
 def _statistics(index):
-    """Texts that hold each term, and hashed passages rich in benchmark terms to fit on."""
+    """Texts that hold each term, and the terms of all passages that hold any."""
 
     def run(batches):
         ix: Index = index.value
@@ -91,54 +102,167 @@ def _statistics(index):
             for i, j in tx.slices(batch.column(0)):
                 h, first = tx.words(batch.column(0).slice(i, j - i), _BREAKS)
                 at = ix.places(h)
-                own = np.repeat(np.arange(j - i), np.diff(first))[at >= 0]
-                pair = np.unique(own * len(ix.terms) + at[at >= 0]) if len(own) else own
+                known = at[at >= 0]
+                pair = np.unique(np.repeat(np.arange(j - i), np.diff(first))[at >= 0] * len(ix.terms) + known)
                 df += np.bincount(pair % max(1, len(ix.terms)), minlength=len(df))
                 n += j - i
                 hits = np.concatenate([[0], np.cumsum(at >= 0)])
-                keys, rows = [], []
-                for r in range(j - i):
-                    a, b = int(first[r]), int(first[r + 1])
-                    s = a + _windows(b - a)
-                    e = np.minimum(s + PASSAGE, b)
-                    key = tx.mix(h[np.minimum(s, len(h) - 1)] + h[np.maximum(e - 1, 0)] * np.uint64(3)) if b > a else np.zeros(0, np.uint64)
-                    for k in np.flatnonzero((hits[e] - hits[s] >= 6) & (key % np.uint64(16) == 0)) if b > a else ():
-                        keys.append(int(key[k].view(np.int64)))
-                        rows.append(at[s[k] : e[k]][at[s[k] : e[k]] >= 0].astype(np.int32).tolist())
-                yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(rows, pa.list_(pa.int32())), pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.int64())], names=["key", "row", "term", "n"])
-        yield pa.record_batch([pa.nulls(len(df) + 1, pa.int64()), pa.nulls(len(df) + 1, pa.list_(pa.int32())), pa.array(np.arange(-1, len(df)).astype(np.int32)), pa.array(np.concatenate([[n], df]))], names=["key", "row", "term", "n"])
+                _, start, end = _passages(first)
+                lo, size = hits[start], hits[end] - hits[start]
+                lo, size = lo[size > 0], size[size > 0]
+                for c in range(0, len(lo), 1 << 14):
+                    edge = np.concatenate([[0], np.cumsum(size[c : c + (1 << 14)])])
+                    of = np.repeat(lo[c : c + (1 << 14)] - edge[:-1], np.diff(edge)) + np.arange(edge[-1])
+                    rows = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(known[of].astype(np.int32)))
+                    yield pa.record_batch([rows, pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())], names=["row", "term", "n"])
+        yield pa.record_batch([pa.nulls(len(df) + 1, pa.list_(pa.int32())), pa.array(np.arange(-1, len(df)).astype(np.int32)), pa.array(np.concatenate([[n], df]))], names=["row", "term", "n"])
 
     return run
 
 
-def _product(shared):
-    """Each task's part of A'(A X), A the TF-IDF rows it holds."""
+class _Sums:
+    """Sums by pair of terms."""
+
+    def __init__(self, n: int):
+        self.n, self.held, self.size = n, [], 0
+        self.dense = np.zeros(n * n, np.int64) if n * n <= DENSE else None
+
+    def add(self, key: np.ndarray, value: np.ndarray) -> None:
+        if self.dense is not None:
+            np.add.at(self.dense, key, value)
+            return
+        self.held.append((key, value))
+        self.size += len(key)
+        if self.size > DENSE // 2:
+            self.held = [self.taken()]
+            self.size = len(self.held[0][0])
+
+    def full(self) -> bool:
+        return self.size > DENSE // 4
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs in order and their sums; none is held then."""
+        if self.dense is not None:
+            key = np.flatnonzero(self.dense)
+            return key, self.dense[key]
+        key, value = (np.concatenate(x) for x in zip(*self.held)) if self.held else (np.zeros(0, np.int64),) * 2
+        self.held, self.size = [], 0
+        order = np.argsort(key, kind="stable")
+        key, value = key[order], value[order]
+        edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        return key[edge], np.add.reduceat(value, edge) if len(edge) else value
+
+
+_PAIRS = "term int, other array<int>, total array<long>"
+
+
+def _pairs(key: np.ndarray, value: np.ndarray, n: int):
+    """Sums by pair, in order, as rows of a term."""
+    term, other = np.divmod(key, n)
+    edge = np.append(np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])), len(term)) if len(term) else np.zeros(1, np.int64)
+    for i in range(0, len(edge) - 1, 256):
+        own = edge[i : i + 257]
+        lists = [pa.ListArray.from_arrays(pa.array((own - own[0]).astype(np.int32)), pa.array(x[own[0] : own[-1]])) for x in (other.astype(np.int32), value)]
+        yield pa.record_batch([pa.array(term[own[:-1]].astype(np.int32)), *lists], names=["term", "other", "total"])
+
+
+def _products(shared):
+    """For each term and each other not before it, their weights' products summed over a task's TF-IDF rows."""
 
     def run(batches):
-        idf, x = shared.value
-        total = np.zeros(x.shape)
+        idf = shared.value
+        sums = _Sums(len(idf))
         for batch in batches:
-            for row, weight in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t, w = _row(np.array(row, np.int64), idf)
-                total[t] += weight * np.outer(w, w @ x[t])
-        yield pa.record_batch([pa.array([total.astype(np.float64).tobytes()], pa.binary())], names=["part"])
+            for c in range(0, len(batch), 2048):
+                row, weight = batch.column(0).slice(c, 2048), batch.column(1).slice(c, 2048).to_numpy()
+                own = np.repeat(np.arange(len(row)), row.value_lengths().to_numpy())
+                pair, n = np.unique(own * len(idf) + row.flatten().to_numpy(), return_counts=True)
+                own, t = np.divmod(pair, len(idf))
+                w = (1 + np.log(n)) * idf[t]
+                w /= np.sqrt(np.bincount(own, w * w, len(row)))[own]
+                left = np.searchsorted(own, own, "right") - np.arange(len(own))
+                a = np.repeat(np.arange(len(own)), left)
+                b = a + np.arange(len(a)) - np.repeat(np.cumsum(left) - left, left)
+                sums.add(t[a] * len(idf) + t[b], np.rint((w * weight[own] * UNIT)[a] * w[b]).astype(np.int64))
+                if sums.full():
+                    yield from _pairs(*sums.taken(), len(idf))
+        yield from _pairs(*sums.taken(), len(idf))
 
     return run
 
 
-def _randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
-    """Right singular vectors of the rows (row array<int>, weight double): the parts are added up as they arrive."""
-    spark = rows.sparkSession
-    width = min(len(idf), rank + OVERSAMPLE)
-    x = np.random.default_rng(3).standard_normal((len(idf), width))
+def _turned(n: int):
+    """Each pair of different terms under the other term, too."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch
+            term = np.repeat(batch.column(0).to_numpy().astype(np.int64), batch.column(1).value_lengths().to_numpy())
+            other, total = batch.column(1).flatten().to_numpy().astype(np.int64), batch.column(2).flatten().to_numpy()
+            key = other * n + term
+            order = np.argsort(key)
+            order = order[(other != term)[order]]
+            yield from _pairs(key[order], total[order], n)
+
+    return run
+
+
+def _merged(n: int):
+    """The sums of each term's rows; rows are sorted by term."""
+
+    def run(batches):
+        at, total = None, np.zeros(n, np.int64)
+
+        def ended():
+            other = np.flatnonzero(total)
+            yield from _pairs(at * n + other, total[other], n)
+            total[:] = 0
+
+        for batch in batches:
+            for k, term in enumerate(batch.column(0).to_pylist()):
+                if term != at:
+                    if at is not None:
+                        yield from ended()
+                    at = term
+                total[batch.column(1)[k].values.to_numpy()] += batch.column(2)[k].values.to_numpy()
+        if at is not None:
+            yield from ended()
+
+    return run
+
+
+def _times(shared):
+    """Rows of the product of a symmetric matrix and x."""
+
+    def run(batches):
+        x = shared.value
+        for batch in batches:
+            for c in range(0, len(batch), 64):
+                part = batch.slice(c, 64)
+                block = np.zeros((len(part), len(x)))
+                block[np.repeat(np.arange(len(part)), part.column(1).value_lengths().to_numpy()), part.column(1).flatten().to_numpy()] = part.column(2).flatten().to_numpy() / UNIT
+                yield pa.record_batch([part.column(0), pa.array([y.tobytes() for y in block @ x], pa.binary())], names=["term", "y"])
+
+    return run
+
+
+def _randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int, scratch: Scratch) -> np.ndarray:
+    """Right singular vectors of A, the TF-IDF rows (row array<int>, weight double), from the sums A'A."""
+    context, n = rows.sparkSession.sparkContext, len(idf)
+    sums = rows.mapInArrow(_products(context.broadcast(idf)), _PAIRS)
+    for turn in (False, True):
+        if turn:
+            sums = sums.mapInArrow(_turned(n), _PAIRS)
+        sums = scratch.write(sums.repartition("term").sortWithinPartitions("term").mapInArrow(_merged(n), _PAIRS), "products")
+    width = min(n, rank + OVERSAMPLE)
+    x = np.random.default_rng(3).standard_normal((n, width))
     for k in range(POWER + 2):
         if k:
             x, _ = np.linalg.qr(x)
-        total = np.zeros(x.shape)
-        parts = rows.mapInArrow(_product(spark.sparkContext.broadcast((idf, x))), "part binary")
-        for part in parts.toLocalIterator():
-            total += np.frombuffer(part[0], np.float64).reshape(x.shape)
-        before, x = x, total
+        y = np.zeros(x.shape)
+        for term, part in sums.mapInArrow(_times(context.broadcast(x)), "term int, y binary").toLocalIterator():  # a row for each term
+            y[term] = np.frombuffer(part, np.float64)
+        before, x = x, y
     # x = A'A q for orthonormal q: a small eigenproblem gives the singular directions
     value, turn = np.linalg.eigh(before.T @ x)
     top = np.argsort(value)[::-1][: min(rank, len(value))]
@@ -163,22 +287,23 @@ def build(items: list[tuple], docs: DataFrame, text_col: str, scratch: Scratch,
     if not seqs:
         return ix
     texts = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
-    found = scratch.write(texts.mapInArrow(_statistics(spark.sparkContext.broadcast(ix)), "key long, row array<int>, term int, n long"), "statistics")
+    found = scratch.write(texts.mapInArrow(_statistics(spark.sparkContext.broadcast(ix)), "row array<int>, term int, n long"), "statistics")
     counts = found.where("term is not null").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(terms) + 1)
     df[counts.column(0).to_numpy() + 1] = counts.column(1).to_numpy()
     ix.idf = np.log((1 + df[0]) / (1 + df[1:])) + 0.05
-    sample = found.where("key is not null").orderBy("key").limit(SAMPLE).select("row", F.lit(1.0).alias("weight"))
-    sample = scratch.write(sample, "sample")
     places, owner = [], []
     for k, s in enumerate(seqs):
         at = ix.places(s)
         for w in _windows(len(s)):
             places.append(at[w : w + PASSAGE].tolist())
             owner.append(k)
-    weight = max(1.0, sample.count() / len(places))  # the benchmark's side weighs no less than the corpus'
+    corpus = found.where("row is not null").select("row", F.lit(1.0).alias("weight"))
+    n = corpus.count()
+    weight = max(1.0, n / len(places))  # the benchmark's side weighs no less than the corpus'
     own = spark.createDataFrame([(p, float(weight)) for p in places], "row array<int>, weight double")
-    ix.basis = _randomised_svd(own.union(sample).coalesce(8), ix.idf, rank)
+    ix.basis = _randomised_svd(own.union(corpus).coalesce(max(8, n // FITTED)), ix.idf, rank, scratch)
+    scratch.drop(found)
     ix.owner = np.array(owner)
     ix.rare = np.where(ix.idf >= 0.5 * ix.idf.max(), ix.idf**2, 0.0)
     latent, mass = [], np.zeros(len(seqs))
@@ -217,13 +342,9 @@ def _search(ix: Index, column: pa.Array, answers: list[list[int]]):
         return whole
     at = ix.places(h)
     mass = np.concatenate([[0.0], np.cumsum(np.where(at >= 0, ix.rare[at], 0.0))])
-    n = np.diff(first)
-    rows = np.repeat(np.arange(len(n)), np.where(n > 0, np.maximum(0, n - PASSAGE + STRIDE - 1) // STRIDE + 1, 0))
+    rows, start, end = _passages(first)
     if not len(rows):
         return whole
-    order = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    start = first[:-1][rows] + order * STRIDE
-    end = np.minimum(start + PASSAGE, first[1:][rows])
     mass = mass[end] - mass[start]
     rich = np.flatnonzero(mass >= ix.least.min())
     out: dict[tuple[int, int], tuple] = {}

@@ -459,3 +459,41 @@ def test_sums_of_pairs_are_the_same_dense_and_sparse(monkeypatch):
         t, w = decontam._row(np.array(row), Shared.value)
         plain[np.ix_(t, t)] += weight * np.outer(w, w)
     assert (runs[0] == runs[1]).all() and np.allclose(runs[0] / decontam.UNIT, np.triu(plain), atol=1e-3)
+
+
+def test_levels_and_gates_are_the_same_by_tables_and_by_bounds():
+    level = np.arange(1, 256, dtype=np.uint8)
+    assert (lm._stretched(level) == lm._STRETCH[1:]).all() and (lm._sure(level) == lm._GATE[1:]).all()
+    x = np.linspace(-20, 20, 40_011).astype(np.float32)
+    assert np.mean(lm._sure_of(x) != lm._GATE[lm._level(x)]) < 1e-3
+
+
+def test_learner_equals_plain_learning_and_holds_counts_in_single_precision():
+    """One step of the learner: gradients summed gate by gate, and counts of both tables."""
+    rng = np.random.default_rng(1)
+    m = lm.fresh(rng.integers(1, 50, (2, 40)), (12, 12))
+    learner = lm._Learner(m, 4)
+    n = 300
+    s = lm.Stream(rng.integers(0, 40, n), [rng.integers(0, 2**64, n, dtype=np.uint64) % np.uint64(7) * lm._NODE for _ in range(2)], rng.integers(0, 2, n).astype(np.int8), np.full(n, -1))
+    s.expected[::3] = rng.integers(0, 40, len(s.expected[::3]))
+    for learnt in range(3):
+        before = learner.m.weights.copy(), learner.power.copy(), [t.copy() for t in learner.near]
+        (l,) = lm._lanes(learner.m, s, n)
+        x = []
+        for slot, f, near in zip(l.slots, m.first, before[2]):
+            zero, one = near.astype(float).reshape(-1, 2)[(slot - f) >> learner.shift].T
+            x.append(np.log((one + lm.DELTA) / (zero + lm.DELTA)))
+        match = np.zeros(len(l.bit))
+        match[l.matched] = l.match
+        told = np.isin(np.arange(len(l.bit)), l.matched)
+        sure = [lm._GATE[lm._level(v)] for v in x]
+        gate = (sure[0] * (len(lm.SURE) + 1) + sure[1]) * 2 + told
+        inputs = np.stack([l.own, *x, match, np.ones(len(match))])
+        mixed = 1 / (1 + np.exp(-np.clip((before[0][:, gate] * inputs).sum(0), -lm.MOST, lm.MOST - 0.1)))
+        learner.learn(s)
+        for g in np.unique(gate):
+            slope = (inputs * (l.bit - mixed))[:, gate == g].mean(1)
+            power = before[1][:, g] + slope**2
+            assert np.allclose(learner.m.weights[:, g], before[0][:, g] + lm.RATE * slope / np.sqrt(power), atol=2e-3), (learnt, g)
+        assert learner.near[0].dtype == np.float32 and learner.near[0].sum() == (learnt + 1) * len(l.bit)
+        assert learner.total.sum() == 2 * (learnt + 1) * len(l.bit)

@@ -118,7 +118,7 @@ class Mixer:
     map: np.ndarray  #: gates x buckets
     known: np.ndarray | None = None  #: level of each slot's stretched prediction
     costs: np.ndarray | None = None  #: log10 of a bit, by gate, fine level of the mix, and bit
-    pairs: tuple | None = None  #: for two contexts, by their levels: the gate, its part of the mix, and the weight of the group's part
+    pairs: np.ndarray | None = None  #: for two contexts, by their levels: their part of the mix, and the weight of the group's part
 
     @property
     def inputs(self) -> int:
@@ -132,13 +132,13 @@ class Mixer:
         """Makes the tables of scoring from the counts of zeros and ones of each slot."""
         self.known = _level(np.log((n1 + np.float32(DELTA)) / (n0 + np.float32(DELTA))))
         self.weights = self.weights.astype(np.float32)
-        p = _refined(self.map, np.repeat(np.arange(GATES), FINE), np.tile(_FINE, GATES))[0]
+        p = _refined(self.map, np.repeat(np.arange(GATES), FINE), np.tile(_FINE, GATES))
         self.costs = np.log10(np.stack([1 - p, p], 1)).astype(np.float32).ravel()
         if len(self.slot_bits) == 2:
             one, two = np.divmod(np.arange(1 << 16), 256)
-            gate = (_GATE[one] * (2 * len(SURE) + 2) + _GATE[two] * 2).astype(np.int32)
+            gate = _GATE[one] * (2 * len(SURE) + 2) + _GATE[two] * 2
             w = self.weights
-            self.pairs = gate, w[1][gate] * _STRETCH[one] + w[2][gate] * _STRETCH[two] + w[-1][gate], w[0][gate]
+            self.pairs = np.stack([w[1][gate] * _STRETCH[one] + w[2][gate] * _STRETCH[two] + w[-1][gate], w[0][gate]], 1).astype(np.float32).view(np.complex64).ravel()
 
 
 def _level(x: np.ndarray) -> np.ndarray:
@@ -147,14 +147,43 @@ def _level(x: np.ndarray) -> np.ndarray:
 
 _STRETCH = ((np.arange(256) - 128) / LEVELS).astype(np.float32)  #: of each level
 _GATE = sum((np.abs(_STRETCH) > v).astype(np.int64) for v in SURE)  #: how sure each level is
+_TURNS = np.arange(LEARN_STEP * 16) & 3  #: sums of a gate go by turns to four places: most bits have the same gate, and each would wait for the one before
+_EDGES = [(np.uint8(at[0]), np.uint8(at[-1] - at[0])) for k in range(len(SURE)) if len(at := np.flatnonzero(_GATE <= k))]  #: first level that is no surer than so much, and levels from there to the last
+_BOUNDS = [np.float32(min(at for at in (np.flatnonzero(_GATE > k) - 128.5) / LEVELS if at > 0)) for k in range(len(SURE))]  #: the least stretched prediction that is surer
 _FINE = ((np.arange(FINE) - FINE // 2) * (2 * MOST / FINE)).astype(np.float32)
 
 
+def _stretched(level: np.ndarray) -> np.ndarray:
+    """_STRETCH of each level."""
+    out = level.astype(np.float32)
+    out -= np.float32(128)
+    out /= np.float32(LEVELS)
+    return out
+
+
+def _sure(level: np.ndarray) -> np.ndarray:
+    """_GATE of each level."""
+    return sum((level - lo > span).view(np.uint8) for lo, span in _EDGES)
+
+
+def _sure_of(x: np.ndarray) -> np.ndarray:
+    """The same for stretched predictions that have no level yet."""
+    x = np.abs(x)
+    return sum((x >= bound).view(np.uint8) for bound in _BOUNDS)
+
+
+def _cell(gate: np.ndarray, dot: np.ndarray) -> np.ndarray:
+    """The map's cell of a mix."""
+    place = dot * np.float32(1.5)
+    place += np.float32(12)
+    np.clip(place, 0, BUCKETS - 1, out=place)
+    return gate * BUCKETS + place.astype(np.int64)
+
+
 def _refined(table: np.ndarray, gate: np.ndarray, dot: np.ndarray):
-    """The refined and the plain mix, and the map's cell."""
+    """The refined mix."""
     mixed = 1 / (1 + np.exp(-dot))
-    cell = gate * BUCKETS + np.clip(dot * np.float32(1.5) + 12, 0, BUCKETS - 1).astype(np.int64)
-    return np.clip(0.5 * mixed + 0.5 * _at(table.ravel(), cell), LEAST, 1 - LEAST), mixed, cell
+    return np.clip(0.5 * mixed + 0.5 * _at(table.ravel(), _cell(gate, dot)), LEAST, 1 - LEAST)
 
 
 def fresh(by_group: np.ndarray, slot_bits: tuple) -> Mixer:
@@ -228,11 +257,11 @@ def _lanes(m: Mixer, s: Stream, step: int = STEP):
         yield Lanes(lo, hi, n, bit, slots, own, matched, match)
 
 
-def _gates(levels: list[np.ndarray], l: Lanes) -> np.ndarray:
+def _gates(one: np.ndarray, two: np.ndarray, matched: np.ndarray) -> np.ndarray:
     """The gate of each bit, by how sure the first and the last hashed context are and whether there is a match."""
-    gate = _at(_GATE, levels[0]) * (2 * len(SURE) + 2) + _at(_GATE, levels[-1]) * 2
-    gate[l.matched] += 1
-    return gate
+    gate = one * np.uint8(2 * len(SURE) + 2) + two * np.uint8(2)
+    gate[matched] += np.uint8(1)
+    return gate.astype(np.int64)
 
 
 def _mix(m: Mixer, l: Lanes, gate: np.ndarray, x: list[np.ndarray]) -> np.ndarray:
@@ -242,7 +271,7 @@ def _mix(m: Mixer, l: Lanes, gate: np.ndarray, x: list[np.ndarray]) -> np.ndarra
     for k, own in enumerate(x, 1):
         dot += _at(w[k], gate) * own
     dot[l.matched] += w[-2][gate[l.matched]] * l.match
-    return np.clip(dot, -MOST, MOST - 0.1)
+    return np.clip(dot, -MOST, MOST - 0.1, out=dot)
 
 
 def _costs(m: Mixer, s: Stream) -> np.ndarray:
@@ -251,22 +280,20 @@ def _costs(m: Mixer, s: Stream) -> np.ndarray:
     scale, middle = np.float32(FINE / (2 * MOST)), np.float32(FINE // 2 + 0.5)
     for l in _lanes(m, s):
         levels = [_at(m.known, slot) for slot in l.slots]
+        gate = _gates(_sure(levels[0]), _sure(levels[-1]), l.matched)
         if m.pairs is None:
-            gate = _gates(levels, l)
-            dot = _mix(m, l, gate, [_at(_STRETCH, v) for v in levels])
+            dot = _mix(m, l, gate, [_stretched(v) for v in levels])
         else:
-            pair = levels[0].astype(np.int64) << 8 | levels[1]
-            gate, dot = _at(m.pairs[0], pair), _at(m.pairs[2], pair)
-            dot *= l.own
-            dot += _at(m.pairs[1], pair)
+            part = _at(m.pairs, levels[0].astype(np.int64) << 8 | levels[1])
+            dot = part.imag * l.own
+            dot += part.real
             if len(l.matched):  # these go through the gates of a match
-                gate[l.matched] += 1
                 some = Lanes(l.lo, l.hi, l.n, l.bit, l.slots, l.own[l.matched], np.arange(len(l.matched)), l.match)
-                dot[l.matched] = _mix(m, some, gate[l.matched], [_STRETCH[v[l.matched]] for v in levels])
+                dot[l.matched] = _mix(m, some, gate[l.matched], [_stretched(v[l.matched]) for v in levels])
             np.clip(dot, -MOST, MOST - 0.1, out=dot)
         dot *= scale
         dot += middle
-        place = gate * np.int32(FINE) + dot.astype(np.int32) << 1 | l.bit
+        place = gate * FINE + dot.astype(np.int64) << 1 | l.bit
         out[l.lo : l.hi] = np.add.reduceat(_at(m.costs, place), np.cumsum(l.n) - l.n)
     return out
 
@@ -282,36 +309,52 @@ class _Learner:
         self.m = Mixer(m.code, m.odds, m.slot_bits, m.weights.copy(), m.map.copy())
         self.total = np.zeros(2 * m.first[-1], np.uint32)
         self.shift = min(max(0, (tasks - 1).bit_length()), min(m.slot_bits) - 8)
-        self.near = [np.zeros(2 << (b - self.shift), np.uint32) for b in m.slot_bits]
+        self.near = [np.zeros(2 << (b - self.shift), np.float32) for b in m.slot_bits]  # zeros and ones by turns
         self.power, self.used = np.full(m.weights.shape, 1e-4), np.zeros(GATES)
 
     def learn(self, s: Stream) -> None:
-        m, delta, one = self.m, np.float32(DELTA), np.uint32(1)
+        m, delta, one = self.m, np.float32(DELTA), np.float32(1)
         for l in _lanes(m, s, LEARN_STEP):
-            places = [(slot - f) >> self.shift << 1 for slot, f in zip(l.slots, m.first)]
-            self._teach(l, [np.log((_at(near, at + 1) + delta) / (_at(near, at) + delta)) for near, at in zip(self.near, places)])
-            copies = one if s.copies is None else np.repeat(s.copies[l.lo : l.hi], l.n).astype(np.uint32)
+            places, x = [], []
+            for slot, f, near in zip(l.slots, m.first, self.near):
+                at = slot - f
+                at >>= self.shift
+                n = _at(near.view(np.complex64), at).view(np.float32)  # both counts at once
+                n += delta
+                x.append(np.log(n[1::2] / n[::2]))
+                at <<= 1
+                at |= l.bit
+                places.append(at)
+            self._teach(l, x)
+            copies = np.uint32(1) if s.copies is None else np.repeat(s.copies[l.lo : l.hi].astype(np.uint32), l.n)
             for slot, near, at in zip(l.slots, self.near, places):
-                at += l.bit
                 np.add.at(near, at, one)
-                np.add.at(self.total, 2 * slot + l.bit, copies)
+                slot <<= 1
+                slot |= l.bit
+                np.add.at(self.total, slot, copies)
 
     def _teach(self, l: Lanes, x: list[np.ndarray]) -> None:
         m = self.m
-        gate = _gates([_level(v) for v in x], l)
+        gate = _gates(_sure_of(x[0]), _sure_of(x[-1]), l.matched)
         dot = _mix(m, l, gate, x)
-        own = l.bit.astype(np.float32)
-        _, mixed, cell = _refined(m.map, gate, dot)
-        n = np.bincount(gate, minlength=GATES)
-        error = own - mixed
-        slope = [np.bincount(gate, weights=error * v, minlength=GATES) for v in (l.own, *x)]
+        cell = _cell(gate, dot)
+        np.exp(np.negative(dot, out=dot), out=dot)
+        dot += np.float32(1)
+        error = l.bit - np.reciprocal(dot, out=dot)
+        lane = gate << 2
+        lane |= _TURNS[: len(lane)] if len(lane) <= len(_TURNS) else np.arange(len(lane)) & 3
+        added = lambda weights: np.bincount(lane, weights=weights, minlength=4 * GATES).reshape(GATES, 4).sum(1)
+        slope = [added(error * v) for v in (l.own, *x)]
         slope.append(np.bincount(gate[l.matched], weights=error[l.matched] * l.match, minlength=GATES))
-        slope.append(np.bincount(gate, weights=error, minlength=GATES))
+        slope.append(added(error))
+        cell <<= 1
+        cell |= l.bit
+        zeros, ones = np.bincount(cell, minlength=2 * GATES * BUCKETS).reshape(-1, 2).T
+        hits = zeros + ones
+        n = hits.reshape(GATES, BUCKETS).sum(1)
         slope = np.stack(slope) / np.maximum(n, 1)
         self.power += slope**2
         m.weights = m.weights + RATE * slope / np.sqrt(self.power) * (n > 0)
-        hits = np.bincount(cell, minlength=GATES * BUCKETS)
-        ones = np.bincount(cell, weights=own, minlength=GATES * BUCKETS)
         flat = m.map.ravel()
         m.map = (flat + (1 - (1 - MAP_RATE) ** hits) * (ones / np.maximum(hits, 1) - flat) * (hits > 0)).reshape(GATES, BUCKETS)
         self.used += n

@@ -497,3 +497,17 @@ def test_learner_equals_plain_learning_and_holds_counts_in_single_precision():
             assert np.allclose(learner.m.weights[:, g], before[0][:, g] + lm.RATE * slope / np.sqrt(power), atol=2e-3), (learnt, g)
         assert learner.near[0].dtype == np.float32 and learner.near[0].sum() == (learnt + 1) * len(l.bit)
         assert learner.total.sum() == 2 * (learnt + 1) * len(l.bit)
+
+
+def test_pipeline_decontamination_fits_on_all_passages_of_what_it_is_given(spark, monkeypatch):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 2 = 0")
+    rows, svd = [], decontam._randomised_svd
+    monkeypatch.setattr(decontam, "_randomised_svd", lambda *a: rows.append(a[0].count()) or svd(*a))
+    corpus_pipeline.decontamination(spark, docs, sf)
+    cut = lambda t: [h[k : k + decontam.PASSAGE].tolist() for h in [tx.words(pa.array([t], pa.string()), decontam._BREAKS)[0]] for k in range(0, max(1, len(h) - decontam.STRIDE), decontam.STRIDE)]
+    items = [p for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() for p in cut(r.text)]
+    known = {w for p in items for w in p}
+    assert rows == [len(items) + sum(not known.isdisjoint(p) for r in docs.collect() for p in cut(r.text or ""))]

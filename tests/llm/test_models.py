@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -461,6 +462,21 @@ def test_sums_of_pairs_are_the_same_dense_and_sparse(monkeypatch):
     assert (runs[0] == runs[1]).all() and np.allclose(runs[0] / decontam.UNIT, np.triu(plain), atol=1e-3)
 
 
+def test_sums_of_many_terms_pairs_take_little_memory():
+    rng = np.random.default_rng(0)
+    lists = [rng.integers(0, 4000, 32).tolist() for _ in range(2048)]
+    batch = pa.record_batch([pa.array(lists, pa.list_(pa.int32())), pa.array(np.ones(2048))], names=["row", "weight"])
+
+    class Shared:
+        value = rng.uniform(0.1, 5, 4000)
+
+    tracemalloc.start()
+    rows = sum(len(part) for part in decontam._products(Shared)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 4000 and peak < 90 << 20
+
+
 def test_levels_and_gates_are_the_same_by_tables_and_by_bounds():
     level = np.arange(1, 256, dtype=np.uint8)
     assert (lm._stretched(level) == lm._STRETCH[1:]).all() and (lm._sure(level) == lm._GATE[1:]).all()

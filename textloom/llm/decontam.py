@@ -24,7 +24,8 @@ from .scratch import Scratch
 PASSAGE, STRIDE = 32, 16
 RANK, OVERSAMPLE, POWER = 192, 16, 1
 UNIT = 1 << 20  #: products of weights are summed as integers in parts of this, the same in any order
-DENSE = 1 << 24  #: pairs of terms that a task sums in one array; of more it holds those that occur
+DENSE = 1 << 24  #: of no more pairs of terms a task sums one half (the other is equal) in one array; of more it holds those that occur
+TERMS, PAIRED = 64, 256  #: terms whose sums, and passages whose pairs are worked out at a time
 FITTED = 1 << 21  #: passages that a task sums, about
 BLOCK_CHARS = 4_000_000  #: of benchmark text searched in one go
 LEAST_WORDS = 5  #: shorter items would accuse ordinary text: they match texts that are nothing else
@@ -121,30 +122,40 @@ def _statistics(index):
 
 
 class _Sums:
-    """Sums by pair of terms."""
+    """Sums by pair of terms, the first not after the second."""
 
     def __init__(self, n: int):
         self.n, self.held, self.size = n, [], 0
-        self.dense = np.zeros(n * n, np.int64) if n * n <= DENSE else None
+        self.edge = np.arange(n) * (2 * n - 1 - np.arange(n)) // 2  # a pair's place among all such, less the second term
+        self.dense = np.zeros(n * (n + 1) // 2, np.int64) if n * n <= DENSE else None
 
-    def add(self, key: np.ndarray, value: np.ndarray) -> None:
+    def add(self, one: np.ndarray, two: np.ndarray, value: np.ndarray) -> None:
         if self.dense is not None:
-            np.add.at(self.dense, key, value)
+            np.add.at(self.dense, self.edge[one] + two, value)
             return
-        self.held.append((key, value))
-        self.size += len(key)
+        self.held.append((one * self.n + two, value))
+        self.size += len(one)
         if self.size > DENSE // 2:
-            self.held = [self.taken()]
+            self.held = [self._sorted()]
             self.size = len(self.held[0][0])
 
     def full(self) -> bool:
         return self.size > DENSE // 4
 
-    def taken(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs in order and their sums; none is held then."""
-        if self.dense is not None:
-            key = np.flatnonzero(self.dense)
-            return key, self.dense[key]
+    def taken(self):
+        """Pairs (first * n + second) in order and their sums, in parts of whole first terms; none is held then."""
+        if self.dense is None:
+            yield self._sorted()
+            return
+        own = self.edge + np.arange(self.n)
+        for i in range(0, self.n, TERMS):
+            lo, hi = own[i], own[i + TERMS] if i + TERMS < self.n else len(self.dense)
+            at = lo + np.flatnonzero(self.dense[lo:hi])
+            one = np.searchsorted(own, at, "right") - 1
+            yield one * self.n + at - self.edge[one], self.dense[at]
+        self.dense[:] = 0
+
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
         key, value = (np.concatenate(x) for x in zip(*self.held)) if self.held else (np.zeros(0, np.int64),) * 2
         self.held, self.size = [], 0
         order = np.argsort(key, kind="stable")
@@ -173,8 +184,8 @@ def _products(shared):
         idf = shared.value
         sums = _Sums(len(idf))
         for batch in batches:
-            for c in range(0, len(batch), 2048):
-                row, weight = batch.column(0).slice(c, 2048), batch.column(1).slice(c, 2048).to_numpy()
+            for c in range(0, len(batch), PAIRED):
+                row, weight = batch.column(0).slice(c, PAIRED), batch.column(1).slice(c, PAIRED).to_numpy()
                 own = np.repeat(np.arange(len(row)), row.value_lengths().to_numpy())
                 pair, n = np.unique(own * len(idf) + row.flatten().to_numpy(), return_counts=True)
                 own, t = np.divmod(pair, len(idf))
@@ -183,10 +194,14 @@ def _products(shared):
                 left = np.searchsorted(own, own, "right") - np.arange(len(own))
                 a = np.repeat(np.arange(len(own)), left)
                 b = a + np.arange(len(a)) - np.repeat(np.cumsum(left) - left, left)
-                sums.add(t[a] * len(idf) + t[b], np.rint((w * weight[own] * UNIT)[a] * w[b]).astype(np.int64))
+                sums.add(t[a], t[b], np.rint((w * weight[own] * UNIT)[a] * w[b]).astype(np.int64))
                 if sums.full():
-                    yield from _pairs(*sums.taken(), len(idf))
-        yield from _pairs(*sums.taken(), len(idf))
+                    for part in sums.taken():
+                        yield from _pairs(*part, len(idf))
+        for part in sums.taken():
+            yield from _pairs(*part, len(idf))
+        del sums
+        tx.give_back()
 
     return run
 

@@ -527,3 +527,11 @@ def test_pipeline_decontamination_fits_on_all_passages_of_what_it_is_given(spark
     items = [p for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() for p in cut(r.text)]
     known = {w for p in items for w in p}
     assert rows == [len(items) + sum(not known.isdisjoint(p) for r in docs.collect() for p in cut(r.text or ""))]
+
+
+def test_pipeline_language_is_learnt_from_all_rows(spark):
+    import corpus_pipeline
+
+    held = [k for k in range(60) if zlib.crc32(str(k).encode()) % 4 == 2]
+    docs = spark.createDataFrame([(k, "some words of a text", "en") for k in held], "doc_id long, text string, lang string")
+    assert held and corpus_pipeline.language_id(spark, docs, "").count() == len(held)

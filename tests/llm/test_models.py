@@ -477,6 +477,45 @@ def test_sums_of_many_terms_pairs_take_little_memory():
     assert rows == 4000 and peak < 90 << 20
 
 
+def test_sums_of_pairs_fit_32_bits_and_carry():
+    """4,000 terms' sums take half of what 64 bits would; products and sums beyond 32 bits are exact."""
+    rng = np.random.default_rng(1)
+    tracemalloc.start()
+    sums = decontam._Sums(4000)
+    total, seen = {}, 0
+    for k in range(40):
+        one = rng.integers(0, 4000, 5000)
+        one[:256] = 7
+        two = np.minimum(one + rng.integers(0, 30, 5000), 3999)
+        two[:256] = 9
+        value = rng.integers(0, 1 << 22, 5000)
+        value[:256] = (1 << 22) - 1 if k % 2 else 1 << 45
+        sums.add(one, two, value)
+        for key, x in zip((one * 4000 + two).tolist(), value.tolist()):
+            total[key] = total.get(key, 0) + x
+        if k == 20:
+            for key, x in sums.taken(whole=False):
+                seen += len(key)
+                for a, b in zip(key.tolist(), x.tolist()):
+                    total[a] -= b
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for key, x in sums.taken():
+        for a, b in zip(key.tolist(), x.tolist()):
+            total[a] -= b
+    assert seen and not any(total.values()) and not sums.dense.any() and peak < 60 << 20
+
+
+def test_decontamination_makes_no_table_of_a_list(spark, monkeypatch):
+    """A table of a Python list starts workers of another kind on every executor."""
+    docs = spark.range(40).selectExpr("id doc_id", "concat('one two three four five six ', id) text")
+    bench = spark.sql("select 1L item_id, 'one two three four five six 7' text")
+    made, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: made.append(type(data)) or make(self, data, *a, **b))
+    found = {r.doc_id for r in decontam.contamination(docs, bench).collect()}
+    assert 7 in found and list not in made
+
+
 def test_levels_and_gates_are_the_same_by_tables_and_by_bounds():
     level = np.arange(1, 256, dtype=np.uint8)
     assert (lm._stretched(level) == lm._STRETCH[1:]).all() and (lm._sure(level) == lm._GATE[1:]).all()

@@ -1,6 +1,7 @@
 """Packing against the reference tokenizer library, and the whole pipeline."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -21,6 +22,14 @@ def library():
     return t
 
 
+def test_character_classes_are_made_in_little_memory():
+    tracemalloc.start()
+    made = pack._classes.__wrapped__()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made[ord("a")] == 1 and made[0x663] == 2 and made[0x3000] == 3 and made[0xD800] == 0 and peak < 60 << 20
+
+
 def test_ids_equal_the_librarys():
     rng = random.Random(1)
     letters = list("ab's  \n\tt12!-'éreß½ lld日")

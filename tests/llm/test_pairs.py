@@ -76,6 +76,15 @@ def test_ngram_join_of_nothing_and_null_ids(spark):
     assert [r.component_id for r in ngram_join.near_duplicates(rows).collect() if r.doc_id is None] == [None]
 
 
+def test_ngram_join_makes_no_table_of_a_list(spark, monkeypatch):
+    """A table of a Python list starts workers of another kind on every executor."""
+    docs = spark.range(6).selectExpr("id doc_id", "concat('one two three four five six seven ', id div 2) text")
+    made, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: made.append(type(data)) or make(self, data, *a, **b))
+    found = ngram_join.near_duplicates(docs)
+    assert sorted(r.component_id for r in found.collect()) == [0, 0, 2, 2, 4, 4] and list not in made
+
+
 def test_ngram_join_tells_apart_what_a_weak_hash_does_not(spark):
     word = "a"
     for _ in range(11):

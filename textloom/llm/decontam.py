@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .scratch import Scratch
+from .scratch import Scratch, nothing
 
 PASSAGE, STRIDE = 32, 16
 RANK, OVERSAMPLE, POWER = 192, 16, 1
 UNIT = 1 << 20  #: products of weights are summed as integers in parts of this, the same in any order
-DENSE = 1 << 24  #: of no more pairs of terms a task sums one half (the other is equal) in one array; of more it holds those that occur
+DENSE = 1 << 24  #: of no more pairs of terms a task sums one half (the other is equal) in one array of 32 bits each; of more it holds those that occur
 TERMS, PAIRED = 64, 256  #: terms whose sums, and passages whose pairs are worked out at a time
+LARGE, CARRY = 1 << 22, 1 << 30  #: products, and sums, that the array's 32 bits do not take: PAIRED of the one and one of the other stay below 2^31
+HELD = 1 << 18  #: sums beside the array, about
 FITTED = 1 << 21  #: passages that a task sums, about
 BLOCK_CHARS = 4_000_000  #: of benchmark text searched in one go
 LEAST_WORDS = 5  #: shorter items would accuse ordinary text: they match texts that are nothing else
@@ -127,32 +129,47 @@ class _Sums:
     def __init__(self, n: int):
         self.n, self.held, self.size = n, [], 0
         self.edge = np.arange(n) * (2 * n - 1 - np.arange(n)) // 2  # a pair's place among all such, less the second term
-        self.dense = np.zeros(n * (n + 1) // 2, np.int64) if n * n <= DENSE else None
+        self.dense = np.zeros(n * (n + 1) // 2, np.int32) if n * n <= DENSE else None
+        self.most = DENSE // 2 if self.dense is None else HELD
 
     def add(self, one: np.ndarray, two: np.ndarray, value: np.ndarray) -> None:
-        if self.dense is not None:
-            np.add.at(self.dense, self.edge[one] + two, value)
+        """Adds PAIRED products of a pair at most."""
+        if self.dense is None:
+            self._hold(one * self.n + two, value)
             return
-        self.held.append((one * self.n + two, value))
-        self.size += len(one)
-        if self.size > DENSE // 2:
+        large = value >= LARGE
+        if large.any():
+            self._hold(one[large] * self.n + two[large], value[large])
+            value = np.where(large, 0, value)
+        at = self.edge[one] + two
+        np.add.at(self.dense, at, value.astype(np.int32))
+        over = np.flatnonzero(self.dense[at] >= CARRY)
+        if len(over):
+            at, first = np.unique(at[over], return_index=True)
+            self._hold(one[over[first]] * self.n + two[over[first]], self.dense[at].astype(np.int64))
+            self.dense[at] = 0
+
+    def _hold(self, key: np.ndarray, value: np.ndarray) -> None:
+        self.held.append((key, value))
+        self.size += len(key)
+        if self.size > self.most:
             self.held = [self._sorted()]
             self.size = len(self.held[0][0])
 
     def full(self) -> bool:
-        return self.size > DENSE // 4
+        return self.size > self.most // 2
 
-    def taken(self):
-        """Pairs (first * n + second) in order and their sums, in parts of whole first terms; none is held then."""
-        if self.dense is None:
-            yield self._sorted()
+    def taken(self, whole: bool = True):
+        """Pairs (first * n + second) in order and their sums, in parts; none is held then, and if `whole` none is left in the array."""
+        yield self._sorted()
+        if self.dense is None or not whole:
             return
         own = self.edge + np.arange(self.n)
         for i in range(0, self.n, TERMS):
             lo, hi = own[i], own[i + TERMS] if i + TERMS < self.n else len(self.dense)
             at = lo + np.flatnonzero(self.dense[lo:hi])
             one = np.searchsorted(own, at, "right") - 1
-            yield one * self.n + at - self.edge[one], self.dense[at]
+            yield one * self.n + at - self.edge[one], self.dense[at].astype(np.int64)
         self.dense[:] = 0
 
     def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +213,7 @@ def _products(shared):
                 b = a + np.arange(len(a)) - np.repeat(np.cumsum(left) - left, left)
                 sums.add(t[a], t[b], np.rint((w * weight[own] * UNIT)[a] * w[b]).astype(np.int64))
                 if sums.full():
-                    for part in sums.taken():
+                    for part in sums.taken(whole=False):
                         yield from _pairs(*part, len(idf))
         for part in sums.taken():
             yield from _pairs(*part, len(idf))
@@ -316,7 +333,7 @@ def build(items: list[tuple], docs: DataFrame, text_col: str, scratch: Scratch,
     corpus = found.where("row is not null").select("row", F.lit(1.0).alias("weight"))
     n = corpus.count()
     weight = max(1.0, n / len(places))  # the benchmark's side weighs no less than the corpus'
-    own = spark.createDataFrame([(p, float(weight)) for p in places], "row array<int>, weight double")
+    own = spark.createDataFrame(pa.table({"row": pa.array(places, pa.list_(pa.int32())), "weight": pa.array(np.full(len(places), weight))}))
     ix.basis = _randomised_svd(own.union(corpus).coalesce(max(8, n // FITTED)), ix.idf, rank, scratch)
     scratch.drop(found)
     ix.owner = np.array(owner)
@@ -463,7 +480,7 @@ def contamination(
     scratch = Scratch(docs.sparkSession, "decontam")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     schema = "id long, item long, cosine double, lcs_ratio double, answer_share double, first_word long, end_word long"
-    out = docs.sparkSession.createDataFrame([], schema)
+    out = nothing(docs.sparkSession, schema)
     for items in _blocks(benchmark, item_col, item_text_col):
         index = build(items, docs, text_col, scratch)
         if index.ids:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .components import connected_components
-from .scratch import Scratch
+from .scratch import Scratch, nothing
 
 WIDTH, NUM, DEN = 5, 75, 100
 BLOCK = 512  #: postings of one shingle that are paired in one go
@@ -396,8 +396,8 @@ def near_duplicates(
     scratch.drop(posts)
     sets = _class_sets(members.select("cls"), with_id, classes, width, scratch)
 
-    links = spark.createDataFrame([], "a long, b long")
-    comps = spark.createDataFrame([], "vertex long, component long")
+    links = nothing(spark, "a long, b long")
+    comps = nothing(spark, "vertex long, component long")
 
     tested = []
 

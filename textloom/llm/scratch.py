@@ -6,9 +6,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _LOCAL: list[str] = []
-BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096  #: of an Arrow batch between Spark and its Python workers
+BATCH_BYTES, BATCH_ROWS = 1 << 20, 4096  #: of an Arrow batch between Spark and its Python workers
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,6 +32,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
+def nothing(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows. One made from a Python list is a task of Python's: it starts workers of another kind on every executor, which stay there."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)])
+
+
 class Scratch:
     """Tables written below the shared folder; drop() removes those no longer read, with shuffle files, and the end of the application the rest."""
 

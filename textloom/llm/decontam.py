@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .scratch import Scratch, nothing
+from .scratch import WIDE, Scratch, nothing
 
 PASSAGE, STRIDE = 32, 16
 RANK, OVERSAMPLE, POWER = 192, 16, 1
@@ -477,7 +477,7 @@ def contamination(
     Null and wordless texts hold nothing, null and wordless items are held by nothing; items of fewer than
     LEAST_WORDS words are held by texts of the same words and no others. Equal items are all reported. Repeated rows give repeated results. An empty table on either side gives no rows.
     """
-    scratch = Scratch(docs.sparkSession, "decontam")
+    scratch = Scratch(docs.sparkSession, "decontam", WIDE)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     schema = "id long, item long, cosine double, lcs_ratio double, answer_share double, first_word long, end_word long"
     out = nothing(docs.sparkSession, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .scratch import Scratch
+from .scratch import WIDE, Scratch
 
 MOST_GROUPS = 8
 GROUPED = 1 << 16  #: hashed words by which groups are told apart
@@ -723,7 +723,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     training rows contexts say nothing and each bit costs about as under even odds. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "lm")
+    scratch = Scratch(spark, "lm", WIDE)
     label = F.col(group_col).cast("string") if group_col and group_col in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), label.alias("label"), F.coalesce(learn, F.lit(False)).alias("learn"))
     found = rows.where("learn and label is not null").groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_GROUPS - 1).collect()

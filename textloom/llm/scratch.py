@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 _LOCAL: list[str] = []
 BATCH_BYTES, BATCH_ROWS = 1 << 20, 4096  #: of an Arrow batch between Spark and its Python workers
+WIDE = 4 << 20  #: bytes where CPU time is scarcer than memory
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,10 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Holds Arrow batches to BATCH_BYTES and BATCH_ROWS, so that a worker's memory does not follow the rows' size."""
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Holds Arrow batches to `size` bytes and BATCH_ROWS, so that a worker's memory does not follow the rows' size."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(BATCH_ROWS, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{size}b")
 
 
 def nothing(spark: SparkSession, schema: str) -> DataFrame:
@@ -40,9 +41,9 @@ def nothing(spark: SparkSession, schema: str) -> DataFrame:
 class Scratch:
     """Tables written below the shared folder; drop() removes those no longer read, with shuffle files, and the end of the application the rest."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, batch: int = BATCH_BYTES):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
-        bounded_batches(spark)
+        bounded_batches(spark, batch)
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
         files.mkdirs(path)
